@@ -219,12 +219,23 @@ def area_price_level(df: DataFrame, tiers=PRICE_TIERS, area: str = "area", price
 
 
 # ---- A15 / A16 ---------------------------------------------------------------------
+def _micro(c: str) -> Column:
+    """Coordinate in integer micro-degrees (exact for DECIMAL(10,6))."""
+    return (F.col(c) * 1000000).cast("long")
+
+
+def _cell(c: str, step_micro) -> Column:
+    return F.floor(_micro(c) / step_micro).cast("long")
+
+
 def heatmap_cells(df: DataFrame, step: float = 0.05, weight: str | None = "rating") -> DataFrame:
-    """Grid cells of ``step`` degrees with listing count and summed weight."""
-    s = F.lit(str(step)).cast("decimal(10,6)")
+    """Grid cells of ``step`` degrees with listing count and summed weight.
+
+    Cells are computed on integer micro-degrees, so cell edges are exact.
+    """
+    su = int(round(step * 1_000_000))
     g = df.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()).groupBy(
-        F.floor(F.col("latitude") / s).cast("long").alias("lat_idx"),
-        F.floor(F.col("longitude") / s).cast("long").alias("lng_idx"))
+        _cell("latitude", su).alias("lat_idx"), _cell("longitude", su).alias("lng_idx"))
     aggs = [F.count(F.lit(1)).alias("count")]
     if weight:
         aggs.append(round_half_up(F.sum(F.col(weight).cast("double")), 2).alias("weight"))
@@ -238,13 +249,13 @@ def map_clusters(df: DataFrame, zooms: Sequence[int] = (0, 1, 2, 3), base_step:
     Fan-out is the number of zoom levels (a fixed parameter), then one aggregate.
     """
     levels = F.array(*[F.struct(F.lit(z).alias("zoom"),
-                                F.lit(str(base_step / (2 ** z))).cast("decimal(12,8)").alias("step"))
+                                F.lit(int(round(base_step * 1_000_000 / (2 ** z)))).cast("long").alias("su"))
                        for z in zooms])
     x = (df.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
          .select("latitude", "longitude", F.explode(levels).alias("lv")))
     return (x.groupBy(F.col("lv.zoom").alias("zoom"),
-                      F.floor(F.col("latitude") / F.col("lv.step")).cast("long").alias("lat_idx"),
-                      F.floor(F.col("longitude") / F.col("lv.step")).cast("long").alias("lng_idx"))
+                      F.floor(_micro("latitude") / F.col("lv.su")).cast("long").alias("lat_idx"),
+                      F.floor(_micro("longitude") / F.col("lv.su")).cast("long").alias("lng_idx"))
             .agg(F.count(F.lit(1)).alias("count"),
                  round_half_up(F.avg(F.col("latitude").cast("double")), 4).alias("lat"),
                  round_half_up(F.avg(F.col("longitude").cast("double")), 4).alias("lng")))
@@ -361,6 +372,6 @@ def approx_profile(df: DataFrame, rv: DataFrame, rsd: float = 0.01) -> DataFrame
     prices = df.where(F.col("price") > 0).select(
         F.percentile_approx(F.col("price").cast("double"), [0.25, 0.5, 0.75], 10000).alias("q"))
     users = rv.select(F.approx_count_distinct("user_id", rsd).alias("u"))
-    return df.select(F.approx_count_distinct("listing_id", rsd).alias("approx_listings")).limit(1).select(
+    return df.agg(F.approx_count_distinct("listing_id", rsd).alias("approx_listings")).select(
         "approx_listings", users.scalar().alias("approx_users"),
         prices.scalar().alias("price_quartiles"))

@@ -12,8 +12,6 @@ Both are checked against each other in ``tests/test_standins.py``.
 
 from __future__ import annotations
 
-from functools import cached_property
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -125,10 +123,28 @@ class Tables:
             F.expr("concat(lower(p_type), ' goods')").alias("cuisine"),
             F.expr("concat('near ', p_brand, ' street')").alias("address"))
 
-    @cached_property
-    def views(self) -> dict:
-        return {"listing": self.listing, "review": self.review, "review_text": self.review_text,
-                "favorite": self.favorite, "job_log": self.job_log, "raw_listing": self.raw_listing}
+    # ---- item (dish_info shape) ----------------------------------------------------
+    def item(self) -> DataFrame:
+        li = self.base("lineitem")
+        return (li.groupBy(F.col("l_partkey").alias("listing_id"), F.col("l_suppkey").alias("item_id"))
+                .agg(F.min(F.col("l_extendedprice") / F.col("l_quantity")).alias("price"),
+                     F.sum("l_quantity").cast("long").alias("monthly_sales"),
+                     F.min("l_returnflag").alias("category"),
+                     F.count(F.lit(1)).alias("mention_count"))
+                .select("item_id", "listing_id",
+                        F.concat(F.lit("item-"), F.col("item_id").cast("string")).alias("name"),
+                        "price", "monthly_sales", "category", "mention_count"))
+
+    # ---- fetch_task (crawl_task shape) --------------------------------------------
+    def fetch_task(self) -> DataFrame:
+        return self.base("events").select(
+            F.col("event_id").alias("task_id"),
+            F.concat(F.lit("src"), (F.col("user_id") % 5).cast("string")).alias("source"),
+            F.when(F.col("event_type") == "view", "full").otherwise("incremental").alias("task_type"),
+            F.when(F.col("event_type") == "error", "failed").otherwise("success").alias("status"),
+            F.floor(F.col("value") * 10).cast("int").alias("total_count"),
+            F.col("ts").alias("start_time"),
+            F.expr("ts + make_dt_interval(0, 0, 0, floor(value))").alias("end_time"))
 
 
 # SQL texts of the same views, valid in DuckDB (and Spark SQL).
@@ -167,6 +183,18 @@ WHERE l.l_returnflag = 'R' GROUP BY o.o_custkey, l.l_partkey""",
 SELECT event_id AS id, concat('task_', CAST(user_id % 10 AS STRING)) AS task_name, event_type AS stage,
        CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'signup' THEN 'WARNING' ELSE 'INFO' END AS level,
        CAST(floor(value) AS BIGINT) AS record_count, ts AS create_time
+FROM events""",
+    "item": """
+SELECT l_suppkey AS item_id, l_partkey AS listing_id, concat('item-', CAST(l_suppkey AS STRING)) AS name,
+       min(l_extendedprice / l_quantity) AS price, CAST(sum(l_quantity) AS BIGINT) AS monthly_sales,
+       min(l_returnflag) AS category, count(*) AS mention_count
+FROM lineitem GROUP BY l_partkey, l_suppkey""",
+    "fetch_task": """
+SELECT event_id AS task_id, concat('src', CAST(user_id % 5 AS STRING)) AS source,
+       CASE WHEN event_type = 'view' THEN 'full' ELSE 'incremental' END AS task_type,
+       CASE WHEN event_type = 'error' THEN 'failed' ELSE 'success' END AS status,
+       CAST(floor(value * 10) AS INT) AS total_count, ts AS start_time,
+       ts + to_seconds(CAST(floor(value) AS BIGINT)) AS end_time
 FROM events""",
     "raw_listing": """
 SELECT CASE WHEN p_partkey % 11 = 0 THEN '' ELSE CAST(p_partkey AS STRING) END AS id,
