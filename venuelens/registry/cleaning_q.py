@@ -1 +1,349 @@
-"""Registered queries."""
+"""Cleaning scalars and pipelines (C1-C33, F5) over ``raw_listing``, ``listing`` and ``review``."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from .. import dims
+from ..functions import (blank_to_null, classify_sentiment, derive_key, gate_numeric_text, icon_class_to_rating,
+                         mask_names, mask_phone, parse_count, parse_number, prefix_key, rating_to_sentiment,
+                         score_text_price, split_score_text, substitute_codepoints, sum_sentiment_counts, zip_scores)
+from ..operators import cleaning as C
+from ..operators import filters as Fl
+from ..plans import cleaning as P
+from . import register
+from . import sqlgen as S
+from .dashboard import R
+
+AT = "2024-01-01 00:00:00"
+RAW_ORDER = ["restaurant_name", "avg_price", "rating_overall", "review_count", "phone", "cuisine_type", "address"]
+RAW_ORDER_SQL = ["title", "price", "rating", "reviews", "tel", "cuisine", "address"]
+
+# ---- C30 ---------------------------------------------------------------------------
+_CLEAN_BASE = f"""
+SELECT * FROM (SELECT id AS restaurant_id, title AS restaurant_name, price AS avg_price, rating AS rating_overall,
+       reviews AS review_count, tel AS phone, cuisine AS cuisine_type, address, area_tag,
+       row_number() OVER (PARTITION BY id ORDER BY {', '.join(RAW_ORDER_SQL)}) AS _rn
+FROM raw_listing) WHERE _rn = 1"""
+
+
+@register("clean_listing", f"""
+SELECT restaurant_id, restaurant_name, coalesce({S.coerce_numeric('avg_price')}, 0.0) AS avg_price,
+       coalesce({S.coerce_numeric('rating_overall')}, 0.0) AS rating_overall,
+       CAST(coalesce({S.coerce_numeric('review_count')}, 0.0) AS BIGINT) AS review_count,
+       {S.mask_phone('phone')} AS phone, cuisine_type, address, area_tag,
+       'import' AS data_source, TIMESTAMP '{AT}' AS crawl_time
+FROM ({_CLEAN_BASE}) WHERE restaurant_name IS NOT NULL AND trim(restaurant_name) <> ''""", ("raw_listing",))
+def _clean_listing(t):
+    return P.clean_listing(t.raw_listing(), at=AT, order_by=RAW_ORDER)
+
+
+@register("clean_listing_log", f"""
+WITH f AS ({_CLEAN_BASE}),
+s AS (SELECT count(*) AS kept, count(*) FILTER (WHERE restaurant_name IS NULL OR trim(restaurant_name) = '') AS blank,
+             (SELECT count(*) FROM raw_listing) AS raw FROM f)
+SELECT 'import_1' AS task_name, 1 AS seq, 'load' AS stage, 'INFO' AS level,
+       format('file loaded, {{:d}} raw records', raw) AS message, raw AS record_count FROM s
+UNION ALL SELECT 'import_1', 2, 'dedup', 'INFO', format('dedupe done, {{:d}} duplicates removed, {{:d}} left', raw - kept, kept),
+       raw - kept FROM s
+UNION ALL SELECT 'import_1', 4, 'validate', 'WARNING', format('{{:d}} records with blank name removed', blank), blank
+       FROM s WHERE blank > 0
+UNION ALL SELECT 'import_1', 5, 'validate', 'INFO', format('cleaning done, {{:d}} valid records', kept - blank),
+       kept - blank FROM s""", ("raw_listing",))
+def _clean_listing_log(t):
+    return P.clean_listing_log(t.raw_listing(), "import_1", at=AT, order_by=RAW_ORDER)
+
+
+# ---- C31 ---------------------------------------------------------------------------
+_T_DEDUP = f"""
+SELECT * FROM (
+  SELECT *, row_number() OVER (PARTITION BY restaurant_name, address ORDER BY {', '.join(RAW_ORDER_SQL[1:])}, _addr0) AS _rn
+  FROM (SELECT id, trim(title) AS restaurant_name, price, rating, reviews, tel, cuisine,
+               trim(coalesce(address, '')) AS address, address AS _addr0, title
+        FROM raw_listing) WHERE restaurant_name IS NOT NULL AND restaurant_name <> '' AND restaurant_name <> 'nan'
+) WHERE _rn = 1"""
+
+
+@register("transform_listing", f"""
+SELECT {S.key_or_derived('id', ["'standin'", 'restaurant_name', 'address'])} AS restaurant_id,
+       restaurant_name, address, {S.mask_phone('tel')} AS phone, CAST(NULL AS VARCHAR) AS business_hours,
+       {S.parse_number('price')} AS avg_price, {S.parse_number('rating')} AS rating_overall,
+       {S.parse_count('reviews')} AS review_count,
+       {S.category_synonym('cuisine', dims.STANDIN_CATEGORY_DICT, 'other')} AS cuisine_type,
+       {S.area_contains(['NULL', 'NULL', 'address'], dims.STANDIN_AREA_DICT)} AS district,
+       CAST(NULL AS VARCHAR) AS business_area, CAST(NULL AS DOUBLE) AS latitude, CAST(NULL AS DOUBLE) AS longitude,
+       'standin' AS data_source, TIMESTAMP '{AT}' AS crawl_time
+FROM ({_T_DEDUP})""", ("raw_listing",))
+def _transform_listing(t):
+    return _transform_impl(t)
+
+
+def _transform_impl(t):
+    raw = t.raw_listing().withColumn("_addr0", F.col("address"))
+    out = P.transform_listing(raw, "standin", AT, dims.STANDIN_CATEGORY_DICT, "other", dims.STANDIN_AREA_DICT,
+                              order_by=["avg_price", "rating_overall", "review_count", "phone", "cuisine_type",
+                                        "_addr0"])
+    return out
+
+
+@register("output_records", f"""
+SELECT restaurant_id AS id, restaurant_name AS name, address, phone, CAST(NULL AS VARCHAR) AS business_hours,
+       coalesce(avg_price, 0.0) AS avg_price, coalesce(rating_overall, 0.0) AS rating,
+       coalesce(review_count, 0) AS review_count, cuisine_type, district, business_area,
+       CAST(NULL AS DOUBLE) AS latitude, CAST(NULL AS DOUBLE) AS longitude, data_source
+FROM (SELECT {S.key_or_derived('id', ["'standin'", 'restaurant_name', 'address'])} AS restaurant_id,
+       restaurant_name, address, {S.mask_phone('tel')} AS phone,
+       {S.parse_number('price')} AS avg_price, {S.parse_number('rating')} AS rating_overall,
+       {S.parse_count('reviews')} AS review_count,
+       {S.category_synonym('cuisine', dims.STANDIN_CATEGORY_DICT, 'other')} AS cuisine_type,
+       {S.area_contains(['NULL', 'NULL', 'address'], dims.STANDIN_AREA_DICT)} AS district,
+       CAST(NULL AS VARCHAR) AS business_area, 'standin' AS data_source FROM ({_T_DEDUP}))""", ("raw_listing",))
+def _output_records(t):
+    return C.to_output_record(_transform_impl(t))
+
+
+# ---- C32 ---------------------------------------------------------------------------
+STANDIN_LANDING = {"id": "id", "name": "title", "address": "address", "phone": "tel", "price": "price",
+                   "rating": "rating", "reviews": "reviews", "tag1": "cuisine", "tag2": "area_tag"}
+STANDIN_TAG_MERGE = {"value": ["economy goods", "small goods"], "core": ["standard goods", "medium goods"],
+                     "premium": ["large goods"]}
+STANDIN_EXCLUDED = ["promo goods"]
+
+
+@register("migrate_listing", f"""
+SELECT * EXCLUDE (_rn) FROM (
+  SELECT concat('sb_', CAST(id AS VARCHAR)) AS restaurant_id, title AS restaurant_name,
+         nullif(trim(address), '-') AS address, nullif(trim(tel), '') AS phone,
+         CAST(CASE WHEN regexp_matches(price, '^[0-9]+$') THEN TRY_CAST(price AS DECIMAL(10,2)) ELSE 0 END AS DOUBLE) AS avg_price,
+         CAST(CASE WHEN regexp_matches(rating, '^[0-9]+(\\.[0-9]+)?$') THEN TRY_CAST(rating AS DECIMAL(3,1)) ELSE 0 END AS DOUBLE)
+           AS rating_overall,
+         coalesce(CASE WHEN regexp_matches(reviews, '^[0-9]') THEN TRY_CAST(regexp_replace(reviews, '[^0-9]', '', 'g') AS BIGINT) END, 0)
+           AS review_count,
+         {S.map_lookup('cuisine', STANDIN_TAG_MERGE)} AS cuisine_type,
+         {S.area_rules('area_tag', 'address', dims.STANDIN_AREA_RULES_EXACT, {}, dims.STANDIN_AREA_RULES_ADDRESS,
+                       dims.STANDIN_AREA_RULES_DEFAULT)} AS district,
+         nullif(trim(area_tag), '') AS business_area, 'standin' AS data_source, TIMESTAMP '{AT}' AS crawl_time,
+         row_number() OVER (PARTITION BY concat('sb_', CAST(id AS VARCHAR)) ORDER BY {', '.join(RAW_ORDER_SQL)}) AS _rn
+  FROM raw_listing WHERE cuisine NOT IN ('promo goods')) WHERE _rn = 1""", ("raw_listing",))
+def _migrate_listing(t):
+    return P.migrate_listing(t.raw_listing(), STANDIN_LANDING, STANDIN_TAG_MERGE, dims.STANDIN_AREA_RULES_EXACT, {},
+                             dims.STANDIN_AREA_RULES_ADDRESS, dims.STANDIN_AREA_RULES_DEFAULT, STANDIN_EXCLUDED,
+                             "sb_", "standin", AT, order_by=RAW_ORDER_SQL)
+
+
+# ---- C8, C9, C10, C11 --------------------------------------------------------------
+@register("normalize_area_contains", f"""
+SELECT id, address, {S.area_contains(['area_tag', 'address'], dims.STANDIN_AREA_DICT)} AS district FROM raw_listing""",
+          ("raw_listing",))
+def _normalize_area_contains(t):
+    return C.normalize_area_contains(t.raw_listing(), ("area_tag", "address"), dims.STANDIN_AREA_DICT).select(
+        "id", "address", "district")
+
+
+@register("infer_area_rules", f"""
+SELECT id, area_tag, address,
+       {S.area_rules('area_tag', 'address', dims.STANDIN_AREA_RULES_EXACT, {}, dims.STANDIN_AREA_RULES_ADDRESS,
+                     dims.STANDIN_AREA_RULES_DEFAULT)} AS district FROM raw_listing""", ("raw_listing",))
+def _infer_area_rules(t):
+    return C.infer_area_rules(t.raw_listing(), "area_tag", "address", dims.STANDIN_AREA_RULES_EXACT,
+                              dims.STANDIN_AREA_RULES_ADDRESS, dims.STANDIN_AREA_RULES_DEFAULT).select(
+        "id", "area_tag", "address", "district")
+
+
+@register("merge_categories", f"""
+SELECT listing_id, category, {S.map_lookup('category', dims.STANDIN_CATEGORY_MERGE)} AS merged FROM listing""",
+          ("listing",))
+def _merge_categories(t):
+    return C.merge_categories(t.listing(), "category", dims.STANDIN_CATEGORY_MERGE, "merged").select(
+        "listing_id", "category", "merged")
+
+
+@register("normalize_category_synonym", f"""
+SELECT id, cuisine, {S.category_synonym('cuisine', dims.STANDIN_CATEGORY_DICT, 'other')} AS cuisine_type
+FROM raw_listing""", ("raw_listing",))
+def _normalize_category_synonym(t):
+    return t.raw_listing().select("id", "cuisine", C.category_synonym_expr("cuisine", dims.STANDIN_CATEGORY_DICT,
+                                                                           "other").alias("cuisine_type"))
+
+
+# ---- C12 - C17, C3, C4 -------------------------------------------------------------
+@register("parse_fields", f"""
+SELECT id, tel, {S.mask_phone('tel')} AS phone_strict, {S.mask_phone_eleven('tel')} AS phone_eleven,
+       {S.parse_number('price')} AS price_num, {S.parse_number('rating', 'NULL')} AS rating_num,
+       {S.parse_count('reviews')} AS review_count,
+       coalesce(CASE WHEN regexp_matches(reviews, '^[0-9]') THEN TRY_CAST(regexp_replace(reviews, '[^0-9]', '', 'g') AS BIGINT) END, 0)
+         AS review_digits,
+       coalesce({S.coerce_numeric('rating')}, 0.0) AS rating_coerced,
+       coalesce(CASE WHEN regexp_matches(price, '^[0-9]+$') THEN TRY_CAST(price AS DOUBLE) END, 0.0) AS price_gated,
+       {S.blank_to_null('title', ('', '-', 'nan'))} AS title_clean,
+       {S.blank_to_null('price', ('', '-', 'nan'))} AS price_clean
+FROM raw_listing""", ("raw_listing",))
+def _parse_fields(t):
+    return t.raw_listing().select(
+        "id", "tel", mask_phone("tel", "strict").alias("phone_strict"), mask_phone("tel", "eleven").alias("phone_eleven"),
+        parse_number("price").alias("price_num"), parse_number("rating", None).alias("rating_num"),
+        parse_count("reviews").alias("review_count"), parse_count("reviews", 0, "digits").alias("review_digits"),
+        F.coalesce(F.trim("rating").try_cast("double"), F.lit(0.0)).alias("rating_coerced"),
+        gate_numeric_text("price", "^[0-9]+$", "double", 0.0).alias("price_gated"),
+        blank_to_null("title").alias("title_clean"), blank_to_null("price").alias("price_clean"))
+
+
+@register("derive_keys", """
+SELECT listing_id, substr(md5(name), 1, 16) AS name_key,
+       concat('ds_', substr(md5(concat_ws('|', 'src', coalesce(name, ''), coalesce(area, ''))), 1, 20)) AS ds_key,
+       concat('dp_', CAST(listing_id AS VARCHAR)) AS prefixed
+FROM listing""", ("listing",))
+def _derive_keys(t):
+    return t.listing().select("listing_id", derive_key(["name"], 16).alias("name_key"),
+                              derive_key([F.lit("src"), "name", "area"], 20, "ds_").alias("ds_key"),
+                              prefix_key("listing_id", "dp_").alias("prefixed"))
+
+
+# ---- C5 / C6 / W9 ------------------------------------------------------------------
+REVIEW_ORDER = ["ts", "listing_id", "user_id", "rating", "taste", "environment", "service", "likes"]
+
+
+@register("dedupe_by_key", S.first_per_key("SELECT * FROM review", ["review_id"], REVIEW_ORDER), ("review",))
+def _dedupe_by_key(t):
+    return C.dedupe(t.review(), ["review_id"], REVIEW_ORDER)
+
+
+@register("last_wins", S.first_per_key("SELECT * FROM review", ["listing_id"],
+                                       [f"{c} DESC" for c in ["ts", "review_id", "user_id", "likes", "rating"]]),
+          ("review",))
+def _last_wins(t):
+    return C.last_wins(t.review(), ["listing_id"], ["ts", "review_id", "user_id", "likes", "rating"])
+
+
+@register("dedupe_by_columns", S.first_per_key("SELECT * FROM listing", ["name", "area"], ["listing_id"]),
+          ("listing",))
+def _dedupe_by_columns(t):
+    return C.dedupe(t.listing(), ["name", "area"], ["listing_id"])
+
+
+# ---- C33 ---------------------------------------------------------------------------
+RAW_RULES = {"id": {"type": "bigint", "not_null": True, "max_len": 50},
+             "title": {"type": "string", "not_null": True, "max_len": 200},
+             "rating": {"type": "decimal(3,1)", "min": 0, "max": 5},
+             "cuisine": {"allowed": ["economy goods", "standard goods", "medium goods", "large goods", "small goods"]}}
+
+
+def _reasons_sql() -> str:
+    return """list_filter([
+  CASE WHEN id IS NOT NULL AND TRY_CAST(id AS BIGINT) IS NULL THEN 'id:type' END,
+  CASE WHEN TRY_CAST(id AS BIGINT) IS NULL OR trim(id) = '' THEN 'id:not_null' END,
+  CASE WHEN length(id) > 50 THEN 'id:length' END,
+  CASE WHEN title IS NULL OR trim(title) = '' THEN 'title:not_null' END,
+  CASE WHEN length(title) > 200 THEN 'title:length' END,
+  CASE WHEN rating IS NOT NULL AND TRY_CAST(rating AS DECIMAL(3,1)) IS NULL THEN 'rating:type' END,
+  CASE WHEN TRY_CAST(rating AS DECIMAL(3,1)) < 0 THEN 'rating:min' END,
+  CASE WHEN TRY_CAST(rating AS DECIMAL(3,1)) > 5 THEN 'rating:max' END,
+  CASE WHEN NOT (cuisine IN ('economy goods', 'standard goods', 'medium goods', 'large goods', 'small goods')) THEN 'cuisine:allowed' END
+], lambda x: x IS NOT NULL)"""
+
+
+@register("enforce_schema_rejects", f"""
+SELECT id, title, rating, cuisine, rejected_reason FROM (SELECT *, {_reasons_sql()} AS rejected_reason FROM raw_listing)
+WHERE len(rejected_reason) > 0""", ("raw_listing",))
+def _enforce_rejects(t):
+    _, rej = C.enforce_schema(t.raw_listing(), RAW_RULES)
+    return rej.select("id", "title", "rating", "cuisine", "rejected_reason")
+
+
+@register("enforce_schema_valid", f"""
+SELECT TRY_CAST(id AS BIGINT) AS id, title, CAST(TRY_CAST(rating AS DECIMAL(3,1)) AS DOUBLE) AS rating, cuisine
+FROM (SELECT *, {_reasons_sql()} AS rejected_reason FROM raw_listing) WHERE len(rejected_reason) = 0""",
+          ("raw_listing",))
+def _enforce_valid(t):
+    valid, _ = C.enforce_schema(t.raw_listing(), RAW_RULES)
+    return valid.select("id", "title", F.col("rating").cast("double").alias("rating"), "cuisine")
+
+
+# ---- F5 ----------------------------------------------------------------------------
+@register("exclude_tags", """
+SELECT id, cuisine FROM (SELECT id, CASE WHEN id = '' THEN NULL ELSE cuisine END AS cuisine FROM raw_listing)
+WHERE cuisine NOT IN ('promo goods', 'large goods')""", ("raw_listing",))
+def _exclude_tags(t):
+    df = t.raw_listing().select("id", F.when(F.col("id") == "", None).otherwise(F.col("cuisine")).alias("cuisine"))
+    return Fl.exclude_tags(df, "cuisine", ["promo goods", "large goods"])
+
+
+# ---- C23 - C29, T9, T17 ------------------------------------------------------------
+@register("score_text_fields", """
+SELECT review_id, map(['taste', 'environment', 'service'],
+           [CAST(taste AS VARCHAR), CAST(environment AS VARCHAR), CAST(service AS VARCHAR)]) AS scores,
+       CAST(likes * 10 AS VARCHAR) AS price_token
+FROM review""", ("review",))
+def _score_text_fields(t):
+    rv = t.review()
+    txt = F.concat_ws(" ", F.concat(F.lit("taste："), F.col("taste").cast("string")),
+                      F.concat(F.lit("environment："), F.col("environment").cast("string")),
+                      F.concat(F.lit("service："), F.col("service").cast("string")),
+                      F.concat(F.lit("人均："), (F.col("likes") * 10).cast("string"), F.lit("元")))
+    return rv.select("review_id", split_score_text(txt).alias("scores"), score_text_price(txt).alias("price_token"))
+
+
+@register("zip_scores", """
+SELECT review_id, map(['taste', 'environment', 'service'],
+                      [CAST(taste AS VARCHAR), CAST(environment AS VARCHAR), CAST(service AS VARCHAR)]) AS scores FROM review""",
+          ("review",))
+def _zip_scores(t):
+    rv = t.review()
+    return rv.select("review_id", zip_scores(F.array(F.lit("taste"), F.lit("environment"), F.lit("service"), F.lit("x")),
+                                             F.array(F.col("taste").cast("string"), F.col("environment").cast("string"),
+                                                     F.col("service").cast("string"))).alias("scores"))
+
+
+ENTITIES = {"&amp;": "&", "&copy;": "©", "&middot;": "·", "&nbsp;": " "}
+
+
+@register("substitute_codepoints", """
+SELECT page_id, replace(replace(replace(replace(regexp_extract(html, '<footer>(.*?)</footer>', 1),
+       '&amp;', '&'), '&copy;', '©'), '&middot;', '·'), '&nbsp;', ' ') AS footer FROM pages""")
+def _substitute_codepoints(t):
+    return t.pages.select("page_id", substitute_codepoints(
+        F.regexp_extract("html", "<footer>(.*?)</footer>", 1), ENTITIES).alias("footer"))
+
+
+@register("icon_class_to_rating", """
+SELECT listing_id, TRY_CAST(regexp_extract(concat('sml-rank-stars sml-str', CAST(CAST(rating * 10 AS INT) AS VARCHAR)),
+         '(\\d{2})\\s*$', 1) AS DOUBLE) / 10 AS from_class,
+       coalesce(TRY_CAST(trim(CASE WHEN rating > 4 THEN CAST(rating AS VARCHAR) ELSE '-' END) AS DOUBLE),
+                TRY_CAST(nullif(regexp_extract(concat('sml-rank-stars sml-str', CAST(CAST(rating * 10 AS INT) AS VARCHAR)),
+                  '(\\d{2})\\s*$', 1), '') AS DOUBLE) / 10) AS rating_value
+FROM listing""", ("listing",))
+def _icon_class_to_rating(t):
+    lst = t.listing()
+    cls = F.concat(F.lit("sml-rank-stars sml-str"), (F.col("rating") * 10).cast("int").cast("string"))
+    txt = F.when(F.col("rating") > 4, F.col("rating").cast("string")).otherwise(F.lit("-"))
+    return lst.select("listing_id", icon_class_to_rating(cls).alias("from_class"),
+                      icon_class_to_rating(cls, txt).alias("rating_value"))
+
+
+@register("sum_sentiment_counts", """
+SELECT listing_id, coalesce(CAST(TRY_CAST(CAST(review_count AS VARCHAR) AS BIGINT)
+         + TRY_CAST(CASE WHEN listing_id % 10 = 0 THEN '-' ELSE CAST(CAST(sales AS BIGINT) AS VARCHAR) END AS BIGINT)
+         + TRY_CAST(CAST(distance_m AS VARCHAR) AS BIGINT) AS VARCHAR), '-') AS total
+FROM listing""", ("listing",))
+def _sum_sentiment_counts(t):
+    lst = t.listing()
+    mid = F.when(F.col("listing_id") % 10 == 0, F.lit("-")).otherwise(F.col("sales").cast("long").cast("string"))
+    return lst.select("listing_id", sum_sentiment_counts("review_count", mid, "distance_m").alias("total"))
+
+
+@register("rating_to_sentiment", f"""
+SELECT review_id, listing_id, ts, {R('greatest(-1.0, least(1.0, (CAST(rating AS DOUBLE) - 3) / 2))')} AS sentiment,
+       CASE WHEN (CAST(rating AS DOUBLE) - 3) / 2 + 0.5 > 0.6 THEN 'positive'
+            WHEN (CAST(rating AS DOUBLE) - 3) / 2 + 0.5 < 0.4 THEN 'negative' ELSE 'neutral' END AS sentiment_class
+FROM review""", ("review",))
+def _rating_to_sentiment(t):
+    rv = t.review()
+    return rv.select("review_id", "listing_id", "ts", rating_to_sentiment("rating").alias("sentiment"),
+                     classify_sentiment((F.col("rating").cast("double") - 3) / 2 + 0.5).alias("sentiment_class"))
+
+
+@register("mask_names", """
+SELECT listing_id, concat(substr(name, 1, 1), repeat('*', greatest(length(name) - 1, 0))) AS masked FROM listing""",
+          ("listing",))
+def _mask_names(t):
+    return t.listing().select("listing_id", mask_names("name").alias("masked"))

@@ -121,7 +121,9 @@ class Tables:
                    "'-0', lpad(CAST(p_size AS STRING), 3, '0')) WHEN p_partkey % 3 = 1 THEN '021-12345' "
                    "ELSE '' END").alias("tel"),
             F.expr("concat(lower(p_type), ' goods')").alias("cuisine"),
-            F.expr("concat('near ', p_brand, ' street')").alias("address"))
+            F.expr("concat('near ', p_brand, ' street')").alias("address"),
+            F.expr("CASE WHEN p_partkey % 17 = 0 THEN '' ELSE concat(p_brand, '/', CAST(p_size % 4 AS STRING)) END")
+            .alias("area_tag"))
 
     # ---- item (dish_info shape) ----------------------------------------------------
     def item(self) -> DataFrame:
@@ -204,7 +206,8 @@ SELECT CASE WHEN p_partkey % 11 = 0 THEN '' ELSE CAST(p_partkey AS STRING) END A
        concat(CAST(p_size AS STRING), ' reviews') AS reviews,
        CASE WHEN p_partkey % 3 = 0 THEN concat('138-', lpad(CAST(p_partkey % 10000 AS STRING), 4, '0'), '-0', lpad(CAST(p_size AS STRING), 3, '0'))
             WHEN p_partkey % 3 = 1 THEN '021-12345' ELSE '' END AS tel,
-       concat(lower(p_type), ' goods') AS cuisine, concat('near ', p_brand, ' street') AS address
+       concat(lower(p_type), ' goods') AS cuisine, concat('near ', p_brand, ' street') AS address,
+       CASE WHEN p_partkey % 17 = 0 THEN '' ELSE concat(p_brand, '/', CAST(p_size % 4 AS STRING)) END AS area_tag
 FROM part""",
 }
 
