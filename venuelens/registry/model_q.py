@@ -1 +1,62 @@
-"""Registered queries."""
+"""Rating model M1-M6 (rows-only, learned) and its evaluation M5 (oracle-checked)."""
+
+from __future__ import annotations
+
+import hashlib
+
+from pyspark.sql import functions as F
+
+from ..operators import rating_model as M
+from ..session import scratch_path
+from . import register
+from .dashboard import R
+
+
+def _model(t):
+    path = scratch_path(t.spark, "rating_model/" + hashlib.md5(t.sf_dir.encode()).hexdigest()[:12])
+    return M.load_or_train(t.listing(), path)
+
+
+def _requests(t):
+    return t.listing().select("listing_id", "category", "area", "price")
+
+
+@register("train_rating_model")
+def _train(t):
+    """Fits the forest (80/20 split, 100 trees, seed 42) once per scale and returns its metrics row."""
+    _, metrics = _model(t)
+    return metrics.select(F.col("r2").cast("double"), F.col("rmse").cast("double"),
+                          F.col("n_samples").cast("long"), F.to_json("importances").alias("importances"))
+
+
+@register("predict_rating")
+def _predict(t):
+    model, _ = _model(t)
+    return M.predict_rating(model, _requests(t))
+
+
+@register("prediction_interval")
+def _interval(t):
+    model, _ = _model(t)
+    return M.prediction_interval(model, _requests(t))
+
+
+@register("model_info")
+def _info(t):
+    model, metrics = _model(t)
+    return M.model_info(model, metrics)
+
+
+@register("evaluate_model", f"""
+WITH cm AS (SELECT category, {R('avg(CAST(rating AS DOUBLE))', 1)} AS prediction FROM listing GROUP BY category),
+p AS (SELECT l.area, CAST(l.rating AS DOUBLE) AS label, cm.prediction FROM listing l JOIN cm ON cm.category = l.category),
+g AS (SELECT area, count(*) AS n, sum((label - prediction) * (label - prediction)) AS _sse, sum(label) AS _sy,
+             sum(label * label) AS _syy FROM p GROUP BY area)
+SELECT area, n, {R('1.0 - _sse / nullif(_syy - _sy * _sy / n, 0.0)', 4)} AS r2, {R('sqrt(_sse / n)', 4)} AS rmse
+FROM g""", ("listing",))
+def _evaluate(t):
+    lst = t.listing()
+    from ..functions import avg_rounded
+    cm = lst.groupBy("category").agg(avg_rounded("rating", 1).alias("prediction"))
+    pred = lst.join(cm, "category").select("area", F.col("rating").cast("double").alias("label"), "prediction")
+    return M.evaluate_model(pred, "area")
