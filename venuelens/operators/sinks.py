@@ -97,7 +97,8 @@ def insert_ignore(new: DataFrame, target: DataFrame, key, order_by: Sequence) ->
 # ---- K6 / K7 -----------------------------------------------------------------------
 def write_csv_export(df: DataFrame, path: str, header: bool = True) -> str:
     """Overwrite a CSV export at ``path`` (any Hadoop URI)."""
-    df.write.mode("overwrite").option("header", header).csv(path)
+    (df.write.mode("overwrite").option("header", header).option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(path))
     return path
 
 

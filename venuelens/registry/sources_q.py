@@ -1 +1,250 @@
-"""Registered queries."""
+"""Sources S1-S12: round trips through files written from the driver tables, stored
+payloads built from them, and the stored pages table."""
+
+from __future__ import annotations
+
+import json
+import uuid
+
+import pandas as pd
+from pyspark.sql import functions as F
+
+from ..operators import sinks as K
+from ..sources import files as S
+from ..sources import pages as PG
+from ..sources import payloads as PL
+from ..sources import workbooks as WB
+from ..session import scratch_path
+from . import register
+
+RAW_COLS = ["id", "title", "price", "rating", "reviews", "tel", "cuisine", "address", "area_tag"]
+_RAW = "SELECT " + ", ".join(RAW_COLS) + " FROM raw_listing"
+
+
+def _scratch(t, name):
+    return scratch_path(t.spark, f"sources/{name}/{uuid.uuid4().hex}")
+
+
+def _json_array_files(df, wrap_key: str | None = None):
+    """One JSON document per partition: an array of records, optionally wrapped in an object."""
+    cols = df.columns
+
+    def build(batches):
+        frames = list(batches)
+        if not frames:
+            return
+        pdf = pd.concat(frames)
+        recs = [dict(zip(cols, r)) for r in pdf.astype(object).where(pdf.notna(), None).values.tolist()]
+        doc = {wrap_key: recs, "meta": {"n": len(recs)}} if wrap_key else recs
+        yield pd.DataFrame({"value": [json.dumps(doc, ensure_ascii=False)]})
+    return df.mapInPandas(build, "value string")
+
+
+# ---- S1 / S5 -----------------------------------------------------------------------
+@register("read_csv_listing", "SELECT " + ", ".join(f"nullif({c}, '') AS {c}" for c in RAW_COLS) + " FROM raw_listing",
+          ("raw_listing",))
+def _read_csv(t):
+    """CSV has no empty-string / missing distinction: an empty field reads back as NULL."""
+    path = _scratch(t, "csv") + "/listing.csv"
+    K.write_csv_export(t.raw_listing().select(*RAW_COLS), path)
+    return S.read_csv_listing(t.spark, path)
+
+
+@register("read_by_extension", _RAW, ("raw_listing",))
+def _read_by_ext(t):
+    path = _scratch(t, "ext") + "/listing.json"
+    _json_array_files(t.raw_listing().select(*RAW_COLS)).write.text(path)
+    return S.read_by_extension(t.spark, path).select(*RAW_COLS)
+
+
+# ---- S2 / S3 -----------------------------------------------------------------------
+@register("read_json_records", _RAW, ("raw_listing",))
+def _read_json(t):
+    path = _scratch(t, "json")
+    _json_array_files(t.raw_listing().select(*RAW_COLS)).write.text(path)
+    return S.read_json_records(t.spark, path).select(*RAW_COLS)
+
+
+@register("read_json_wrapped", _RAW, ("raw_listing",))
+def _read_json_wrapped(t):
+    path = _scratch(t, "jsonw")
+    _json_array_files(t.raw_listing().select(*RAW_COLS), "restaurants").write.text(path)
+    return S.read_json_wrapped(t.spark, path, RAW_COLS)
+
+
+# ---- S4 ----------------------------------------------------------------------------
+@register("read_workbooks", _RAW, ("raw_listing",))
+def _read_workbooks(t):
+    files = WB.workbooks_from_frame(t.raw_listing().select(*RAW_COLS).repartition(4))
+    return WB.parse_workbook_frame(files, RAW_COLS).select(*RAW_COLS)
+
+
+# ---- S7 ----------------------------------------------------------------------------
+@register("read_raw_listing", _RAW, ("raw_listing",))
+def _read_raw(t):
+    path = _scratch(t, "landing")
+    t.raw_listing().select(*RAW_COLS).write.parquet(path)
+    return S.read_raw_listing(t.spark, path, "parquet", RAW_COLS)
+
+
+# ---- S8 ----------------------------------------------------------------------------
+@register("explode_review_json", """
+SELECT event_id, CAST(json_extract_string(props, '$.k') AS INT) AS k, 'a' AS tag FROM events
+UNION ALL SELECT event_id, CAST(user_id AS INT), 'b' FROM events""")
+def _explode_review_json(t):
+    ev = t.events
+    arr = F.concat(F.lit('[{"k": '), F.get_json_object("props", "$.k"), F.lit(', "tag": "a"}, {"k": '),
+                   F.col("user_id").cast("string"), F.lit(', "tag": "b"}]'))
+    return PL.explode_review_json(ev.select("event_id", arr.alias("j")), "event_id", "j",
+                                  "array<struct<k: int, tag: string>>")
+
+
+# ---- S12 ---------------------------------------------------------------------------
+def _payloads(t):
+    li = t.lineitem
+    o = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus")
+    j = li.join(o, li.l_orderkey == o.o_orderkey)
+    review = F.struct(
+        F.struct(F.struct((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("reviewId"),
+                          F.col("l_quantity").cast("int").alias("star"),
+                          F.concat(F.lit("<p>"), F.col("l_returnflag"), F.lit(" item "),
+                                   F.col("l_partkey").cast("string"), F.lit("</p>")).alias("reviewBody"),
+                          F.col("l_linenumber").alias("voteCount"), F.lit(0).alias("replyCount"),
+                          (F.col("l_quantity") * 10).cast("int").alias("viewCount"),
+                          (F.col("l_extendedprice") / F.col("l_quantity")).alias("avgPrice"),
+                          F.array(F.struct(F.array("l_returnflag", "l_linestatus").alias("values")))
+                          .alias("extInfoList")).alias("reviewData"),
+                 F.date_format("l_shipdate", "yyyy-MM-dd").alias("addTimeVO"),
+                 F.lit(None).cast("string").alias("followNoteString")).alias("reviewDataVO"),
+        F.array(F.struct(F.concat(F.lit("http://img/"), F.col("l_partkey").cast("string")).alias("bigPicture")))
+        .alias("picList"),
+        F.struct(F.concat(F.lit("u"), F.col("o_custkey").cast("string")).alias("userNickName"),
+                 F.col("o_custkey").alias("userId")).alias("user"))
+    # one payload per order: an order has a handful of lines, the natural page size of a payload
+    g = j.groupBy("l_orderkey", "o_orderstatus").agg(
+        F.collect_list(review).alias("reviewAllDOList"), F.count(F.lit(1)).alias("reviewCountAll"),
+        F.count_if(F.col("l_returnflag") == "R").alias("reviewCountBad"),
+        F.count_if(F.col("l_returnflag") == "N").alias("reviewCountGood"),
+        F.count_if(F.col("l_returnflag") == "A").alias("reviewCountCommon"))
+    code = F.when(F.col("o_orderstatus") == "P", F.lit(500)).otherwise(F.lit(200))
+    payload = F.to_json(F.struct(code.alias("code"), "reviewCountAll", F.lit(0).alias("reviewCountPic"),
+                                 "reviewCountGood", "reviewCountCommon", "reviewCountBad",
+                                 F.array(F.lit("dish-a"), F.col("o_orderstatus")).alias("dishTagStrList"),
+                                 "reviewAllDOList"))
+    return g.select(F.col("l_orderkey").alias("order_id"), payload.alias("payload"))
+
+
+@register("flatten_api_payload", """
+SELECT l.l_orderkey AS order_id, l.l_orderkey * 10 + l.l_linenumber AS review_id, o.o_custkey AS user_id,
+       concat('u', CAST(o.o_custkey AS VARCHAR)) AS user_name, CAST(l.l_quantity AS INT) AS star,
+       concat(l.l_returnflag, ' item ', CAST(l.l_partkey AS VARCHAR)) AS body, l.l_linenumber AS votes, 0 AS replies,
+       CAST(l.l_quantity * 10 AS INT) AS views, l.l_extendedprice / l.l_quantity AS avg_price,
+       [l.l_returnflag, l.l_linestatus] AS liked_dishes, strftime(l.l_shipdate, '%Y-%m-%d') AS published,
+       CAST(NULL AS VARCHAR) AS reply, ['http://img/' || CAST(l.l_partkey AS VARCHAR)] AS pictures
+FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey WHERE o.o_orderstatus <> 'P'""")
+def _flatten_reviews(t):
+    return PL.flatten_api_payload(_payloads(t), "order_id", "payload", "reviews")
+
+
+@register("flatten_api_summary", """
+SELECT l.l_orderkey AS order_id, count(*) AS all_count, 0 AS pic_count,
+       count(*) FILTER (WHERE l.l_returnflag = 'N') AS good_count, count(*) FILTER (WHERE l.l_returnflag = 'A') AS mid_count,
+       count(*) FILTER (WHERE l.l_returnflag = 'R') AS bad_count, ['dish-a', o.o_orderstatus] AS dish_tags
+FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey WHERE o.o_orderstatus <> 'P'
+GROUP BY l.l_orderkey, o.o_orderstatus""")
+def _flatten_summary(t):
+    return PL.flatten_api_payload(_payloads(t), "order_id", "payload", "summary")
+
+
+@register("flatten_api_score", """
+SELECT p_partkey AS part_id, CAST(p_size / 10.0 AS VARCHAR) AS score, CAST(p_retailprice AS VARCHAR) AS avg_price,
+       CAST(p_size AS VARCHAR) AS review_count,
+       map(['taste', 'setting'], [p_brand, p_type]) AS scores
+FROM part""")
+def _flatten_score(t):
+    p = t.part
+    payload = F.to_json(F.struct(
+        F.lit(200).alias("code"), (F.col("p_size") / 10.0).cast("string").alias("fiveScore"),
+        F.concat(F.lit("<b>"), F.col("p_retailprice").cast("string"), F.lit("</b>")).alias("avgPrice"),
+        F.col("p_size").cast("string").alias("defaultReviewCount"),
+        F.array(F.lit("taste"), F.lit("setting"), F.lit("service")).alias("shopScoreTitleList"),
+        F.array(F.concat(F.lit("<i>"), F.col("p_brand"), F.lit("</i>")), F.col("p_type")).alias(
+            "shopRefinedScoreValueList")))
+    return PL.flatten_api_payload(p.select(F.col("p_partkey").alias("part_id"), payload.alias("payload")),
+                                  "part_id", "payload", "score")
+
+
+@register("flatten_api_shop", """
+SELECT s_suppkey AS supplier_id, s_name AS name,
+       nullif(concat_ws(' ', 'nation ' || CAST(s_nationkey AS VARCHAR),
+                        CASE WHEN s_acctbal > 0 THEN 'road ' || CAST(s_suppkey AS VARCHAR) END), '') AS address,
+       nullif(concat_ws(', ', CAST(s_suppkey * 7 AS VARCHAR),
+                        CASE WHEN s_suppkey % 2 = 0 THEN CAST(s_suppkey * 11 AS VARCHAR) END), '') AS phone
+FROM supplier""")
+def _flatten_shop(t):
+    s = t.supplier
+    payload = F.to_json(F.struct(F.lit(200).alias("code"), F.struct(F.struct(
+        F.col("s_name").alias("shopName"),
+        F.concat(F.lit("<span>nation "), F.col("s_nationkey").cast("string"), F.lit("</span>")).alias("address"),
+        F.when(F.col("s_acctbal") > 0, F.concat(F.lit("road "), F.col("s_suppkey").cast("string"))).alias("crossRoad"),
+        (F.col("s_suppkey") * 7).cast("string").alias("phoneNo"),
+        F.when(F.col("s_suppkey") % 2 == 0, (F.col("s_suppkey") * 11).cast("string")).alias("phoneNo2"))
+        .alias("shopInfo")).alias("msg")))
+    return PL.flatten_api_payload(s.select(F.col("s_suppkey").alias("supplier_id"), payload.alias("payload")),
+                                  "supplier_id", "payload", "shop")
+
+
+# ---- S9 - S11 ----------------------------------------------------------------------
+def _strip(x: str) -> str:
+    return f"trim(regexp_replace(regexp_replace({x}, '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g'))"
+
+
+def _ent(x: str) -> str:
+    for k, v in PG.ENTITIES.items():
+        x = f"replace({x}, '{k}', '{v.replace(chr(39), chr(39) * 2)}')"
+    return x
+
+
+def _miss(x: str) -> str:
+    return f"coalesce(nullif(trim({x}), ''), '-')"
+
+
+@register("parse_listing_pages", f"""
+SELECT page_id, unnest(range(1, len(regexp_extract_all(html, '{PG.ITEM_PATTERN}', 1)) + 1)) AS position,
+       unnest(regexp_extract_all(html, '{PG.ITEM_PATTERN}', 1)) AS link,
+       {_miss(_ent("unnest(regexp_extract_all(html, '" + PG.ITEM_PATTERN + "', 2))"))} AS name,
+       '-' AS review_count, '-' AS avg_price, '-' AS address
+FROM pages""")
+def _listing_pages(t):
+    return PG.parse_listing_pages(t.pages)
+
+
+_NAME = (f"regexp_replace({_ent(f'''coalesce(nullif({_strip(f"regexp_extract(html, '{PG.HEADING_PATTERN}', 1)")}, ''), '''
+                                f'''nullif({_strip(f"regexp_extract(html, '{PG.TITLE_PATTERN}', 1)")}, ''))''')}, "
+         f"'[.\\s]+$', '')")
+
+
+@register("parse_detail_pages", f"""
+SELECT page_id, {_miss(_NAME)} AS name, {_miss(f"regexp_extract(html, '{PG.LANG_PATTERN}', 1)")} AS lang,
+       len(regexp_extract_all(html, '<a href=')) AS n_links,
+       {_miss(_strip(f"regexp_extract(html, '{PG.AD_PATTERN}', 1)"))} AS ad_text,
+       {_miss(f"regexp_extract({_strip(chr(39).join(['regexp_extract(html, ', '(?s)<body>(.*)</body>', ', 1)']))}, '{PG.PHONE_PATTERN}', 0)")} AS phone,
+       {_miss(_ent(_strip(f"regexp_extract(html, '{PG.FOOTER_PATTERN}', 1)")))} AS other_info
+FROM pages""")
+def _detail_pages(t):
+    return PG.parse_detail_pages(t.pages)
+
+
+_PARAS = f"""SELECT page_id, unnest(range(1, len(regexp_extract_all(html, '{PG.PARAGRAPH_PATTERN}', 1)) + 1)) AS review_no,
+       {_ent(_strip(f"unnest(regexp_extract_all(html, '{PG.PARAGRAPH_PATTERN}', 1))"))} AS text FROM pages"""
+
+
+@register("parse_review_pages", f"SELECT page_id, review_no, text, length(text) AS n_chars FROM ({_PARAS})")
+def _review_pages(t):
+    return PG.parse_review_pages(t.pages)
+
+
+@register("review_page_summary", f"""
+SELECT page_id, count(*) AS n_reviews, sum(length(text)) AS n_chars FROM ({_PARAS}) GROUP BY page_id""")
+def _review_page_summary(t):
+    return PG.review_page_summary(t.pages)
