@@ -16,12 +16,13 @@ from pyspark.sql import functions as F
 # Our choice, from the search form presets: price bands (min, max) by name.
 PRICE_PRESETS = {"<50": (None, 50), "50-100": (50, 100), "100-200": (100, 200), ">200": (200, None)}
 
+# mode -> (column, descending); columns are built when a query is, not at import.
 SORT_MODES = {
-    "default": [F.desc("rating")],
-    "rating": [F.desc("rating")],
-    "price": [F.asc("price")],
-    "price_desc": [F.desc("price")],
-    "reviews": [F.desc("review_count")],
+    "default": [("rating", True)],
+    "rating": [("rating", True)],
+    "price": [("price", False)],
+    "price_desc": [("price", True)],
+    "reviews": [("review_count", True)],
 }
 
 
@@ -73,7 +74,7 @@ def page(df: DataFrame, order: Sequence[Column | str], page_no: int = 1, size: i
 
 def sort_modes(mode: str = "default", key: str = "listing_id") -> list[Column]:
     """Sort columns of a mode with the key appended as tie-break."""
-    return list(SORT_MODES[mode]) + [F.asc(key)]
+    return [F.desc(c) if d else F.asc(c) for c, d in SORT_MODES[mode]] + [F.asc(key)]
 
 
 def search_listings(df: DataFrame, keyword=None, area=None, category=None, price_min=None, price_max=None,

@@ -42,7 +42,7 @@ def user_favorites(df: DataFrame, fav: DataFrame, user=None, page_no: int | None
 
 
 # ---- J4 ----------------------------------------------------------------------------
-REVIEW_SORTS = {"time": [F.desc("ts")], "rating": [F.desc("rating"), F.desc("ts")], "likes": [F.desc("likes")]}
+REVIEW_SORTS = {"time": ["ts"], "rating": ["rating", "ts"], "likes": ["likes"]}  # all descending
 
 
 def listing_reviews(df: DataFrame, rv: DataFrame, listing=None, sort_by: str = "time", page_no: int | None = None,
@@ -50,7 +50,7 @@ def listing_reviews(df: DataFrame, rv: DataFrame, listing=None, sort_by: str = "
     """Reviews of existing listings (semi join on the listing table), sorted, optionally paged."""
     r = rv if listing is None else rv.where(F.col(key) == F.lit(listing))
     r = r.join(df.select(key), key, "left_semi")
-    order = REVIEW_SORTS[sort_by] + [F.asc("review_id"), F.asc("user_id")]
+    order = [F.desc(c) for c in REVIEW_SORTS[sort_by]] + [F.asc("review_id"), F.asc("user_id")]
     return _page(r, order, page_no, size) if page_no else r
 
 
