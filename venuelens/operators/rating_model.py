@@ -55,7 +55,8 @@ class _NumericCodes(Transformer, DefaultParamsReadable, DefaultParamsWritable):
     def _transform(self, df: DataFrame) -> DataFrame:
         out = df
         for code, num in (("_cat_code", "_cat_num"), ("_area_code", "_area_num")):
-            n_labels = len(df.schema[code].metadata.get("ml_attr", {}).get("vals", [])) or None
+            vals = df.schema[code].metadata.get("ml_attr", {}).get("vals", [])
+            n_labels = len([v for v in vals if v != "__unknown"]) or None  # 'keep' adds an unknown slot
             c = F.col(code) + 0
             if n_labels is not None:
                 c = F.when(F.col(code) >= n_labels, F.lit(0.0)).otherwise(c)
