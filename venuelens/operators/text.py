@@ -88,14 +88,26 @@ def review_keywords(rv: DataFrame, lexicon: dict, stop: Sequence[str] = dims.STO
 
 
 # ---- T5 ----------------------------------------------------------------------------
-def tfidf_keywords(tokens: DataFrame, key: str, n: int = 5, col: str = "token") -> DataFrame:
-    """Per document top ``n`` terms by tf * idf, tf = count / document length,
-    idf = ln(N / document frequency)."""
-    tf = tokens.groupBy(key, F.col(col).alias("word")).agg(F.count(F.lit(1)).alias("c"))
-    doc_len = tf.groupBy(key).agg(F.sum("c").alias("len"))
+def tfidf_keywords(df: DataFrame, key: str, col: str, n: int = 5, pattern: str = dims.LATIN_WORD_PATTERN,
+                   stop: Sequence[str] = ()) -> DataFrame:
+    """Per document top ``n`` terms by tf * idf, tf = count / document length (tokens after
+    stop-word removal), idf = ln(N / document frequency).
+
+    Documents are tokenised once.  Document frequency is a grouped aggregate
+    joined back (AQE broadcasts it when the vocabulary is small), not a window
+    over words, so a word found in every document never lands in one task.
+    The document length and the per-document ranking share one window
+    partitioning (by document), whose partitions are bounded by a document's
+    vocabulary.
+    """
+    words = df.select(key, F.explode(F.regexp_extract_all(F.lower(F.col(col)), F.lit(pattern), 0)).alias("word"))
+    if stop:
+        words = words.where(~F.col("word").isin(list(stop)))
+    tf = words.groupBy(key, "word").agg(F.count(F.lit(1)).alias("c"))
     dfreq = tf.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
-    n_docs = doc_len.select(F.count(F.lit(1))).scalar()
-    s = (tf.join(doc_len, key).join(dfreq, "word")
+    n_docs = tf.select(F.count_distinct(key)).scalar()
+    doc = Window.partitionBy(key)
+    s = (tf.join(dfreq, "word").withColumn("len", F.sum("c").over(doc))
          .select(key, "word", round_half_up((F.col("c") / F.col("len")) * F.log(n_docs / F.col("df")), 6)
                  .alias("score")))
     w = Window.partitionBy(key).orderBy(F.desc("score"), F.asc("word"))

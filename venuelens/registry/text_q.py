@@ -87,8 +87,7 @@ s AS (SELECT tf.review_id, tf.word, {R('(tf.c / dl.len) * ln((SELECT count(*) FR
 SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY review_id ORDER BY score DESC, word) AS rank FROM s)
 WHERE rank <= 5""", ("review_text",))
 def _tfidf(t):
-    toks = T.remove_stopwords(T.tokenize(t.review_text(), "review_id", "text", PAT), STOP)
-    return T.tfidf_keywords(toks, "review_id", 5)
+    return T.tfidf_keywords(t.review_text(), "review_id", "text", 5, PAT, STOP)
 
 
 # ---- T6 ----------------------------------------------------------------------------
