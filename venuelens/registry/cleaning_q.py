@@ -347,3 +347,48 @@ SELECT listing_id, concat(substr(name, 1, 1), repeat('*', greatest(length(name)
           ("listing",))
 def _mask_names(t):
     return t.listing().select("listing_id", mask_names("name").alias("masked"))
+
+
+# ---- C7 ----------------------------------------------------------------------------
+# Stand-in synonyms: full and short names of some areas (the brand without '#').
+STANDIN_AREA_ALIASES = {**{f"Brand#{i}": f"Brand#{i}" for i in range(1, 26)},
+                        **{f"Brand{i}": f"Brand#{i}" for i in range(1, 13)}}
+
+
+@register("normalize_area_exact", f"""
+SELECT listing_id, area_raw, CASE trim(area_raw) {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in STANDIN_AREA_ALIASES.items())}
+       END AS area
+FROM (SELECT listing_id, CASE WHEN listing_id % 3 = 0 THEN replace(area, '#', '') WHEN listing_id % 3 = 1
+      THEN concat(' ', area) ELSE lower(area) END AS area_raw FROM listing)""", ("listing",))
+def _normalize_area_exact(t):
+    raw = t.listing().select("listing_id", F.when(F.col("listing_id") % 3 == 0, F.replace("area", F.lit("#"), F.lit("")))
+                             .when(F.col("listing_id") % 3 == 1, F.concat(F.lit(" "), "area"))
+                             .otherwise(F.lower("area")).alias("area_raw"))
+    return C.normalize_area_exact(raw.withColumn("area", F.col("area_raw")), "area", STANDIN_AREA_ALIASES)
+
+
+# ---- C25 ---------------------------------------------------------------------------
+_PARA = "(?s)<p>(.*?)</p>"
+
+
+@register("clean_review_text", f"""
+SELECT page_id, trim(regexp_replace(replace(replace(regexp_replace(p, '<[^>]*>', '', 'g'), ' ', ''), '收起评价', ''),
+       '[\\r\\n]', ' ', 'g')) AS text
+FROM (SELECT page_id, unnest(regexp_extract_all(html, '{_PARA}', 1)) AS p FROM pages)""")
+def _clean_review_text(t):
+    from ..functions import clean_review_text
+    paras = t.pages.select("page_id", F.explode(F.regexp_extract_all("html", F.lit(_PARA), 1)).alias("p"))
+    return paras.select("page_id", clean_review_text("p").alias("text"))
+
+
+@register("recommended_dishes", """
+SELECT review_id, CASE WHEN trim(substr(s, 6)) = '' THEN [] ELSE string_split_regex(trim(substr(s, 6)), ' +') END AS dishes
+FROM (SELECT review_id, trim(regexp_replace(replace(concat('推荐菜：  ', category, ' ', name, ' '), ' ', ''), '[\\r\\n]', ' ', 'g')) AS s
+      FROM (SELECT CAST(listing_id AS VARCHAR) AS review_id, category, replace(name, ' ', '\n') AS name FROM listing))""",
+          ("listing",))
+def _recommended_dishes(t):
+    from ..functions import list_tail
+    lst = t.listing().select(F.col("listing_id").cast("string").alias("review_id"), "category",
+                             F.replace("name", F.lit(" "), F.lit("\n")).alias("name"))
+    s = F.concat(F.lit("推荐菜：  "), F.col("category"), F.lit(" "), F.col("name"), F.lit(" "))
+    return lst.select("review_id", list_tail(s).alias("dishes"))
