@@ -71,3 +71,14 @@ def test_hot_rank_top_is_global_rank(spark, tables):
     top = W.hot_rank(lst, k=5).orderBy("rank").collect()
     assert [r.rank for r in top][0] == 1 and len(top) == 5
     assert top[0].hot_score >= top[-1].hot_score
+
+
+def test_ranked_within_matches_row_number_on_hot_group(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    rows = [(0 if i < 3000 else i % 7, i, (i * 37) % 101) for i in range(4000)]   # group 0 holds 3/4 of the rows
+    df = spark.createDataFrame(rows, "g long, id long, v long")
+    order = [F.desc("v"), F.asc("id")]
+    got = W.ranked_within(df, ["g"], order, "r", num_partitions=16)
+    want = df.withColumn("r", F.row_number().over(Window.partitionBy("g").orderBy(*order)))
+    assert sorted(got.select("g", "id", "r").collect()) == sorted(want.select("g", "id", "r").collect())

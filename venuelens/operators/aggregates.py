@@ -286,18 +286,18 @@ def listing_detail(df: DataFrame, rv: DataFrame, items: DataFrame, keys: Sequenc
                    key: str = "listing_id") -> DataFrame:
     """Base row + rating profile + item list, one row per (listing, item), items ranked.
 
-    Items come out as rows ranked by mentions (not one collected array), so a
-    listing with a huge item list never has to fit in one task's memory.
+    Items come out as rows ranked by mentions (not one collected array), and the
+    rank is computed by a range-partitioned ranking, so a listing with a huge
+    item list is spread over many tasks.
     """
     if keys is not None:
         df = df.where(F.col(key).isin(list(keys)))
         rv = rv.where(F.col(key).isin(list(keys)))
         items = items.where(F.col(key).isin(list(keys)))
     prof = listing_rating_profile(rv, key)
-    from pyspark.sql import Window
-    w = Window.partitionBy(key).orderBy(F.desc("mention_count"), F.asc("item_id"))
-    ranked = items.select(key, "item_id", F.col("name").alias("item_name"), "mention_count",
-                          F.row_number().over(w).alias("item_rank"))
+    from .windows import ranked_within
+    ranked = ranked_within(items.select(key, "item_id", F.col("name").alias("item_name"), "mention_count"),
+                           [key], [F.desc("mention_count"), F.asc("item_id")], "item_rank")
     return (df.select(key, "name", "category", "area", "price", "rating")
             .join(prof, key, "left").join(ranked, key, "left"))
 

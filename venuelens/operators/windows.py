@@ -124,3 +124,36 @@ def max_scale(df: DataFrame, col: str, name: str = "name") -> DataFrame:
 # ---- X7-style helper ---------------------------------------------------------------
 def rows_frame(partition: Sequence[str], order: Sequence[str], lo: int, hi: int = 0):
     return Window.partitionBy(*partition).orderBy(*order).rowsBetween(lo, hi)
+
+
+# ---- exact full ranking for skewed groups ---------------------------------------------
+def ranked_within(df: DataFrame, group: Sequence[str], order: Sequence, out: str = "rank",
+                  num_partitions: int | None = None) -> DataFrame:
+    """``row_number()`` over (partition by ``group`` order by ``order``) without putting a
+    whole group in one task.
+
+    Rows are range-partitioned on (group, order) - a group holding a third of
+    the rows is cut into many ranges - and numbered inside each partition.  The
+    count of each group's rows in every partition (a small table: partitions x
+    groups present) gives the offset of the partition's first row within its
+    group; offset + local number is the exact rank.  ``order`` holds Columns
+    (e.g. ``F.desc("x")``) and must be a total order within the group.
+
+    The range bounds come from sampling, so the partitioned rows are written
+    once with a reliable ``checkpoint()`` (the session's checkpoint folder):
+    both uses then see the same partition ids, and lineage is cut.
+    """
+    from ..session import checkpoint_dir
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    g = [F.col(c) for c in group]
+    o = [F.col(c) if isinstance(c, str) else c for c in order]
+    parted = df.repartitionByRange(n, *g, *o).withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True)
+    local = parted.withColumn("_local", F.row_number().over(Window.partitionBy("_pid", *group).orderBy(*o)))
+    counts = parted.groupBy("_pid", *group).agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.withColumn(
+        "_off", F.sum("_n").over(Window.partitionBy(*group).orderBy("_pid")
+                                .rowsBetween(Window.unboundedPreceding, -1))).fillna(0, ["_off"])
+    return (local.join(offsets.select("_pid", *group, "_off"), ["_pid", *group])
+            .withColumn(out, (F.col("_off") + F.col("_local")).cast("int")).drop("_pid", "_local", "_off"))
