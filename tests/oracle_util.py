@@ -71,3 +71,27 @@ def compare(spark_cols, spark_rows, duck_cols, duck_rows):
     diff = list((sr6 - dr6).elements())[:3]
     diff2 = list((dr6 - sr6).elements())[:3]
     return "mismatch", f"spark-only {diff} duck-only {diff2}"
+
+
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "double": "DOUBLE", "float": "FLOAT",
+                 "string": "VARCHAR", "boolean": "BOOLEAN", "date": "DATE", "timestamp": "TIMESTAMP WITH TIME ZONE",
+                 "timestamp_ntz": "TIMESTAMP", "binary": "BLOB"}
+
+
+def spark_type(dt) -> str:
+    """Spark data type in DuckDB spelling (for schema comparison)."""
+    s = dt.simpleString()
+    if s.startswith("decimal"):
+        return s.upper()
+    if s.startswith("array<"):
+        return spark_type(dt.elementType) + "[]"
+    if s.startswith("map<"):
+        return f"MAP({spark_type(dt.keyType)}, {spark_type(dt.valueType)})"
+    return SPARK_TO_DUCK.get(s, s)
+
+
+def type_diff(spark_schema, con, sql: str) -> dict:
+    st = {f.name: spark_type(f.dataType) for f in spark_schema.fields}
+    rel = con.sql(sql)
+    dt = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    return {c: (st.get(c), dt.get(c)) for c in set(st) | set(dt) if st.get(c) != dt.get(c)}

@@ -10,7 +10,7 @@ import traceback
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from oracle_util import compare, duck_connect, duck_run  # noqa: E402
+from oracle_util import compare, duck_connect, duck_run, type_diff  # noqa: E402
 
 from venuelens.session import checkpoint_dir, get_session  # noqa: E402
 import __spark_entry__ as E  # noqa: E402
@@ -48,6 +48,10 @@ def main():
             stats["duck-error"] = stats.get("duck-error", 0) + 1
             continue
         st, detail = compare(cols, rows, dcols, drows)
+        td = type_diff(df.schema, con, sqls[name])
+        if td:
+            detail = f"types {td} " + detail
+            st = "typediff" if st == "exact" else st
         stats[st] = stats.get(st, 0) + 1
         print(f"{name:32s} {st:9s} {len(rows):7d} rows {ts:6.2f}s {detail[:400]}")
     print(stats)

@@ -8,7 +8,7 @@ import os
 import pytest
 
 import __spark_entry__ as E
-from oracle_util import compare, duck_connect, duck_run
+from oracle_util import compare, duck_connect, duck_run, type_diff
 
 SF_DIR = f"/root/testdata/sf{os.environ.get('VENUELENS_ORACLE_SF', '0.001')}"
 QUERIES = E.queries()
@@ -33,6 +33,7 @@ def test_query_matches_oracle(spark, duck, name):
     dcols, drows = duck_run(duck, SQL[name])
     status, detail = compare(cols, rows, dcols, drows)
     assert status == "exact", detail
+    assert not type_diff(df.schema, duck, SQL[name])
 
 
 def test_entry_runs(spark):

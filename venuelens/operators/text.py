@@ -67,7 +67,7 @@ def prioritized_topn(counts: DataFrame, lexicon: Sequence[str], n: int = 30) ->
     flag = F.col("word").isin(list(dict.fromkeys(lexicon))).cast("int")
     order = [F.desc("in_lexicon"), F.desc("count"), F.asc("word")]
     top = counts.withColumn("in_lexicon", flag).orderBy(*order).limit(n)
-    return top.withColumn("rank", F.row_number().over(Window.orderBy(*order))).drop("in_lexicon")
+    return top.withColumn("rank", F.row_number().over(Window.orderBy(*order)).cast("long")).drop("in_lexicon")
 
 
 # ---- A7 / U1 -----------------------------------------------------------------------
@@ -111,7 +111,8 @@ def tfidf_keywords(df: DataFrame, key: str, col: str, n: int = 5, pattern: str =
          .select(key, "word", round_half_up((F.col("c") / F.col("len")) * F.log(n_docs / F.col("df")), 6)
                  .alias("score")))
     w = Window.partitionBy(key).orderBy(F.desc("score"), F.asc("word"))
-    return s.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+    return s.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n) \
+            .withColumn("rank", F.col("rank").cast("long"))
 
 
 # ---- T6 ----------------------------------------------------------------------------
@@ -152,7 +153,7 @@ def textrank_keywords(tokens_pos: DataFrame, key: str, window: int = 3, iteratio
     order = [F.desc("score"), F.asc("word")]
     top = rank.orderBy(*order).limit(n)
     return top.select("word", round_half_up("score", 6).alias("score"),
-                      F.row_number().over(Window.orderBy(*order)).alias("rank"))
+                      F.row_number().over(Window.orderBy(*order)).cast("long").alias("rank"))
 
 
 # ---- T7 ----------------------------------------------------------------------------
@@ -172,7 +173,7 @@ def _terms(lexicon: dict, polarity: str, aspect: str | None = None) -> list:
 def count_in(tokens: Column, terms: Sequence[str]) -> Column:
     """Number of tokens that are in the fixed term list (array filter, no join)."""
     terms = list(dict.fromkeys(terms))
-    return F.size(F.filter(tokens, lambda t: t.isin(terms))) if terms else F.lit(0)
+    return F.size(F.filter(tokens, lambda t: t.isin(terms))).cast("long") if terms else F.lit(0).cast("long")
 
 
 def word_tokens(col: str, pattern: str = dims.LATIN_WORD_PATTERN) -> Column:
@@ -282,13 +283,14 @@ def rank_dishes(mentions: DataFrame, n: int = 10, groups: DataFrame | None = Non
         return _global_dense_topn(c, n)
     c = c.join(F.broadcast(groups), "dish")
     w = Window.partitionBy("grp").orderBy(F.desc("mentions"))
-    return c.withColumn("rank", F.dense_rank().over(w)).where(F.col("rank") <= n)
+    return c.withColumn("rank", F.dense_rank().over(w)).where(F.col("rank") <= n) \
+            .withColumn("rank", F.col("rank").cast("long"))
 
 
 def _global_dense_topn(c: DataFrame, n: int) -> DataFrame:
     """Dense rank <= n overall: the n largest distinct counts, then the dishes having them."""
     top_vals = c.select("mentions").distinct().orderBy(F.desc("mentions")).limit(n)
-    ranked = top_vals.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("mentions"))))
+    ranked = top_vals.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("mentions"))).cast("long"))
     return c.join(F.broadcast(ranked), "mentions").select("dish", "mentions", "rank")
 
 

@@ -51,7 +51,7 @@ def business_area_trend(df: DataFrame, rv: DataFrame, unit: str = "year", key: s
     """Rank of each business area by reviews per period and its change against the previous period."""
     s = (rv.select(key, "ts").join(df.select(key, "business_area"), key)
          .groupBy("business_area", period("ts", unit).alias("period")).agg(F.count(F.lit(1)).alias("reviews")))
-    s = s.withColumn("rank", F.rank().over(Window.partitionBy("period").orderBy(F.desc("reviews"))))
+    s = s.withColumn("rank", F.rank().over(Window.partitionBy("period").orderBy(F.desc("reviews"))).cast("long"))
     w = Window.partitionBy("business_area").orderBy("period")
     return s.withColumn("rank_change", F.lag("rank").over(w) - F.col("rank"))
 
@@ -61,7 +61,7 @@ def seasonal_index(rv: DataFrame, ts: str = "ts") -> DataFrame:
     """Per calendar month: mean monthly review count / mean of all monthly counts."""
     monthly = rv.groupBy(period(ts, "month").alias("period")).agg(F.count(F.lit(1)).alias("n"))
     overall = monthly.select(F.avg("n")).scalar()
-    return (monthly.groupBy(F.month("period").alias("month")).agg(F.avg("n").alias("_m"))
+    return (monthly.groupBy(F.month("period").cast("long").alias("month")).agg(F.avg("n").alias("_m"))
             .select("month", round_half_up("_m", 2).alias("mean_count"),
                     round_half_up(F.col("_m") / overall, 4).alias("seasonal_index")))
 

@@ -32,7 +32,7 @@ def top_bottom(agg: DataFrame, value: str, name: str = "name", n: int = 3, sides
         k = agg.orderBy(*order).limit(n)
         parts.append(k.select(F.lit(side).alias("side"), F.col(name).alias("name"),
                               F.col(value).cast("double").alias("value"),
-                              F.row_number().over(Window.orderBy(*order)).alias("rank")))
+                              F.row_number().over(Window.orderBy(*order)).cast("long").alias("rank")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -53,9 +53,10 @@ def value_for_money_rank(df: DataFrame, k: int = 10, by: str | None = "category"
           .where(F.col("vfm_index").isNotNull())
     if by is None:
         top = x.orderBy(F.desc("vfm_index"), F.asc(key)).limit(k)
-        return top.withColumn("rank", F.dense_rank().over(Window.orderBy(F.desc("vfm_index"))))
+        return top.withColumn("rank", F.dense_rank().over(Window.orderBy(F.desc("vfm_index"))).cast("long"))
     w = Window.partitionBy(by).orderBy(F.desc("vfm_index"))
-    return x.withColumn("rank", F.dense_rank().over(w)).where(F.col("rank") <= k)
+    return x.withColumn("rank", F.dense_rank().over(w)).where(F.col("rank") <= k) \
+            .withColumn("rank", F.col("rank").cast("long"))
 
 
 # ---- W6 ----------------------------------------------------------------------------
@@ -76,7 +77,7 @@ def hot_rank(df: DataFrame, weights=(0.5, 0.3, 0.2), k: int = 20, key: str = "li
         score = term if score is None else score + term
     s = df.select(key, *cols, round_half_up(score, 6).alias("hot_score"))
     top = s.orderBy(F.desc("hot_score"), F.asc(key)).limit(k)
-    return top.withColumn("rank", F.rank().over(Window.orderBy(F.desc("hot_score"))))
+    return top.withColumn("rank", F.rank().over(Window.orderBy(F.desc("hot_score"))).cast("long"))
 
 
 # ---- W7 ----------------------------------------------------------------------------
@@ -156,4 +157,4 @@ def ranked_within(df: DataFrame, group: Sequence[str], order: Sequence, out: str
         "_off", F.sum("_n").over(Window.partitionBy(*group).orderBy("_pid")
                                 .rowsBetween(Window.unboundedPreceding, -1))).fillna(0, ["_off"])
     return (local.join(offsets.select("_pid", *group, "_off"), ["_pid", *group])
-            .withColumn(out, (F.col("_off") + F.col("_local")).cast("int")).drop("_pid", "_local", "_off"))
+            .withColumn(out, (F.col("_off") + F.col("_local")).cast("long")).drop("_pid", "_local", "_off"))

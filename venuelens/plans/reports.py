@@ -29,7 +29,7 @@ def _ranked(parts: list[DataFrame]) -> DataFrame:
     for p in parts[1:]:
         u = u.unionByName(p)
     w = Window.partitionBy("section").orderBy("_o0", "_o1")
-    return u.withColumn("rank", F.row_number().over(w)).drop("_o0", "_o1")
+    return u.withColumn("rank", F.row_number().over(w).cast("long")).drop("_o0", "_o1")
 
 
 # ---- B1 ----------------------------------------------------------------------------

@@ -192,7 +192,7 @@ def _swot(t):
 WITH per AS (SELECT area, name AS chain, count(*) AS n FROM listing GROUP BY area, name),
 tot AS (SELECT area, count(*) AS area_n FROM listing GROUP BY area),
 sh AS (SELECT per.area, per.chain, per.n, {R('per.n * 100.0 / tot.area_n')} AS share FROM per JOIN tot ON per.area = tot.area),
-conc AS (SELECT area, sum(n) AS n, {R('sum(pow(share / 100, 2))', 4)} AS hhi, arg_min(chain, (-n, chain)) AS leader
+conc AS (SELECT area, CAST(sum(n) AS BIGINT) AS n, {R('sum(pow(share / 100, 2))', 4)} AS hhi, arg_min(chain, (-n, chain)) AS leader
          FROM sh GROUP BY area),
 sp AS (SELECT area, {R('CAST(max(price) AS DOUBLE) - CAST(min(price) AS DOUBLE)')} AS price_spread
        FROM listing WHERE price > 0 GROUP BY area)

@@ -147,7 +147,7 @@ def _flatten_reviews(t):
 
 
 @register("flatten_api_summary", """
-SELECT l.l_orderkey AS order_id, count(*) AS all_count, 0 AS pic_count,
+SELECT l.l_orderkey AS order_id, count(*) AS all_count, CAST(0 AS BIGINT) AS pic_count,
        count(*) FILTER (WHERE l.l_returnflag = 'N') AS good_count, count(*) FILTER (WHERE l.l_returnflag = 'A') AS mid_count,
        count(*) FILTER (WHERE l.l_returnflag = 'R') AS bad_count, ['dish-a', o.o_orderstatus] AS dish_tags
 FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey WHERE o.o_orderstatus <> 'P'
@@ -245,6 +245,6 @@ def _review_pages(t):
 
 
 @register("review_page_summary", f"""
-SELECT page_id, count(*) AS n_reviews, sum(length(text)) AS n_chars FROM ({_PARAS}) GROUP BY page_id""")
+SELECT page_id, count(*) AS n_reviews, CAST(sum(length(text)) AS BIGINT) AS n_chars FROM ({_PARAS}) GROUP BY page_id""")
 def _review_page_summary(t):
     return PG.review_page_summary(t.pages)

@@ -58,7 +58,7 @@ WITH s AS (SELECT task_name, create_time AS ts, record_count,
            FROM job_log WINDOW w AS (PARTITION BY task_name ORDER BY create_time)),
 g AS (SELECT *, sum(new_s) OVER (PARTITION BY task_name ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM s)
 SELECT * FROM (SELECT task_name, min(ts) AS session_start, max(ts) + INTERVAL '30 minutes' AS session_end,
-                      count(*) AS rows, sum(record_count) AS records FROM g GROUP BY task_name, sid)
+                      count(*) AS rows, CAST(sum(record_count) AS BIGINT) AS records FROM g GROUP BY task_name, sid)
 WHERE session_end <= (SELECT max(create_time) FROM job_log) - INTERVAL '1 hour'""", ("job_log",))
 def _stream_sessions(t):
     """Sessions closed by the final watermark (latest event time - 1 hour); open ones stay in state."""

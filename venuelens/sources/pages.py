@@ -42,7 +42,7 @@ def parse_listing_pages(pages: DataFrame, key: str = "page_id", html: str = "htm
     links = F.regexp_extract_all(F.col(html), F.lit(item_pattern), link_group)
     names = F.regexp_extract_all(F.col(html), F.lit(item_pattern), name_group)
     items = pages.select(key, F.posexplode(F.arrays_zip(links.alias("link"), names.alias("name"))).alias("pos", "it"))
-    return items.select(key, (F.col("pos") + 1).alias("position"), F.col("it.link").alias("link"),
+    return items.select(key, (F.col("pos") + 1).cast("long").alias("position"), F.col("it.link").alias("link"),
                         _or_missing(substitute_codepoints(F.col("it.name"), ENTITIES)).alias("name"),
                         F.lit(MISSING).alias("review_count"), F.lit(MISSING).alias("avg_price"),
                         F.lit(MISSING).alias("address"))
@@ -60,7 +60,7 @@ def parse_detail_pages(pages: DataFrame, key: str = "page_id", html: str = "html
     return pages.select(
         key, _or_missing(name).alias("name"),
         _or_missing(F.regexp_extract(h, LANG_PATTERN, 1)).alias("lang"),
-        F.size(F.regexp_extract_all(h, F.lit(r"<a href="), 0)).alias("n_links"),
+        F.size(F.regexp_extract_all(h, F.lit(r"<a href="), 0)).cast("long").alias("n_links"),
         _or_missing(strip_tags(F.regexp_extract(h, AD_PATTERN, 1))).alias("ad_text"),
         _or_missing(F.regexp_extract(body, PHONE_PATTERN, 0)).alias("phone"),
         _or_missing(substitute_codepoints(strip_tags(F.regexp_extract(h, FOOTER_PATTERN, 1)), ENTITIES))
@@ -74,8 +74,8 @@ def parse_review_pages(pages: DataFrame, key: str = "page_id", html: str = "html
     paras = F.regexp_extract_all(F.col(html), F.lit(pattern), 1)
     r = pages.select(key, F.posexplode(paras).alias("pos", "raw"))
     text = substitute_codepoints(strip_tags(F.col("raw")), ENTITIES)
-    return r.select(key, (F.col("pos") + 1).alias("review_no"), text.alias("text"),
-                    F.length(text).alias("n_chars"))
+    return r.select(key, (F.col("pos") + 1).cast("long").alias("review_no"), text.alias("text"),
+                    F.length(text).cast("long").alias("n_chars"))
 
 
 def review_page_summary(pages: DataFrame, key: str = "page_id", html: str = "html",

@@ -96,7 +96,7 @@ class Tables:
                     d.doc_id.alias("review_id"),
                     (d.doc_id % 100).alias("listing_id"),
                     d.text, d.lang,
-                    F.expr("1 + (n_chars % 9) * 0.5").alias("rating"),
+                    F.expr("CAST(1 + (n_chars % 9) * 0.5 AS DECIMAL(3,1))").alias("rating"),
                     F.when(b.doc_id.isNull(), None).when(b.toxic == 1, -1)
                      .when(b.quality == 1, 1).otherwise(0).alias("sentiment")))
 
@@ -186,7 +186,7 @@ SELECT concat(CAST(l.l_orderkey AS STRING), '-', CAST(l.l_linenumber AS STRING),
 FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey""",
     "review_text": """
 SELECT d.doc_id AS review_id, d.doc_id % 100 AS listing_id, d.text, d.lang,
-       1 + (d.n_chars % 9) * 0.5 AS rating,
+       CAST(1 + (d.n_chars % 9) * 0.5 AS DECIMAL(3,1)) AS rating,
        CASE WHEN b.doc_id IS NULL THEN NULL WHEN b.toxic = 1 THEN -1 WHEN b.quality = 1 THEN 1 ELSE 0 END AS sentiment
 FROM documents d LEFT JOIN labels b ON b.doc_id = d.doc_id""",
     "favorite": """
