@@ -55,3 +55,23 @@ def test_dictionary_is_broadcast(spark, tables):
 def test_competitor_join_is_equi_join(tables):
     p = plan(J.find_competitors(tables.listing(), 0.2))
     assert "CartesianProduct" not in p and "NestedLoopJoin" not in p
+
+
+def test_bucketed_tables_join_without_shuffle(spark, tables):
+    import uuid
+    from venuelens.operators import sinks as K
+    from venuelens.session import scratch_path
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        tag = uuid.uuid4().hex[:8]
+        K.load_warehouse_table(tables.review().select("review_id", "listing_id", "rating"), f"rv_{tag}",
+                               bucket_by=(8, "listing_id"), path=scratch_path(spark, f"tbl/rv_{tag}"))
+        K.load_warehouse_table(tables.listing().select("listing_id", "area"), f"ls_{tag}",
+                               bucket_by=(8, "listing_id"), path=scratch_path(spark, f"tbl/ls_{tag}"))
+        j = spark.table(f"rv_{tag}").join(spark.table(f"ls_{tag}"), "listing_id")
+        p = plan(j)
+        assert "SortMergeJoin" in p and "Exchange" not in p
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")

@@ -106,11 +106,23 @@ def read_csv_export(spark, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
-def load_warehouse_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> str:
-    """Create the table if missing and overwrite-load it (catalog table, Parquet)."""
+def load_warehouse_table(df: DataFrame, name: str, partition_by: Sequence[str] = (),
+                         bucket_by: tuple[int, str] | None = None, path: str | None = None) -> str:
+    """Create the table if missing and overwrite-load it (catalog table, Parquet).
+
+    ``bucket_by=(n, key)`` writes the table bucketed and sorted on ``key``: two
+    tables bucketed the same way on the join key (reviews and listings on
+    ``listing_id``) join without a shuffle of either side.  ``partition_by``
+    gives directory partitions (e.g. month) for partition pruning.
+    """
     w = df.write.mode("overwrite").format("parquet")
     if partition_by:
         w = w.partitionBy(*partition_by)
+    if bucket_by:
+        n, key = bucket_by
+        w = w.bucketBy(n, key).sortBy(key)
+    if path:
+        w = w.option("path", path)
     w.saveAsTable(name)
     return name
 

@@ -39,6 +39,34 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def cluster_conf(total_input_bytes: int, executor_cores: int, executors: int,
+                 target_partition_bytes: int = 256 << 20) -> dict:
+    """Starting settings for a large cluster, sized from the input volume.
+
+    * initial shuffle partitions ~ input / 256 MB (never below 2x the cores), so
+      a map-side-reduced shuffle of the whole input still fits per task; AQE
+      then coalesces small partitions toward the advisory size;
+    * scans split at 256 MB;
+    * skew split for partitions 5x the median and above 512 MB;
+    * broadcast decided by AQE from runtime sizes (64 MB), never from estimates.
+    """
+    cores = executor_cores * executors
+    parts = max(2 * cores, total_input_bytes // target_partition_bytes)
+    return {
+        "spark.sql.shuffle.partitions": str(int(parts)),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
