@@ -100,3 +100,18 @@ def _stream_late_split(t):
     main = t.spark.read.parquet(run["out"] + "/main").withColumn("route", F.lit("main"))
     late = t.spark.read.parquet(run["out"] + "/late").withColumn("route", F.lit("late"))
     return main.unionByName(late).drop("batch")
+
+
+@register("stream_level_counts_sliding", """
+SELECT ws AS window_start, ws + INTERVAL '6 hours' AS window_end, level, count(*) AS count FROM (
+  SELECT level, time_bucket(INTERVAL '3 hours', create_time) AS ws FROM job_log
+  UNION ALL SELECT level, time_bucket(INTERVAL '3 hours', create_time) - INTERVAL '3 hours' FROM job_log)
+GROUP BY 1, 2, 3""", ("job_log",))
+def _stream_level_counts_sliding(t):
+    """Sliding windows (6 hours every 3 hours): each row counts in two windows."""
+    log = t.job_log()
+    run, src = _staged(t, "levels_sliding", log, "create_time")
+    G.stream_level_counts(src, "create_time", "6 hours", "3 hours", "1 hour", run["out"], run["checkpoint"])
+    return G.latest_state(t.spark, run["out"], ["window_start", "window_end", "level"]).select(
+        F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+        F.col("window_end").cast("timestamp_ntz").alias("window_end"), "level", "count")
