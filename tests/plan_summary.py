@@ -40,6 +40,7 @@ def main():
         df = fn(spark, sf_dir)
         df.write.format("noop").mode("overwrite").save()
         p = df._jdf.queryExecution().executedPlan().toString()
+        p = p.split("== Initial Plan ==")[0]          # count the final adaptive plan only
         counts = [len(re.findall(rx, p)) for _, rx in NODES]
         print(f"| {name} | " + " | ".join(str(c) if c else "" for c in counts) + " |")
 

@@ -205,3 +205,76 @@ def _fan_out(t):
     ]
     K.fan_out_write(df, writers)
     return t.spark.read.parquet(f"{base}/promo", f"{base}/economy", f"{base}/other")
+
+
+# ---- import job (S5 -> C30 -> K1 -> K8) ---------------------------------------------
+_TARGET_SQL = """SELECT CAST(listing_id AS VARCHAR) AS restaurant_id, name AS restaurant_name, CAST(price AS DOUBLE) AS avg_price,
+       CAST(rating AS DOUBLE) AS rating_overall, review_count, CAST(NULL AS VARCHAR) AS phone, category AS cuisine_type,
+       CAST(NULL AS VARCHAR) AS address, business_area AS area_tag, 'crawl' AS data_source, seen_at AS crawl_time
+FROM listing"""
+
+
+def _import_target(t):
+    return t.listing().select(
+        F.col("listing_id").cast("string").alias("restaurant_id"), F.col("name").alias("restaurant_name"),
+        F.col("price").cast("double").alias("avg_price"), F.col("rating").cast("double").alias("rating_overall"),
+        F.col("review_count").cast("long").alias("review_count"), F.lit(None).cast("string").alias("phone"),
+        F.col("category").alias("cuisine_type"), F.lit(None).cast("string").alias("address"),
+        F.col("business_area").alias("area_tag"), F.lit("crawl").alias("data_source"),
+        F.col("seen_at").alias("crawl_time"))
+
+
+def _import(t):
+    from ..plans.imports import import_listing_file
+    from .sources_q import RAW_COLS
+    path = _scratch(t, "import") + "/upload.csv"
+    K.write_csv_export(t.raw_listing().select(*RAW_COLS), path)
+    return import_listing_file(t.spark, path, _import_target(t), "import_2", AT,
+                               order_by=["restaurant_name", "avg_price", "rating_overall", "review_count", "phone",
+                                         "cuisine_type", "address"])
+
+
+_CSV_COLS = ["id", "title", "price", "rating", "reviews", "tel", "cuisine", "address", "area_tag"]
+_IMPORT_CLEAN = f"""
+rc AS (SELECT {', '.join(f"nullif({c}, '') AS {c}" for c in _CSV_COLS)} FROM raw_listing),
+f AS (SELECT * FROM (SELECT id AS restaurant_id, title AS restaurant_name, price AS avg_price, rating AS rating_overall,
+         reviews AS review_count, tel AS phone, cuisine AS cuisine_type, address, area_tag,
+         row_number() OVER (PARTITION BY id ORDER BY title NULLS FIRST, price NULLS FIRST, rating NULLS FIRST,
+                            reviews NULLS FIRST, tel NULLS FIRST, cuisine NULLS FIRST, address NULLS FIRST) AS _rn
+      FROM rc) WHERE _rn = 1),
+c AS (SELECT restaurant_id, restaurant_name,
+             coalesce(TRY_CAST(trim(avg_price) AS DOUBLE), 0.0) AS avg_price,
+             coalesce(TRY_CAST(trim(rating_overall) AS DOUBLE), 0.0) AS rating_overall,
+             CAST(coalesce(TRY_CAST(trim(review_count) AS DOUBLE), 0.0) AS BIGINT) AS review_count,
+             CASE WHEN phone IS NULL THEN NULL WHEN length(regexp_replace(phone, '\\D', '', 'g')) >= 7
+                  THEN concat(substr(regexp_replace(phone, '\\D', '', 'g'), 1, 3), '****',
+                              right(regexp_replace(phone, '\\D', '', 'g'), 4)) END AS phone,
+             cuisine_type, address, area_tag, 'import' AS data_source, TIMESTAMP '{AT}' AS crawl_time
+      FROM f WHERE restaurant_name IS NOT NULL AND trim(restaurant_name) <> ''),
+tg AS ({_TARGET_SQL}),
+ins AS (SELECT * FROM c WHERE NOT EXISTS (SELECT 1 FROM tg WHERE tg.restaurant_id = c.restaurant_id))"""
+
+
+@register("import_listing_file", f"WITH {_IMPORT_CLEAN} SELECT * FROM tg UNION ALL SELECT * FROM ins",
+          ("listing", "raw_listing"))
+def _import_listing_file(t):
+    return _import(t)[0]
+
+
+@register("import_listing_log", f"""
+WITH {_IMPORT_CLEAN},
+s AS (SELECT count(*) AS kept, count(*) FILTER (WHERE restaurant_name IS NULL OR trim(restaurant_name) = '') AS blank,
+             (SELECT count(*) FROM raw_listing) AS raw FROM f),
+n AS (SELECT (SELECT count(*) FROM ins) AS inserted, (SELECT count(*) FROM c) AS total)
+SELECT 'import_2' AS task_name, 1 AS seq, 'load' AS stage, 'INFO' AS level,
+       format('file loaded, {{:d}} raw records', raw) AS message, raw AS record_count FROM s
+UNION ALL SELECT 'import_2', 2, 'dedup', 'INFO', format('dedupe done, {{:d}} duplicates removed, {{:d}} left', raw - kept, kept),
+       raw - kept FROM s
+UNION ALL SELECT 'import_2', 4, 'validate', 'WARNING', format('{{:d}} records with blank name removed', blank), blank
+       FROM s WHERE blank > 0
+UNION ALL SELECT 'import_2', 5, 'validate', 'INFO', format('cleaning done, {{:d}} valid records', kept - blank),
+       kept - blank FROM s
+UNION ALL SELECT 'import_2', 6, 'insert', 'INFO', format('import done: {{:d}} inserted, {{:d}} skipped, {{:d}} total',
+       inserted, total - inserted, total), inserted FROM n""", ("listing", "raw_listing"))
+def _import_listing_log(t):
+    return _import(t)[1]
