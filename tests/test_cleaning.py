@@ -135,3 +135,12 @@ def test_score_helpers(spark):
                   zip_scores(F.array(F.lit("a"), F.lit("b")), F.array(F.lit("1"))).alias("z"),
                   rating_to_sentiment(F.lit(4.5)).alias("rs")).first()
     assert r.m == {"口味": "4.5", "环境": "4.0"} and r.t == "6" and r.u == "-" and r.z == {"a": "1"} and r.rs == 0.75
+
+
+def test_clean_listing_district_step_and_warning(spark):
+    df = spark.createDataFrame([("1", "甲", "浦东"), ("2", "乙", "未知区"), ("3", "丙", None)],
+                               "id string, `餐厅名称` string, `区域` string")
+    out = {r.restaurant_id: r.district for r in P.clean_listing(df, at="2024-01-01 00:00:00").collect()}
+    assert out == {"1": "浦东新区", "2": None, "3": None}
+    log = {r.seq: r for r in P.clean_listing_log(df, "t", at="2024-01-01 00:00:00").collect()}
+    assert (log[3].stage, log[3].level, log[3].record_count) == ("normalize", "WARNING", 1)
