@@ -169,16 +169,24 @@ def stream_enrich(src: DataFrame, dim: DataFrame, on: str, out: str, checkpoint:
 # ---- G7 ----------------------------------------------------------------------------
 def stream_late_split(src: DataFrame, ts: str, delay_seconds: int, out: str, checkpoint: str):
     """Rows older than (latest event time seen in earlier batches - delay) go to ``out/late``,
-    the rest to ``out/main``.  The running maximum is kept next to the output, per batch,
-    so a replayed batch sees the same boundary."""
+    the rest to ``out/main``.
+
+    Each batch writes the running high-water mark (cumulative maximum) next to
+    the output under its batch id and reads only the previous batch's mark, so
+    the cost per batch stays constant and a replayed batch sees the same bound.
+    """
     spark = src.sparkSession
 
+    def mark_path(batch_id: int) -> str:
+        return f"{out}/_max/b={batch_id:08d}"
+
     def per_batch(b: DataFrame, batch_id: int):
-        try:
-            prev = spark.read.parquet(f"{out}/_max").where(F.col("batch") < batch_id) \
-                        .agg(F.max("max_ts")).first()[0]
-        except Exception:  # noqa: BLE001 - first batch: no marks yet
-            prev = None
+        prev = None
+        if batch_id > 0:
+            try:
+                prev = spark.read.parquet(mark_path(batch_id - 1)).first()["max_ts"]
+            except Exception:  # noqa: BLE001 - the previous batch wrote no mark (empty)
+                prev = None
         t = F.col(ts).cast("timestamp")
         if prev is None:
             late_cond = F.lit(False)
@@ -187,6 +195,19 @@ def stream_late_split(src: DataFrame, ts: str, delay_seconds: int, out: str, che
         b2 = b.withColumn("_late", late_cond)
         b2.where(~F.col("_late")).drop("_late").write.mode("overwrite").parquet(f"{out}/main/batch={batch_id:08d}")
         b2.where(F.col("_late")).drop("_late").write.mode("overwrite").parquet(f"{out}/late/batch={batch_id:08d}")
-        b.agg(F.max(t).alias("max_ts")).withColumn("batch", F.lit(batch_id).cast("long")) \
-         .write.mode("overwrite").parquet(f"{out}/_max/b={batch_id:08d}")
+        cur = b.agg(F.max(t).alias("m"))
+        running = cur.select(F.greatest(F.col("m"), F.lit(prev).cast("timestamp")).alias("max_ts")) \
+            if prev is not None else cur.select(F.col("m").alias("max_ts"))
+        running.write.mode("overwrite").parquet(mark_path(batch_id))
     return run_available(src.writeStream.foreachBatch(per_batch), checkpoint)
+
+
+# ---- maintenance -------------------------------------------------------------------
+def compact_state(spark: SparkSession, changes: str, key: Sequence[str], snapshot: str) -> str:
+    """Fold a change folder into one snapshot (latest row per key), written to a new path.
+
+    Run periodically; readers then merge the snapshot with the change batches
+    written after it instead of with the whole history.
+    """
+    latest_state(spark, changes, key).write.mode("overwrite").parquet(snapshot)
+    return snapshot
