@@ -82,3 +82,15 @@ def test_ranked_within_matches_row_number_on_hot_group(spark):
     got = W.ranked_within(df, ["g"], order, "r", num_partitions=16)
     want = df.withColumn("r", F.row_number().over(Window.partitionBy("g").orderBy(*order)))
     assert sorted(got.select("g", "id", "r").collect()) == sorted(want.select("g", "id", "r").collect())
+
+
+def test_approx_profile_within_error(spark, tables):
+    from pyspark.sql import functions as F
+    lst, rv = tables.listing(), tables.review()
+    r = A.approx_profile(lst, rv, rsd=0.02).first()
+    exact_users = rv.select(F.countDistinct("user_id")).first()[0]
+    assert abs(r.approx_listings - lst.count()) <= 0.06 * lst.count()
+    assert abs(r.approx_users - exact_users) <= 0.06 * exact_users
+    qs = sorted(float(x.price) for x in lst.where("price > 0").select("price").collect())
+    med = qs[len(qs) // 2]
+    assert abs(r.price_quartiles[1] - med) <= 0.02 * (qs[-1] - qs[0])
