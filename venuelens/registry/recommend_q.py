@@ -77,7 +77,7 @@ def _tier_idx_sql() -> str:
     for i, (_, lo, hi) in enumerate(PRICE_TIERS):
         cond = f"price > {lo}" + (f" AND price <= {hi}" if hi is not None else "")
         parts.append(f"WHEN {cond} THEN {i / n!r}")
-    return "CASE " + " ".join(parts) + " ELSE 0.0 END"
+    return "CAST(CASE " + " ".join(parts) + " ELSE 0.0 END AS DOUBLE)"
 
 
 _TAGS_PER_LISTING = f"""lt AS (SELECT listing_id, list_sort(list(tag)) AS tags FROM (
@@ -269,3 +269,10 @@ SELECT *, {R('avg(CAST(reviews AS DOUBLE)) OVER (PARTITION BY category ORDER BY
 def _moving_average(t):
     s = X.category_trend(t.listing(), t.review(), "month").drop("change")
     return X.moving_average(s, "category", "reviews", 3)
+
+
+@register("listing_feature_columns", f"""
+WITH {_TAGS_PER_LISTING}, {_FEAT} SELECT * FROM f""", ("listing", "review_text"))
+def _listing_feature_columns(t):
+    """The plain feature columns behind R5/R6 (the ML vector form is ``listing_features``)."""
+    return Rc.feature_columns(t.listing(), Rc.listing_tags(t.review_text(), SCENES))
