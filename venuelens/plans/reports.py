@@ -33,26 +33,77 @@ def _ranked(parts: list[DataFrame]) -> DataFrame:
 
 
 # ---- B1 ----------------------------------------------------------------------------
+def _bucket_conds(x, buckets, closed: str, close_last: bool):
+    out = []
+    for i, (label, lo, hi) in enumerate(buckets):
+        last = i == len(buckets) - 1
+        if closed == "right":
+            c = x > F.lit(lo) if hi is None else (x > F.lit(lo)) & (x <= F.lit(hi))
+        else:
+            c = x >= F.lit(lo)
+            if hi is not None:
+                c = c & ((x <= F.lit(hi)) if (last and close_last) else (x < F.lit(hi)))
+        out.append((i + 1, label, c))
+    return out
+
+
 def report_dataset(df: DataFrame, known_areas=dims.KNOWN_DISTRICTS, top_n: int = 12, price_digits: int = 1
                    ) -> DataFrame:
-    """All report sections: overview, area, category, price and rating buckets,
-    area average price (``price_digits``), top categories."""
-    ov = A.overview(df)
-    ov_long = ov.select(F.explode(F.array(*[
-        F.struct(F.lit(i).alias("i"), F.lit(c).alias("label"), F.col(c).cast("double").alias("value"))
-        for i, c in enumerate(["total_count", "avg_rating", "avg_price", "area_count"])])).alias("s")).select("s.*")
+    """All report sections - overview, area, category, price and rating buckets, area
+    average price (``price_digits``), top categories - from ONE pass over the listings.
+
+    One grouping-sets aggregate ((area), (category), ()) carries every count,
+    average and bucket count the sections need.  Its result is small (one row per
+    area and per category) and is written once with a reliable ``checkpoint()``:
+    otherwise Catalyst pushes each section's grouping-id filter below the
+    aggregate and every section would read the input again.
+    """
+    from ..functions import avg_rounded
+    from ..session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    price, rating = F.col("price"), F.col("rating")
+    pbuckets = _bucket_conds(price, dims.PRICE_BUCKETS, "right", False)
+    rbuckets = _bucket_conds(rating, dims.RATING_BUCKETS, "left", True)
+    g = df.groupingSets([["area"], ["category"], []], "area", "category").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.coalesce(avg_rounded(F.nullif(rating, F.lit(0))), F.lit(0.0)).alias("avg_rating"),
+        F.coalesce(avg_rounded(F.nullif(price, F.lit(0))), F.lit(0.0)).alias("avg_price"),
+        avg_rounded(F.when(price > 0, price), price_digits).alias("area_price"),
+        *[F.count_if(c).alias(f"pb{i}") for i, _, c in pbuckets],
+        *[F.count_if(c).alias(f"rb{i}") for i, _, c in rbuckets],
+        F.grouping_id().alias("gid")).checkpoint()
+    areas = g.where(F.col("gid") == 1)          # grouped by area (category aggregated)
+    cats = g.where(F.col("gid") == 2)           # grouped by category
+    total = g.where(F.col("gid") == 3)
+    nonblank_area = F.col("area").isNotNull() & (F.col("area") != "")
+    nonblank_cat = F.col("category").isNotNull() & (F.col("category") != "")
+    area_count = areas.where(F.col("area").isNotNull()).select(F.count(F.lit(1))).scalar()   # Q3: '' counts
+    def ov_row(i, label, value):
+        return F.struct(F.lit(float(i)).alias("i"), F.lit(label).alias("label"), value.cast("double").alias("value"))
+
+    def bucket_row(section, i, label, count):
+        return F.struct(F.lit(section).alias("section"), F.lit(label).alias("label"), count.alias("c"),
+                        F.lit(float(i)).alias("o"))
+    ov = total.select(F.explode(F.array(
+        ov_row(0, "total_count", F.col("n")), ov_row(1, "avg_rating", F.col("avg_rating")),
+        ov_row(2, "avg_price", F.col("avg_price")), ov_row(3, "area_count", area_count))).alias("s")).select("s.*")
+    buckets = total.select(F.explode(F.array(
+        *[bucket_row("price", i, lab, F.col(f"pb{i}")) for i, lab, _ in pbuckets],
+        *[bucket_row("rating", i, lab, F.col(f"rb{i}")) for i, lab, _ in rbuckets])).alias("s")).select("s.*")
+    known = F.broadcast(dims.words_df(df.sparkSession, list(dict.fromkeys(known_areas)), "area"))
+    ap = (known.join(areas.where(nonblank_area & F.col("area_price").isNotNull()).select("area", "area_price"),
+                     "area", "full_outer")
+          .select("area", F.coalesce("area_price", F.lit(0.0)).alias("avg_price")))
+    cat_rows = cats.where(nonblank_cat)
     parts = [
-        _section(ov_long, "overview", "label", "value", [F.col("i").cast("double"), F.col("label")]),
-        _section(A.area_distribution(df), "area", "name", "count", [-F.col("count").cast("double"), F.col("name")]),
-        _section(A.category_distribution(df), "category", "name", "count",
-                 [-F.col("count").cast("double"), F.col("name")]),
-        _section(A.price_distribution(df), "price", "label", "count", [F.col("bucket").cast("double"), F.col("label")]),
-        _section(A.rating_distribution(df), "rating", "label", "count",
-                 [F.col("bucket").cast("double"), F.col("label")]),
-        _section(A.area_avg_price(df, known_areas, price_digits), "area_price", "name", "avg_price",
-                 [-F.col("avg_price"), F.col("name")]),
-        _section(A.top_categories(df, top_n), "top_category", "name", "count",
-                 [-F.col("count").cast("double"), F.col("name")]),
+        _section(ov, "overview", "label", "value", [F.col("i"), F.col("label")]),
+        _section(areas.where(nonblank_area), "area", "area", "n", [-F.col("n").cast("double"), F.col("area")]),
+        _section(cat_rows, "category", "category", "n", [-F.col("n").cast("double"), F.col("category")]),
+        buckets.select("section", F.col("label"), F.col("c").cast("double").alias("value"), F.col("o").alias("_o0"),
+                       F.col("label").alias("_o1")),
+        _section(ap, "area_price", "area", "avg_price", [-F.col("avg_price"), F.col("area")]),
+        _section(cat_rows.orderBy(F.desc("n"), F.asc("category")).limit(top_n), "top_category", "category", "n",
+                 [-F.col("n").cast("double"), F.col("category")]),
     ]
     return _ranked(parts)
 
