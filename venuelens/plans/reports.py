@@ -47,16 +47,14 @@ def _bucket_conds(x, buckets, closed: str, close_last: bool):
     return out
 
 
-def report_dataset(df: DataFrame, known_areas=dims.KNOWN_DISTRICTS, top_n: int = 12, price_digits: int = 1
-                   ) -> DataFrame:
-    """All report sections - overview, area, category, price and rating buckets, area
-    average price (``price_digits``), top categories - from ONE pass over the listings.
-
-    One grouping-sets aggregate ((area), (category), ()) carries every count,
-    average and bucket count the sections need.  Its result is small (one row per
-    area and per category) and is written once with a reliable ``checkpoint()``:
-    otherwise Catalyst pushes each section's grouping-id filter below the
-    aggregate and every section would read the input again.
+def listing_summary(df: DataFrame, price_digits: int = 1) -> DataFrame:
+    """One pass over the listings: a grouping-sets aggregate ((area), (category), ())
+    carrying every count, average and bucket count the report and dashboard need.
+
+    The result is small (one row per area and per category) and is written once
+    with a reliable ``checkpoint()``: otherwise Catalyst pushes each consumer's
+    grouping-id filter below the aggregate and every section would read the
+    input again.  ``gid``: 1 = per area, 2 = per category, 3 = total.
     """
     from ..functions import avg_rounded
     from ..session import checkpoint_dir
@@ -64,7 +62,7 @@ def report_dataset(df: DataFrame, known_areas=dims.KNOWN_DISTRICTS, top_n: int =
     price, rating = F.col("price"), F.col("rating")
     pbuckets = _bucket_conds(price, dims.PRICE_BUCKETS, "right", False)
     rbuckets = _bucket_conds(rating, dims.RATING_BUCKETS, "left", True)
-    g = df.groupingSets([["area"], ["category"], []], "area", "category").agg(
+    return df.groupingSets([["area"], ["category"], []], "area", "category").agg(
         F.count(F.lit(1)).alias("n"),
         F.coalesce(avg_rounded(F.nullif(rating, F.lit(0))), F.lit(0.0)).alias("avg_rating"),
         F.coalesce(avg_rounded(F.nullif(price, F.lit(0))), F.lit(0.0)).alias("avg_price"),
@@ -72,38 +70,66 @@ def report_dataset(df: DataFrame, known_areas=dims.KNOWN_DISTRICTS, top_n: int =
         *[F.count_if(c).alias(f"pb{i}") for i, _, c in pbuckets],
         *[F.count_if(c).alias(f"rb{i}") for i, _, c in rbuckets],
         F.grouping_id().alias("gid")).checkpoint()
-    areas = g.where(F.col("gid") == 1)          # grouped by area (category aggregated)
-    cats = g.where(F.col("gid") == 2)           # grouped by category
+
+
+def summary_sections(g: DataFrame, known_areas) -> dict[str, DataFrame]:
+    """The report / dashboard sections as projections of ``listing_summary``."""
+    spark = g.sparkSession
+    areas = g.where(F.col("gid") == 1)
+    cats = g.where(F.col("gid") == 2)
     total = g.where(F.col("gid") == 3)
     nonblank_area = F.col("area").isNotNull() & (F.col("area") != "")
     nonblank_cat = F.col("category").isNotNull() & (F.col("category") != "")
     area_count = areas.where(F.col("area").isNotNull()).select(F.count(F.lit(1))).scalar()   # Q3: '' counts
-    def ov_row(i, label, value):
-        return F.struct(F.lit(float(i)).alias("i"), F.lit(label).alias("label"), value.cast("double").alias("value"))
-
-    def bucket_row(section, i, label, count):
-        return F.struct(F.lit(section).alias("section"), F.lit(label).alias("label"), count.alias("c"),
-                        F.lit(float(i)).alias("o"))
-    ov = total.select(F.explode(F.array(
-        ov_row(0, "total_count", F.col("n")), ov_row(1, "avg_rating", F.col("avg_rating")),
-        ov_row(2, "avg_price", F.col("avg_price")), ov_row(3, "area_count", area_count))).alias("s")).select("s.*")
-    buckets = total.select(F.explode(F.array(
-        *[bucket_row("price", i, lab, F.col(f"pb{i}")) for i, lab, _ in pbuckets],
-        *[bucket_row("rating", i, lab, F.col(f"rb{i}")) for i, lab, _ in rbuckets])).alias("s")).select("s.*")
-    known = F.broadcast(dims.words_df(df.sparkSession, list(dict.fromkeys(known_areas)), "area"))
-    ap = (known.join(areas.where(nonblank_area & F.col("area_price").isNotNull()).select("area", "area_price"),
-                     "area", "full_outer")
-          .select("area", F.coalesce("area_price", F.lit(0.0)).alias("avg_price")))
-    cat_rows = cats.where(nonblank_cat)
+    overview = total.select(F.col("n").alias("total_count"), "avg_rating", "avg_price",
+                            area_count.alias("area_count"))
+
+    def bucket_rows(prefix, buckets):
+        return total.select(F.inline(F.array(*[
+            F.struct(F.lit(i).alias("bucket"), F.lit(lab).alias("label"), F.col(f"{prefix}{i}").alias("count"))
+            for i, (lab, _, _) in enumerate(buckets, start=1)])))
+    known = F.broadcast(dims.words_df(spark, list(dict.fromkeys(known_areas)), "name"))
+    ap = (known.join(areas.where(nonblank_area & F.col("area_price").isNotNull())
+                     .select(F.col("area").alias("name"), F.col("area_price").alias("avg_price")), "name", "full_outer")
+          .select("name", F.coalesce("avg_price", F.lit(0.0)).alias("avg_price")))
+    cat_rows = cats.where(nonblank_cat).select(F.col("category").alias("name"), F.col("n").alias("count"))
+    total_cat = cat_rows.select(F.sum("count")).scalar()
+    from ..functions import round_half_up
+    return {
+        "overview": overview,
+        "area_distribution": areas.where(nonblank_area).select(F.col("area").alias("name"), F.col("n").alias("count")),
+        "category_distribution": cat_rows.withColumn("percentage",
+                                                     round_half_up(F.col("count") * 100.0 / total_cat, 2)),
+        "price_distribution": bucket_rows("pb", dims.PRICE_BUCKETS),
+        "rating_distribution": bucket_rows("rb", dims.RATING_BUCKETS),
+        "area_avg_price": ap,
+    }
+
+
+def report_dataset(df: DataFrame, known_areas=dims.KNOWN_DISTRICTS, top_n: int = 12, price_digits: int = 1
+                   ) -> DataFrame:
+    """All report sections - overview, area, category, price and rating buckets, area
+    average price (``price_digits``), top categories - from one pass over the listings
+    (``listing_summary``)."""
+    sec = summary_sections(listing_summary(df, price_digits), known_areas)
+    ov = sec["overview"]
+
+    def ov_row(i, label):
+        return F.struct(F.lit(float(i)).alias("i"), F.lit(label).alias("label"), F.col(label).cast("double").alias("value"))
+    ov_long = ov.select(F.explode(F.array(*[ov_row(i, c) for i, c in enumerate(
+        ["total_count", "avg_rating", "avg_price", "area_count"])])).alias("s")).select("s.*")
+    cat_rows = sec["category_distribution"]
     parts = [
-        _section(ov, "overview", "label", "value", [F.col("i"), F.col("label")]),
-        _section(areas.where(nonblank_area), "area", "area", "n", [-F.col("n").cast("double"), F.col("area")]),
-        _section(cat_rows, "category", "category", "n", [-F.col("n").cast("double"), F.col("category")]),
-        buckets.select("section", F.col("label"), F.col("c").cast("double").alias("value"), F.col("o").alias("_o0"),
-                       F.col("label").alias("_o1")),
-        _section(ap, "area_price", "area", "avg_price", [-F.col("avg_price"), F.col("area")]),
-        _section(cat_rows.orderBy(F.desc("n"), F.asc("category")).limit(top_n), "top_category", "category", "n",
-                 [-F.col("n").cast("double"), F.col("category")]),
+        _section(ov_long, "overview", "label", "value", [F.col("i"), F.col("label")]),
+        _section(sec["area_distribution"], "area", "name", "count", [-F.col("count").cast("double"), F.col("name")]),
+        _section(cat_rows, "category", "name", "count", [-F.col("count").cast("double"), F.col("name")]),
+        _section(sec["price_distribution"], "price", "label", "count",
+                 [F.col("bucket").cast("double"), F.col("label")]),
+        _section(sec["rating_distribution"], "rating", "label", "count",
+                 [F.col("bucket").cast("double"), F.col("label")]),
+        _section(sec["area_avg_price"], "area_price", "name", "avg_price", [-F.col("avg_price"), F.col("name")]),
+        _section(cat_rows.orderBy(F.desc("count"), F.asc("name")).limit(top_n), "top_category", "name", "count",
+                 [-F.col("count").cast("double"), F.col("name")]),
     ]
     return _ranked(parts)
 
@@ -176,12 +202,9 @@ def dashboard(df: DataFrame, rv_text: DataFrame, known_areas=dims.KNOWN_DISTRICT
               **kw) -> dict[str, DataFrame]:
     """The seven dashboard results (A1-A7), each a lazy DataFrame over the same input."""
     from ..operators.text import review_keywords
-    return {
-        "overview": A.overview(df), "area_distribution": A.area_distribution(df),
-        "category_distribution": A.category_distribution(df), "price_distribution": A.price_distribution(df),
-        "rating_distribution": A.rating_distribution(df), "area_avg_price": A.area_avg_price(df, known_areas),
-        "review_keywords": review_keywords(rv_text, lexicon or dims.flatten_polarity(dims.SENTIMENT_DICT), **kw),
-    }
+    out = summary_sections(listing_summary(df, 2), known_areas)     # one pass over the listings
+    out["review_keywords"] = review_keywords(rv_text, lexicon or dims.flatten_polarity(dims.SENTIMENT_DICT), **kw)
+    return out
 
 
 def dashboard_long(results: dict[str, DataFrame]) -> DataFrame:
