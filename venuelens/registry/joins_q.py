@@ -10,7 +10,7 @@ from ..operators import filters as Fl
 from ..operators import joins as J
 from ..operators import sets as U
 from . import register
-from .dashboard import AVG, R
+from .dashboard import AVG
 
 
 # ---- J1 - J4, J6, J9 ---------------------------------------------------------------

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from .. import dims
 from ..operators import compete as P
 from ..operators import joins as J
 from ..operators import recommend as Rc
