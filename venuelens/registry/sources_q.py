@@ -120,22 +120,22 @@ def _payloads(t):
         .alias("picList"),
         F.struct(F.concat(F.lit("u"), F.col("o_custkey").cast("string")).alias("userNickName"),
                  F.col("o_custkey").alias("userId")).alias("user"))
-    # one payload per order: an order has a handful of lines, the natural page size of a payload
-    g = j.groupBy("l_orderkey", "o_orderstatus").agg(
-        F.collect_list(review).alias("reviewAllDOList"), F.count(F.lit(1)).alias("reviewCountAll"),
-        F.count_if(F.col("l_returnflag") == "R").alias("reviewCountBad"),
-        F.count_if(F.col("l_returnflag") == "N").alias("reviewCountGood"),
-        F.count_if(F.col("l_returnflag") == "A").alias("reviewCountCommon"))
+    # one payload per review line: no grouping, so no array grows with a hot key
+    g = j.select("l_orderkey", "l_linenumber", "o_orderstatus", F.array(review).alias("reviewAllDOList"),
+                 F.lit(1).cast("long").alias("reviewCountAll"),
+                 (F.col("l_returnflag") == "R").cast("long").alias("reviewCountBad"),
+                 (F.col("l_returnflag") == "N").cast("long").alias("reviewCountGood"),
+                 (F.col("l_returnflag") == "A").cast("long").alias("reviewCountCommon"))
     code = F.when(F.col("o_orderstatus") == "P", F.lit(500)).otherwise(F.lit(200))
     payload = F.to_json(F.struct(code.alias("code"), "reviewCountAll", F.lit(0).alias("reviewCountPic"),
                                  "reviewCountGood", "reviewCountCommon", "reviewCountBad",
                                  F.array(F.lit("dish-a"), F.col("o_orderstatus")).alias("dishTagStrList"),
                                  "reviewAllDOList"))
-    return g.select(F.col("l_orderkey").alias("order_id"), payload.alias("payload"))
+    return g.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("order_id"), payload.alias("payload"))
 
 
 @register("flatten_api_payload", """
-SELECT l.l_orderkey AS order_id, l.l_orderkey * 10 + l.l_linenumber AS review_id, o.o_custkey AS user_id,
+SELECT l.l_orderkey * 10 + l.l_linenumber AS order_id, l.l_orderkey * 10 + l.l_linenumber AS review_id, o.o_custkey AS user_id,
        concat('u', CAST(o.o_custkey AS VARCHAR)) AS user_name, CAST(l.l_quantity AS INT) AS star,
        concat(l.l_returnflag, ' item ', CAST(l.l_partkey AS VARCHAR)) AS body, l.l_linenumber AS votes, 0 AS replies,
        CAST(l.l_quantity * 10 AS INT) AS views, l.l_extendedprice / l.l_quantity AS avg_price,
@@ -147,11 +147,10 @@ def _flatten_reviews(t):
 
 
 @register("flatten_api_summary", """
-SELECT l.l_orderkey AS order_id, count(*) AS all_count, CAST(0 AS BIGINT) AS pic_count,
-       count(*) FILTER (WHERE l.l_returnflag = 'N') AS good_count, count(*) FILTER (WHERE l.l_returnflag = 'A') AS mid_count,
-       count(*) FILTER (WHERE l.l_returnflag = 'R') AS bad_count, ['dish-a', o.o_orderstatus] AS dish_tags
-FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey WHERE o.o_orderstatus <> 'P'
-GROUP BY l.l_orderkey, o.o_orderstatus""")
+SELECT l.l_orderkey * 10 + l.l_linenumber AS order_id, CAST(1 AS BIGINT) AS all_count, CAST(0 AS BIGINT) AS pic_count,
+       CAST(l.l_returnflag = 'N' AS BIGINT) AS good_count, CAST(l.l_returnflag = 'A' AS BIGINT) AS mid_count,
+       CAST(l.l_returnflag = 'R' AS BIGINT) AS bad_count, ['dish-a', o.o_orderstatus] AS dish_tags
+FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey WHERE o.o_orderstatus <> 'P'""")
 def _flatten_summary(t):
     return PL.flatten_api_payload(_payloads(t), "order_id", "payload", "summary")
 
