@@ -33,7 +33,11 @@ pred AS (SELECT user_id, listing_id, """ + R("sum(sim * r) / sum(abs(sim))", 4)
 
 
 def _cf(t):
-    m = Rc.user_item_matrix(t.review())
+    # the matrix feeds five branches that prune it differently (no exchange reuse): write it once
+    # with a reliable checkpoint instead of recomputing reviews x orders + aggregate per branch
+    from ..session import checkpoint_dir
+    checkpoint_dir(t.spark)
+    m = Rc.user_item_matrix(t.review()).checkpoint()
     targets = Rc.most_active_users(m, TARGET_USERS)
     return m, Rc.user_similarity(m, targets)
 
