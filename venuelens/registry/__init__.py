@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import ship_package
 from ..standins import Tables, with_views
 
 
@@ -31,6 +32,7 @@ def register(name: str, sql: str | None = None, views: tuple = ()):
             raise ValueError(f"duplicate query {name}")
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
             return fn(Tables(spark, sf_dir))
         run.__name__ = name
         run.__doc__ = fn.__doc__

@@ -70,6 +70,29 @@ def cluster_conf(total_input_bytes: int, executor_cores: int, executors: int,
     }
 
 
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``venuelens`` importable in executor Python workers (once per application).
+
+    Functions run in ``mapInPandas`` / ``applyInPandasWithState`` refer to this
+    package; the driver zips it and ``addPyFile`` distributes the zip to every
+    executor, as a packaged library would be on a cluster.
+    """
+    import shutil
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    staging = tempfile.mkdtemp(prefix="venuelens-pkg-")        # read by the driver only
+    archive = shutil.make_archive(os.path.join(staging, "venuelens"), "zip", os.path.dirname(pkg), "venuelens")
+    sc.addPyFile(archive)
+    _SHIPPED.add(app)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 

@@ -63,6 +63,8 @@ def parse_xlsx(content: bytes, sheet: int = 0) -> list[list[str | None]]:
 def parse_workbook_frame(files: DataFrame, columns: Sequence[str], path_col: str = "path",
                          content_col: str = "content") -> DataFrame:
     """(path, content) rows -> the sheet rows of every workbook, header row mapped to ``columns``."""
+    from ..session import ship_package
+    ship_package(files.sparkSession)
     cols = list(columns)
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -93,6 +95,9 @@ def read_workbooks(spark: SparkSession, path: str, columns: Sequence[str] | None
 
 def workbook_headers(files: DataFrame) -> list[str]:
     """Union of header names over all files (a small distinct set, in first-seen order)."""
+    from ..session import ship_package
+    ship_package(files.sparkSession)
+
     def heads(batches):
         for pdf in batches:
             for content in pdf["content"]:
@@ -137,6 +142,8 @@ def build_xlsx(header: Sequence[str], rows: Sequence[Sequence]) -> bytes:
 
 def workbooks_from_frame(df: DataFrame, name: str = "part") -> DataFrame:
     """One workbook per partition: (path, content) rows, as the binaryFile source yields them."""
+    from ..session import ship_package
+    ship_package(df.sparkSession)
     cols = df.columns
 
     def build(batches):

@@ -153,6 +153,8 @@ def _progress_fn(every: int):
 def stream_progress(src: DataFrame, out: str, checkpoint: str, every: int = 100, by: str = "task_name"):
     """A progress row each time a task's row count passes a multiple of ``every``
     (a custom per-key counter kept in streaming state)."""
+    from ..session import ship_package
+    ship_package(src.sparkSession)
     p = src.groupBy(by).applyInPandasWithState(
         _progress_fn(every), "task_name string, milestone long, rows_seen long", "count long", "append",
         GroupStateTimeout.NoTimeout)
