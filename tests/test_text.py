@@ -64,3 +64,22 @@ def test_tag_services_bounded_by_dictionary(spark):
     tags = {r.id: r.tags for r in T.tag_services(df, "id", "text", dims.SCENE_DICT, mode="longest").collect()}
     assert tags == {1: ["约会", "聚餐"], 2: []}
     assert F is not None
+
+
+def test_cjk_segmentation_around_lexicon(spark):
+    df = spark.createDataFrame([(1, "这家的麻婆豆腐不好吃服务热情，香")], "id long, text string")
+    pat = T.cjk_segment_pattern(["不好吃", "好吃", "热情", "麻婆豆腐", "香"])
+    toks = [r.token for r in T.tokenize(df, "id", "text", pat).collect()]
+    assert toks == ["这家的", "麻婆豆腐", "不好吃", "服务", "热情", "香"]
+
+
+def test_review_keywords_chinese(spark):
+    rows = [(1, "麻婆豆腐好吃，环境好，香", 5.0, 1.0, 3), (2, "服务员热情，麻婆豆腐好吃", 4.5, 1.0, 2),
+            (3, "太咸了，服务差", 2.0, -1.0, 1)]
+    rv = spark.createDataFrame(rows, "review_id long, text string, rating double, sentiment double, ts long")
+    lex = dims.flatten_polarity(dims.SENTIMENT_DICT)
+    got = {(r.polarity, r.word): r["count"] for r in T.review_keywords(rv, lex, n=5).collect()}
+    assert got[(dims.POSITIVE, "好吃")] == 2 and got[(dims.POSITIVE, "麻婆豆腐")] == 2
+    assert (dims.POSITIVE, "服务员") not in got                  # stop word
+    assert (dims.POSITIVE, "香") not in got                      # one character (Q17)
+    assert got[(dims.NEGATIVE, "太咸")] == 1 and got[(dims.NEGATIVE, "服务差")] == 1

@@ -30,6 +30,19 @@ def lexicon_pattern(terms: Sequence[str], word_boundary: bool = False) -> str:
     return f"\\b(?:{body})\\b" if word_boundary else f"(?:{body})"
 
 
+def cjk_segment_pattern(lexicon: Sequence[str], min_len: int = 2) -> str:
+    """Lexicon-guided segmentation of CJK text without a segmenter (Java regex).
+
+    At each position a lexicon term wins (longest first); other ideographs form
+    runs that stop right before the next lexicon term.  Runs shorter than
+    ``min_len`` are not tokens, as in the keyword rule.
+    """
+    terms = lexicon_pattern(lexicon)
+    han = "[\\x{4e00}-\\x{9fff}]"
+    run = f"{han}(?:(?!{terms}){han}){{{min_len - 1},}}"
+    return f"{terms}|{run}"
+
+
 # ---- T1 ----------------------------------------------------------------------------
 def tokenize(df: DataFrame, key: str, col: str, pattern: str = dims.CJK_WORD_PATTERN,
              lower: bool = True, with_position: bool = False) -> DataFrame:
@@ -77,12 +90,19 @@ def review_keywords(rv: DataFrame, lexicon: dict, stop: Sequence[str] = dims.STO
     """Top ``n`` words of positive and of negative reviews: polarity, word, count, rank.
 
     ``lexicon`` = ``{polarity_label: [terms]}``; reviews are the newest
-    ``sample`` per polarity (F2).
+    ``sample`` per polarity (F2).  With the default CJK rule the text is
+    segmented around the lexicon terms (``cjk_segment_pattern``), the nearest
+    we get to a word segmenter.
     """
     out = []
+    cjk = pattern == dims.CJK_WORD_PATTERN
+    if cjk:
+        pattern = cjk_segment_pattern([t for ts in lexicon.values() for t in ts] + list(stop))
     for positive, label in ((True, labels[0]), (False, labels[1])):
         part = filter_polarity(rv, positive, sample, order=order, key=key)
         toks = remove_stopwords(tokenize(part, key, "text", pattern), stop)
+        if cjk:
+            toks = toks.where(F.length("token") >= 2)    # Q17: one-character words never count
         out.append(prioritized_topn(word_counts(toks), lexicon.get(label, []), n))
     return word_cloud(out[0], out[1], labels).select("polarity", "word", "count", "rank")
 
