@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ("simhash", "repetition")
+_MODULES = ("quality_lm", "simhash", "repetition")
 
 
 def queries() -> dict:
