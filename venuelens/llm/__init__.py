@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ("quality_lm", "simhash", "repetition")
+_MODULES = ("quality_lm", "suffix_dedup", "simhash", "repetition")
 
 
 def queries() -> dict:

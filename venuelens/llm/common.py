@@ -66,11 +66,27 @@ BASE = np.uint64(0x9E3779B97F4A7C15)
 BASE_INVERSE = np.uint64(pow(int(BASE), -1, 2**64))
 
 
+_POWERS: dict[int, np.ndarray] = {}
+
+
 def powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    if n:
-        out[0] = 1
-        np.multiply.accumulate(out, out=out)
+    """base ** 0, 1, ..., n - 1 (mod 2**64); the longest table so far is kept in the worker."""
+    held = _POWERS.get(int(base))
+    if held is None or len(held) < n:
+        held = np.full(max(n, 1 << 16), base, np.uint64)
+        held[0] = 1
+        np.multiply.accumulate(held, out=held)
+        _POWERS[int(base)] = held
+    return held[:n]
+
+
+def slices(offsets: np.ndarray, most: int = 2 << 20) -> list[tuple[int, int]]:
+    """Row ranges of at most ``most`` bytes together (a longer row stands alone)."""
+    out, begin = [], 0
+    while begin < len(offsets) - 1:
+        end = max(begin + 1, int(np.searchsorted(offsets, offsets[begin] + most, side="right")) - 1)
+        out.append((begin, end))
+        begin = end
     return out
 
 
