@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ("quality_lm", "suffix_dedup", "packing", "url_filter", "sharding", "simhash", "repetition")
+_MODULES = ("quality_lm", "suffix_dedup", "packing", "html_paths", "url_filter", "sharding", "simhash", "repetition")
 
 
 def queries() -> dict:
