@@ -8,7 +8,9 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ("quality_lm", "suffix_dedup", "packing", "bpe", "html_paths", "url_filter", "sharding", "simhash", "repetition")
+_MODULES = (
+    "quality_lm", "suffix_dedup", "packing", "spotsigs", "bpe", "html_paths", "url_filter", "sharding", "simhash", "repetition",
+)
 
 
 def queries() -> dict:
