@@ -16,7 +16,8 @@ codeword nearest to a word between them is within 3 + 1 of both. Spread of 4 err
 So the keys miss no pair, and each key is selective. Only distinct fingerprints get keys
 (copies are grouped before). Rows are dealt by key and sorted; a task streams through
 them, holds the last few rows of the current key only, and verifies each row against them
-and against the key's first row. Keys with more rows than that get a second pass: rows
+and against the key's first row. A pair is reported under the first of its common keys alone.
+Keys with more rows than that get a second pass: rows
 of keys that still span several components are joined with the rows outside the key's
 largest component, so rows already linked are never paired with each other.
 """
@@ -105,6 +106,29 @@ def keys_of(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(rows), np.concatenate(keys)
 
 
+def _least_common(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The smallest index that the i-th words of x and y share, or -1."""
+    (a, va), (b, vb) = indices(x), indices(y)
+    same = (a[:, :, None] == b[:, None, :]) & va[:, :, None] & vb[:, None, :]
+    shared = np.where(same, a[:, :, None], 4096).min((1, 2))
+    return np.where(shared < 4096, shared, -1)
+
+
+def first_common_key(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The smallest key that the fingerprints x[i] and y[i] (uint64) share, or -1."""
+    cut = [[(v >> np.uint64(42)).astype(np.int64), (v >> np.uint64(21) & np.uint64(0x1FFFFF)).astype(np.int64), (v & np.uint64(0x1FFFFF)).astype(np.int64)] for v in (x, y)]
+    least = [_least_common(cut[0][i], cut[1][i]) for i in range(3)]
+    out = np.where((least[0] >= 0) & (least[1] >= 0) & (least[2] >= 0), least[0] << 24 | least[1] << 12 | least[2], -1)
+    kind = 1
+    for i in range(3):
+        for j in range(3):
+            if i != j:
+                fits = (out < 0) & (cut[0][i] == cut[1][i]) & (least[j] >= 0)
+                out = np.where(fits, np.int64(kind) << 40 | cut[0][i] << 12 | least[j], out)
+                kind += 1
+    return out
+
+
 _BITS = ((np.arange(256)[:, None] >> np.arange(8)[None, :]) & 1).astype(np.int64)
 _PLACE = np.uint64(1) << np.arange(64, dtype=np.uint64)
 
@@ -178,7 +202,7 @@ def _link_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             new_rank[run] += rank[-1] + 1
             hubs[run] = hub
         rank = np.concatenate([rank, new_rank])
-        left, right = [], []
+        left, right, under = [], [], []
         for shift in range(1, WINDOW + 1):
             at = np.arange(max(old, shift), len(key))
             at = at[key[at] == key[at - shift]]
@@ -187,10 +211,14 @@ def _link_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             near = _popcount((fp[at] ^ fp[at - shift]).view(np.uint64)) <= MAX_BITS
             left.append(fp[at[near] - shift])
             right.append(fp[at[near]])
+            under.append(key[at[near]])
         near = (_popcount((new_fp ^ hubs).view(np.uint64)) <= MAX_BITS) & (new_fp != hubs)
         left.append(hubs[near])
         right.append(new_fp[near])
-        links = np.unique(np.stack([np.concatenate(left), np.concatenate(right)], 1), axis=0)
+        under.append(new_key[near])
+        a, b = np.concatenate(left), np.concatenate(right)
+        once = first_common_key(a.view(np.uint64), b.view(np.uint64)) == np.concatenate(under)  # of a pair's keys the first reports it
+        links = np.unique(np.stack([a[once], b[once]], 1), axis=0)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.zeros(len(links), np.int32)), pa.array(links[:, 0]), pa.array(links[:, 1])], ["kind", "x", "y"]
         )
