@@ -11,7 +11,7 @@ from venuelens.session import checkpoint_dir, ship_package
 
 #: Arrow batches handed to Python: bounded in rows and in bytes, since one document may be very long.
 BATCH_ROWS = 2000
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:

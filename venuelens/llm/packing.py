@@ -19,8 +19,8 @@ each for itself. An empty table gives no pieces. Other columns are ignored.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -36,7 +36,7 @@ SLACK = 32
 #: Rests of so few tokens are never cut.
 SMALL = 16
 #: Distinct words whose ids a worker remembers; past it the memory starts anew.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 
 
 def default_vocabulary() -> str:
@@ -48,20 +48,21 @@ def default_vocabulary() -> str:
 _WORKER: dict = {}
 
 
-def _ids_of_words(path: str, words: list[bytes]) -> list[list[int]]:
-    """Ids of each distinct word. White space always parts tokens here, so words may be encoded one by one."""
-    from tokenizers import Tokenizer
-
+def _ids_of_words(path: str, words: list[bytes]) -> list[bytes]:
+    """Packed 32-bit ids of each distinct word. White space always parts tokens here, so words may be encoded one by one."""
     if path not in _WORKER:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        from tokenizers import Tokenizer
+
         _WORKER[path] = (Tokenizer.from_file(path), {})
     tokenizer, known = _WORKER[path]
     if len(known) > REMEMBERED:
         known.clear()
     new = [w for w in words if w not in known]
-    for at in range(0, len(new), 10_000):
-        part = new[at: at + 10_000]
+    for at in range(0, len(new), 1000):
+        part = new[at: at + 1000]
         coded = tokenizer.encode_batch([w.decode("utf-8") for w in part], add_special_tokens=False)
-        known.update(zip(part, (c.ids for c in coded)))
+        known.update(zip(part, (np.array(c.ids, np.uint32).tobytes() for c in coded)))
     return [known[w] for w in words]
 
 
@@ -75,12 +76,13 @@ def token_ids(texts: list[bytes], path: str, end_id: int | None = END_ID) -> tup
         at.append(np.fromiter((number(w, len(place)) for w in words), np.int64, len(words)))
         sizes[i] = len(words)
     coded = _ids_of_words(path, list(place))
-    tail = [] if end_id is None else [[end_id]]
-    lengths = np.array([len(c) for c in [*coded, *tail]], np.int64)
+    if end_id is not None:
+        coded.append(np.array([end_id], np.uint32).tobytes())
+    lengths = np.array([len(c) for c in coded], np.int64) // 4
     starts = np.r_[0, np.cumsum(lengths)][:-1] if len(lengths) else lengths
-    table = np.fromiter(chain.from_iterable([*coded, *tail]), np.uint32, int(lengths.sum()))
+    table = np.frombuffer(b"".join(coded), np.uint32)
     if end_id is not None:
-        at = [x for a in at for x in (a, np.array([len(coded)]))]
+        at = [x for a in at for x in (a, np.array([len(coded) - 1]))]
         sizes = sizes + 1
     words_at = np.concatenate(at) if at else np.zeros(0, np.int64)
     count = lengths[words_at]
