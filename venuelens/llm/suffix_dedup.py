@@ -33,7 +33,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venuelens.llm.common import PrefixHash, doc_of, documents, flat, mix, prepare, shuffle_partitions, slices
+from venuelens.llm.common import PrefixHash, doc_of, documents, flat, mix, prepare, shuffle_partitions, slices, text_or_empty
 
 MATCH = 100
 GRAM = 32
@@ -386,7 +386,7 @@ def _open_batches(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[p
     """The open blocks of each document with their bytes, packed by bucket."""
     for batch in batches:
         offsets, data = flat(batch.column("text"))
-        kid, tag, wanted = batch.column("kid").to_numpy(), batch.column("tag").to_numpy(), batch.column("blobs").to_pylist()
+        kid, tag, wanted = batch.column("_kid").to_numpy(), batch.column("_tag").to_numpy(), batch.column("blobs").to_pylist()
         for a, b in slices(offsets):
             found = blocks(offsets[a: b + 1] - offsets[a], data[offsets[a]: offsets[b]])
             key = found["row"] << 40 | found["first"]
@@ -424,19 +424,25 @@ def _tag(text: Column) -> Column:
     return F.xxhash64(text).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with _kid and _tag; all other columns stay, so that both joins below share one exchange of the documents."""
+    return docs.withColumns({"_kid": _kid(), "_tag": _tag(text_or_empty())})
+
+
 def removed(docs: DataFrame) -> DataFrame:
     """(kid, tag, blobs): packed (start, end) byte spans to remove, by document; documents that stay whole are absent."""
     spark = prepare(docs.sparkSession)
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select(_kid().alias("kid"), text.alias("text")).withColumn("tag", _tag(F.col("text")))
+    keyed = _keyed(docs)
     buckets = max(8, shuffle_partitions(spark))  # a bucket is sorted whole: the setting follows the data
+    rows = keyed.select(F.col("_kid").alias("kid"), F.col("_tag").alias("tag"), text_or_empty().alias("text"))
     packed = rows.mapInArrow(lambda b: _block_batches(b, buckets), _ROW)
     settled = packed.repartition("bucket").sortWithinPartitions("kind", "bucket").mapInArrow(_settle_batches, _ROW).checkpoint()
     open_ = settled.where(F.col("kind") == OPEN).groupBy("kid", "tag").agg(F.collect_list("blob").alias("blobs"))
-    texts = rows.join(open_, ["kid", "tag"]).select("kid", "tag", "text", "blobs").mapInArrow(lambda b: _open_batches(b, buckets), _ROW)
+    asked = keyed.join(open_, (F.col("_kid") == F.col("kid")) & (F.col("_tag") == F.col("tag"))).drop("kid", "tag")
+    texts = asked.mapInArrow(lambda b: _open_batches(b, buckets), _ROW)
     sorted_ = texts.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_sort_batches, _ROW)
     gone = settled.where(F.col("kind") == REMOVED).unionAll(sorted_)
-    return gone.groupBy("kid", "tag").agg(F.collect_list("blob").alias("blobs")).checkpoint()
+    return gone.groupBy("kid", "tag").agg(F.collect_list("blob").alias("blobs"))
 
 
 def _cut(text: np.ndarray, blobs: list[bytes] | None) -> tuple[bytes, int, int]:
@@ -456,14 +462,12 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     columns = docs.columns
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     gone = removed(docs)
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    keyed = docs.withColumn("_kid", _kid()).withColumn("_tag", _tag(text))
-    joined = keyed.join(gone, (F.col("_kid") == F.col("kid")) & (F.col("_tag") == F.col("tag")), "left")
+    joined = _keyed(docs).join(gone, (F.col("_kid") == F.col("kid")) & (F.col("_tag") == F.col("tag")), "left").drop("kid", "tag")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             offsets, data = flat(batch.column("text"))
-            blobs = batch.column("_blobs").to_pylist()
+            blobs = batch.column("blobs").to_pylist()
             cut = [_cut(data[offsets[i]: offsets[i + 1]], b) for i, b in enumerate(blobs)]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in columns), pa.array([c[0] for c in cut], pa.binary()), pa.array(np.diff(offsets)),
@@ -471,7 +475,7 @@ def deduplicate(docs: DataFrame) -> DataFrame:
                 [*columns, "_kept", "_n_bytes", "_n_removed", "_n_spans"],
             )
 
-    return joined.select(*[F.col(f"`{c}`") for c in columns], F.col("blobs").alias("_blobs")).mapInArrow(
+    return joined.mapInArrow(
         run, fields + ", _kept binary, _n_bytes long, _n_removed long, _n_spans long"
     )
 
