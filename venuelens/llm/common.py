@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from venuelens.session import checkpoint_dir, ship_package
 
@@ -39,6 +40,25 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def carry(docs: DataFrame, *names: str) -> DataFrame:
+    """``docs`` as the columns ``names`` and one struct, rest, of all others, so no further name can clash."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in names]
+    return docs.select(*[F.col(f"`{n}`") for n in names], F.struct(*(others or [F.lit(True).alias("none")])).alias("rest"))
+
+
+def restored(docs: DataFrame, names: tuple[str, ...]) -> list[Column]:
+    """The columns of ``docs`` out of what ``carry(docs, *names)`` gave."""
+    return [F.col(c) if c in names else F.col("rest").getField(c).alias(c) for c in docs.columns]
+
+
+def widened(schema: StructType, **kinds: str) -> StructType:
+    """``schema`` with more fields, by type name."""
+    out = StructType(list(schema.fields))
+    for name, kind in kinds.items():
+        out = out.add(name, kind)
+    return out
+
+
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(offsets, bytes) of a string or binary column; nulls count as empty."""
     if isinstance(column, pa.ChunkedArray):

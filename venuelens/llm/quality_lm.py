@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venuelens.llm.common import documents, prepare
+from venuelens.llm.common import carry, documents, prepare, restored
 
 ORDER = 4
 #: Held-out quantile and the slack above it.
@@ -195,32 +195,29 @@ def score(docs: DataFrame, held: list) -> DataFrame:
     """Adds _ll and _n, log-likelihood and scored units (0 without a model of the language), to ``docs(_lang, _text, ...)``."""
     out = docs.withColumn("_ll", F.lit(0.0)).withColumn("_n", F.lit(0).cast("long"))
     columns = out.columns
-
-    def stage(shard):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            s, number, tables = shard.value
-            for batch in batches:
-                ll, n = batch.column("_ll").to_numpy().copy(), batch.column("_n").to_numpy().copy()
-                for lang, rows, texts in _by_language(batch):
-                    if (lang, 0) not in tables:
-                        continue
-                    units, at, owner = _units(texts)
-                    grams = _grams(units, at)
-                    if number > 1:
-                        mine = (grams >> np.uint64(16) & np.uint64(0xFFFFFFFF)) % np.uint64(number) == s
-                        grams, owner = grams[mine], owner[mine]
-                    value = log_probabilities(tables, lang, grams)
-                    ll[rows] += np.bincount(owner, weights=value, minlength=len(rows))
-                    n[rows] += np.bincount(owner, minlength=len(rows))
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(ll), pa.array(n)], columns)
-
-        return run
-
     for shard in held:
-        out = out.mapInArrow(stage(shard), out.schema)
+        out = out.mapInArrow(lambda batches, shard=shard: _score_batches(batches, shard, columns), out.schema)
     return out
 
 
+def _score_batches(batches: Iterator[pa.RecordBatch], shard, columns: list[str]) -> Iterator[pa.RecordBatch]:
+    s, number, tables = shard.value
+    for batch in batches:
+        ll, n = batch.column("_ll").to_numpy().copy(), batch.column("_n").to_numpy().copy()
+        for lang, rows, texts in _by_language(batch):
+            if (lang, 0) not in tables:
+                continue
+            units, at, owner = _units(texts)
+            grams = _grams(units, at)
+            if number > 1:
+                mine = (grams >> np.uint64(16) & np.uint64(0xFFFFFFFF)) % np.uint64(number) == s
+                grams, owner = grams[mine], owner[mine]
+            value = log_probabilities(tables, lang, grams)
+            ll[rows] += np.bincount(owner, weights=value, minlength=len(rows))
+            n[rows] += np.bincount(owner, minlength=len(rows))
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(ll), pa.array(n)], columns)
+
+
 def _trusted(labels: DataFrame) -> DataFrame:
     """(doc_id, _held): trusted documents; _held: kept out of training."""
     sure = labels.groupBy("doc_id").agg(F.min(F.col("quality").cast("int")).alias("q"), F.max(F.col("toxic").cast("int")).alias("t"))
@@ -230,35 +227,32 @@ def _trusted(labels: DataFrame) -> DataFrame:
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` with _perplexity, _threshold and _kept added."""
+    """doc_id, lang, text and the rest of ``docs`` (one struct) with perplexity, threshold and kept added."""
     spark = prepare(docs.sparkSession)
-    inner = docs.withColumn("_lang", F.coalesce(F.col("lang").cast("string"), F.lit(""))).withColumn("_text", F.col("text").cast("string"))
+    text = F.col("text").cast("string")
+    inner = carry(docs, "doc_id", "lang", "text").withColumns({"_lang": F.coalesce(F.col("lang").cast("string"), F.lit("")), "_text": text})
     trusted = _trusted(labels)
     known = inner.select("doc_id", "_lang", "_text").join(trusted, F.col("doc_id") == F.col("_id"))
     held = shards(spark, model(counts(known.where("not _held"))))
     perplexity = F.when(F.col("_n") > 0, F.exp(-F.col("_ll") / F.col("_n")))
     calibration = score(known.where("_held").select("_lang", "_text"), held).select("_lang", perplexity.alias("p"))
-    thresholds = calibration.where("p is not null").groupBy("_lang").agg(
-        (F.percentile_approx("p", QUANTILE, 10_000) * MARGIN).alias("_threshold")
-    ).checkpoint()
+    thresholds = calibration.where("p is not null").groupBy("_lang").agg((F.percentile_approx("p", QUANTILE, 10_000) * MARGIN).alias("t"))
     limits = {r[0]: r[1] for r in thresholds.collect()}  # a row a language
     threshold = F.create_map(*[F.lit(x) for kv in limits.items() for x in kv])[F.col("_lang")] if limits else F.lit(None).cast("double")
-    scored = score(inner, held).withColumn("_perplexity", perplexity).withColumn("_threshold", threshold)
-    empty = F.coalesce(F.length("_text"), F.lit(0)) == 0
-    kept = ~empty & F.coalesce(F.col("_perplexity") <= F.col("_threshold"), F.lit(True))
-    return scored.withColumn("_kept", kept).drop("_lang", "_text", "_ll", "_n")
+    # the text goes to the workers once: as _text, and back
+    scored = score(inner.drop("text"), held).withColumns({"perplexity": perplexity, "threshold": threshold}).withColumnRenamed("_text", "text")
+    empty = F.coalesce(F.length("text"), F.lit(0)) == 0
+    return scored.withColumn("kept", ~empty & F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True)))
 
 
 def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the classifier keeps, with all their columns."""
-    return classify(docs, labels).where("_kept").drop("_perplexity", "_threshold", "_kept")
+    return classify(docs, labels).where("kept").select(restored(docs, ("doc_id", "lang", "text")))
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = classify(documents(spark, sf_dir).select("doc_id", "lang", "text"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return judged.select(
-        "doc_id", "lang", F.col("_perplexity").alias("perplexity"), F.col("_threshold").alias("threshold"), F.col("_kept").alias("kept")
-    )
+    docs = documents(spark, sf_dir).select("doc_id", "lang", "text")
+    return classify(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")).select("doc_id", "lang", "perplexity", "threshold", "kept")
 
 
 QUERIES = {"op1_quality_kneser_ney": op1_quality}

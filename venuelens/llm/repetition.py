@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venuelens.llm.common import BASE, PrefixHash, doc_of, documents, flat, mix, prepare, sum_by
+from venuelens.llm.common import BASE, PrefixHash, carry, doc_of, documents, flat, mix, prepare, restored, sum_by, widened
 
 #: Shares that trusted short documents with one repeated line stay below (they reach 0.28).
 #: Largest share of word characters inside n-grams found twice or more, by n.
@@ -164,18 +164,18 @@ def measure(docs: DataFrame) -> DataFrame:
     )
 
 
-def _failed(at: str = ""):
-    return (F.col(f"{at}n_words") < MIN_WORDS) | (100 * F.col(f"{at}n_repeat_words") > MAX_REPEAT_PERCENT * F.col(f"{at}n_words"))
+def _failed():
+    return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
 
 
-def _clean(at: str = ""):
-    """The method's verdict: no measure above its share. ``at``: prefix of the measures' names."""
-    chars = F.col(f"{at}word_chars")
-    ok = (F.col(f"{at}dup_line_chars") <= LINE_CHAR_SHARE * chars) & (F.col(f"{at}n_dup_lines") <= LINE_SHARE * F.col(f"{at}n_lines"))
+def _clean():
+    """The method's verdict: no measure above its share."""
+    chars = F.col("word_chars")
+    ok = (F.col("dup_line_chars") <= LINE_CHAR_SHARE * chars) & (F.col("n_dup_lines") <= LINE_SHARE * F.col("n_lines"))
     for n, share in DUPLICATE_SHARE.items():
-        ok = ok & (F.col(f"{at}dup_chars_{n}") <= share * chars)
+        ok = ok & (F.col(f"dup_chars_{n}") <= share * chars)
     for n, share in TOP_SHARE.items():
-        ok = ok & (F.col(f"{at}top_chars_{n}") <= share * chars)
+        ok = ok & (F.col(f"top_chars_{n}") <= share * chars)
     return ok
 
 
@@ -188,18 +188,10 @@ def keep(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with all their columns."""
     prepare(docs.sparkSession)
     names = [x.split()[0] for x in MEASURES.split(", ")]
-    inner = [f"_m_{c}" for c in names]
-    columns = docs.columns
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields] + [f"`_m_{x}`" + " long" for x in names])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = measures_of(*flat(batch.column("text")))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, *(pa.array(found[c].astype(np.int64)) for c in names)], [*columns, *inner]
-            )
-
-    return docs.mapInArrow(run, schema).where(~_failed("_m_") & _clean("_m_")).drop(*inner)
+    rows = carry(docs, "text")
+    columns = rows.columns
+    measured = rows.mapInArrow(lambda batches: _map(batches, names, columns), widened(rows.schema, **dict.fromkeys(names, "long")))
+    return measured.where(~_failed() & _clean()).select(restored(docs, ("text",)))
 
 
 def op10_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venuelens.llm.common import documents, prepare
+from venuelens.llm.common import carry, documents, prepare, restored
 from venuelens.llm.components import components
 
 SHINGLE_WORDS = 4
@@ -294,8 +294,9 @@ def keep_one(docs: DataFrame) -> DataFrame:
     Rows with a null doc_id are dropped unless their whole group has none.
     """
     found = near_duplicates(docs)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
+    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
+    rows = carry(docs, "doc_id", "text").join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    return rows.select(restored(docs, ("doc_id", "text")))
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

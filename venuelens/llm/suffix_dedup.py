@@ -32,8 +32,9 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from venuelens.llm.common import PrefixHash, doc_of, documents, flat, mix, prepare, shuffle_partitions, slices, text_or_empty
+from venuelens.llm.common import PrefixHash, carry, doc_of, documents, flat, mix, prepare, restored, shuffle_partitions, slices, text_or_empty, widened
 
 MATCH = 100
 GRAM = 32
@@ -386,7 +387,7 @@ def _open_batches(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[p
     """The open blocks of each document with their bytes, packed by bucket."""
     for batch in batches:
         offsets, data = flat(batch.column("text"))
-        kid, tag, wanted = batch.column("_kid").to_numpy(), batch.column("_tag").to_numpy(), batch.column("blobs").to_pylist()
+        kid, tag, wanted = batch.column("kid").to_numpy(), batch.column("tag").to_numpy(), batch.column("blobs").to_pylist()
         for a, b in slices(offsets):
             found = blocks(offsets[a: b + 1] - offsets[a], data[offsets[a]: offsets[b]])
             key = found["row"] << 40 | found["first"]
@@ -425,21 +426,19 @@ def _tag(text: Column) -> Column:
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` with _kid and _tag; all other columns stay, so that both joins below share one exchange of the documents."""
-    return docs.withColumns({"_kid": _kid(), "_tag": _tag(text_or_empty())})
+    """doc_id, text and the rest of ``docs`` with kid and tag; whole, so that both joins below share one exchange of the documents."""
+    return carry(docs, "doc_id", "text").withColumns({"kid": _kid(), "tag": _tag(text_or_empty())})
 
 
-def removed(docs: DataFrame) -> DataFrame:
-    """(kid, tag, blobs): packed (start, end) byte spans to remove, by document; documents that stay whole are absent."""
-    spark = prepare(docs.sparkSession)
-    keyed = _keyed(docs)
+def removed(keyed: DataFrame) -> DataFrame:
+    """(kid, tag, blobs): packed (start, end) byte spans to remove, by document of ``keyed(doc_id, text, rest, kid, tag)``;
+    documents that stay whole are absent."""
+    spark = prepare(keyed.sparkSession)
     buckets = max(8, shuffle_partitions(spark))  # a bucket is sorted whole: the setting follows the data
-    rows = keyed.select(F.col("_kid").alias("kid"), F.col("_tag").alias("tag"), text_or_empty().alias("text"))
-    packed = rows.mapInArrow(lambda b: _block_batches(b, buckets), _ROW)
+    packed = keyed.select("kid", "tag", text_or_empty().alias("text")).mapInArrow(lambda b: _block_batches(b, buckets), _ROW)
     settled = packed.repartition("bucket").sortWithinPartitions("kind", "bucket").mapInArrow(_settle_batches, _ROW).checkpoint()
     open_ = settled.where(F.col("kind") == OPEN).groupBy("kid", "tag").agg(F.collect_list("blob").alias("blobs"))
-    asked = keyed.join(open_, (F.col("_kid") == F.col("kid")) & (F.col("_tag") == F.col("tag"))).drop("kid", "tag")
-    texts = asked.mapInArrow(lambda b: _open_batches(b, buckets), _ROW)
+    texts = keyed.join(open_, ["kid", "tag"]).mapInArrow(lambda b: _open_batches(b, buckets), _ROW)
     sorted_ = texts.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_sort_batches, _ROW)
     gone = settled.where(F.col("kind") == REMOVED).unionAll(sorted_)
     return gone.groupBy("kid", "tag").agg(F.collect_list("blob").alias("blobs"))
@@ -457,60 +456,60 @@ def _cut(text: np.ndarray, blobs: list[bytes] | None) -> tuple[bytes, int, int]:
     return text[~out].tobytes(), int(out.sum()), int((out & ~np.r_[False, out[:-1]]).sum())
 
 
-def deduplicate(docs: DataFrame) -> DataFrame:
-    """``docs`` with _kept (binary: the remaining bytes), _n_bytes, _n_removed and _n_spans added."""
-    columns = docs.columns
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    gone = removed(docs)
-    joined = _keyed(docs).join(gone, (F.col("_kid") == F.col("kid")) & (F.col("_tag") == F.col("tag")), "left").drop("kid", "tag")
+def _apply(docs: DataFrame) -> DataFrame:
+    """doc_id, text, rest, kept (binary: the remaining bytes), n_bytes, n_removed and n_spans of every row of ``docs``."""
+    keyed = _keyed(docs)
+    names = ["doc_id", "text", "rest"]
+    joined = keyed.join(removed(keyed), ["kid", "tag"], "left").select(*names, "kid", "tag", "blobs")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             offsets, data = flat(batch.column("text"))
-            blobs = batch.column("blobs").to_pylist()
-            cut = [_cut(data[offsets[i]: offsets[i + 1]], b) for i, b in enumerate(blobs)]
+            cut = [_cut(data[offsets[i]: offsets[i + 1]], b) for i, b in enumerate(batch.column("blobs").to_pylist())]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in columns), pa.array([c[0] for c in cut], pa.binary()), pa.array(np.diff(offsets)),
+                [*(batch.column(c) for c in names), pa.array([c[0] for c in cut], pa.binary()), pa.array(np.diff(offsets)),
                  pa.array([c[1] for c in cut], pa.int64()), pa.array([c[2] for c in cut], pa.int64())],
-                [*columns, "_kept", "_n_bytes", "_n_removed", "_n_spans"],
+                [*names, "kept", "n_bytes", "n_removed", "n_spans"],
             )
 
-    return joined.mapInArrow(
-        run, fields + ", _kept binary, _n_bytes long, _n_removed long, _n_spans long"
-    )
+    return joined.mapInArrow(run, widened(keyed.select(*names).schema, kept="binary", n_bytes="long", n_removed="long", n_spans="long"))
+
+
+def deduplicate(docs: DataFrame) -> DataFrame:
+    """doc_id, kept (binary: the remaining bytes), n_bytes, n_removed and n_spans of every row of ``docs``."""
+    return _apply(docs.select("doc_id", "text")).select("doc_id", "kept", "n_bytes", "n_removed", "n_spans")
 
 
 def strip(docs: DataFrame) -> DataFrame:
-    """``docs`` with the repeated passages cut out of text; n_chars follows where it is there.
+    """``docs`` with the repeated passages cut out of text; n_chars, where there is one, follows.
 
     A cut may fall inside a character; its remaining bytes are dropped.
     """
-    out = deduplicate(docs)
-    columns = docs.columns
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    out = _apply(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [
                 None if t is None else (t if not n else k.decode("utf-8", "ignore"))
-                for t, k, n in zip(batch.column("text").to_pylist(), batch.column("_kept").to_pylist(), batch.column("_n_removed").to_pylist())
+                for t, k, n in zip(batch.column("text").to_pylist(), batch.column("kept").to_pylist(), batch.column("n_removed").to_pylist())
             ]
-            new = {"text": pa.array(texts, pa.string())}
-            if "n_chars" in columns:
-                cut = batch.column("_n_removed").to_pylist()
-                old = batch.column("n_chars")
-                new["n_chars"] = pa.array([len(t) if n else o for t, n, o in zip(texts, cut, old.to_pylist())], old.type)
-            yield pa.RecordBatch.from_arrays([new.get(c, batch.column(c)) for c in columns], columns)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(texts, pa.string()), batch.column("rest"), batch.column("n_removed")], ["doc_id", "text", "rest", "n_removed"]
+            )
 
-    return out.mapInArrow(run, fields)
+    short = StructType([f for f in out.schema.fields if f.name in ("doc_id", "text", "rest", "n_removed")])
+    done = out.mapInArrow(run, short)
+    columns = restored(docs, ("doc_id", "text"))
+    if "n_chars" in docs.columns:
+        old = F.col("rest").getField("n_chars")
+        new = F.when(F.col("n_removed") == 0, old).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)).alias("n_chars")
+        columns = [new if name == "n_chars" else c for name, c in zip(docs.columns, columns)]
+    return done.select(columns)
 
 
 def op2_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = deduplicate(documents(spark, sf_dir).select("doc_id", "text"))
-    return out.select(
-        "doc_id", F.col("_n_bytes").alias("n_bytes"), F.col("_n_removed").alias("n_removed"), F.col("_n_spans").alias("n_spans"),
-        F.sha2("_kept", 256).alias("kept_sha256"),
-    )
+    out = deduplicate(documents(spark, sf_dir))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 QUERIES = {"op2_suffix_dedup": op2_suffix}
