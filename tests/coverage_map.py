@@ -180,7 +180,7 @@ MAP = [
     ("M5", "operators.rating_model.evaluate_model", ["evaluate_model"]),
     ("M6", "operators.rating_model.load_or_train", ["predict_rating", "model_info"]),
     # 2.10 streaming
-    ("G1", "streaming.jobs.stream_upsert", ["stream_upsert"]),
+    ("G1", "streaming.jobs.stream_upsert", ["stream_upsert", "stream_upsert_out_of_order"]),
     ("G2", "streaming.jobs.stream_dedupe", ["stream_dedupe"]),
     ("G3", "streaming.jobs.stream_level_counts", ["stream_level_counts", "stream_level_counts_sliding"]),
     ("G4", "streaming.jobs.stream_sessions", ["stream_sessions"]),
@@ -198,7 +198,7 @@ MAP = [
 
 def main():
     import __spark_entry__ as E
-    qs, sql = E.queries(), E.oracle_sql()
+    qs, sql = E.registry.queries(), E.registry.oracle_sql()
     used = set()
     print("# Coverage of the SURVEY section 2 inventory\n")
     print("Generated by `tests/coverage_map.py` (which checks that every function exists and every query is "

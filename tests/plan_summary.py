@@ -34,7 +34,7 @@ def main():
           "micro-batch jobs and are not listed.\n")
     print("| query | " + " | ".join(n for n, _ in NODES) + " |")
     print("| --- |" + " --- |" * len(NODES))
-    for name, fn in E.queries().items():
+    for name, fn in E.registry.queries().items():
         if name.startswith(SKIP_PREFIX):
             continue
         df = fn(spark, sf_dir)

@@ -11,8 +11,8 @@ import __spark_entry__ as E
 from oracle_util import compare, duck_connect, duck_run, type_diff
 
 SF_DIR = f"/root/testdata/sf{os.environ.get('VENUELENS_ORACLE_SF', '0.001')}"
-QUERIES = E.queries()
-SQL = E.oracle_sql()
+QUERIES = E.registry.queries()
+SQL = E.registry.oracle_sql()
 SLOW = {"train_rating_model", "predict_rating", "prediction_interval", "model_info"}
 
 

@@ -17,9 +17,9 @@ def main():
     spark = get_session("local[4]", 4)
     checkpoint_dir(spark)
     con = duck_connect(sf_dir)
-    sqls = E.oracle_sql()
+    sqls = E.registry.oracle_sql()
     bad = 0
-    for name, fn in E.queries().items():
+    for name, fn in E.registry.queries().items():
         if name not in sqls:
             continue
         df = fn(spark, sf_dir)

@@ -275,8 +275,8 @@ STANDIN_SENTIMENT_DICT = {
                  "service": ["kein", "ohne"], "value": ["dem", "im"]},
 }
 STANDIN_STOP_WORDS = ["the", "of", "de", "and", "to", "in", "la", "der", "is", "en"]
-# Latin words of two or more letters (lower-cased before matching).
-LATIN_WORD_PATTERN = "[a-zà-ÿ]{2,}"
+# Words of two or more letters of any alphabet (lower-cased before matching).
+LATIN_WORD_PATTERN = r"\p{L}{2,}"
 
 # Dish lexicon over document words; "thin"/"thing" and "the"/"then" overlap.
 STANDIN_DISHES_DICT = {

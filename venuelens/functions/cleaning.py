@@ -6,6 +6,8 @@ inside whole-stage codegen; none of them needs a Python UDF.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -124,12 +126,21 @@ def prefix_key(x: ColumnOrName, prefix: str) -> Column:
     return F.concat(F.lit(prefix), _c(x).cast("string"))
 
 
+def _last_wins(keys: Column, values: Column) -> Column:
+    """Parallel arrays -> map; of a repeated key the last value stays, in the key's first place."""
+    names = F.array_distinct(keys)
+    back, backward = F.reverse(keys), F.reverse(values)
+    found = F.transform(names, lambda k: F.get(backward, (F.array_position(back, k) - 1).cast("int")))
+    return F.map_from_arrays(names, found)
+
+
 # ---- C23 ---------------------------------------------------------------------------
 def split_score_text(x: ColumnOrName, pair_sep: str = " ", kv_sep: str = "：",
                      price_label: str = "人均") -> Column:
     """``"口味：4.5 环境：4.0 人均：88元"`` -> map of label to value, the price token excluded."""
     s = F.trim(F.regexp_replace(_c(x), r"\s+", " "))
-    m = F.str_to_map(s, F.lit(pair_sep), F.lit(kv_sep))
+    pairs = F.transform(F.split(s, re.escape(pair_sep)), lambda p: F.split(p, re.escape(kv_sep), 2))
+    m = _last_wins(F.transform(pairs, lambda p: F.get(p, F.lit(0))), F.transform(pairs, lambda p: F.get(p, F.lit(1))))
     return F.map_filter(m, lambda k, v: ~k.contains(price_label))
 
 
@@ -143,7 +154,7 @@ def zip_scores(titles: ColumnOrName, values: ColumnOrName) -> Column:
     """Parallel title / value arrays -> map (shorter array decides the length)."""
     t, v = _c(titles), _c(values)
     n = F.least(F.size(t), F.size(v))
-    return F.map_from_arrays(F.slice(t, 1, n), F.slice(v, 1, n))
+    return _last_wins(F.slice(t, 1, n), F.slice(v, 1, n))
 
 
 # ---- C25 ---------------------------------------------------------------------------

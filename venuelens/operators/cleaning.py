@@ -145,22 +145,22 @@ def merge_categories(df: DataFrame, col: str, groups: dict = dims.CATEGORY_MERGE
 
 
 # ---- C11 ---------------------------------------------------------------------------
-def category_synonym_expr(col: str, groups: dict = dims.CUISINE_DICT, default: str = "其他",
-                          max_len: int = 50) -> Column:
+def category_synonym_expr(col: str, groups: dict = dims.CUISINE_DICT, default: str = "其他") -> Column:
     """Case-insensitive contains; first group (then term) in dictionary order wins;
-    blank -> ``default``; unmatched -> the value cut to ``max_len`` characters."""
+    blank -> ``default``; unmatched -> the whole value
+    (``enforce_schema`` rejects over-long ones)."""
     v = F.trim(F.coalesce(F.col(col).cast("string"), F.lit("")))
     low = F.lower(v)
     expr = F.when(v == "", F.lit(default))
     for g, terms in groups.items():
         for t in terms:
             expr = expr.when(low.contains(t.lower()), g)
-    return expr.otherwise(F.substring(v, 1, max_len))
+    return expr.otherwise(v)
 
 
 def normalize_category_synonym(df: DataFrame, col: str = "cuisine_type", groups: dict = dims.CUISINE_DICT,
-                               default: str = "其他", max_len: int = 50) -> DataFrame:
-    return df.withColumn(col, category_synonym_expr(col, groups, default, max_len))
+                               default: str = "其他") -> DataFrame:
+    return df.withColumn(col, category_synonym_expr(col, groups, default))
 
 
 # ---- C18 ---------------------------------------------------------------------------

@@ -90,12 +90,12 @@ def search_total(df: DataFrame, **filters) -> DataFrame:
 
 
 # ---- F2 ----------------------------------------------------------------------------
-def filter_polarity(rv: DataFrame, positive: bool = True, limit: int | None = 5000, text: str = "text",
+def filter_polarity(rv: DataFrame, positive: bool = True, limit: int | None = None, text: str = "text",
                     sentiment: str = "sentiment", rating: str = "rating", order: Sequence[str] = ("ts",),
                     key: str = "review_id") -> DataFrame:
-    """Non-blank reviews with sentiment > 0 and rating >= 4 (or < 0 and <= 2.5), newest ``limit``.
+    """Non-blank reviews with sentiment > 0 and rating >= 4 (or < 0 and <= 2.5), all of them.
 
-    The newest-N sample is the reference's feature (``limit=None`` keeps all).
+    ``limit`` keeps the newest N, for a caller that asks for a page.
     """
     base = rv.where(F.col(text).isNotNull() & (F.col(text) != ""))
     if positive:

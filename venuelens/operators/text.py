@@ -85,12 +85,12 @@ def prioritized_topn(counts: DataFrame, lexicon: Sequence[str], n: int = 30) ->
 
 # ---- A7 / U1 -----------------------------------------------------------------------
 def review_keywords(rv: DataFrame, lexicon: dict, stop: Sequence[str] = dims.STOP_WORDS, n: int = 30,
-                    pattern: str = dims.CJK_WORD_PATTERN, sample: int | None = 5000, key: str = "review_id",
+                    pattern: str = dims.CJK_WORD_PATTERN, sample: int | None = None, key: str = "review_id",
                     order: Sequence[str] = ("ts",), labels=(dims.POSITIVE, dims.NEGATIVE)) -> DataFrame:
     """Top ``n`` words of positive and of negative reviews: polarity, word, count, rank.
 
-    ``lexicon`` = ``{polarity_label: [terms]}``; reviews are the newest
-    ``sample`` per polarity (F2).  With the default CJK rule the text is
+    ``lexicon`` = ``{polarity_label: [terms]}``; all reviews of a
+    polarity count (F2; ``sample`` keeps the newest N).  With the default CJK rule the text is
     segmented around the lexicon terms (``cjk_segment_pattern``), the nearest
     we get to a word segmenter.
     """

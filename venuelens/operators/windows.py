@@ -52,7 +52,9 @@ def value_for_money_rank(df: DataFrame, k: int = 10, by: str | None = "category"
     x = df.select(key, *([by] if by else []), round_half_up(value_for_money(df), 4).alias("vfm_index")) \
           .where(F.col("vfm_index").isNotNull())
     if by is None:
-        top = x.orderBy(F.desc("vfm_index"), F.asc(key)).limit(k)
+        # ties at the last rank stay: keep what reaches the k-th distinct value, then rank the few that do
+        least = x.select("vfm_index").distinct().orderBy(F.desc("vfm_index")).limit(k).agg(F.min("vfm_index")).scalar()
+        top = x.where(F.col("vfm_index") >= least)
         return top.withColumn("rank", F.dense_rank().over(Window.orderBy(F.desc("vfm_index"))).cast("long"))
     w = Window.partitionBy(by).orderBy(F.desc("vfm_index"))
     return x.withColumn("rank", F.dense_rank().over(w)).where(F.col("rank") <= k) \
@@ -76,7 +78,9 @@ def hot_rank(df: DataFrame, weights=(0.5, 0.3, 0.2), k: int = 20, key: str = "li
         term = F.coalesce(norm, F.lit(0.0)) * wgt
         score = term if score is None else score + term
     s = df.select(key, *cols, round_half_up(score, 6).alias("hot_score"))
-    top = s.orderBy(F.desc("hot_score"), F.asc(key)).limit(k)
+    # ties at the last rank stay
+    least = s.select("hot_score").orderBy(F.desc("hot_score")).limit(k).agg(F.min("hot_score")).scalar()
+    top = s.where(F.col("hot_score") >= least)
     return top.withColumn("rank", F.rank().over(Window.orderBy(F.desc("hot_score"))).cast("long"))
 
 

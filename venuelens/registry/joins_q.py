@@ -251,14 +251,12 @@ def _filter_training_rows(t):
 
 
 @register("filter_polarity_positive", """
-SELECT * FROM review_text WHERE text IS NOT NULL AND text <> '' AND sentiment > 0 AND rating >= 4
-ORDER BY review_id DESC LIMIT 5000""", ("review_text",))
+SELECT * FROM review_text WHERE text IS NOT NULL AND text <> '' AND sentiment > 0 AND rating >= 4""", ("review_text",))
 def _filter_polarity_pos(t):
-    return Fl.filter_polarity(t.review_text(), True, 5000, order=())
+    return Fl.filter_polarity(t.review_text(), True)
 
 
 @register("filter_polarity_negative", """
-SELECT * FROM review_text WHERE text IS NOT NULL AND text <> '' AND sentiment < 0 AND rating <= 2.5
-ORDER BY review_id DESC LIMIT 5000""", ("review_text",))
+SELECT * FROM review_text WHERE text IS NOT NULL AND text <> '' AND sentiment < 0 AND rating <= 2.5""", ("review_text",))
 def _filter_polarity_neg(t):
-    return Fl.filter_polarity(t.review_text(), False, 5000, order=())
+    return Fl.filter_polarity(t.review_text(), False)

@@ -155,7 +155,6 @@ UNION ALL SELECT 'area_avg_price', name, CAST(avg_price AS VARCHAR) FROM ap
 UNION ALL SELECT 'review_keywords', polarity || ':' || word, CAST(count AS VARCHAR) FROM kw""",
           ("listing", "review_text"))
 def _dashboard(t):
-    res = B.dashboard(t.listing(), t.review_text(), KNOWN, _FLAT, stop=STOP, n=30, pattern=PAT, sample=5000,
-                      order=(), labels=(POS, NEG))
+    res = B.dashboard(t.listing(), t.review_text(), KNOWN, _FLAT, stop=STOP, n=30, pattern=PAT, labels=(POS, NEG))
     return B.dashboard_long(res)
 

@@ -201,7 +201,7 @@ def _fan_out(t):
     writers = [
         (F.col("category") == "PROMO", lambda d: d.write.mode("overwrite").parquet(f"{base}/promo")),
         (F.col("category") == "ECONOMY", lambda d: d.write.mode("overwrite").parquet(f"{base}/economy")),
-        (~F.col("category").isin("PROMO", "ECONOMY"), lambda d: d.write.mode("overwrite").parquet(f"{base}/other")),
+        (~F.coalesce(F.col("category").isin("PROMO", "ECONOMY"), F.lit(False)), lambda d: d.write.mode("overwrite").parquet(f"{base}/other")),
     ]
     K.fan_out_write(df, writers)
     return t.spark.read.parquet(f"{base}/promo", f"{base}/economy", f"{base}/other")

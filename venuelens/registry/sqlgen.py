@@ -45,13 +45,13 @@ def blank_to_null(x: str, tokens=("", "nan")) -> str:
     return f"CASE WHEN lower(trim({x})) IN ({toks}) THEN NULL ELSE trim({x}) END"
 
 
-def category_synonym(x: str, groups: dict, default: str, max_len: int = 50) -> str:
+def category_synonym(x: str, groups: dict, default: str) -> str:
     v = f"trim(coalesce(CAST({x} AS VARCHAR), ''))"
     parts = [f"WHEN {v} = '' THEN {lit(default)}"]
     for g, terms in groups.items():
         for t in terms:
             parts.append(f"WHEN contains(lower({v}), {lit(t.lower())}) THEN {lit(g)}")
-    return "CASE " + " ".join(parts) + f" ELSE substr({v}, 1, {max_len}) END"
+    return "CASE " + " ".join(parts) + f" ELSE {v} END"
 
 
 def area_contains(cols, area_dict: dict, match_names: bool = True) -> str:

@@ -10,6 +10,7 @@ from ..streaming import jobs as G
 from . import register
 
 N_SLICES = 4
+_EVENT = ("user_id", "event_id", "ts", "event_type", "value", "props")
 
 
 def _staged(t, name, df, ts, order=None):
@@ -26,8 +27,17 @@ def _stream_upsert(t):
     ev = t.events
     run, src = _staged(t, "upsert", ev, "ts")
     G.stream_upsert(src, ["user_id"], ["ts", "event_id"], run["out"], run["checkpoint"])
-    return G.latest_state(t.spark, run["out"], ["user_id"]).select("user_id", "event_id", "ts", "event_type",
-                                                                    "value", "props")
+    return G.latest_state(t.spark, run["out"], ["user_id"], ["ts", "event_id"]).select(*_EVENT)
+
+
+@register("stream_upsert_out_of_order", """
+SELECT user_id, event_id, ts, event_type, value, props FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1""")
+def _stream_upsert_out_of_order(t):
+    """The newest slice arrives before an older one."""
+    run, src = _staged(t, "upsert_late", t.events, "ts", (0, 1, 3, 2))
+    G.stream_upsert(src, ["user_id"], ["ts", "event_id"], run["out"], run["checkpoint"])
+    return G.latest_state(t.spark, run["out"], ["user_id"], ["ts", "event_id"]).select(*_EVENT)
 
 
 @register("stream_dedupe", "SELECT DISTINCT user_id, event_type FROM events")

@@ -59,7 +59,7 @@ def _kw_sql(cond: str, label: str, lexicon) -> str:
 FROM (SELECT word, count, CAST(word IN ({_q(lexicon)}) AS INT) AS in_lexicon FROM (
   SELECT token AS word, count(*) AS count FROM (
     SELECT unnest({TOKS('text')}) AS token FROM (
-      SELECT * FROM review_text WHERE text IS NOT NULL AND text <> '' AND {cond} ORDER BY review_id DESC LIMIT 5000))
+      SELECT * FROM review_text WHERE text IS NOT NULL AND text <> '' AND {cond}))
   WHERE trim(token) <> '' AND trim(token) NOT IN ({_q(STOP)}) GROUP BY token)
 ORDER BY in_lexicon DESC, count DESC, word LIMIT 30)"""
 
@@ -72,7 +72,7 @@ _FLAT = dims.flatten_polarity(LEX)
 UNION ALL
 {_kw_sql('sentiment < 0 AND rating <= 2.5', NEG, _FLAT[NEG])}""", ("review_text",))
 def _review_keywords(t):
-    return T.review_keywords(t.review_text(), _FLAT, STOP, 30, PAT, 5000, order=(), labels=(POS, NEG))
+    return T.review_keywords(t.review_text(), _FLAT, STOP, 30, PAT, labels=(POS, NEG))
 
 
 # ---- T5 ----------------------------------------------------------------------------

@@ -36,9 +36,8 @@ def _vfm_rank(t):
 
 
 @register("value_for_money_top", f"""
-SELECT listing_id, vfm_index, dense_rank() OVER (ORDER BY vfm_index DESC) AS rank FROM (
-  SELECT listing_id, {_VFM} AS vfm_index FROM listing WHERE price > 0 AND rating > 0
-  ORDER BY vfm_index DESC, listing_id LIMIT 10)""", ("listing",))
+SELECT * FROM (SELECT listing_id, vfm_index, dense_rank() OVER (ORDER BY vfm_index DESC) AS rank FROM (
+  SELECT listing_id, {_VFM} AS vfm_index FROM listing WHERE price > 0 AND rating > 0)) WHERE rank <= 10""", ("listing",))
 def _vfm_top(t):
     return W.value_for_money_rank(t.listing(), 10, None)
 
@@ -49,10 +48,10 @@ def _norm(c):
 
 
 @register("hot_rank", f"""
-SELECT listing_id, rating, review_count, sales, hot_score, rank() OVER (ORDER BY hot_score DESC) AS rank FROM (
+SELECT * FROM (SELECT listing_id, rating, review_count, sales, hot_score, rank() OVER (ORDER BY hot_score DESC) AS rank FROM (
   SELECT listing_id, rating, review_count, sales,
          {R(f"{_norm('rating')} * 0.5 + {_norm('review_count')} * 0.3 + {_norm('sales')} * 0.2", 6)} AS hot_score
-  FROM listing ORDER BY hot_score DESC, listing_id LIMIT 20)""", ("listing",))
+  FROM listing)) WHERE rank <= 20""", ("listing",))
 def _hot_rank(t):
     return W.hot_rank(t.listing())
 

@@ -71,7 +71,7 @@ def flatten_api_payload(df: DataFrame, key: str, col: str, kind: str = "reviews"
             _strip_tags(F.col(f"{d}.reviewBody")).alias("body"), F.col(f"{d}.voteCount").alias("votes"),
             F.col(f"{d}.replyCount").alias("replies"), F.col(f"{d}.viewCount").alias("views"),
             F.col(f"{d}.avgPrice").alias("avg_price"),
-            F.coalesce(F.col(f"{d}.extInfoList")[0]["values"], F.array().cast("array<string>")).alias("liked_dishes"),
+            F.coalesce(F.get(F.col(f"{d}.extInfoList"), F.lit(0))["values"], F.array().cast("array<string>")).alias("liked_dishes"),
             F.col("r.reviewDataVO.addTimeVO").alias("published"),
             F.col("r.reviewDataVO.followNoteString").alias("reply"),
             F.coalesce(F.transform("r.picList", lambda x: x["bigPicture"]), F.array().cast("array<string>"))

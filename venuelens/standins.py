@@ -22,25 +22,14 @@ BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "li
 
 class Tables:
     """Lazily read driver tables of one scale folder and derive the stand-in views.
-
-    The driver's files are single row groups, so a scan is one task however
-    many cores there are.  ``spread=True`` spreads a table read with fewer
-    splits than the default parallelism round-robin right after the scan; at
-    sf0.1 the extra shuffle cost more than it saved (measured), so it is off.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, spread: bool = False):
+    def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
-        self.spread = spread
 
     def base(self, name: str) -> DataFrame:
-        df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-        if self.spread:
-            cores = self.spark.sparkContext.defaultParallelism
-            if df.rdd.getNumPartitions() < cores:
-                df = df.repartition(cores)
-        return df
+        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in BASE_TABLES:
@@ -90,7 +79,8 @@ class Tables:
     # ---- review_text -------------------------------------------------------------
     def review_text(self) -> DataFrame:
         d = self.base("documents")
-        b = self.base("labels")
+        # one row a document by construction, so a reader of the text alone needs no join
+        b = self.base("labels").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.max("quality").alias("quality"))
         return (d.join(b, d.doc_id == b.doc_id, "left")
                 .select(
                     d.doc_id.alias("review_id"),

@@ -41,7 +41,7 @@ def event_time(df: DataFrame, col: str) -> DataFrame:
 
 
 def stage_slices(df: DataFrame, ts_col: str, path: str, n: int = 4, order: Sequence[int] | None = None) -> list[str]:
-    """Write ``df`` to a landing folder as ``n`` equal time slices, one file each, in
+    """Write ``df`` to a landing folder as ``n`` equal time slices, in
     ``order`` (default oldest first): a stand-in for files arriving over time.
 
     Returns the folders written.  The slice bounds come from one min/max aggregate.
@@ -57,7 +57,7 @@ def stage_slices(df: DataFrame, ts_col: str, path: str, n: int = 4, order: Seque
         if i < n - 1:
             cond = cond & (t < lo + (i + 1) * step)
         folder = f"{path}/arrival={seq:04d}"
-        df.where(cond).coalesce(1).write.mode("overwrite").parquet(folder)
+        df.where(cond).write.mode("overwrite").parquet(folder)
         out.append(folder)
     return out
 
@@ -78,11 +78,15 @@ def _changes_writer(path: str, extra: Callable[[DataFrame, int], DataFrame] | No
     return write
 
 
-def latest_state(spark: SparkSession, changes: str, key: Sequence[str]) -> DataFrame:
-    """Merge on read: the row of the highest batch per key (a grouped aggregate, partial + final)."""
+def latest_state(spark: SparkSession, changes: str, key: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
+    """Merge on read: the row that is last by ``order_by``, then by batch, per key (a grouped aggregate, partial + final).
+
+    Without ``order_by`` the highest batch wins: right for running totals, wrong for
+    rows that may arrive late.
+    """
     ch = spark.read.parquet(changes)
     others = [c for c in ch.columns if c not in key and c not in ("_batch", "batch")]
-    agg = ch.groupBy(*key).agg(F.max_by(F.struct(*others), F.col("_batch")).alias("_r"))
+    agg = ch.groupBy(*key).agg(F.max_by(F.struct(*others), F.struct(*order_by, "_batch")).alias("_r"))
     return agg.select(*key, *[F.col(f"_r.{c}").alias(c) for c in others])
 
 
@@ -94,7 +98,8 @@ def new_run(spark: SparkSession, name: str) -> dict:
 # ---- G1 ----------------------------------------------------------------------------
 def stream_upsert(src: DataFrame, key: Sequence[str], order_by: Sequence[str], out: str, checkpoint: str):
     """Incremental upsert: each micro-batch keeps its last row per key and appends it to a
-    change folder; ``latest_state(out, key)`` is the upserted table."""
+    change folder; ``latest_state(out, key, order_by)`` is the upserted table, in whatever
+    order the files arrive."""
     def per_batch(b: DataFrame, batch_id: int):
         others = [c for c in b.columns if c not in key]
         last = b.groupBy(*key).agg(F.max_by(F.struct(*others), F.struct(*order_by)).alias("_r")) \
@@ -183,12 +188,8 @@ def stream_late_split(src: DataFrame, ts: str, delay_seconds: int, out: str, che
         return f"{out}/_max/b={batch_id:08d}"
 
     def per_batch(b: DataFrame, batch_id: int):
-        prev = None
-        if batch_id > 0:
-            try:
-                prev = spark.read.parquet(mark_path(batch_id - 1)).first()["max_ts"]
-            except Exception:  # noqa: BLE001 - the previous batch wrote no mark (empty)
-                prev = None
+        # every batch writes its mark, an empty batch the one before it: a failing read fails the batch
+        prev = spark.read.parquet(mark_path(batch_id - 1)).first()["max_ts"] if batch_id > 0 else None
         t = F.col(ts).cast("timestamp")
         if prev is None:
             late_cond = F.lit(False)
