@@ -54,7 +54,7 @@ def test_awkward_rows(spark):
 
 
 def test_words_apart_give_the_ids_of_the_whole_text():
-    texts = ["Hello  World\n it's", "a\x1cb c d", "á b ́c", "", " ", "don 't İI ẞ", "日本 12 3"]
+    texts = ["ΟΔΟΣ Σ ΣΑΣ", "x <|endoftext|> y", "Ⅷ ½ ǅ ﬁ e\u0301 \u0301", "it'LL don'T ''s", "Hello  World\n it's", "a\x1cb c d", "á b ́c", "", " ", "don 't İI ẞ", "日本 12 3"]
     tokenizer = Tokenizer.from_file(P.default_vocabulary())
     edge, ids = P.token_ids([t.encode() for t in texts], P.default_vocabulary(), None)
     for t, a, b in zip(texts, edge, edge[1:]):

@@ -19,8 +19,12 @@ each for itself. An empty table gives no pieces. Other columns are ignored.
 
 from __future__ import annotations
 
+import json
 import os
+import re
+import unicodedata
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -36,7 +40,7 @@ SLACK = 32
 #: Rests of so few tokens are never cut.
 SMALL = 16
 #: Distinct words whose ids a worker remembers; past it the memory starts anew.
-REMEMBERED = 200_000
+REMEMBERED = 300_000
 
 
 def default_vocabulary() -> str:
@@ -46,48 +50,89 @@ def default_vocabulary() -> str:
 
 
 _WORKER: dict = {}
+_SPECIAL = ("<|startoftext|>", "<|endoftext|>")
 
 
-def _ids_of_words(path: str, words: list[bytes]) -> list[bytes]:
-    """Packed 32-bit ids of each distinct word. White space always parts tokens here, so words may be encoded one by one."""
+def _byte_letters() -> dict[int, int]:
+    """Byte-level BPE's letter of each byte: printable bytes stand for themselves, the others follow from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {**{b: b for b in plain}, **{b: 256 + i for i, b in enumerate(rest)}}
+
+
+def _tools(path: str):
+    """(tokenizer, its model, splitter of normalised text into words, byte letters, known words)."""
     if path not in _WORKER:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        import regex
         from tokenizers import Tokenizer
 
-        _WORKER[path] = (Tokenizer.from_file(path), {})
-    tokenizer, known = _WORKER[path]
+        with open(path) as f:
+            shape = json.load(f)
+        steps = [x["type"] for x in shape["normalizer"]["normalizers"]]
+        split, by_bytes = shape["pre_tokenizer"]["pretokenizers"]
+        if steps != ["NFC", "Replace", "Lowercase"] or split["pattern"]["Regex"] != _PATTERN or by_bytes["use_regex"]:
+            raise ValueError(f"{path}: words are not split as expected (NFC, white space, lower case; one pattern; byte letters)")
+        tokenizer = Tokenizer.from_file(path)
+        _WORKER[path] = (tokenizer, tokenizer.model, regex.compile(split["pattern"]["Regex"]).findall, _byte_letters(), {})
+    return _WORKER[path]
+
+
+#: The vocabulary's pattern as it reads on lower-case ASCII, for a faster splitter.
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_split_ascii = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ \t\n\x0b\x0c\ra-z0-9]+").findall
+
+
+def _words(text: str, split) -> list[str]:
+    """The words of a text: what the vocabulary's normaliser and pattern make of it."""
+    if text.isascii():
+        return _split_ascii(text.lower())
+    return split(unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3").lower())  # letter by letter: no final sigma
+
+
+def _ids_of_words(path: str, words: list[str]) -> list[bytes]:
+    """Packed 32-bit ids of each distinct word."""
+    _, model, _, letters, known = _tools(path)
     if len(known) > REMEMBERED:
         known.clear()
-    new = [w for w in words if w not in known]
-    for at in range(0, len(new), 1000):
-        part = new[at: at + 1000]
-        coded = tokenizer.encode_batch([w.decode("utf-8") for w in part], add_special_tokens=False)
-        known.update(zip(part, (np.array(c.ids, np.uint32).tobytes() for c in coded)))
+    for w in words:
+        if w not in known:
+            found = model.tokenize(w.encode().decode("latin-1").translate(letters))
+            known[w] = np.array([t.id for t in found], np.uint32).tobytes()
     return [known[w] for w in words]
 
 
 def token_ids(texts: list[bytes], path: str, end_id: int | None = END_ID) -> tuple[np.ndarray, np.ndarray]:
-    """(offsets, ids): the ids of each UTF-8 text, each followed by end_id."""
-    place: dict[bytes, int] = {}
-    number = place.setdefault
-    at, sizes = [], np.zeros(len(texts), np.int64)
-    for i, text in enumerate(texts):
-        words = text.split()
-        at.append(np.fromiter((number(w, len(place)) for w in words), np.int64, len(words)))
-        sizes[i] = len(words)
-    coded = _ids_of_words(path, list(place))
-    if end_id is not None:
-        coded.append(np.array([end_id], np.uint32).tobytes())
-    lengths = np.array([len(c) for c in coded], np.int64) // 4
-    starts = np.r_[0, np.cumsum(lengths)][:-1] if len(lengths) else lengths
-    table = np.frombuffer(b"".join(coded), np.uint32)
+    """(offsets, ids): the ids of each UTF-8 text, each followed by end_id.
+
+    Each distinct word is encoded once. A text with the name of a special token in it goes through the tokenizer whole.
+    """
+    tokenizer, _, split, _, _ = _tools(path)
+    words, whole = [], {}
+    for i, raw in enumerate(texts):
+        text = raw.decode("utf-8")
+        if any(x in text for x in _SPECIAL):
+            whole[i] = np.array(tokenizer.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
+            words.append([("whole", i)])
+        else:
+            words.append(_words(text, split))
+        if end_id is not None:
+            words[-1].append(None)
+    distinct = list(dict.fromkeys(chain.from_iterable(words)))
+    plain = [w for w in distinct if isinstance(w, str)]
+    coded = dict(zip(plain, _ids_of_words(path, plain)))
     if end_id is not None:
-        at = [x for a in at for x in (a, np.array([len(coded) - 1]))]
-        sizes = sizes + 1
-    words_at = np.concatenate(at) if at else np.zeros(0, np.int64)
-    count = lengths[words_at]
+        coded[None] = np.array([end_id], np.uint32).tobytes()
+    coded |= {("whole", i): ids for i, ids in whole.items()}
+    lengths = np.array([len(coded[w]) for w in distinct], np.int64) // 4
+    starts = np.cumsum(lengths) - lengths
+    table = np.frombuffer(b"".join(coded[w] for w in distinct), np.uint32)
+    place = {w: i for i, w in enumerate(distinct)}
+    sizes = np.array([len(w) for w in words], np.int64)
+    at = np.fromiter(map(place.__getitem__, chain.from_iterable(words)), np.int64, int(sizes.sum()))
+    count = lengths[at]
     total = np.r_[0, np.cumsum(count)]
-    ids = table[np.repeat(starts[words_at] - total[:-1], count) + np.arange(total[-1])]
+    ids = table[np.repeat(starts[at] - total[:-1], count) + np.arange(total[-1])]
     return total[np.r_[0, np.cumsum(sizes)]], ids
 
 
