@@ -79,7 +79,7 @@ MAP = [
     ("F1", "operators.filters.search_listings", ["search_listings", "search_total", "search_default_page"]),
     ("F2", "operators.filters.filter_polarity", ["filter_polarity_positive", "filter_polarity_negative"]),
     ("F3", "operators.filters.filter_training_rows", ["filter_training_rows"]),
-    ("F4", "operators.filters.filter_logs", ["filter_logs"]),
+    ("F4", "operators.filters.filter_logs", ["filter_logs", "filter_logs_page", "filter_logs_total"]),
     ("F5", "operators.filters.exclude_tags", ["exclude_tags"]),
     ("F6", "operators.filters.get_by_key", ["get_by_key"]),
     # 2.4 aggregates
@@ -111,8 +111,8 @@ MAP = [
     # 2.5 joins
     ("J1", "operators.joins.favorites_only", ["favorites_only"]),
     ("J2", "operators.joins.exclude_favorites", ["exclude_favorites"]),
-    ("J3", "operators.joins.user_favorites", ["user_favorites", "user_favorites_page"]),
-    ("J4", "operators.joins.listing_reviews", ["listing_reviews", "listing_reviews_page"]),
+    ("J3", "operators.joins.user_favorites", ["user_favorites", "user_favorites_page", "user_favorites_total"]),
+    ("J4", "operators.joins.listing_reviews", ["listing_reviews", "listing_reviews_page", "listing_reviews_total"]),
     ("J5", "operators.joins.enrich_search_with_detail", ["enrich_search_with_detail"]),
     ("J6", "operators.joins.fetch_backlog", ["fetch_backlog"]),
     ("J7", "operators.joins.dictionary_match", ["dictionary_match", "dictionary_first_match"]),
@@ -166,7 +166,7 @@ MAP = [
     ("P2", "operators.compete.strengths_weaknesses", ["strengths_weaknesses"]),
     ("P3", "operators.compete.swot", ["swot"]),
     ("P4", "operators.compete.competition_landscape", ["competition_landscape"]),
-    ("X1", "operators.trends.category_trend", ["category_trend"]),
+    ("X1", "operators.trends.category_trend", ["category_trend", "category_listing_trend"]),
     ("X2", "operators.trends.new_listing_trend", ["new_listing_trend"]),
     ("X3", "operators.trends.price_trend", ["price_trend"]),
     ("X4", "operators.trends.business_area_trend", ["business_area_trend"]),
@@ -190,7 +190,7 @@ MAP = [
     # 2.11 reports
     ("B1", "plans.reports.report_dataset", ["report_dataset"]),
     ("B2", "plans.reports.report_facts", ["report_facts"]),
-    ("B3", "plans.reports.market_report", ["market_report"]),
+    ("B3", "plans.reports.market_report", ["market_report", "market_report_period"]),
     ("B4", "plans.reports.competitor_report", ["competitor_report"]),
     ("B5", "plans.reports.dashboard", ["dashboard"]),
 ]

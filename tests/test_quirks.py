@@ -71,3 +71,31 @@ def test_q19_backlog_is_anti_join(spark):
     done = spark.createDataFrame([(2,)], "listing_id long")
     assert [r.listing_id for r in J.fetch_backlog(df, done).collect()] == [1]
     assert F is not None
+
+
+def test_broken_records_give_values_instead_of_errors(spark):
+    """A repeated label or title keeps its last value; an empty list of extras gives an empty list."""
+    from pyspark.sql import functions as F
+
+    from venuelens.functions.cleaning import split_score_text, zip_scores
+    df = spark.createDataFrame([("口味：4.5 环境：4.0 口味：3.0 人均：88元", ["a", "b", "a"], ["1", "2", "3", "4"])], "s string, t array<string>, v array<string>")
+    got = df.select(split_score_text("s").alias("m"), zip_scores("t", "v").alias("z")).head()
+    assert got.m == {"口味": "3.0", "环境": "4.0"} and got.z == {"a": "3", "b": "2"}
+    assert df.select(split_score_text(F.lit("novalue")).alias("m")).head().m == {"novalue": None}
+
+
+def test_upsert_follows_event_order_not_arrival(spark, tmp_path):
+    """Changes of one key that arrive in the wrong order, and one more batch after a restart."""
+    from venuelens.streaming import jobs as G
+    out = str(tmp_path / "changes")
+    for batch, rows in enumerate([[(1, 5, "new")], [(1, 3, "old"), (2, 1, "x")], [(2, 1, "y")]]):
+        spark.createDataFrame(rows, "id int, ts int, v string").selectExpr("*", f"{batch}L as _batch").write.parquet(f"{out}/batch={batch:08d}")
+    assert {r.id: r.v for r in G.latest_state(spark, out, ["id"], ["ts"]).collect()} == {1: "new", 2: "y"}
+
+
+def test_ranks_keep_ties(spark):
+    from venuelens.operators import windows as W
+    df = spark.createDataFrame([(i, 4.0, 50.0 if i < 29 else 100.0 + i, 1, 1, "c") for i in range(40)],
+                               "listing_id int, rating double, price double, review_count int, sales int, category string")
+    assert W.value_for_money_rank(df, 1, None).count() == 29 == W.value_for_money_rank(df, 1).count()
+    assert W.hot_rank(df, k=5).count() == 40

@@ -89,6 +89,11 @@ def search_total(df: DataFrame, **filters) -> DataFrame:
     return search_filter(df, **filters).select(F.count(F.lit(1)).alias("total"))
 
 
+def total(df: DataFrame) -> DataFrame:
+    """One row: the number of rows behind a page."""
+    return df.select(F.count(F.lit(1)).alias("total"))
+
+
 # ---- F2 ----------------------------------------------------------------------------
 def filter_polarity(rv: DataFrame, positive: bool = True, limit: int | None = None, text: str = "text",
                     sentiment: str = "sentiment", rating: str = "rating", order: Sequence[str] = ("ts",),

@@ -27,6 +27,14 @@ def category_trend(df: DataFrame, rv: DataFrame, unit: str = "month", key: str =
     return s.withColumn("change", F.col("reviews") - F.lag("reviews").over(w))
 
 
+def category_listing_trend(df: DataFrame, unit: str = "month", seen: str = "seen_at") -> DataFrame:
+    """Listings first seen per category per period with the change against the previous period."""
+    s = df.where(F.col(seen).isNotNull()).groupBy("category", period(seen, unit).alias("period")).agg(
+        F.count(F.lit(1)).alias("listings"))
+    w = Window.partitionBy("category").orderBy("period")
+    return s.withColumn("change", F.col("listings") - F.lag("listings").over(w))
+
+
 # ---- X2 ----------------------------------------------------------------------------
 def new_listing_trend(df: DataFrame, unit: str = "month", seen: str = "seen_at") -> DataFrame:
     """Listings by the period they were first seen, per area."""

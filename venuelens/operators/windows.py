@@ -96,7 +96,7 @@ def market_share(df: DataFrame, area: str = "area", chain: str = "name") -> Data
 # ---- W8 ----------------------------------------------------------------------------
 def price_anomaly(df: DataFrame, method: str = "zscore", k: float = 2.0, by: str = "category",
                   price: str = "price", key: str = "listing_id") -> DataFrame:
-    """Listings whose price is unusual within their group.
+    """Listings whose price is unusual within their group, flagged high or low (others are left out).
 
     zscore: |price - mean| / stddev_samp > k.  iqr: outside [q1 - k*iqr, q3 + k*iqr]
     (exact quartiles; the percentile buffer grows with distinct prices, not rows).
@@ -106,7 +106,8 @@ def price_anomaly(df: DataFrame, method: str = "zscore", k: float = 2.0, by: str
         st = pos.groupBy(by).agg(F.avg("p").alias("mu"), F.stddev_samp("p").alias("sd"))
         z = (F.col("p") - F.col("mu")) / F.nullif(F.col("sd"), F.lit(0.0))
         return (pos.join(st, by).select(key, by, F.col("p").alias("price"), round_half_up(z, 4).alias("score"))
-                .withColumn("flag", F.when(F.col("score") > k, "high").when(F.col("score") < -k, "low")))
+                .withColumn("flag", F.when(F.col("score") > k, "high").when(F.col("score") < -k, "low"))
+                .where("flag IS NOT NULL"))
     if method == "iqr":
         st = pos.groupBy(by).agg(F.percentile("p", 0.25).alias("q1"), F.percentile("p", 0.75).alias("q3"))
         iqr = F.col("q3") - F.col("q1")
@@ -114,7 +115,7 @@ def price_anomaly(df: DataFrame, method: str = "zscore", k: float = 2.0, by: str
                                         round_half_up(F.col("q1") - iqr * k, 4).alias("low_fence"),
                                         round_half_up(F.col("q3") + iqr * k, 4).alias("high_fence"))
                 .withColumn("flag", F.when(F.col("price") > F.col("high_fence"), "high")
-                            .when(F.col("price") < F.col("low_fence"), "low")))
+                            .when(F.col("price") < F.col("low_fence"), "low")).where("flag IS NOT NULL"))
     raise ValueError(method)
 
 

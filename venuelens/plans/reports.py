@@ -161,8 +161,14 @@ def report_facts(df: DataFrame, known_areas=dims.KNOWN_DISTRICTS, n_top: int = 3
 
 
 # ---- B3 ----------------------------------------------------------------------------
-def market_report(df: DataFrame, known_areas=dims.KNOWN_DISTRICTS, **filters) -> DataFrame:
-    """The report restricted by area / category / price range (search filters)."""
+def market_report(df: DataFrame, known_areas=dims.KNOWN_DISTRICTS, seen_from: str | None = None,
+                  seen_before: str | None = None, **filters) -> DataFrame:
+    """The report restricted by area / category / price range (search filters) and by when a
+    listing was seen: from ``seen_from`` on, before ``seen_before``."""
+    if seen_from is not None:
+        df = df.where(F.col("seen_at") >= F.lit(seen_from).cast("timestamp_ntz"))
+    if seen_before is not None:
+        df = df.where(F.col("seen_at") < F.lit(seen_before).cast("timestamp_ntz"))
     return report_dataset(Fl.search_filter(df, **filters), known_areas)
 
 

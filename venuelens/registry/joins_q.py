@@ -20,10 +20,12 @@ def _favorites_only(t):
     return J.favorites_only(t.listing(), t.favorite())
 
 
-@register("exclude_favorites", "SELECT * FROM listing WHERE listing_id NOT IN (SELECT listing_id FROM favorite)",
+@register("exclude_favorites", """
+SELECT * FROM listing WHERE listing_id NOT IN (SELECT listing_id FROM favorite WHERE user_id % 10 = 1)""",
           ("listing", "favorite"))
 def _exclude_favorites(t):
-    return J.exclude_favorites(t.listing(), t.favorite())
+    """Listings that the asking users have not saved."""
+    return J.exclude_favorites(t.listing(), t.favorite().where(F.col("user_id") % 10 == 1))
 
 
 @register("user_favorites", """
@@ -41,6 +43,19 @@ def _user_favorites_page(t):
     return J.user_favorites(t.listing(), t.favorite(), page_no=3, size=20)
 
 
+@register("user_favorites_total", """
+SELECT count(*) AS total FROM favorite f JOIN listing l ON l.listing_id = f.listing_id""", ("listing", "favorite"))
+def _user_favorites_total(t):
+    return Fl.total(J.user_favorites(t.listing(), t.favorite()))
+
+
+@register("listing_reviews_total", """
+SELECT count(*) AS total FROM review r WHERE EXISTS (SELECT 1 FROM listing l WHERE l.listing_id = r.listing_id)""",
+          ("listing", "review"))
+def _listing_reviews_total(t):
+    return Fl.total(J.listing_reviews(t.listing(), t.review()))
+
+
 @register("listing_reviews", """
 SELECT * FROM review r WHERE EXISTS (SELECT 1 FROM listing l WHERE l.listing_id = r.listing_id)""",
           ("listing", "review"))
@@ -56,19 +71,20 @@ def _listing_reviews_page(t):
     return J.listing_reviews(t.listing(), t.review(), sort_by="rating", page_no=6, size=20)
 
 
-@register("fetch_backlog", "SELECT * FROM listing WHERE listing_id NOT IN (SELECT listing_id FROM review)",
+@register("fetch_backlog", """
+SELECT * FROM listing WHERE listing_id NOT IN (SELECT listing_id FROM review WHERE ts >= DATE '2001-09-15')""",
           ("listing", "review"))
 def _fetch_backlog(t):
-    return J.fetch_backlog(t.listing(), t.review())
+    """Listings without a recent review."""
+    return J.fetch_backlog(t.listing(), t.review().where(F.col("ts") >= F.lit("2001-09-15").cast("date")))
 
 
 @register("orphan_check", """
-SELECT * FROM review_text r WHERE NOT EXISTS (SELECT 1 FROM listing l WHERE l.listing_id = r.listing_id + 1990)""",
-          ("listing", "review_text"))
+SELECT * FROM review_text r WHERE NOT EXISTS (
+  SELECT 1 FROM listing l WHERE l.listing_id = r.listing_id AND l.category = 'PROMO')""", ("listing", "review_text"))
 def _orphan_check(t):
-    child = t.review_text().withColumn("_k", F.col("listing_id") + 1990)
-    parent = t.listing().withColumnRenamed("listing_id", "_k")
-    return J.orphan_check(child, parent, "_k").drop("_k")
+    """Reviews whose listing is not among the promoted ones."""
+    return J.orphan_check(t.review_text(), t.listing().where(F.col("category") == "PROMO"), "listing_id")
 
 
 # ---- J5 ----------------------------------------------------------------------------
@@ -232,6 +248,19 @@ def _filter_logs(t):
     return Fl.filter_logs(t.job_log(), "task_3", "error")
 
 
+@register("filter_logs_page", """
+SELECT * FROM job_log WHERE task_name = 'task_3' AND level = 'ERROR' ORDER BY create_time DESC, id DESC LIMIT 20 OFFSET 20""",
+          ("job_log",))
+def _filter_logs_page(t):
+    return Fl.page(Fl.filter_logs(t.job_log(), "task_3", "error"), [F.desc("create_time"), F.desc("id")], 2, 20)
+
+
+@register("filter_logs_total", "SELECT count(*) AS total FROM job_log WHERE task_name = 'task_3' AND level = 'ERROR'",
+          ("job_log",))
+def _filter_logs_total(t):
+    return Fl.total(Fl.filter_logs(t.job_log(), "task_3", "error"))
+
+
 @register("distinct_latest_tasks", "SELECT DISTINCT task_name FROM job_log ORDER BY task_name DESC LIMIT 50",
           ("job_log",))
 def _distinct_latest_tasks(t):

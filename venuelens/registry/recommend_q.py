@@ -216,6 +216,14 @@ def _category_trend(t):
     return X.category_trend(t.listing(), t.review(), "month")
 
 
+@register("category_listing_trend", """
+SELECT *, listings - lag(listings) OVER (PARTITION BY category ORDER BY period) AS change FROM (
+  SELECT category, CAST(date_trunc('month', seen_at) AS DATE) AS period, count(*) AS listings
+  FROM listing WHERE seen_at IS NOT NULL GROUP BY 1, 2)""", ("listing",))
+def _category_listing_trend(t):
+    return X.category_listing_trend(t.listing())
+
+
 @register("new_listing_trend", """
 SELECT CAST(date_trunc('month', seen_at) AS DATE) AS period, area, count(*) AS new_listings
 FROM listing WHERE seen_at IS NOT NULL GROUP BY 1, 2""", ("listing",))

@@ -54,6 +54,12 @@ def _market_report(t):
     return B.market_report(t.listing(), KNOWN, area="Brand#1", price_min=50, price_max=200)
 
 
+@register("market_report_period", _report_sql(
+    "SELECT * FROM listing WHERE seen_at >= TIMESTAMP '1996-01-01' AND seen_at < TIMESTAMP '1998-06-01'"), ("listing",))
+def _market_report_period(t):
+    return B.market_report(t.listing(), KNOWN, seen_from="1996-01-01", seen_before="1998-06-01")
+
+
 @register("report_facts", f"""
 WITH ov AS (SELECT count(*) AS total_count, coalesce({AVG('nullif(rating, 0)')}, 0.0) AS avg_rating,
               coalesce({AVG('nullif(price, 0)')}, 0.0) AS avg_price, count(DISTINCT area) AS area_count FROM listing),

@@ -69,7 +69,7 @@ WITH pos AS (SELECT listing_id, category, CAST(price AS DOUBLE) AS p FROM listin
 st AS (SELECT category, avg(p) AS mu, stddev_samp(p) AS sd FROM pos GROUP BY category),
 z AS (SELECT pos.listing_id, pos.category, pos.p AS price, {R('(pos.p - st.mu) / nullif(st.sd, 0.0)', 4)} AS score
       FROM pos JOIN st ON pos.category = st.category)
-SELECT *, CASE WHEN score > 1.5 THEN 'high' WHEN score < -1.5 THEN 'low' END AS flag FROM z""", ("listing",))
+SELECT *, CASE WHEN score > 1.5 THEN 'high' ELSE 'low' END AS flag FROM z WHERE score > 1.5 OR score < -1.5""", ("listing",))
 def _price_anomaly_z(t):
     return W.price_anomaly(t.listing(), "zscore", 1.5)
 
@@ -79,7 +79,8 @@ WITH pos AS (SELECT listing_id, area, CAST(price AS DOUBLE) AS p FROM listing WH
 st AS (SELECT area, quantile_cont(p, 0.25) AS q1, quantile_cont(p, 0.75) AS q3 FROM pos GROUP BY area),
 f AS (SELECT pos.listing_id, pos.area, pos.p AS price, {R('st.q1 - (st.q3 - st.q1) * 0.5', 4)} AS low_fence,
              {R('st.q3 + (st.q3 - st.q1) * 0.5', 4)} AS high_fence FROM pos JOIN st ON pos.area = st.area)
-SELECT *, CASE WHEN price > high_fence THEN 'high' WHEN price < low_fence THEN 'low' END AS flag FROM f""",
+SELECT *, CASE WHEN price > high_fence THEN 'high' ELSE 'low' END AS flag FROM f
+WHERE price > high_fence OR price < low_fence""",
           ("listing",))
 def _price_anomaly_iqr(t):
     return W.price_anomaly(t.listing(), "iqr", 0.5, by="area")
