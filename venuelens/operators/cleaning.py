@@ -265,6 +265,7 @@ LISTING_RULES = {
     "review_count": {"type": "int", "min": 0},
 }
 
+# The target columns in the order of the reference table.
 LISTING_COLUMNS = ["restaurant_id", "restaurant_name", "address", "phone", "business_hours", "avg_price",
                    "rating_overall", "review_count", "cuisine_type", "district", "business_area", "latitude",
                    "longitude", "data_source", "crawl_time"]

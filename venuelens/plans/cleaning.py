@@ -105,6 +105,7 @@ def clean_listing_log(raw: DataFrame, task_name: str, **kw) -> DataFrame:
 
 
 # ---- C31 ---------------------------------------------------------------------------
+# The transformed fields in the reference's order.
 TRANSFORM_FIELDS = ("restaurant_id", "phone", "business_hours", "avg_price", "rating_overall", "review_count",
                     "cuisine_type", "district", "business_area", "latitude", "longitude")
 
