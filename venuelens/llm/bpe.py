@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venuelens.llm.common import documents, flat, prepare, shuffle_partitions
+from venuelens.llm.common import documents, flat, lean, prepare, shuffle_partitions
 
 CHUNK_BYTES = 16 << 20
 OUT_BYTES = 4 << 20
@@ -163,6 +163,7 @@ class _Chunk:
         return _rows(name, out)
 
 
+@lean
 def _chunk_batches(batches: Iterator[pa.RecordBatch], buckets: int, pattern: str, kind: int) -> Iterator[pa.RecordBatch]:
     split = _splitter(pattern).findall
     chunk = _Chunk(buckets)
@@ -175,6 +176,7 @@ def _chunk_batches(batches: Iterator[pa.RecordBatch], buckets: int, pattern: str
         yield chunk.rows(kind)
 
 
+@lean
 def _answer_batches(batches: Iterator[pa.RecordBatch], path: str, pattern: str) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by bucket: each bucket's distinct words are encoded once, while its rows pass."""
     encode = _encoder(path, pattern)._encode_single_piece
@@ -226,6 +228,7 @@ def _assemble(places: bytes, answers: list[bytes]) -> Iterator[pa.RecordBatch]:
         begin = end
 
 
+@lean
 def _assemble_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by (chunk, copy, kind, bucket): places, then answers."""
     current, places, answers, seen = None, [], [], None

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
+from functools import wraps
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -36,6 +40,22 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def lean(batches_of):
+    """Wraps a mapInArrow function: when its task is done, freed memory goes back to the system.
+
+    Workers are reused by later tasks and stages, whose memory must fit beside what stays.
+    """
+
+    @wraps(batches_of)
+    def run(*args, **kwargs):
+        yield from batches_of(*args, **kwargs)
+        pa.default_memory_pool().release_unused()
+        if sys.platform.startswith("linux"):
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return run
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
@@ -100,7 +120,7 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
     return held[:n]
 
 
-def slices(offsets: np.ndarray, most: int = 2 << 20) -> list[tuple[int, int]]:
+def slices(offsets: np.ndarray, most: int = 1 << 19) -> list[tuple[int, int]]:
     """Row ranges of at most ``most`` bytes together (a longer row stands alone)."""
     out, begin = [], 0
     while begin < len(offsets) - 1:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from venuelens.llm.common import documents, flat, prepare, slices
+from venuelens.llm.common import documents, flat, lean, prepare, slices
 
 CAPACITY = 4096
 END_ID = 2
@@ -155,6 +155,7 @@ def cuts(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, np.
     return doc[order], start[order], size[order]
 
 
+@lean
 def _piece_batches(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         offsets, data = flat(batch.column("text"))

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venuelens.llm.common import carry, documents, prepare, restored
+from venuelens.llm.common import carry, documents, lean, prepare, restored
 
 ORDER = 4
 #: Held-out quantile and the slack above it.
@@ -44,6 +44,10 @@ SHARD_ROWS = 2_000_000
 #: Trusted ids are broadcast up to so many rows (16 MB), else joined by shuffle.
 BROADCAST_ROWS = 1_000_000
 
+#: Characters that a task looks at together, and distinct n-grams of a language that it sums before it sends them.
+SLICE = 1 << 18
+HELD_GRAMS = 1_000_000
+
 _FOLD = np.arange(65536, dtype=np.uint16)
 _FOLD[ord("0"): ord("9") + 1] = ord("0")
 _FOLD[[9, 10, 11, 12, 13]] = 32
@@ -69,21 +73,54 @@ def _grams(units: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def _by_language(batch: pa.RecordBatch) -> Iterator[tuple[str, np.ndarray, list]]:
+    """(language, rows, texts) of a batch, SLICE characters of text at a time (a longer text alone)."""
     langs = np.array([x if x is not None else "" for x in batch.column("_lang").to_pylist()], object)
     texts = batch.column("_text").to_pylist()
     for lang in sorted(set(langs)):
         rows = np.flatnonzero(langs == lang)
-        yield lang, rows, [texts[i] for i in rows]
+        ends = np.cumsum([len(texts[i] or "") for i in rows])
+        begin = 0
+        while begin < len(rows):
+            before = ends[begin - 1] if begin else 0
+            end = max(begin + 1, int(np.searchsorted(ends, before + SLICE, side="right")))
+            yield lang, rows[begin:end], [texts[i] for i in rows[begin:end]]
+            begin = end
+
+
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct n-grams of several (n-grams, counts), with the sums of their counts."""
+    gram = np.concatenate([p[0] for p in parts])
+    n = np.concatenate([p[1] for p in parts])
+    order = np.argsort(gram, kind="stable")
+    gram, n = gram[order], n[order]
+    head = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1]]) if len(gram) else np.zeros(0, np.int64)
+    return gram[head], np.add.reduceat(n, head) if len(head) else n
+
+
+@lean
+def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts summed over a task, so that an n-gram leaves it about once."""
+    held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
 
+    def out(lang: str) -> Iterator[pa.RecordBatch]:
+        gram, n = _summed(held.pop(lang))
+        for at in range(0, len(gram), 50_000):
+            part = gram[at: at + 50_000]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(part), pa.string()), pa.array(part.view(np.int64)), pa.array(n[at: at + 50_000])], ["lang", "gram", "n"]
+            )
 
-def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lang, _, texts in _by_language(batch):
             units, at, _ = _units(texts)
-            gram, n = np.unique(_grams(units, at), return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(gram), pa.string()), pa.array(gram.view(np.int64)), pa.array(n)], ["lang", "gram", "n"]
-            )
+            parts = held.setdefault(lang, [])
+            parts.append(np.unique(_grams(units, at), return_counts=True))
+            if len(parts) >= 16:
+                parts[:] = [_summed(parts)]
+            if sum(len(p[0]) for p in parts) > HELD_GRAMS:
+                yield from out(lang)
+    for lang in list(held):
+        yield from out(lang)
 
 
 def counts(docs: DataFrame) -> DataFrame:
@@ -200,6 +237,7 @@ def score(docs: DataFrame, held: list) -> DataFrame:
     return out
 
 
+@lean
 def _score_batches(batches: Iterator[pa.RecordBatch], shard, columns: list[str]) -> Iterator[pa.RecordBatch]:
     s, number, tables = shard.value
     for batch in batches:

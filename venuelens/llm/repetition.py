@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venuelens.llm.common import BASE, PrefixHash, carry, doc_of, documents, flat, mix, prepare, restored, sum_by, widened
+from venuelens.llm.common import BASE, PrefixHash, carry, doc_of, documents, flat, lean, mix, prepare, restored, slices, sum_by, widened
 
 #: Shares that trusted short documents with one repeated line stay below (they reach 0.28).
 #: Largest share of word characters inside n-grams found twice or more, by n.
@@ -145,9 +145,12 @@ def measures_of(offsets: np.ndarray, data: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
+@lean
 def _map(batches: Iterator[pa.RecordBatch], names: list[str], keep: list[str]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = measures_of(*flat(batch.column("text")))
+        offsets, data = flat(batch.column("text"))
+        parts = [measures_of(offsets[a: b + 1] - offsets[a], data[offsets[a]: offsets[b]]) for a, b in slices(offsets)]
+        found = {c: np.concatenate([p[c] for p in parts] or [np.zeros(0)]) for c in names}
         yield pa.RecordBatch.from_arrays(
             [batch.column(c) for c in keep] + [pa.array(found[c].astype(np.int64)) for c in names], [*keep, *names]
         )

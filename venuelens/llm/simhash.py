@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venuelens.llm.common import carry, documents, prepare, restored
+from venuelens.llm.common import carry, documents, lean, prepare, restored
 from venuelens.llm.components import components
 
 SHINGLE_WORDS = 4
@@ -152,6 +152,7 @@ def fingerprint(text: bytes | None) -> int:
     return int(_PLACE[2 * ones > len(hashes)].sum(dtype=np.uint64)) if len(hashes) else 0
 
 
+@lean
 def _print_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = batch.column("text").cast(pa.binary())
@@ -166,6 +167,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(_print_batches, f"doc_id {kind}, fp long")
 
 
+@lean
 def _key_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         prints = batch.column("fp").to_numpy()
@@ -179,6 +181,7 @@ def _popcount(x: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x)
 
 
+@lean
 def _link_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links (kind 0: two fingerprints) and rows of keys with more than WINDOW + 1 rows (kind 1: key, fingerprint).
 

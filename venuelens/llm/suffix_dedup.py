@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from venuelens.llm.common import PrefixHash, carry, doc_of, documents, flat, mix, prepare, restored, shuffle_partitions, slices, text_or_empty, widened
+from venuelens.llm.common import PrefixHash, carry, doc_of, documents, flat, lean, mix, prepare, restored, shuffle_partitions, slices, text_or_empty, widened
 
 MATCH = 100
 GRAM = 32
@@ -162,6 +162,7 @@ def _packed_rows(kid: np.ndarray, tag: np.ndarray, found: dict[str, np.ndarray],
             )
 
 
+@lean
 def _block_batches(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
     held: list[tuple] = []
     rows = size = 0
@@ -223,6 +224,7 @@ def _settle(blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
             yield out
 
 
+@lean
 def _settle_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by (kind, bucket): packed blocks bucket by bucket, then removed spans, which pass."""
     blobs: list[bytes] = []
@@ -365,6 +367,7 @@ def _sort_blocks(parts: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
         yield out
 
 
+@lean
 def _sort_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     parts: list = []
     current = None
@@ -383,6 +386,7 @@ def _pairs(blobs: list[bytes] | None) -> np.ndarray:
     return np.frombuffer(b"".join(blobs or []), "<i4").reshape(-1, 2).astype(np.int64)
 
 
+@lean
 def _open_batches(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
     """The open blocks of each document with their bytes, packed by bucket."""
     for batch in batches:
