@@ -43,6 +43,20 @@ def test_a_block_reaches_aliases(spark):
     assert U.judge(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_every_link_of_a_page_counts(spark):
+    rows = [
+        (1, "http://a.com/1", "<link rel=canonical href=/2><LINK REL=CaNoNiCaL HREF=http://q.net/z>"), (2, "http://a.com/2", None),
+        (3, "http://b.com/1", "<meta http-equiv=refresh content='0; url=/2'><Meta Http-Equiv='reFresh' Content='1; URL=http://c.org/fr/2'>"),
+        (4, "http://r.net/1", "<link rel=canonical href=http://b.com/2>"), (5, "http://b.com/2", ""),
+        (6, "http://d.com/1", "<LiNk ReL=cAnOnIcAl HrEf=http://q.net/z>"),
+    ]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = U.judge(df).select("page_id", "host", "path", "rule", "verdict").collect()
+    # 1 and 3 by their second links; 2 and 5 behind those edges; 6 by a spelling in mixed case
+    assert {r.page_id: r.verdict for r in got} == {1: "block", 2: "block", 3: "allow", 4: "block", 5: "allow", 6: "block"}
+    assert sorted(tuple(r) for r in got) == oracle(df.toPandas())
+
+
 def test_query_matches_sql(spark):
     got = sorted(tuple(r) for r in U.QUERIES["op7_url_redirects"](spark, SF).collect())
     assert got == oracle(spark.read.parquet(f"{SF}/pages.parquet").toPandas())

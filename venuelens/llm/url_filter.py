@@ -75,11 +75,11 @@ def _absolute(link: Column, base: Column) -> Column:
 
 
 def edges(pages_: DataFrame) -> DataFrame:
-    """(a, b): the declared redirects and canonical links of pages(url, html)."""
-    html = F.col("html")
-    links = F.array(
-        F.when(html.contains("canonical") | html.contains("CANONICAL") | html.contains("Canonical"), F.regexp_extract(html, _CANONICAL, 1)),
-        F.when(html.rlike("(?i)http-equiv"), F.regexp_extract(html, _REFRESH, 1)),
+    """(a, b): all declared redirects and canonical links of pages(url, html), however many a page has."""
+    html, none = F.col("html"), F.array().cast("array<string>")
+    links = F.concat(
+        F.when(html.rlike("(?i)canonical"), F.regexp_extract_all(html, F.lit(_CANONICAL), F.lit(1))).otherwise(none),
+        F.when(html.rlike("(?i)http-equiv"), F.regexp_extract_all(html, F.lit(_REFRESH), F.lit(1))).otherwise(none),
     )
     found = pages_.select("url", F.explode(links).alias("link")).where("link is not null and link <> '' and url is not null")
     return found.select(address(F.col("url")).alias("a"), address(_absolute(F.col("link"), F.col("url"))).alias("b")).where("a is not null and b is not null")
