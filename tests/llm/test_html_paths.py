@@ -32,6 +32,34 @@ def test_boilerplate_goes_and_structure_stays():
     assert page.text(path) == "Title\nHello big world\na & b c d\nx\ny\n1\n2"
 
 
+def test_heading_and_lead_stay_without_an_article_element(spark):
+    body = "running text of the story " * 20
+    page = "<body><nav>menu</nav><div class=post><h1>Title {n}</h1><p>the lead {n}</p><div class=body><p>{body}</div></div><div class=comments>no</div>"
+    rows = [(i, f"http://h.org/{i}", page.format(n=i, body=body)) for i in range(4)]
+    # most pages of this host have the text alone: heading and lead of the others stay
+    alone = "<body><div class=post><div class=body><p>" + body + "</div></div>"
+    rows += [(i, f"http://k.org/{i}", alone) for i in range(10, 16)] + [(16, "http://k.org/16", page.format(n=16, body=body))]
+    rows += [(17, "http://k.org/17", f"<body><div class=post><div class=top><h1>Title 17</h1></div><div class=body><p>{body}</div></div>")]
+    got = {r.page_id: r.text for r in X.extract(spark.createDataFrame(rows, SCHEMA)).collect()}
+    for i in (0, 1, 2, 3, 16):
+        assert got[i] == f"Title {i}\nthe lead {i}\n{body.strip()}"
+    assert got[10] == body.strip() and got[17] == f"Title 17\n{body.strip()}"
+    page = X.Page(f"<main><h1>Title</h1><article>{body}</article></main>")
+    assert page.text(page.candidate()[0]) == f"Title\n{body.strip()}"
+
+
+def test_a_wrapper_named_like_boilerplate_stays():
+    body = "running text of the story " * 20
+    for wrapper in ("div class=layout-sidebar-right", "section id=discussion", "div id=related-work", "ul class=menu-page"):
+        tag = wrapper.split()[0]
+        page = X.Page(f"<body><{wrapper}><h1>Title</h1><p>{body}</p><div class=sidebar>side</div><small class=ad>buy</small></{tag}><div class=comments><p>no</div>")
+        assert page.text(page.candidate()[0]) == f"Title\n{body.strip()}", wrapper
+    page = X.Page(f"<body><div class=text><p>{body}</div><div class=comments><p>{body[:200]}</div>")
+    assert page.text(page.candidate()[0]) == body.strip() and not any("comments" in c[0] for c in page.containers)
+    page = X.Page(f"<body><article>short</article><div class=cookie-bar>{body}</div>")
+    assert page.text(page.candidate()[0]) == "short"
+
+
 def test_odd_markup():
     for source, text in [
         ("", ""), ("plain 3 < 4 text", "plain 3 < 4 text"), ('<p title="x>y">a</p><a href="foo>b</a> c', "a\nb c"), ("<!-- x", ""), ("<div", ""),

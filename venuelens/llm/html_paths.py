@@ -2,18 +2,22 @@
 
 1. Each page is parsed into blocks of text and the containers that hold them. A container's
    path joins the generalised names (tag, classes without digits) from the root down. The
-   page's own candidate is the deepest container that still holds most of the page's running
-   text (text outside boilerplate and outside links), or the <article> or <main> around it.
+   page's own candidate is the outermost <article> or <main> around the deepest container that
+   holds most of the page's running text (text outside boilerplate and outside links); without
+   one, the deepest container that holds all running text and all headings.
 2. Pages vote: the running text under a page's candidate counts for (host, path). Votes are
    summed per host in Spark.
 3. Every page takes the path with most votes on its host among those it has itself, and its
-   text is extracted again under that path.
+   text is extracted again under that path. Outside an <article> or <main> it climbs to the
+   ancestor that holds the page's headings and the running text beside the path.
 
 The html is read by two scans and shuffled once, by page and never by host, so a host with a
 third of all pages costs nothing special; the small (host, path) rows are salted by page.
 
 Left out at any depth: scripts, styles, templates, forms, menus, headers outside the article,
-footers, sidebars, notices, adverts, comments and hidden parts, by tag, role, class or id.
+footers, sidebars, notices, adverts, comments and hidden parts, by tag, role, class or id; but
+never by class or id alone an element that holds more than half of the page's running text
+and has no <article> or <main> with text beside it.
 Character references are decoded, white space in a block becomes one space, blocks are
 trimmed and joined by line feeds in page order; an empty block is none.
 
@@ -73,15 +77,21 @@ _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _HEADING = re.compile(r"h[1-6]\Z")
 
 
-def _boilerplate(tag: str, attrs: dict[str, str], in_article: bool) -> bool:
+def _left_out(tag: str, attrs: dict[str, str], in_article: bool) -> bool:
+    """Boilerplate by tag or role, or hidden: it never comes back."""
     if tag in DROPPED or (tag == "header" and not in_article):
         return True
     if not attrs or tag in ("html", "body", "main", "article"):
         return "hidden" in attrs and tag not in ("html", "body")
     if "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true" or attrs.get("role", "").lower() in ROLES:
         return True
-    if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attrs.get("style", ""), re.I):
-        return True
+    return bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attrs.get("style", ""), re.I))
+
+
+def _named(tag: str, attrs: dict[str, str], in_article: bool) -> bool:
+    """Boilerplate by a word of its class or id."""
+    if not attrs or tag in ("html", "body", "main", "article"):
+        return False
     if tag in ("span", "a", "b", "i", "em", "strong"):
         return False
     for name in (*attrs.get("class", "").split(), attrs.get("id", "")):
@@ -99,13 +109,14 @@ def _general(tag: str, attrs: dict[str, str]) -> str:
 
 
 class Page:
-    """blocks: (container, text, characters outside links); containers: (path, parent, tag)."""
+    """blocks: (container, text, characters outside links, heading or not); containers: (path, parent, tag)."""
 
     def __init__(self, html: str):
-        self.blocks: list[tuple[int, str, int]] = []
+        self.blocks: list[tuple[int, str, int, bool]] = []
         self.containers: list[tuple[str, int, str]] = [("", -1, "")]
         stack: list[tuple[str, int, bool, bool]] = []  # tag, container, dropped, inside an article
-        container, dropped, article, links = 0, False, False, 0
+        container, dropped, article, links, heads = 0, False, False, 0, 0
+        named: set[int] = set()  # containers that look like boilerplate by class or id
         pieces: list[str] = []
         free = 0
 
@@ -114,7 +125,7 @@ class Page:
             if pieces:
                 text = " ".join("".join(pieces).split())
                 if text:
-                    self.blocks.append((container, text, min(free, len(text))))
+                    self.blocks.append((container, text, min(free, len(text)), heads > 0))
                 pieces.clear()
             free = 0
 
@@ -131,10 +142,11 @@ class Page:
 
         def pop_to(at: int) -> None:
             """Ends the open elements from ``at`` on."""
-            nonlocal container, dropped, article, links
-            if any(x[0] not in INLINE for x in stack[at:]):
+            nonlocal container, dropped, article, links, heads
+            if any(x[0] not in INLINE or x[1] in named for x in stack[at:]):
                 close_block()
             links -= sum(x[0] == "a" for x in stack[at:])
+            heads -= sum(bool(_HEADING.match(x[0])) for x in stack[at:])
             del stack[at:]
             container, dropped, article = state()
 
@@ -184,26 +196,65 @@ class Page:
                 if tag == "tr" and (at := last(("tr",), ("table",))) is not None:
                     pop_to(at)
                 close_block()
-            drop = dropped or _boilerplate(tag, attrs, article)
-            if drop and not dropped:
+            drop = dropped or _left_out(tag, attrs, article)
+            by_name = not drop and _named(tag, attrs, article)
+            if (drop and not dropped) or by_name:
                 close_block()
-            if not drop and tag in CONTAINERS:
+            if not drop and (by_name or tag in CONTAINERS):
                 self.containers.append((f"{self.containers[container][0]}>{_general(tag, attrs)}", container, tag))
                 container = len(self.containers) - 1
+                if by_name:
+                    named.add(container)
             dropped, article = drop, article or tag in ("article", "main")
             links += tag == "a"
+            heads += bool(_HEADING.match(tag))
             if raw.endswith("/") and tag not in INLINE and not attrs and tag not in CONTAINERS:
                 container, dropped, article = state()
                 continue
             stack.append((tag, container, dropped, article))
         add(html[begin:])
         close_block()
+        if named:
+            self._drop(named)
+
+    def _drop(self, named: set[int]) -> None:
+        """Takes out the ``named`` containers, with all they hold, but for wrappers.
+
+        A wrapper holds more than half of the running text, and no <article> or <main> beside it holds any.
+        """
+        weight = self.weights()
+        free = [True]  # of named ancestors
+        for c in range(1, len(self.containers)):
+            free.append(free[self.containers[c][1]] and c not in named)
+        beside = any(n and free[c] and self._marked(c) for c, _, n, _ in self.blocks)
+        at, kept = [0], [self.containers[0]]
+        for c, (path, parent, tag) in enumerate(self.containers[1:], 1):
+            up = at[parent]
+            if up < 0 or (c in named and (2 * weight[c] <= weight[0] or (beside and not self._marked(c)))):
+                at.append(-1)
+            elif tag in CONTAINERS:
+                at.append(len(kept))
+                kept.append((kept[up][0] + path[len(self.containers[parent][0]):], up, tag))
+            else:
+                at.append(up)
+        self.containers = kept
+        self.blocks = [(at[c], *rest) for c, *rest in self.blocks if at[c] >= 0]
 
     def weights(self) -> list[int]:
         """Running text under each container."""
         out = [0] * len(self.containers)
-        for c, _, free in self.blocks:
+        for c, _, free, _ in self.blocks:
             out[c] += free
+        return self._summed(out)
+
+    def headings(self) -> list[int]:
+        """Blocks of headings under each container."""
+        out = [0] * len(self.containers)
+        for c, _, _, heading in self.blocks:
+            out[c] += heading
+        return self._summed(out)
+
+    def _summed(self, out: list[int]) -> list[int]:
         for c in range(len(out) - 1, 0, -1):
             out[self.containers[c][1]] += out[c]
         return out
@@ -215,25 +266,48 @@ class Page:
         for c in range(1, len(weight)):
             if weight[c] and weight[c] >= MOST * weight[0] and self._inside(c, best):
                 best = c
-        up = best
-        while up > 0:
-            if self.containers[up][2] in ("article", "main"):
-                best = up
-                break
-            up = self.containers[up][1]
+        marked = self._marked(best)
+        if marked:
+            best = marked
+        else:
+            heads = self.headings()
+            while best > 0 and (weight[best] < weight[0] or heads[best] < heads[0]):
+                best = self.containers[best][1]
         return self.containers[best][0], weight[best]
 
+    def _marked(self, c: int) -> int:
+        """The outermost <article> or <main> around ``c``, or 0."""
+        out = 0
+        while c > 0:
+            if self.containers[c][2] in ("article", "main"):
+                out = c
+            c = self.containers[c][1]
+        return out
+
     def _inside(self, c: int, outer: int) -> bool:
         while c > outer:
             c = self.containers[c][1]
         return c == outer
 
     def text(self, path: str) -> str:
-        """The blocks under containers with ``path``, in page order."""
+        """The blocks under containers with ``path``, or under the ancestor that also holds what they leave out, in page order."""
+        direct = {c for c, _, free, _ in self.blocks if free}
+        heads = self.headings()
+        roots = set()
+        for c, (name, _, _) in enumerate(self.containers):
+            if name != path:
+                continue
+            top = c
+            if not self._marked(c):
+                while c > 0:
+                    c = self.containers[c][1]
+                    if c in direct or heads[c] > heads[top]:
+                        top = c
+            roots.add(top)
         inside = [False] * len(self.containers)
-        for c, (name, parent, _) in enumerate(self.containers):
-            inside[c] = name == path or (parent >= 0 and inside[parent])
-        return "\n".join(t for c, t, _ in self.blocks if inside[c])
+        for c, (_, parent, _) in enumerate(self.containers):
+            inside[c] = c in roots or (parent >= 0 and inside[parent])
+        return "\n".join(t for c, t, _, _ in self.blocks if inside[c])
 
 
 def _vote_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
