@@ -77,6 +77,26 @@ def test_clean_documents_stay_and_junk_goes(spark):
     assert sum(clean) >= 0.99 * len(clean) and sum(junk) <= 0.25 * len(junk)
 
 
+def test_every_trusted_document_counts_and_calibrates(spark):
+    words = ["alpha", "bravo", "carol", "delta", "ember", "fjord", "grape", "heron", "ivory", "joker", "kayak", "lemon"]
+    rows = [(i, "en", f"{w} {w} the end") for i, w in enumerate(words)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    labels = spark.createDataFrame([(i, 1, 0) for i, _, _ in rows], "doc_id long, quality int, toxic int")
+    folds = {r._id: r._fold for r in Q._trusted(labels).collect()}
+    assert len(set(folds.values())) == Q.FOLDS
+
+    def perplexity(train, text):
+        p, _ = reference(train)
+        padded = "\0" * (Q.ORDER - 1) + text
+        return math.exp(-sum(math.log(p(padded[i: i + Q.ORDER])) for i in range(len(text))) / len(text))
+
+    got = {r.doc_id: r for r in Q.classify(docs, labels).collect()}
+    for i, _, text in rows:
+        assert got[i].perplexity == pytest.approx(perplexity([t for _, _, t in rows], text)) and got[i].kept
+    left_out = [perplexity([t for j, _, t in rows if folds[j] != folds[i]], text) for i, _, text in rows]
+    assert all(r.threshold == pytest.approx(max(left_out)) for r in got.values())
+
+
 def test_awkward_rows(spark):
     df, rows = awkward(spark)
     labels = spark.createDataFrame([(1, 1, 0), (1, 1, 0), (8, 1, None), (10, 0, 0), (None, 1, 0), (2, 1, 0), (6, 1, 1)], "doc_id long, quality int, toxic int")

@@ -13,11 +13,13 @@ of growing with its vocabulary. Per language:
    a shard holds at most SHARD_ROWS rows, decided by the middle two units of an n-gram, with
    the orders below that replicated, so each n-gram's probability comes whole from one shard
    and a document's log-likelihood is the sum over shards. Documents never move;
-4. a document is kept if its perplexity is at most its language's QUANTILE among trusted
-   documents held out from training (every fifth by hash) times MARGIN.
+4. thresholds are cross-fitted: trusted documents fall into FOLDS folds by hash, each is scored
+   by the model of the other folds, and a document is kept if its perplexity under the model
+   of all folds is at most its language's QUANTILE among those. So every trusted document
+   both counts and calibrates, and none is judged by a model that has seen it.
 
-Null or empty text: no units, perplexity null, rejected. A language without held-out trusted
-text: nothing to judge by, kept (perplexity null if it has no model either). A null language
+Null or empty text: no units, perplexity null, rejected. A language whose trusted text is all
+in one fold: nothing to judge by, kept (perplexity null if it has no trusted text at all). A null language
 is a language of its own. Repeated rows are scored alike; repeated labels of one document
 count as trusted only if all are. Empty labels: every document with text is kept.
 """
@@ -34,11 +36,10 @@ from pyspark.sql import functions as F
 from venuelens.llm.common import carry, documents, lean, prepare, restored
 
 ORDER = 4
-#: Held-out quantile and the slack above it.
+#: Quantile of the trusted documents' perplexities, each under the model of the other folds.
 QUANTILE = 0.99
-MARGIN = 1.1
-#: One of so many trusted documents (by hash of the id) calibrates instead of training.
-HELD_OUT = 5
+#: Folds of trusted documents (by hash of the id).
+FOLDS = 4
 #: Rows of a model shard: 24 bytes each on the driver and in each worker.
 SHARD_ROWS = 2_000_000
 #: Trusted ids are broadcast up to so many rows (16 MB), else joined by shuffle.
@@ -257,24 +258,41 @@ def _score_batches(batches: Iterator[pa.RecordBatch], shard, columns: list[str])
 
 
 def _trusted(labels: DataFrame) -> DataFrame:
-    """(doc_id, _held): trusted documents; _held: kept out of training."""
+    """(_id, _fold): trusted documents and their fold."""
     sure = labels.groupBy("doc_id").agg(F.min(F.col("quality").cast("int")).alias("q"), F.max(F.col("toxic").cast("int")).alias("t"))
-    held = F.pmod(F.xxhash64("doc_id"), F.lit(HELD_OUT)) == 0
-    ids = sure.where("q = 1 and coalesce(t, 0) = 0 and doc_id is not null").select(F.col("doc_id").alias("_id"), held.alias("_held")).checkpoint()
+    fold = F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)).cast("string")
+    ids = sure.where("q = 1 and coalesce(t, 0) = 0 and doc_id is not null").select(F.col("doc_id").alias("_id"), fold.alias("_fold")).checkpoint()
     return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
 
 
+def _cross_counts(known: DataFrame) -> DataFrame:
+    """:func:`counts` of all of ``known(_lang, _text, _fold)`` and of all but each fold.
+
+    lang is the language with one more character: * for all folds, else the fold left out.
+    """
+    own = counts(known.select(F.concat("_lang", "_fold").alias("_lang"), "_text"))
+    lang = F.expr("left(lang, length(lang) - 1)")
+    others = [F.when(F.right("lang", F.lit(1)) != str(f), F.concat(lang, F.lit(str(f)))) for f in range(FOLDS)]
+    to = own.select(F.explode(F.array(F.concat(lang, F.lit("*")), *others)).alias("lang"), "gram", "n").where("lang is not null")
+    return to.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+
+
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, lang, text and the rest of ``docs`` (one struct) with perplexity, threshold and kept added."""
     spark = prepare(docs.sparkSession)
     text = F.col("text").cast("string")
     inner = carry(docs, "doc_id", "lang", "text").withColumns({"_lang": F.coalesce(F.col("lang").cast("string"), F.lit("")), "_text": text})
     trusted = _trusted(labels)
-    known = inner.select("doc_id", "_lang", "_text").join(trusted, F.col("doc_id") == F.col("_id"))
-    held = shards(spark, model(counts(known.where("not _held"))))
+    known = inner.select("doc_id", "_lang", "_text").join(trusted, F.col("doc_id") == F.col("_id")).select("_lang", "_text", "_fold")
+    table = model(_cross_counts(known))
+    whole = F.col("lang").endswith("*")
+    # a language and its fold, scored by the model without that fold
+    left_out = known.select(F.concat("_lang", "_fold").alias("_lang"), "_text", F.col("_lang").alias("_of"))
+    calibration = score(left_out, shards(spark, table.where(~whole)))
     perplexity = F.when(F.col("_n") > 0, F.exp(-F.col("_ll") / F.col("_n")))
-    calibration = score(known.where("_held").select("_lang", "_text"), held).select("_lang", perplexity.alias("p"))
-    thresholds = calibration.where("p is not null").groupBy("_lang").agg((F.percentile_approx("p", QUANTILE, 10_000) * MARGIN).alias("t"))
+    calibration = calibration.select(F.col("_of").alias("_lang"), perplexity.alias("p"))
+    thresholds = calibration.where("p is not null").groupBy("_lang").agg(F.percentile_approx("p", QUANTILE, 10_000).alias("t"))
+    held = shards(spark, table.where(whole).withColumn("lang", F.expr("left(lang, length(lang) - 1)")))
     limits = {r[0]: r[1] for r in thresholds.collect()}  # a row a language
     threshold = F.create_map(*[F.lit(x) for kv in limits.items() for x in kv])[F.col("_lang")] if limits else F.lit(None).cast("double")
     # the text goes to the workers once: as _text, and back
