@@ -9,9 +9,9 @@ of growing with its vocabulary. Per language:
    (language, n-gram), so counts are sharded by n-gram;
 2. modified Kneser-Ney: three discounts an order from the counts of counts, continuation
    counts below the top order, interpolation down to the uniform distribution;
-3. scoring joins each document's n-grams with the model, one bounded shard after another:
-   a shard holds at most SHARD_ROWS rows, decided by the middle two units of an n-gram, with
-   the orders below that replicated, so each n-gram's probability comes whole from one shard
+3. scoring looks up each document's n-grams in broadcast shards of the model, gathered through
+   the driver (no join by n-gram): a shard is meant to hold SHARD_ROWS rows, decided by the
+   middle two units of an n-gram, with the orders below that replicated, so each n-gram's probability comes whole from one shard
    and a document's log-likelihood is the sum over shards. Documents never move;
 4. thresholds are cross-fitted: trusted documents fall into FOLDS folds by hash, each is scored
    by the model of the other folds, and a document is kept if its perplexity under the model
