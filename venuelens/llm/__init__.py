@@ -10,7 +10,7 @@ from importlib import import_module
 
 _MODULES = (
     "quality_lm", "suffix_dedup", "packing", "spotsigs", "bpe", "html_paths", "url_filter", "sharding", "simhash", "repetition",
-    "prefix_trie", "debruijn",
+    "prefix_trie", "debruijn", "collocations",
 )
 
 
