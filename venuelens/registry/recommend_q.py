@@ -12,34 +12,30 @@ from . import register
 from .dashboard import AVG, R
 from .text_q import SCENES, TAGS
 
-# the users that ask: a stated share of all, answered against all users
-TARGET_STEP = 20
+NEAREST = 10
 
 _M = f"m AS (SELECT user_id, listing_id, {AVG('rating', 4)} AS rating FROM review GROUP BY user_id, listing_id)"
-_TG = f"tg AS (SELECT DISTINCT user_id FROM m WHERE user_id % {TARGET_STEP} = 0)"
-_SIM = f"""nrm AS (SELECT user_id, sqrt(sum(rating * rating)) AS norm FROM m GROUP BY user_id),
-d AS (SELECT a.user_id, b.user_id AS other_id, sum(a.rating * b.rating) AS dot, count(*) AS common
-      FROM m a JOIN tg ON tg.user_id = a.user_id JOIN m b ON a.listing_id = b.listing_id AND a.user_id <> b.user_id
-      GROUP BY 1, 2),
-sim AS (SELECT d.user_id, d.other_id, {R('d.dot / (n1.norm * n2.norm)', 6)} AS sim, d.common
-        FROM d JOIN nrm n1 ON n1.user_id = d.user_id JOIN nrm n2 ON n2.user_id = d.other_id)"""
-_PRED = """nb AS (SELECT s.user_id, m.listing_id, s.other_id, s.sim, m.rating AS r FROM sim s
-               JOIN m ON m.user_id = s.other_id WHERE s.sim > 0
-               AND NOT EXISTS (SELECT 1 FROM m m2 WHERE m2.user_id = s.user_id AND m2.listing_id = m.listing_id)),
-top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id, listing_id ORDER BY sim DESC, other_id) AS nr
-                       FROM nb) WHERE nr <= 10),
-pred AS (SELECT user_id, listing_id, """ + R("sum(sim * r) / sum(abs(sim))", 4) + """ AS predicted,
-                count(*) AS neighbours FROM top GROUP BY user_id, listing_id)"""
+_SIM = f"""w AS (SELECT user_id, listing_id, CAST(round(rating * 10000) AS BIGINT) AS q FROM m),
+nrm AS (SELECT user_id, sqrt(CAST(sum(q * q) AS DOUBLE)) AS norm FROM w GROUP BY user_id),
+d AS (SELECT a.user_id, b.user_id AS other_id, CAST(sum(a.q * b.q) AS DOUBLE) AS dot, count(*) AS common
+      FROM w a JOIN w b ON a.listing_id = b.listing_id AND a.user_id <> b.user_id GROUP BY 1, 2),
+pairs AS (SELECT d.user_id, d.other_id, {R('d.dot / (n1.norm * n2.norm)', 6)} AS sim, d.common
+          FROM d JOIN nrm n1 ON n1.user_id = d.user_id JOIN nrm n2 ON n2.user_id = d.other_id
+          WHERE n1.norm > 0 AND n2.norm > 0),
+sim AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY sim DESC, other_id) AS rank
+                       FROM pairs WHERE sim > 0) WHERE rank <= {NEAREST})"""
+_PRED = """nb AS (SELECT s.user_id, w.listing_id, CAST(round(s.sim * 1000000) AS BIGINT) AS s6, w.q FROM sim s
+               JOIN w ON w.user_id = s.other_id
+               WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.user_id = s.user_id AND m.listing_id = w.listing_id)),
+pred AS (SELECT user_id, listing_id, """ + R("CAST(sum(s6 * q) AS DOUBLE) / (CAST(sum(s6) AS DOUBLE) * 10000)", 4) + """ AS predicted,
+                count(*) AS neighbours FROM nb GROUP BY user_id, listing_id)"""
 
 
 def _cf(t):
-    # the matrix feeds five branches that prune it differently (no exchange reuse): write it once
-    # with a reliable checkpoint instead of recomputing reviews x orders + aggregate per branch
-    from ..session import checkpoint_dir
-    checkpoint_dir(t.spark)
-    m = Rc.user_item_matrix(t.review()).checkpoint()
-    targets = m.where(F.col("user_id") % TARGET_STEP == 0).select("user_id").distinct()
-    return m, Rc.user_similarity(m, targets)
+    # written once: several branches prune the matrix differently (no exchange reuse)
+    from ..session import written
+    m = Rc.rated_matrix(Rc.user_item_matrix(t.review()))
+    return m, written(Rc.user_similarity(m, k=NEAREST), "similar")
 
 
 @register("user_item_matrix", f"WITH {_M} SELECT * FROM m", ("review",))
@@ -47,23 +43,24 @@ def _uim(t):
     return Rc.user_item_matrix(t.review())
 
 
-@register("user_similarity", f"WITH {_M}, {_TG}, {_SIM} SELECT * FROM sim", ("review",))
+@register("user_similarity", f"WITH {_M}, {_SIM} SELECT * FROM sim", ("review",))
 def _user_similarity(t):
-    return _cf(t)[1]
+    """Every user's nearest users."""
+    return Rc.user_similarity(Rc.user_item_matrix(t.review()), k=NEAREST)
 
 
-@register("predict_user_rating", f"WITH {_M}, {_TG}, {_SIM}, {_PRED} SELECT * FROM pred", ("review",))
+@register("predict_user_rating", f"WITH {_M}, {_SIM}, {_PRED} SELECT * FROM pred", ("review",))
 def _predict(t):
     m, sim = _cf(t)
-    return Rc.predict_user_rating(m, sim, 10)
+    return Rc.predict_user_rating(m, sim)
 
 
-@register("recommend_topn", f"""WITH {_M}, {_TG}, {_SIM}, {_PRED}
+@register("recommend_topn", f"""WITH {_M}, {_SIM}, {_PRED}
 SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY predicted DESC, listing_id) AS rank
                FROM pred) WHERE rank <= 10""", ("review",))
 def _recommend(t):
     m, sim = _cf(t)
-    return Rc.recommend_topn(Rc.predict_user_rating(m, sim, 10), 10)
+    return Rc.recommend_topn(Rc.predict_user_rating(m, sim), 10)
 
 
 @register("listing_features")

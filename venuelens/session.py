@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+from uuid import uuid4
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -117,3 +118,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the checkpoint folder for written intermediate tables."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def written(df: DataFrame, name: str = "table") -> DataFrame:
+    """``df`` written as Parquet in the checkpoint folder and read back: lineage is cut, columns stay prunable."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
