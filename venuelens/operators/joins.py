@@ -16,6 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bands import UNIT, price_units
 from .filters import page as _page
 
 
@@ -101,7 +102,8 @@ def first_match(matches: DataFrame, key: str) -> DataFrame:
 def find_competitors(df: DataFrame, band: float = 0.2, key: str = "listing_id", price: str = "price",
                      group: Sequence[str] = ("business_area", "category"), targets: DataFrame | None = None) -> DataFrame:
     """Pairs (listing, competitor) in the same business area and category whose prices
-    differ by at most ``band`` x the listing's price (unknown price 0 excluded).
+    differ by at most ``band`` x the listing's price (unknown price 0 excluded; compared as whole
+    ten-thousandths). For totals over competitors use ``bands.band_totals``, which makes no pairs.
 
     Exact range join: both sides get a log-price bucket of width ``log(1+band)``;
     the probe side is repeated for the few bucket offsets the band can reach,
@@ -120,10 +122,11 @@ def find_competitors(df: DataFrame, band: float = 0.2, key: str = "listing_id",
         F.col(key).alias("listing_id"), *g, F.col(price).cast("double").alias("p1"))
     left = left.withColumn("b", F.explode(F.array(*[F.floor(F.log(F.col("p1")) / F.lit(w)).cast("long") + o
                                                     for o in offsets])))
-    right = base.select(F.col(key).alias("competitor_id"), *g, F.col("p").alias("p2"), bucket.alias("b"))
+    left = left.withColumn("c1", price_units(F.col("p1")))
+    right = base.select(F.col(key).alias("competitor_id"), *g, F.col("p").alias("p2"), bucket.alias("b"), price_units(F.col("p")).alias("c2"))
     j = left.join(right, [*g, "b"], "inner")
     return (j.where((F.col("listing_id") != F.col("competitor_id"))
-                    & (F.abs(F.col("p1") - F.col("p2")) <= F.lit(band) * F.col("p1")))
+                    & (F.abs(F.col("c1") - F.col("c2")) * UNIT <= F.lit(round(band * UNIT)) * F.col("c1")))
             .select("listing_id", "competitor_id", *g,
                     F.round((F.col("p2") - F.col("p1")).cast("decimal(38,10)"), 2).cast("double").alias("price_gap")))
 

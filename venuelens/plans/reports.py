@@ -173,9 +173,11 @@ def market_report(df: DataFrame, known_areas=dims.KNOWN_DISTRICTS, seen_from: st
 
 
 # ---- B4 ----------------------------------------------------------------------------
-def competitor_report(df: DataFrame, rv: DataFrame, listing_id, band: float = 0.2) -> DataFrame:
+def competitor_report(df: DataFrame, rv: DataFrame, listing_id, band: float = 0.2,
+                      sentiment: DataFrame | None = None) -> DataFrame:
     """One listing: its competitors, metric comparison with their mean, strength/weakness
-    flags and SWOT flags, as (section, label, value) text rows."""
+    flags and SWOT flags, as (section, label, value) text rows. The target reaches every part:
+    only its own competitors are paired, and totals read its segment alone."""
     target = df.where(F.col("listing_id") == F.lit(listing_id)).select("listing_id")
     peers = J.find_competitors(df, band, targets=df.join(target, "listing_id", "left_semi"))
     comp = peers.select(F.lit("competitors").alias("section"), F.col("competitor_id").cast("string").alias("label"),
@@ -191,11 +193,10 @@ def competitor_report(df: DataFrame, rv: DataFrame, listing_id, band: float = 0.
                                 .alias("s")).where(F.col("s.v").isNotNull()).select(
         F.lit("compare_peers").alias("section"), F.col("s.m").alias("label"),
         F.format_string("%.2f", F.col("s.v")).alias("value"))
-    sw = P.strengths_weaknesses(rv.join(df.select("listing_id"), "listing_id", "left_semi"),
-                                J.find_competitors(df, band, targets=df.join(target, "listing_id", "left_semi"))) \
-        .select(F.lit("strengths_weaknesses").alias("section"), F.col("dimension").alias("label"),
+    reviewed = rv.join(peers.select(F.col("competitor_id").alias("listing_id")).unionAll(target), "listing_id", "left_semi")
+    sw = P.strengths_weaknesses(reviewed, df, band, targets=target).select(F.lit("strengths_weaknesses").alias("section"), F.col("dimension").alias("label"),
                 F.col("flag").alias("value"))
-    sw_all = P.swot(df, J.find_competitors(df, band)).join(target, "listing_id", "left_semi")
+    sw_all = P.swot(df, band, sentiment, target)
     swot_rows = sw_all.select(F.explode(F.array(
         *[F.struct(F.lit(k).alias("k"), F.array_join(F.col(k), ",").alias("v"))
           for k in ("strengths", "weaknesses", "opportunities", "threats")])).alias("s")).select(

@@ -147,7 +147,7 @@ SELECT a.listing_id, b.listing_id AS competitor_id, a.business_area, a.category,
        CAST(round(CAST(CAST(b.price AS DOUBLE) - CAST(a.price AS DOUBLE) AS DECIMAL(38,10)), 2) AS DOUBLE) AS price_gap
 FROM listing a JOIN listing b ON a.business_area = b.business_area AND a.category = b.category
 WHERE a.listing_id <> b.listing_id AND a.price > 0 AND b.price > 0
-  AND abs(CAST(a.price AS DOUBLE) - CAST(b.price AS DOUBLE)) <= 0.2 * CAST(a.price AS DOUBLE)""", ("listing",))
+  AND abs(CAST(a.price * 10000 AS BIGINT) - CAST(b.price * 10000 AS BIGINT)) * 10000 <= 2000 * CAST(a.price * 10000 AS BIGINT)""", ("listing",))
 def _find_competitors(t):
     return J.find_competitors(t.listing(), 0.2)
 

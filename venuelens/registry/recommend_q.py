@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import compete as P
-from ..operators import joins as J
+from ..operators.bands import band_totals
 from ..operators import recommend as Rc
 from ..operators import trends as X
 from . import register
@@ -140,19 +140,23 @@ def _compare(t):
     return P.compare_listings(t.listing(), [1, 2, 3])
 
 
-_COMP = """comp AS (SELECT a.listing_id, b.listing_id AS competitor_id,
+COMP = """comp AS (SELECT a.listing_id, b.listing_id AS competitor_id,
        CAST(round(CAST(CAST(b.price AS DOUBLE) - CAST(a.price AS DOUBLE) AS DECIMAL(38,10)), 2) AS DOUBLE) AS price_gap
   FROM listing a JOIN listing b ON a.business_area = b.business_area AND a.category = b.category
   WHERE a.listing_id <> b.listing_id AND a.price > 0 AND b.price > 0
-    AND abs(CAST(a.price AS DOUBLE) - CAST(b.price AS DOUBLE)) <= 0.2 * CAST(a.price AS DOUBLE))"""
+    AND abs(CAST(a.price * 10000 AS BIGINT) - CAST(b.price * 10000 AS BIGINT)) * 10000 <= 2000 * CAST(a.price * 10000 AS BIGINT))"""
 _PROF = f"""prof AS (SELECT listing_id, {AVG('taste')} AS avg_taste, {AVG('environment')} AS avg_environment,
                      {AVG('service')} AS avg_service, {AVG('rating')} AS avg_rating FROM review GROUP BY listing_id),
 own AS (UNPIVOT prof ON avg_taste, avg_environment, avg_service, avg_rating INTO NAME dimension VALUE own)"""
 
 
+SE = """se AS (SELECT listing_id, count(*) AS n_known, count(*) FILTER (WHERE sentiment > 0) AS n_good,
+              count(*) FILTER (WHERE sentiment < 0) AS n_bad FROM review_text WHERE sentiment IS NOT NULL GROUP BY listing_id)"""
+
+
 @register("strengths_weaknesses", f"""
-WITH {_COMP}, {_PROF},
-pv AS (SELECT c.listing_id, o.dimension, avg(o.own) AS peer_mean, count(*) AS peers
+WITH {COMP}, {_PROF},
+pv AS (SELECT c.listing_id, o.dimension, CAST(sum(CAST(round(o.own * 100) AS BIGINT)) AS DOUBLE) / (count(*) * 100) AS peer_mean, count(*) AS peers
        FROM comp c JOIN own o ON o.listing_id = c.competitor_id GROUP BY 1, 2)
 SELECT o.listing_id, o.dimension, o.own, {R('pv.peer_mean', 4)} AS peer_mean, pv.peers,
        {R('o.own - pv.peer_mean', 4)} AS diff,
@@ -160,32 +164,44 @@ SELECT o.listing_id, o.dimension, o.own, {R('pv.peer_mean', 4)} AS peer_mean, pv
             WHEN {R('o.own - pv.peer_mean', 4)} < -0.2 THEN 'weakness' ELSE 'par' END AS flag
 FROM own o JOIN pv ON pv.listing_id = o.listing_id AND pv.dimension = o.dimension""", ("listing", "review"))
 def _sw(t):
-    return P.strengths_weaknesses(t.review(), J.find_competitors(t.listing(), 0.2))
+    return P.strengths_weaknesses(t.review(), t.listing(), 0.2)
+
+
+@register("competitor_totals", f"""
+WITH {COMP}
+SELECT l.listing_id, count(c.competitor_id) AS n, count(*) FILTER (WHERE c.price_gap < 0) AS n_cheaper,
+       CAST(coalesce(sum(b.review_count), 0) AS BIGINT) AS review_count, count(b.review_count) AS n_review_count
+FROM listing l LEFT JOIN comp c ON c.listing_id = l.listing_id LEFT JOIN listing b ON b.listing_id = c.competitor_id
+WHERE l.price > 0 AND l.business_area IS NOT NULL AND l.category IS NOT NULL GROUP BY l.listing_id""", ("listing",))
+def _competitor_totals(t):
+    """Competitors of every listing, counted and added up without pairs."""
+    return band_totals(t.listing(), 0.2, ["review_count"])
 
 
 @register("swot", f"""
-WITH {_COMP},
+WITH {COMP}, {SE},
 ast AS (SELECT area, avg(review_count) AS area_avg_reviews, count(*) AS area_n FROM listing GROUP BY area),
 cp AS (SELECT category, avg(CAST(price AS DOUBLE)) AS cat_avg_price FROM listing WHERE price > 0 GROUP BY category),
 cc AS (SELECT listing_id, count(*) AS n_comp, count(*) FILTER (WHERE price_gap < 0) AS n_cheaper FROM comp GROUP BY 1),
 j AS (SELECT l.listing_id, l.price, l.rating, l.review_count, ast.area_avg_reviews, ast.area_n, cp.cat_avg_price,
-             coalesce(cc.n_comp, 0) AS n_comp, coalesce(cc.n_cheaper, 0) AS n_cheaper
+             coalesce(cc.n_comp, 0) AS n_comp, coalesce(cc.n_cheaper, 0) AS n_cheaper, se.n_known, se.n_good, se.n_bad
       FROM listing l LEFT JOIN ast ON ast.area = l.area LEFT JOIN cp ON cp.category = l.category
-      LEFT JOIN cc ON cc.listing_id = l.listing_id)
+      LEFT JOIN cc ON cc.listing_id = l.listing_id LEFT JOIN se ON se.listing_id = l.listing_id)
 SELECT listing_id,
   list_filter([CASE WHEN rating >= 4.0 THEN 'high_rating' END,
-               CASE WHEN review_count >= area_avg_reviews THEN 'popular' END], lambda x: x IS NOT NULL) AS strengths,
+               CASE WHEN review_count >= area_avg_reviews THEN 'popular' END,
+               CASE WHEN n_good >= n_known * 0.8::DOUBLE THEN 'praised_in_reviews' END], lambda x: x IS NOT NULL) AS strengths,
   list_filter([CASE WHEN rating > 0 AND rating < 3.0 THEN 'low_rating' END,
-               CASE WHEN CAST(price AS DOUBLE) > cat_avg_price * 1.2 THEN 'expensive' END], lambda x: x IS NOT NULL) AS weaknesses,
+               CASE WHEN CAST(price AS DOUBLE) > cat_avg_price * 1.2 THEN 'expensive' END,
+               CASE WHEN n_bad >= n_known * 0.2::DOUBLE THEN 'criticised_in_reviews' END], lambda x: x IS NOT NULL) AS weaknesses,
   list_filter([CASE WHEN n_comp = 0 THEN 'no_direct_competitor' END,
                CASE WHEN area_n < (SELECT avg(area_n) FROM ast) THEN 'underserved_area' END], lambda x: x IS NOT NULL)
     AS opportunities,
   list_filter([CASE WHEN n_comp >= 3 THEN 'crowded_segment' END,
                CASE WHEN n_cheaper > 0 THEN 'cheaper_competitors' END], lambda x: x IS NOT NULL) AS threats
-FROM j""", ("listing",))
+FROM j""", ("listing", "review_text"))
 def _swot(t):
-    lst = t.listing()
-    return P.swot(lst, J.find_competitors(lst, 0.2))
+    return P.swot(t.listing(), 0.2, t.review_text())
 
 
 @register("competition_landscape", f"""

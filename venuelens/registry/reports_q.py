@@ -6,6 +6,7 @@ from .. import dims
 from ..plans import reports as B
 from . import register
 from .dashboard import AVG, R, _bucket_sql
+from .recommend_q import COMP, SE
 from .text_q import NEG, PAT, POS, STOP, _FLAT, _kw_sql
 
 KNOWN = dims.STANDIN_KNOWN_AREAS
@@ -83,15 +84,8 @@ def _report_facts(t):
     return B.report_facts(t.listing(), KNOWN)
 
 
-_COMP_ALL = """comp AS (SELECT a.listing_id, b.listing_id AS competitor_id,
-       CAST(round(CAST(CAST(b.price AS DOUBLE) - CAST(a.price AS DOUBLE) AS DECIMAL(38,10)), 2) AS DOUBLE) AS price_gap
-  FROM listing a JOIN listing b ON a.business_area = b.business_area AND a.category = b.category
-  WHERE a.listing_id <> b.listing_id AND a.price > 0 AND b.price > 0
-    AND abs(CAST(a.price AS DOUBLE) - CAST(b.price AS DOUBLE)) <= 0.2 * CAST(a.price AS DOUBLE))"""
-
-
 @register("competitor_report", f"""
-WITH {_COMP_ALL},
+WITH {COMP}, {SE},
 mine AS (SELECT * FROM comp WHERE listing_id = {TARGET}),
 own AS (SELECT CAST(price AS DOUBLE) AS price, CAST(rating AS DOUBLE) AS rating, CAST(sales AS DOUBLE) AS sales,
                CAST(review_count AS DOUBLE) AS review_count FROM listing WHERE listing_id = {TARGET}),
@@ -101,7 +95,7 @@ peer AS (SELECT avg(CAST(price AS DOUBLE)) AS price, avg(CAST(rating AS DOUBLE))
 prof AS (SELECT listing_id, {AVG('taste')} AS avg_taste, {AVG('environment')} AS avg_environment,
                 {AVG('service')} AS avg_service, {AVG('rating')} AS avg_rating FROM review GROUP BY listing_id),
 pl AS (UNPIVOT prof ON avg_taste, avg_environment, avg_service, avg_rating INTO NAME dimension VALUE own),
-pv AS (SELECT m.listing_id, o.dimension, avg(o.own) AS peer_mean FROM mine m JOIN pl o ON o.listing_id = m.competitor_id
+pv AS (SELECT m.listing_id, o.dimension, CAST(sum(CAST(round(o.own * 100) AS BIGINT)) AS DOUBLE) / (count(*) * 100) AS peer_mean FROM mine m JOIN pl o ON o.listing_id = m.competitor_id
        GROUP BY 1, 2),
 sw AS (SELECT o.dimension, CASE WHEN {R('o.own - pv.peer_mean', 4)} > 0.2 THEN 'strength'
                                 WHEN {R('o.own - pv.peer_mean', 4)} < -0.2 THEN 'weakness' ELSE 'par' END AS flag
@@ -110,14 +104,16 @@ ast AS (SELECT area, avg(review_count) AS area_avg_reviews, count(*) AS area_n F
 cp AS (SELECT category, avg(CAST(price AS DOUBLE)) AS cat_avg_price FROM listing WHERE price > 0 GROUP BY category),
 cc AS (SELECT listing_id, count(*) AS n_comp, count(*) FILTER (WHERE price_gap < 0) AS n_cheaper FROM comp GROUP BY 1),
 j AS (SELECT l.listing_id, l.price, l.rating, l.review_count, ast.area_avg_reviews, ast.area_n, cp.cat_avg_price,
-             coalesce(cc.n_comp, 0) AS n_comp, coalesce(cc.n_cheaper, 0) AS n_cheaper
+             coalesce(cc.n_comp, 0) AS n_comp, coalesce(cc.n_cheaper, 0) AS n_cheaper, se.n_known, se.n_good, se.n_bad
       FROM listing l LEFT JOIN ast ON ast.area = l.area LEFT JOIN cp ON cp.category = l.category
-      LEFT JOIN cc ON cc.listing_id = l.listing_id WHERE l.listing_id = {TARGET}),
+      LEFT JOIN cc ON cc.listing_id = l.listing_id LEFT JOIN se ON se.listing_id = l.listing_id WHERE l.listing_id = {TARGET}),
 sv AS (SELECT
   list_filter([CASE WHEN rating >= 4.0 THEN 'high_rating' END,
-               CASE WHEN review_count >= area_avg_reviews THEN 'popular' END], lambda x: x IS NOT NULL) AS strengths,
+               CASE WHEN review_count >= area_avg_reviews THEN 'popular' END,
+               CASE WHEN n_good >= n_known * 0.8::DOUBLE THEN 'praised_in_reviews' END], lambda x: x IS NOT NULL) AS strengths,
   list_filter([CASE WHEN rating > 0 AND rating < 3.0 THEN 'low_rating' END,
-               CASE WHEN CAST(price AS DOUBLE) > cat_avg_price * 1.2 THEN 'expensive' END], lambda x: x IS NOT NULL) AS weaknesses,
+               CASE WHEN CAST(price AS DOUBLE) > cat_avg_price * 1.2 THEN 'expensive' END,
+               CASE WHEN n_bad >= n_known * 0.2::DOUBLE THEN 'criticised_in_reviews' END], lambda x: x IS NOT NULL) AS weaknesses,
   list_filter([CASE WHEN n_comp = 0 THEN 'no_direct_competitor' END,
                CASE WHEN area_n < (SELECT avg(area_n) FROM ast) THEN 'underserved_area' END], lambda x: x IS NOT NULL)
     AS opportunities,
@@ -131,9 +127,9 @@ UNION ALL SELECT 'strengths_weaknesses', dimension, flag FROM sw
 UNION ALL SELECT 'swot', 'strengths', array_to_string(strengths, ',') FROM sv
 UNION ALL SELECT 'swot', 'weaknesses', array_to_string(weaknesses, ',') FROM sv
 UNION ALL SELECT 'swot', 'opportunities', array_to_string(opportunities, ',') FROM sv
-UNION ALL SELECT 'swot', 'threats', array_to_string(threats, ',') FROM sv""", ("listing", "review"))
+UNION ALL SELECT 'swot', 'threats', array_to_string(threats, ',') FROM sv""", ("listing", "review", "review_text"))
 def _competitor_report(t):
-    return B.competitor_report(t.listing(), t.review(), TARGET)
+    return B.competitor_report(t.listing(), t.review(), TARGET, sentiment=t.review_text())
 
 
 @register("dashboard", f"""
