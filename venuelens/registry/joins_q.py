@@ -20,12 +20,11 @@ def _favorites_only(t):
     return J.favorites_only(t.listing(), t.favorite())
 
 
-@register("exclude_favorites", """
-SELECT * FROM listing WHERE listing_id NOT IN (SELECT listing_id FROM favorite WHERE user_id % 10 = 1)""",
-          ("listing", "favorite"))
+@register("exclude_favorites", "SELECT * FROM catalog WHERE listing_id NOT IN (SELECT listing_id FROM favorite)",
+          ("listing", "catalog", "favorite"))
 def _exclude_favorites(t):
-    """Listings that the asking users have not saved."""
-    return J.exclude_favorites(t.listing(), t.favorite().where(F.col("user_id") % 10 == 1))
+    """Listings that nobody has saved."""
+    return J.exclude_favorites(t.catalog(), t.favorite())
 
 
 @register("user_favorites", """
@@ -71,20 +70,18 @@ def _listing_reviews_page(t):
     return J.listing_reviews(t.listing(), t.review(), sort_by="rating", page_no=6, size=20)
 
 
-@register("fetch_backlog", """
-SELECT * FROM listing WHERE listing_id NOT IN (SELECT listing_id FROM review WHERE ts >= DATE '2001-09-15')""",
-          ("listing", "review"))
+@register("fetch_backlog", "SELECT * FROM catalog WHERE listing_id NOT IN (SELECT listing_id FROM review)",
+          ("listing", "catalog", "review"))
 def _fetch_backlog(t):
-    """Listings without a recent review."""
-    return J.fetch_backlog(t.listing(), t.review().where(F.col("ts") >= F.lit("2001-09-15").cast("date")))
+    """Listings without a review."""
+    return J.fetch_backlog(t.catalog(), t.review())
 
 
 @register("orphan_check", """
-SELECT * FROM review_text r WHERE NOT EXISTS (
-  SELECT 1 FROM listing l WHERE l.listing_id = r.listing_id AND l.category = 'PROMO')""", ("listing", "review_text"))
+SELECT * FROM review_text r WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = r.review_id)""", ("review_text",))
 def _orphan_check(t):
-    """Reviews whose listing is not among the promoted ones."""
-    return J.orphan_check(t.review_text(), t.listing().where(F.col("category") == "PROMO"), "listing_id")
+    """Reviews that the table of checked reviews does not hold."""
+    return J.orphan_check(t.review_text(), t.labels.select(F.col("doc_id").alias("review_id")), "review_id")
 
 
 # ---- J5 ----------------------------------------------------------------------------

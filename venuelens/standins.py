@@ -59,6 +59,15 @@ class Tables:
                     F.expr("CAST((p_partkey * 37) % 3000 AS INT)").alias("distance_m"),
                     F.col("seen_at")))
 
+    # ---- catalog -----------------------------------------------------------------
+    def catalog(self) -> DataFrame:
+        """The listings and, behind them, venues that are known but that nobody saved or reviewed yet."""
+        lst = self.listing()
+        known = {"listing_id": F.col("s_suppkey") + 1_000_000_000, "name": F.col("s_name"), "category": F.lit("NEW"),
+                 "price": F.lit(0), "rating": F.lit(0), "review_count": F.lit(0), "sales": F.lit(0.0)}
+        new = self.base("supplier").select(*[known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in lst.schema.fields])
+        return lst.unionAll(new)
+
     # ---- review ------------------------------------------------------------------
     def review(self) -> DataFrame:
         li = self.base("lineitem")
@@ -165,6 +174,10 @@ SELECT p.p_partkey AS listing_id, p.p_name AS name, p.p_type AS category, p.p_br
 FROM part p LEFT JOIN (
   SELECT l_partkey, count(*) AS n, sum(l_quantity) AS q, min(l_shipdate) AS seen_at
   FROM lineitem GROUP BY l_partkey) x ON x.l_partkey = p.p_partkey""",
+    "catalog": """
+SELECT * FROM listing UNION ALL
+SELECT s_suppkey + 1000000000, s_name, 'NEW', NULL, NULL, CAST(0 AS DECIMAL(10,2)), CAST(0 AS DECIMAL(3,1)), 0, CAST(0 AS DOUBLE),
+       NULL, NULL, NULL, NULL FROM supplier""",
     "review": """
 SELECT concat(CAST(l.l_orderkey AS STRING), '-', CAST(l.l_linenumber AS STRING), '-', CAST(l.l_partkey AS STRING)) AS review_id,
        l.l_partkey AS listing_id, o.o_custkey AS user_id,
