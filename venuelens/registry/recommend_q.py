@@ -63,12 +63,6 @@ def _recommend(t):
     return Rc.recommend_topn(Rc.predict_user_rating(m, sim), 10)
 
 
-@register("listing_features")
-def _listing_features(t):
-    """ML vectors (one-hot + numeric); rows-only."""
-    return Rc.listing_features(t.listing(), Rc.listing_tags(t.review_text(), SCENES))
-
-
 # ---- R6 ----------------------------------------------------------------------------
 def _tier_idx_sql() -> str:
     from ..operators.aggregates import PRICE_TIERS
@@ -94,9 +88,8 @@ def _sq(p: str) -> str:
 
 @register("similar_listings", f"""
 WITH {_TAGS_PER_LISTING}, {_FEAT},
-tgt AS (SELECT listing_id FROM listing ORDER BY review_count DESC, listing_id LIMIT 3),
 t AS (SELECT f.listing_id AS t_listing_id, f.category AS t_category, f.area AS t_area, f.price_level AS t_price_level,
-             f.rating_norm AS t_rating_norm, f.tags AS t_tags FROM f JOIN tgt ON tgt.listing_id = f.listing_id),
+             f.rating_norm AS t_rating_norm, f.tags AS t_tags FROM f),
 s AS (SELECT t.t_listing_id AS target_id, f.listing_id,
         {R(f'''coalesce(CAST(f.category = t.t_category AS DOUBLE) + CAST(f.area = t.t_area AS DOUBLE)
            + f.price_level * t.t_price_level + coalesce(f.rating_norm, 0.0) * coalesce(t.t_rating_norm, 0.0)
@@ -105,9 +98,25 @@ s AS (SELECT t.t_listing_id AS target_id, f.listing_id,
 SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY target_id ORDER BY sim DESC, listing_id) AS rank FROM s)
 WHERE rank <= 5""", ("listing", "review_text"))
 def _similar_listings(t):
-    lst = t.listing()
-    targets = lst.orderBy(F.desc("review_count"), F.asc("listing_id")).limit(3).select("listing_id")
-    return Rc.similar_listings(lst, targets, 5, Rc.listing_tags(t.review_text(), SCENES))
+    """Five neighbours of every listing."""
+    return Rc.similar_listings(t.listing(), 5, Rc.listing_tags(t.review_text(), SCENES))
+
+
+def _slots(values: str, own: str) -> str:
+    return f"list_transform((SELECT list(DISTINCT {values} ORDER BY {values}) FROM f0), lambda x: CAST(x = {own} AS DOUBLE))"
+
+
+@register("listing_features", f"""
+WITH {_TAGS_PER_LISTING}, {_FEAT},
+f0 AS (SELECT listing_id, coalesce(category, '') AS category, coalesce(area, '') AS area, price_level, coalesce(rating_norm, 0.0) AS rating_norm, tags FROM f)
+SELECT f0.listing_id, list_concat({_slots('category', 'f0.category')}, {_slots('area', 'f0.area')},
+         [f0.price_level, f0.rating_norm, {', '.join(f"CAST(list_contains(f0.tags, '{s}') AS DOUBLE)" for s in SCENES)}]) AS features
+FROM f0""", ("listing", "review_text"))
+def _listing_features(t):
+    """The vectors as arrays: one-hot category and area, price level, rating, a slot a scene."""
+    from pyspark.ml.functions import vector_to_array
+    f = Rc.listing_features(t.listing(), list(SCENES), Rc.listing_tags(t.review_text(), SCENES))
+    return f.select("listing_id", vector_to_array("features").alias("features"))
 
 
 _SCENE = f"""sc AS (SELECT l.listing_id, l.name, l.rating, h.hits,
