@@ -75,3 +75,20 @@ def test_a_hot_anchor_is_sorted_by_place(spark, monkeypatch):
                 gone[kid][a:b] = True
     want = {i: n for i, _, n, _, _ in brute(docs)}
     assert {i: int(g.sum()) for i, g in gone.items()} == want
+
+
+def test_first_differing_byte_of_every_complementary_pattern():
+    for lead in range(8):
+        for tail in (0x00, 0x01, 0x7F, 0x80, 0xFE, 0xFF):
+            for first in (0x01, 0x7F, 0x80, 0xFF):
+                raw = bytes(lead) + bytes([first]) + bytes([tail]) * (7 - lead)
+                assert S.leading_zero_bytes(np.array([int.from_bytes(raw, "big")], np.uint64)).tolist() == [lead]
+
+
+def test_complementary_bytes_end(spark):
+    """Two documents whose texts go on with complementary bytes after an equal passage."""
+    passage = LOREM[:120]
+    docs = [(1, passage + "é" * 80), (2, passage + "<V" * 80), (3, passage + "é" * 80 + passage), (4, "é" * 300), (5, "<V" * 200)]
+    df = spark.createDataFrame([(*d, "en", "z", 1) for d in docs], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest()) for r in S.deduplicate(df).collect()}
+    assert got == set(brute([(i, t.encode()) for i, t in docs]))

@@ -261,6 +261,14 @@ def _regroup(group: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return order[many], np.cumsum(new)[many]
 
 
+_BYTE_BOUNDS = np.uint64(1) << np.arange(8, 64, 8, dtype=np.uint64)
+
+
+def leading_zero_bytes(x: np.ndarray) -> np.ndarray:
+    """How many of the eight bytes of each nonzero value are zero before the first that is not (big-endian)."""
+    return 7 - np.searchsorted(_BYTE_BOUNDS, x, side="right")
+
+
 def equal_windows(data: np.ndarray, place: np.ndarray, group: np.ndarray, length: int = MATCH) -> tuple[np.ndarray, np.ndarray]:
     """Sorts the ``length``-byte strings at ``place`` inside each ``group``; the members of classes of two or more
     equal strings, class by class in order, and their class.
@@ -289,9 +297,7 @@ def equal_windows(data: np.ndarray, place: np.ndarray, group: np.ndarray, length
         while len(open_):
             differ = words[mine[open_] + at[open_]].astype(np.uint64) ^ words[other[open_] + at[open_]].astype(np.uint64)
             hit = differ != 0
-            top = np.frexp((differ[hit] >> np.uint64(8)).astype(np.float64) + 0.0)[1]
-            lead = np.where(differ[hit] >> np.uint64(8) == 0, 7, 7 - (top + 7) // 8)
-            agree[open_[hit]] = np.minimum(at[open_[hit]] + lead, length)
+            agree[open_[hit]] = np.minimum(at[open_[hit]] + leading_zero_bytes(differ[hit]), length)
             open_ = open_[~hit]
             at[open_] += 8
             open_ = open_[at[open_] < length]
