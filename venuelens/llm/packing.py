@@ -19,11 +19,13 @@ each for itself. An empty table gives no pieces. Other columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 import json
 import os
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Iterable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -61,7 +63,7 @@ def _byte_letters() -> dict[int, int]:
 
 
 def _tools(path: str):
-    """(tokenizer, its model, splitter of normalised text into words, byte letters, known words)."""
+    """(tokenizer, its model, splitter of normalised text into words, byte letters, ids of known words)."""
     if path not in _WORKER:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         import regex
@@ -74,7 +76,8 @@ def _tools(path: str):
         if steps != ["NFC", "Replace", "Lowercase"] or split["pattern"]["Regex"] != _PATTERN or by_bytes["use_regex"]:
             raise ValueError(f"{path}: words are not split as expected (NFC, white space, lower case; one pattern; byte letters)")
         tokenizer = Tokenizer.from_file(path)
-        _WORKER[path] = (tokenizer, tokenizer.model, regex.compile(split["pattern"]["Regex"]).findall, _byte_letters(), {})
+        letters = _byte_letters()
+        _WORKER[path] = (tokenizer, tokenizer.model, regex.compile(split["pattern"]["Regex"]).findall, letters, _Ids(tokenizer.model, letters))
     return _WORKER[path]
 
 
@@ -90,16 +93,47 @@ def _words(text: str, split) -> list[str]:
     return split(unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3").lower())  # letter by letter: no final sigma
 
 
-def _ids_of_words(path: str, words: list[str]) -> list[bytes]:
-    """Packed 32-bit ids of each distinct word."""
-    _, model, _, letters, known = _tools(path)
-    if len(known) > REMEMBERED:
-        known.clear()
-    for w in words:
-        if w not in known:
-            found = model.tokenize(w.encode().decode("latin-1").translate(letters))
-            known[w] = np.array([t.id for t in found], np.uint32).tobytes()
-    return [known[w] for w in words]
+class _Ids:
+    """Ids of the words met so far, in one table: a word's number is looked up once an occurrence."""
+
+    def __init__(self, model, letters: dict[int, int]):
+        self.model, self.letters = model, letters
+        self.clear()
+
+    def clear(self) -> None:
+        self.place: dict = defaultdict(itertools.count().__next__)  # a new word gets the next number
+        self.starts, self.lengths, self.table, self.size = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(4096, np.uint32), 0
+
+    def _room(self, words: int, ids: int) -> None:
+        while words > len(self.starts):
+            self.starts, self.lengths = np.r_[self.starts, np.zeros_like(self.starts)], np.r_[self.lengths, np.zeros_like(self.lengths)]
+        while ids > len(self.table):
+            self.table = np.r_[self.table, np.zeros_like(self.table)]
+
+    def _put(self, numbers: list[int], found: list[list[int]]) -> None:
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        self._room(max(numbers, default=-1) + 1, self.size + int(sizes.sum()))
+        at = np.array(numbers, np.int64)
+        self.starts[at], self.lengths[at] = self.size + np.cumsum(sizes) - sizes, sizes
+        self.table[self.size: self.size + int(sizes.sum())] = np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
+        self.size += int(sizes.sum())
+
+    def numbers(self, words: Iterable[str], count: int) -> np.ndarray:
+        """The number of each word; new words are encoded."""
+        place = self.place
+        before = len(place)
+        out = np.fromiter(map(place.__getitem__, words), np.int64, count)
+        if len(place) > before:
+            tokenize, letters = self.model.tokenize, self.letters
+            new = list(itertools.islice(reversed(place), len(place) - before))[::-1]
+            self._put(list(range(before, len(place))), [[t.id for t in tokenize(w.encode().decode("latin-1").translate(letters))] for w in new])
+        return out
+
+    def own(self, ids: list[int]) -> int:
+        """The number of a run of ids that stands for itself."""
+        number = self.place[len(self.place), "own"]
+        self._put([number], [ids])
+        return number
 
 
 def token_ids(texts: list[bytes], path: str, end_id: int | None = END_ID) -> tuple[np.ndarray, np.ndarray]:
@@ -107,32 +141,23 @@ def token_ids(texts: list[bytes], path: str, end_id: int | None = END_ID) -> tup
 
     Each distinct word is encoded once. A text with the name of a special token in it goes through the tokenizer whole.
     """
-    tokenizer, _, split, _, _ = _tools(path)
-    words, whole = [], {}
-    for i, raw in enumerate(texts):
+    tokenizer, _, split, _, known = _tools(path)
+    if len(known.place) > REMEMBERED:
+        known.clear()
+    parts = []
+    end = [] if end_id is None else [known.own([end_id])]
+    for raw in texts:
         text = raw.decode("utf-8")
         if any(x in text for x in _SPECIAL):
-            whole[i] = np.array(tokenizer.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
-            words.append([("whole", i)])
+            parts.append(np.array([known.own(tokenizer.encode(text, add_special_tokens=False).ids), *end], np.int64))
         else:
-            words.append(_words(text, split))
-        if end_id is not None:
-            words[-1].append(None)
-    distinct = list(dict.fromkeys(chain.from_iterable(words)))
-    plain = [w for w in distinct if isinstance(w, str)]
-    coded = dict(zip(plain, _ids_of_words(path, plain)))
-    if end_id is not None:
-        coded[None] = np.array([end_id], np.uint32).tobytes()
-    coded |= {("whole", i): ids for i, ids in whole.items()}
-    lengths = np.array([len(coded[w]) for w in distinct], np.int64) // 4
-    starts = np.cumsum(lengths) - lengths
-    table = np.frombuffer(b"".join(coded[w] for w in distinct), np.uint32)
-    place = {w: i for i, w in enumerate(distinct)}
-    sizes = np.array([len(w) for w in words], np.int64)
-    at = np.fromiter(map(place.__getitem__, chain.from_iterable(words)), np.int64, int(sizes.sum()))
-    count = lengths[at]
+            words = _words(text, split)
+            parts.append(np.r_[known.numbers(words, len(words)), end].astype(np.int64))
+    sizes = np.array([len(p) for p in parts], np.int64)
+    at = np.concatenate(parts) if parts else np.zeros(0, np.int64)
+    count = known.lengths[at]
     total = np.r_[0, np.cumsum(count)]
-    ids = table[np.repeat(starts[at] - total[:-1], count) + np.arange(total[-1])]
+    ids = known.table[np.repeat(known.starts[at] - total[:-1], count) + np.arange(total[-1])]
     return total[np.r_[0, np.cumsum(sizes)]], ids
 
 
