@@ -47,26 +47,45 @@ def reference(texts):
     return p, fold
 
 
-@pytest.mark.parametrize("rows", [10**6, 40])
-def test_probabilities_match_the_formulas_with_one_shard_or_many(spark, monkeypatch, rows):
-    monkeypatch.setattr(Q, "SHARD_ROWS", rows)
-    docs = spark.createDataFrame([("en", t) for t in TRAIN], "_lang string, _text string")
-    held = Q.shards(spark, Q.model(Q.counts(docs)))
-    assert (len(held) > 1) == (rows == 40)
-    p, _ = reference(TRAIN)
-    tests = ["the cat sat", "zebra 99", "dog on a day", "\U0001F600 the"]
-    got = {r._text: (r._ll, r._n) for r in Q.score(spark.createDataFrame([("en", t) for t in tests], "_lang string, _text string"), held).collect()}
-    for t in tests:
-        units = "".join(chr(u) for u in np.frombuffer(t.encode("utf-16-le"), np.uint16)).translate(dict.fromkeys(range(48, 58), "0"))
+def rows_of(spark, rows):
+    return spark.createDataFrame([(i, f"={lang}", m, t) for i, (lang, m, t) in enumerate(rows)], "doc_id long, _lang string, _m int, text string")
+
+
+@pytest.mark.parametrize("chunk_bytes", [Q.CHUNK_BYTES, 1])
+def test_probabilities_match_the_formulas_whole_and_without_each_fold(spark, chunk_bytes):
+    Q.prepare(spark)
+    folds = [1, 2, 2, 4]
+    table = Q.model(Q.counts(rows_of(spark, [("en", f, t) for f, t in zip(folds, TRAIN)]), chunk_bytes))
+    tests = ["the cat sat", "zebra 99", "dog on a day", "\U0001F600 the", ""]
+    got = Q.score(rows_of(spark, [("en", m, t) for m in range(Q.MODELS) for t in tests] + [("xx", 0, "no model")]), table, chunk_bytes).collect()
+    assert len(got) == Q.MODELS * len(tests) + 1
+    models = [reference([t for f, t in zip(folds, TRAIN) if f != m])[0] for m in range(Q.MODELS)]
+    for r in got:
+        if r._lang == "=xx":
+            assert r._n == 0
+            continue
+        units = "".join(chr(Q._FOLD[u]) for u in np.frombuffer(r.text.encode("utf-16-le"), np.uint16))
         padded = "\0" * (Q.ORDER - 1) + units
-        want = sum(math.log(p(padded[i: i + Q.ORDER])) for i in range(len(units)))
-        assert got[t][1] == len(units) and got[t][0] == pytest.approx(want)
+        want = sum(math.log(models[r._m](padded[i: i + Q.ORDER])) for i in range(len(units)))
+        assert r._n == len(units) and r._ll == pytest.approx(want, rel=1e-5)
+
+
+def test_grams_by_places_and_by_sorting_agree(monkeypatch):
+    rng = np.random.default_rng(4)
+    units, at, _ = Q.units_of(["".join(map(chr, rng.integers(97, 110, n))) for n in (0, 3, 50, 400)] + ["香港\U0001F600" * 9])
+    first = Q.grams_of(units, at)
+    monkeypatch.setattr(Q, "PLACES", 10)
+    second = Q.grams_of(units, at)
+    assert all((a == b).all() for a, b in zip(first, second))
+    assert (np.diff(first[0].astype(object)) > 0).all()
+    wide = [sum(int(units[i - j]) << (Q.BITS * j) for j in range(Q.ORDER)) for i in at]
+    assert [int(x) for x in first[0][first[1]]] == wide
 
 
 def test_probabilities_sum_to_one(spark):
     p, _ = reference(TRAIN)
     units = sorted({c for t in TRAIN for c in t.replace("\n", " ").replace("1", "0").replace("2", "0")})
-    for context in ("\0\0\0", "the", "zzz", " ca"):
+    for context in ("\0\0\0\0", "the ", "zzzz", " cat"):
         assert sum(p(context + u) for u in units) + p(context + "香") == pytest.approx(1)
 
 
@@ -91,10 +110,18 @@ def test_every_trusted_document_counts_and_calibrates(spark):
         return math.exp(-sum(math.log(p(padded[i: i + Q.ORDER])) for i in range(len(text))) / len(text))
 
     got = {r.doc_id: r for r in Q.classify(docs, labels).collect()}
-    for i, _, text in rows:
-        assert got[i].perplexity == pytest.approx(perplexity([t for _, _, t in rows], text)) and got[i].kept
     left_out = [perplexity([t for j, _, t in rows if folds[j] != folds[i]], text) for i, _, text in rows]
-    assert all(r.threshold == pytest.approx(max(left_out)) for r in got.values())
+    for i, _, _ in rows:
+        assert got[i].perplexity == pytest.approx(left_out[i], rel=1e-5) and got[i].kept
+    assert all(r.threshold == pytest.approx(max(left_out), rel=1e-5) for r in got.values())
+
+
+def test_a_null_language_is_not_the_empty_one(spark):
+    rows = [(i, None if i % 2 else "", ("abc abc " if i % 2 else "xyz xyz ") * 5) for i in range(16)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(1, 16, 2)], "doc_id long, quality int, toxic int")
+    got = Q.classify(docs, labels).collect()
+    assert all((r.perplexity is None) == (r.lang == "") and r.kept for r in got)
 
 
 def test_awkward_rows(spark):

@@ -1,302 +1,481 @@
 """Quality classifier: interpolated modified Kneser-Ney language model of trusted text.
 
-Units are UTF-16 code units (digits folded to one, white space to a space), so an n-gram of
-four packs exactly into one long and the model saturates with a language's spelling instead
-of growing with its vocabulary. Per language:
-
-1. n-gram counts over *all* trusted documents (labels: quality 1, not toxic), summed inside
-   each Arrow batch before the shuffle; the tables below are joins and aggregates keyed by
-   (language, n-gram), so counts are sharded by n-gram;
-2. modified Kneser-Ney: three discounts an order from the counts of counts, continuation
-   counts below the top order, interpolation down to the uniform distribution;
-3. scoring looks up each document's n-grams in broadcast shards of the model, gathered through
-   the driver (no join by n-gram): a shard is meant to hold SHARD_ROWS rows, decided by the
-   middle two units of an n-gram, with the orders below that replicated, so each n-gram's probability comes whole from one shard
-   and a document's log-likelihood is the sum over shards. Documents never move;
-4. thresholds are cross-fitted: trusted documents fall into FOLDS folds by hash, each is scored
-   by the model of the other folds, and a document is kept if its perplexity under the model
-   of all folds is at most its language's QUANTILE among those. So every trusted document
-   both counts and calibrates, and none is judged by a model that has seen it.
-
-Null or empty text: no units, perplexity null, rejected. A language whose trusted text is all
-in one fold: nothing to judge by, kept (perplexity null if it has no trusted text at all). A null language
-is a language of its own. Repeated rows are scored alike; repeated labels of one document
-count as trusted only if all are. Empty labels: every document with text is kept.
+Units are UTF-16 code units in 12 bits (digits folded to one, white space to a space, units from
+4096 on to 2048 values), so an n-gram of five packs into one long and the counted n-grams grow with
+the text. Per language:
+
+1. Counts. n-grams of all trusted documents (labels: quality 1, not toxic), by fold, are summed in
+   each task, sent packed by bucket of their third and fourth unit and added up there. One table has
+   the count of the whole and of each fold; a model without a fold is a difference of two columns.
+2. Modified Kneser-Ney for all models at once, a column each: three discounts an order from the
+   counts of counts, continuation counts below the top order, interpolation down to the uniform
+   distribution. Tables are joined by (language, n-gram).
+3. Scoring is a sharded count join. A task's text is a chunk for each language and model; the
+   chunk's distinct n-grams go out packed by the same buckets, meet the model's rows there (orders 3
+   to 5 and their contexts share the two units, so a bucket knows all it needs; pairs and single
+   units, which the alphabet bounds, are in every bucket), and the log probabilities go back to the
+   chunk, where each document's are added up. Nothing of the model passes through the driver.
+4. Thresholds are cross-fitted: trusted documents fall into FOLDS folds by hash and are scored by
+   the model without their fold; all others by the whole model. So no document is judged by a model
+   that has seen it. A document is kept if its perplexity is at most its language's QUANTILE among
+   the trusted ones.
+
+Chunks are named by their content and the input is read twice (text, n-grams); an input whose order
+changes between two reads raises, so write a shuffled one first. Null or empty text: no units,
+perplexity null, rejected. A language whose trusted text is all in one fold has no threshold: kept; without
+any trusted text perplexity is null too. A null language is a language of its own, apart from an empty one.
+Repeated rows are scored alike; repeated labels of one document count as trusted only if all are. Empty labels:
+every document with text is kept. A document may be as long as memory for its units allows; one text is one row.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from venuelens.llm.common import carry, documents, lean, prepare, restored
+from venuelens.llm.common import carry, documents, lean, prepare, restored, shuffle_partitions, widened
+from venuelens.session import written
 
-ORDER = 4
+ORDER = 5
+BITS = 12
 #: Quantile of the trusted documents' perplexities, each under the model of the other folds.
-QUANTILE = 0.99
+QUANTILE = 0.995
 #: Folds of trusted documents (by hash of the id).
 FOLDS = 4
-#: Rows of a model shard: 24 bytes each on the driver and in each worker.
-SHARD_ROWS = 2_000_000
 #: Trusted ids are broadcast up to so many rows (16 MB), else joined by shuffle.
 BROADCAST_ROWS = 1_000_000
+#: Bytes of text that a task holds before its chunks go out.
+CHUNK_BYTES = 16 << 20
+#: Entries of a table of places; a larger one is replaced by sorting.
+PLACES = 1 << 25
 
-#: Characters that a task looks at together, and distinct n-grams of a language that it sums before it sends them.
-SLICE = 1 << 18
-HELD_GRAMS = 1_000_000
-
+_MASK = (1 << BITS) - 1
 _FOLD = np.arange(65536, dtype=np.uint16)
+_FOLD[1 << BITS:] = (1 << (BITS - 1)) + (_FOLD[1 << BITS:] & ((1 << (BITS - 1)) - 1))
 _FOLD[ord("0"): ord("9") + 1] = ord("0")
 _FOLD[[9, 10, 11, 12, 13]] = 32
+_FOLD[0] = 1  # 0 stands before a text
+
+# ---------------------------------------------------------------- n-grams of a chunk
+
+
+def units_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(units with ORDER - 1 zeros before each text, positions of the texts' own units, their text)."""
+    pad = np.zeros(ORDER - 1, np.uint16)
+    parts, sizes = [], np.zeros(len(texts), np.int64)
+    for i, t in enumerate(texts):
+        own = _FOLD[np.frombuffer((t or "").encode("utf-16-le", "surrogatepass"), np.uint16)]
+        sizes[i] = len(own)
+        parts += [pad, own]
+    rows = np.repeat(np.arange(len(texts)), sizes)
+    return np.concatenate(parts) if parts else pad[:0], np.arange(len(rows)) + (rows + 1) * (ORDER - 1), rows
+
+
+def _ranked(key: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct keys in order, place of each key among them) for keys below ``size``."""
+    if size > PLACES:
+        return np.unique(key, return_inverse=True)
+    there = np.zeros(size, bool)
+    there[key] = True
+    place = np.cumsum(there, dtype=np.int32)
+    return np.flatnonzero(there), place[key] - 1
+
+
+def grams_of(units: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct n-grams that end at ``at``, in order, and the place of each position's)."""
+    alphabet, code = _ranked(units.astype(np.int64), 1 << BITS)
+    n = max(len(alphabet), 1)
+    values, place = alphabet.astype(np.uint64), code.astype(np.int64)
+    for k in range(2, ORDER + 1):
+        key = np.r_[0, place[:-1]] * n + code if len(place) else place
+        if k == ORDER:
+            key = key[at]
+        found, place = _ranked(key, len(values) * n)
+        place = place.astype(np.int64)
+        values = (values[found // n] << np.uint64(BITS)) | alphabet[found % n].astype(np.uint64)
+    return values, place
+
+
+def _pair_hash(pair: np.ndarray, lang: str, buckets: int) -> np.ndarray:
+    return (pair.astype(np.int64) * 2654435761 + zlib.crc32(lang.encode())) % buckets
+
+
+def _bucket(grams: np.ndarray, lang: str, buckets: int) -> np.ndarray:
+    """The bucket of top n-grams: by the two units before the last."""
+    return _pair_hash((grams >> np.uint64(BITS)) & np.uint64((1 << 2 * BITS) - 1), lang, buckets)
+
+
+def _squeeze(arrays: list[np.ndarray]) -> bytes:
+    raw = [np.ascontiguousarray(a).tobytes() for a in arrays]
+    return zstandard.ZstdCompressor(level=1).compress(np.array([len(r) for r in raw], "<i8").tobytes() + b"".join(raw))
+
+
+def _unsqueeze(blob: bytes, dtypes: list[str]) -> list[np.ndarray]:
+    body = zstandard.ZstdDecompressor().decompress(blob)
+    sizes = np.frombuffer(body, "<i8", len(dtypes))
+    ends = 8 * len(dtypes) + np.cumsum(sizes)
+    return [np.frombuffer(body, d, int(s) // np.dtype(d).itemsize, int(e - s)) for d, s, e in zip(dtypes, sizes, ends)]
+
+
+def _pack_keys(keys: np.ndarray) -> np.ndarray:
+    """Rising keys as differences, byte plane by byte plane."""
+    return np.diff(keys, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T
+
+
+def _unpack_keys(x: np.ndarray) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(x.reshape(8, -1).T).view("<u8").ravel(), dtype=np.uint64)
+
+
+# ---------------------------------------------------------------- rows of the exchanges
+
+MODELS = FOLDS + 1
+_VALUES = [f"v{m}" for m in range(MODELS)]
+_ROW = "bucket int, chunk long, kind int, lang string, m int, key long, " + ", ".join(f"{v} double" for v in _VALUES) + ", blob binary"
+_NAMES = [x.split()[0] for x in _ROW.split(", ")]
+#: kinds of rows beside the model's orders (below 10): a chunk's n-grams, its text, log probabilities
+ASK, TEXT, ANSWER = 10, 11, 12
+
+
+def _rows(rows: list[tuple]) -> pa.RecordBatch:
+    """Rows (bucket, chunk, kind, lang, m, blob)."""
+    n = len(rows)
+    b, c, k, lang, m, blob = zip(*rows) if rows else [()] * 6
+    return pa.RecordBatch.from_arrays(
+        [pa.array(b, pa.int32()), pa.array(c, pa.int64()), pa.array(k, pa.int32()), pa.array(lang, pa.string()), pa.array(m, pa.int32()), pa.nulls(n, pa.int64())]
+        + [pa.nulls(n, pa.float64())] * MODELS + [pa.array(blob, pa.binary())], _NAMES)
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], chunk_bytes: int) -> Iterator[tuple[str, int, pa.Table]]:
+    """(language, model, rows) of all rows, CHUNK_BYTES of text at a time."""
+    held, size = [], 0
+
+    def out() -> Iterator[tuple[str, int, pa.Table]]:
+        table = pa.Table.from_batches(held)
+        lang, m = np.array(table.column("_lang").to_pylist(), object), table.column("_m").to_numpy()
+        groups = {}
+        for i, g in enumerate(zip(lang.tolist(), m.tolist())):
+            groups.setdefault(g, []).append(i)
+        for g in sorted(groups):
+            yield *g, table.take(pa.array(groups[g]))
+
+    for batch in batches:
+        held.append(batch)
+        size += batch.column("text").nbytes
+        if size >= chunk_bytes:
+            yield from out()
+            held, size = [], 0
+    if sum(len(b) for b in held):
+        yield from out()
 
 
-def _units(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(units with ORDER - 1 zeros before each text, positions to score, their text)."""
-    pad = b"\0\0" * (ORDER - 1)
-    coded = [(t or "").encode("utf-16-le", "surrogatepass") for t in texts]
-    sizes = np.array([len(c) // 2 for c in coded], np.int64)
-    units = _FOLD[np.frombuffer(pad + pad.join(coded), np.uint16)] if coded else np.zeros(0, np.uint16)
-    rows = np.repeat(np.arange(len(coded)), sizes)
-    at = np.arange(len(rows)) + (rows + 1) * (ORDER - 1)
-    return units, at, rows
-
-
-def _grams(units: np.ndarray, at: np.ndarray) -> np.ndarray:
-    wide = units.astype(np.uint64)
-    whole = wide.copy()
-    for back in range(1, ORDER):
-        whole[back:] |= wide[:-back] << np.uint64(16 * back)
-    return whole[at]
-
-
-def _by_language(batch: pa.RecordBatch) -> Iterator[tuple[str, np.ndarray, list]]:
-    """(language, rows, texts) of a batch, SLICE characters of text at a time (a longer text alone)."""
-    langs = np.array([x if x is not None else "" for x in batch.column("_lang").to_pylist()], object)
-    texts = batch.column("_text").to_pylist()
-    for lang in sorted(set(langs)):
-        rows = np.flatnonzero(langs == lang)
-        ends = np.cumsum([len(texts[i] or "") for i in rows])
-        begin = 0
-        while begin < len(rows):
-            before = ends[begin - 1] if begin else 0
-            end = max(begin + 1, int(np.searchsorted(ends, before + SLICE, side="right")))
-            yield lang, rows[begin:end], [texts[i] for i in rows[begin:end]]
-            begin = end
-
-
-def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct n-grams of several (n-grams, counts), with the sums of their counts."""
-    gram = np.concatenate([p[0] for p in parts])
-    n = np.concatenate([p[1] for p in parts])
-    order = np.argsort(gram, kind="stable")
-    gram, n = gram[order], n[order]
-    head = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1]]) if len(gram) else np.zeros(0, np.int64)
-    return gram[head], np.add.reduceat(n, head) if len(head) else n
+def _name_and_body(table: pa.Table) -> tuple[int, bytes]:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as w:
+        w.write_table(table.combine_chunks())
+    body = sink.getvalue().to_pybytes()
+    return xxhash.xxh64_intdigest(body) - (1 << 63), body
 
 
 @lean
-def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts summed over a task, so that an n-gram leaves it about once."""
-    held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
-
-    def out(lang: str) -> Iterator[pa.RecordBatch]:
-        gram, n = _summed(held.pop(lang))
-        for at in range(0, len(gram), 50_000):
-            part = gram[at: at + 50_000]
+def _count_batches(batches: Iterator[pa.RecordBatch], buckets: int, chunk_bytes: int) -> Iterator[pa.RecordBatch]:
+    """Counts of each chunk's n-grams, packed by bucket."""
+    for lang, m, table in _chunks(batches, chunk_bytes):
+        units, at, _ = units_of(table.column("text").to_pylist())
+        if len(at):
+            grams, place = grams_of(units, at)
+            n = np.bincount(place, minlength=len(grams))
+            yield _rows([(b, 0, ASK, lang, m, _squeeze([_pack_keys(grams[r]), n[r].astype("<u4")])) for b, r in _by_bucket(grams, lang, buckets)])
+
+
+def _by_bucket(grams: np.ndarray, lang: str, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(bucket, places of its n-grams in order)."""
+    bucket = _bucket(grams, lang, buckets)
+    order = np.argsort(bucket, kind="stable")
+    edge = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    for b in range(buckets):
+        if edge[b] < edge[b + 1]:
+            yield b, order[edge[b]: edge[b + 1]]
+
+
+_COUNTS = "lang string, gram long, " + ", ".join(f"c{m} long" for m in range(MODELS))
+
+
+@lean
+def _add_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come by (bucket, lang): the counts of every n-gram, for the whole (c0) and without each fold."""
+    current, parts = None, []
+
+    def out() -> Iterator[pa.RecordBatch]:
+        gram = np.concatenate([p[0] for p in parts])
+        grams, place = np.unique(gram, return_inverse=True)
+        by_fold = np.zeros((MODELS, len(grams)), np.int64)
+        start = 0
+        for keys, n, m in parts:
+            by_fold[m] += np.bincount(place[start: start + len(keys)], weights=n, minlength=len(grams)).astype(np.int64)
+            start += len(keys)
+        whole = by_fold.sum(axis=0)
+        columns = [whole, *(whole - by_fold[m] for m in range(1, MODELS))]
+        for a in range(0, len(grams), 50_000):
+            part = slice(a, a + 50_000)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(part), pa.string()), pa.array(part.view(np.int64)), pa.array(n[at: at + 50_000])], ["lang", "gram", "n"]
-            )
+                [pa.array([current[1]] * len(grams[part]), pa.string()), pa.array(grams[part].view(np.int64)), *(pa.array(c[part]) for c in columns)],
+                ["lang", "gram", *(f"c{m}" for m in range(MODELS))])
 
     for batch in batches:
-        for lang, _, texts in _by_language(batch):
-            units, at, _ = _units(texts)
-            parts = held.setdefault(lang, [])
-            parts.append(np.unique(_grams(units, at), return_counts=True))
-            if len(parts) >= 16:
-                parts[:] = [_summed(parts)]
-            if sum(len(p[0]) for p in parts) > HELD_GRAMS:
-                yield from out(lang)
-    for lang in list(held):
-        yield from out(lang)
+        for b, lang, m, blob in zip(*(batch.column(c).to_pylist() for c in ("bucket", "lang", "m", "blob"))):
+            if (b, lang) != current:
+                if parts:
+                    yield from out()
+                current, parts = (b, lang), []
+            keys, n = _unsqueeze(blob, ["u1", "<u4"])
+            parts.append((_unpack_keys(keys), n, m))
+    if parts:
+        yield from out()
+
 
+def counts(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """(lang, gram, c0..): counts of the top order over ``docs(_lang, _m, text)``, _m from 1 the fold: of all, and of all but each fold."""
+    buckets = max(8, shuffle_partitions(docs.sparkSession))
+    packed = docs.select("_lang", "_m", "text").mapInArrow(lambda b: _count_batches(b, buckets, chunk_bytes), _ROW)
+    return packed.repartition(buckets, "bucket").sortWithinPartitions("bucket", "lang").mapInArrow(_add_batches, _COUNTS)
 
-def counts(docs: DataFrame) -> DataFrame:
-    """(lang, gram, n): the counts of the top order over ``docs(_lang, _text)``."""
-    rows = docs.select("_lang", "_text").mapInArrow(_count_batches, "lang string, gram long, n long")
-    return rows.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+
+# ---------------------------------------------------------------- the models
 
 
 def _discounts(table: DataFrame) -> DataFrame:
-    """(lang, d1, d2, d3) from the counts of counts; discounts stay within their counts."""
-    of = {k: F.sum(F.when(F.col("n") == k, 1).otherwise(0)).cast("double") for k in (1, 2, 3, 4)}
-    t = table.groupBy("lang").agg(*[v.alias(f"t{k}") for k, v in of.items()])
-    y = F.try_divide(F.col("t1"), F.col("t1") + 2 * F.col("t2"))
-    out = {}
-    for k in (1, 2, 3):
-        d = k - (k + 1) * y * F.try_divide(F.col(f"t{k + 1}"), F.col(f"t{k}"))
-        out[f"d{k}"] = F.least(F.greatest(F.coalesce(d, F.lit(0.5 * k)), F.lit(0.05)), F.lit(float(k)) - 0.05)
-    return t.select("lang", *[v.alias(c) for c, v in out.items()])
+    """(lang, d<model>_<1..3>) from the counts of counts; discounts stay within their counts."""
+    of = [F.sum(F.when(F.col(f"c{m}") == k, 1).otherwise(0)).cast("double").alias(f"t{m}_{k}") for m in range(MODELS) for k in (1, 2, 3, 4)]
+    t = table.groupBy("lang").agg(*of)
+    out = []
+    for m in range(MODELS):
+        c = {k: F.col(f"t{m}_{k}") for k in (1, 2, 3, 4)}
+        y = F.try_divide(c[1], c[1] + 2 * c[2])
+        for k in (1, 2, 3):
+            d = k - (k + 1) * y * F.try_divide(c[k + 1], c[k])
+            out.append(F.least(F.greatest(F.coalesce(d, F.lit(0.5 * k)), F.lit(0.05)), F.lit(float(k)) - 0.05).alias(f"d{m}_{k}"))
+    return t.select("lang", *out)
 
 
 def model(top: DataFrame) -> DataFrame:
-    """(lang, kind, key, value): log probabilities (kind = order) and log back-off weights (kind = -order of the context).
+    """(lang, kind, key, v0..): log probabilities (kind = order) and log back-off weights (kind = -order of the context), a column a model.
 
-    ``top``: the table of :func:`counts`. Kind 0 holds the log probability of an unknown unit.
+    ``top``: the table of :func:`counts`. Kind 0 holds the log probability of an unknown unit. Null: not in that model.
     """
-    tables = {ORDER: top}
+    each = range(MODELS)
+    cs = [f"c{m}" for m in each]
+    tables = {ORDER: written(top, "grams")}
     for order in range(ORDER - 1, 0, -1):
-        below = F.col("gram").bitwiseAND(F.lit((1 << (16 * order)) - 1))
-        tables[order] = tables[order + 1].groupBy("lang", below.alias("gram")).agg(F.count(F.lit(1)).alias("n"))
+        below = F.col("gram").bitwiseAND(F.lit((1 << (BITS * order)) - 1))
+        tables[order] = tables[order + 1].groupBy("lang", below.alias("gram")).agg(*[F.count_if(F.col(c) > 0).alias(c) for c in cs])
     parts, lower = [], None
     for order in range(1, ORDER + 1):
         table = tables[order].join(F.broadcast(_discounts(tables[order])), "lang")  # a row a language
-        table = table.withColumn("d", F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3")))
-        context = F.shiftrightunsigned(F.col("gram"), 16)
-        stats = table.groupBy("lang", context.alias("context")).agg(
-            F.sum("n").alias("total"), (F.sum("d") / F.sum("n")).alias("weight"), F.count(F.lit(1)).alias("types")
+        for m in each:
+            c = F.col(cs[m])
+            table = table.withColumn(f"d{m}", F.when(c == 1, F.col(f"d{m}_1")).when(c == 2, F.col(f"d{m}_2")).when(c > 2, F.col(f"d{m}_3")))
+        table = table.withColumn("context", F.shiftrightunsigned(F.col("gram"), BITS)).select("lang", "gram", "context", *cs, *[f"d{m}" for m in each])
+        stats = table.groupBy("lang", "context").agg(
+            *[F.sum(c).alias(f"total{m}") for m, c in enumerate(cs)],
+            *[F.try_divide(F.sum(f"d{m}"), F.sum(c)).alias(f"weight{m}") for m, c in enumerate(cs)],
+            *[F.count_if(F.col(c) > 0).alias(f"types{m}") for m, c in enumerate(cs)],
         )
-        table = table.withColumn("context", context)
+        share = [F.when(F.col(f"c{m}") > 0, F.try_divide(F.col(f"c{m}") - F.col(f"d{m}"), F.col(f"total{m}"))) for m in each]
         if order == 1:
-            # contexts are empty: one row a language
-            joined = table.join(F.broadcast(stats), ["lang", "context"])
-            share = F.col("weight") / (F.col("types") + 1)
-            parts.append(stats.select("lang", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("key"), F.log(F.col("weight") / (F.col("types") + 1)).alias("value")))
-            p = joined.select("lang", "gram", ((F.col("n") - F.col("d")) / F.col("total") + share).alias("p"))
+            joined = table.join(F.broadcast(stats), ["lang", "context"])  # contexts are empty: a row a language
+            rest = [F.col(f"weight{m}") / (F.col(f"types{m}") + 1) for m in each]
+            parts.append(stats.select("lang", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("key"), *[F.log(rest[m]).alias(f"v{m}") for m in each]))
         else:
-            below = F.col("gram").bitwiseAND(F.lit((1 << (16 * (order - 1))) - 1))
+            below = F.col("gram").bitwiseAND(F.lit((1 << (BITS * (order - 1))) - 1))
             joined = table.join(stats, ["lang", "context"]).withColumn("below", below)
-            joined = joined.join(lower.select("lang", F.col("gram").alias("below"), F.col("p").alias("q")), ["lang", "below"])
-            p = joined.select("lang", "gram", ((F.col("n") - F.col("d")) / F.col("total") + F.col("weight") * F.col("q")).alias("p"))
-            parts.append(stats.select("lang", F.lit(1 - order).alias("kind"), F.col("context").alias("key"), F.log("weight").alias("value")))
-        p = p.checkpoint()
-        parts.append(p.select("lang", F.lit(order).alias("kind"), F.col("gram").alias("key"), F.log("p").alias("value")))
-        lower = p
+            joined = joined.join(lower.select("lang", F.col("gram").alias("below"), *[F.col(f"p{m}").alias(f"q{m}") for m in each]), ["lang", "below"])
+            rest = [F.col(f"weight{m}") * F.col(f"q{m}") for m in each]
+            parts.append(stats.select("lang", F.lit(1 - order).alias("kind"), F.col("context").alias("key"), *[F.log(f"weight{m}").alias(f"v{m}") for m in each]))
+        lower = written(joined.select("lang", "gram", *[(share[m] + rest[m]).alias(f"p{m}") for m in each]), "order")
+        parts.append(lower.select("lang", F.lit(order).alias("kind"), F.col("gram").alias("key"), *[F.log(f"p{m}").alias(f"v{m}") for m in each]))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionAll(part)
-    return out.checkpoint()
+    return out
 
 
-def shards(spark: SparkSession, table: DataFrame) -> list:
-    """Broadcast shards of at most about SHARD_ROWS rows; each holds {(lang, kind): (sorted keys, values)}."""
-    spread = F.col("kind").isin(ORDER, ORDER - 1, 1 - ORDER, 2 - ORDER)
-    number = -(-table.count() // SHARD_ROWS)
-    # the two middle units: of a top n-gram and of its suffix the units before the last, of a context its last two
-    middle = F.when(F.col("kind") > 0, F.shiftrightunsigned(F.col("key"), 16)).otherwise(F.col("key")).bitwiseAND(F.lit(0xFFFFFFFF))
-    out = []
-    for s in range(number):
-        part = table.where(~spread | (middle % number == s)).toArrow()
-        lang = np.array(part.column("lang").to_pylist(), object)
-        kind = part.column("kind").to_numpy()
-        key, value = part.column("key").to_numpy().view(np.uint64), part.column("value").to_numpy()
-        held = {}
-        for at in sorted(set(zip(lang, kind))):
-            rows = np.flatnonzero((lang == at[0]) & (kind == at[1]))
-            rows = rows[np.argsort(key[rows])]
-            held[at[0], int(at[1])] = (key[rows], value[rows])
-        out.append(spark.sparkContext.broadcast((s, number, held)))
-    return out
+def _model_rows(table: DataFrame, buckets: int) -> DataFrame:
+    """The model as rows of the exchange: by bucket, pairs and single units in every bucket."""
+    key = F.when(F.col("kind") > 0, F.shiftrightunsigned(F.col("key"), BITS)).otherwise(F.col("key")).bitwiseAND(F.lit((1 << 2 * BITS) - 1))
+    own = F.pmod(key * 2654435761 + F.crc32("lang"), F.lit(buckets)).cast("int")
+    small = F.col("kind").between(-1, 2)
+    to = F.when(small, F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(own))
+    return table.select(F.explode(to).alias("bucket"), F.lit(0).cast("long").alias("chunk"), "kind", "lang", F.lit(0).alias("m"), "key", *_VALUES, F.lit(None).cast("binary").alias("blob"))
+
+
+# ---------------------------------------------------------------- scoring
 
 
-def _look(table: tuple[np.ndarray, np.ndarray] | None, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(found, value) of each key."""
-    if table is None or not len(table[0]):
+def _look(table: tuple[np.ndarray, np.ndarray] | None, m: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(found, value) of each key in model ``m``."""
+    if table is None or not len(keys):
         return np.zeros(len(keys), bool), np.zeros(len(keys))
     at = np.minimum(np.searchsorted(table[0], keys), len(table[0]) - 1)
-    return table[0][at] == keys, table[1][at]
+    value = table[1][m][at]
+    return (table[0][at] == keys) & ~np.isnan(value), value
 
 
-def log_probabilities(held: dict, lang: str, grams: np.ndarray) -> np.ndarray:
-    """Log probability of the last unit of each top n-gram given those before."""
-    out = np.zeros(len(grams))
-    open_ = np.arange(len(grams))
-    keys = grams
+def log_probabilities(tables: dict[int, tuple], m: int, grams: np.ndarray) -> np.ndarray:
+    """Log probability of the last unit of each top n-gram given those before, under model ``m``; NaN without a model."""
+    known, unknown = _look(tables.get(0), m, np.zeros(1, np.uint64))
+    if not known[0]:
+        return np.full(len(grams), np.nan)
+    out, open_, keys = np.zeros(len(grams)), np.arange(len(grams)), grams
     for order in range(ORDER, 0, -1):
-        found, value = _look(held.get((lang, order)), keys)
+        found, value = _look(tables.get(order), m, keys)
         out[open_[found]] += value[found]
         open_, keys = open_[~found], keys[~found]
-        if not len(open_):
-            return out
         if order > 1:
-            known, weight = _look(held.get((lang, 1 - order)), keys >> np.uint64(16))
+            known, weight = _look(tables.get(1 - order), m, keys >> np.uint64(BITS))
             out[open_[known]] += weight[known]
-            keys = keys & np.uint64((1 << (16 * (order - 1))) - 1)
-    out[open_] += held[lang, 0][1][0]
+            keys = keys & np.uint64((1 << (BITS * (order - 1))) - 1)
+    out[open_] += unknown[0]
     return out
 
 
-def score(docs: DataFrame, held: list) -> DataFrame:
-    """Adds _ll and _n, log-likelihood and scored units (0 without a model of the language), to ``docs(_lang, _text, ...)``."""
-    out = docs.withColumn("_ll", F.lit(0.0)).withColumn("_n", F.lit(0).cast("long"))
-    columns = out.columns
-    for shard in held:
-        out = out.mapInArrow(lambda batches, shard=shard: _score_batches(batches, shard, columns), out.schema)
-    return out
+@lean
+def _ask_batches(batches: Iterator[pa.RecordBatch], buckets: int, chunk_bytes: int) -> Iterator[pa.RecordBatch]:
+    for lang, m, table in _chunks(batches, chunk_bytes):
+        name, _ = _name_and_body(table)
+        units, at, _ = units_of(table.column("text").to_pylist())
+        if len(at):
+            grams, _ = grams_of(units, at)
+            yield _rows([(b, name, ASK, lang, m, _squeeze([_pack_keys(grams[r])])) for b, r in _by_bucket(grams, lang, buckets)])
 
 
 @lean
-def _score_batches(batches: Iterator[pa.RecordBatch], shard, columns: list[str]) -> Iterator[pa.RecordBatch]:
-    s, number, tables = shard.value
+def _text_batches(batches: Iterator[pa.RecordBatch], chunk_bytes: int) -> Iterator[pa.RecordBatch]:
+    for lang, m, table in _chunks(batches, chunk_bytes):
+        name, body = _name_and_body(table)
+        yield _rows([(-1, name, TEXT, lang, m, zstandard.ZstdCompressor(level=3).compress(body))])
+
+
+@lean
+def _answer_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come by (bucket, lang, kind): the model's, then the chunks that ask."""
+    current, held, tables = None, {}, None
     for batch in batches:
-        ll, n = batch.column("_ll").to_numpy().copy(), batch.column("_n").to_numpy().copy()
-        for lang, rows, texts in _by_language(batch):
-            if (lang, 0) not in tables:
+        lang, bucket, kind = batch.column("lang").to_pylist(), batch.column("bucket").to_numpy(), batch.column("kind").to_numpy()
+        group = list(zip(bucket.tolist(), lang, kind.tolist()))
+        edge = [0, *(i for i in range(1, len(group)) if group[i] != group[i - 1]), len(group)]
+        for a, b in zip(edge[:-1], edge[1:]):
+            if a == b:
+                continue
+            if group[a][:2] != current:
+                current, held, tables = group[a][:2], {}, None
+            if group[a][2] < ASK:
+                part = batch.slice(a, b - a)
+                held.setdefault(group[a][2], []).append(
+                    (part.column("key").to_numpy().view(np.uint64), np.stack([part.column(v).to_numpy(zero_copy_only=False).astype(np.float64) for v in _VALUES])))
                 continue
-            units, at, owner = _units(texts)
-            grams = _grams(units, at)
-            if number > 1:
-                mine = (grams >> np.uint64(16) & np.uint64(0xFFFFFFFF)) % np.uint64(number) == s
-                grams, owner = grams[mine], owner[mine]
-            value = log_probabilities(tables, lang, grams)
-            ll[rows] += np.bincount(owner, weights=value, minlength=len(rows))
-            n[rows] += np.bincount(owner, minlength=len(rows))
-        yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(ll), pa.array(n)], columns)
+            if tables is None:
+                tables = {}
+                for k, parts in held.items():
+                    keys, values = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts], axis=1)
+                    order = np.argsort(keys)
+                    tables[k] = (keys[order], values[:, order])
+            out = []
+            for i in range(a, b):
+                m = batch.column("m")[i].as_py()
+                grams = _unpack_keys(_unsqueeze(batch.column("blob")[i].as_py(), ["u1"])[0])
+                answer = log_probabilities(tables, m, grams).astype("<f4").view(np.uint8).reshape(-1, 4).T
+                out.append((current[0], batch.column("chunk")[i].as_py(), ANSWER, current[1], m, _squeeze([answer])))
+                if sum(len(o[-1]) for o in out) > 4 << 20:
+                    yield _rows(out)
+                    out = []
+            if out:
+                yield _rows(out)
+
+
+def _score_chunk(body: bytes, lang: str, answers: list[bytes], buckets: int, columns: list[str]) -> Iterator[pa.RecordBatch]:
+    table = pa.ipc.open_stream(pa.py_buffer(zstandard.ZstdDecompressor().decompress(body))).read_all()
+    units, at, owner = units_of(table.column("text").to_pylist())
+    n = np.bincount(owner, minlength=len(table))
+    ll = np.zeros(len(table))
+    if len(at):
+        grams, place = grams_of(units, at)
+        parts = [np.ascontiguousarray(_unsqueeze(a, ["u1"])[0].reshape(4, -1).T).view("<f4").ravel() for a in answers]
+        value = np.zeros(len(grams))
+        order = [r for _, r in _by_bucket(grams, lang, buckets)]
+        if [len(r) for r in order] != [len(p) for p in parts]:
+            raise RuntimeError("a chunk's n-grams were not all answered: the input changed between two reads")
+        value[np.concatenate(order)] = np.concatenate(parts)
+        ll = np.bincount(owner, weights=value[place], minlength=len(table))
+        n[np.isnan(ll)] = 0
+        ll[np.isnan(ll)] = 0
+    out = table.select(columns[:-2]).append_column("_ll", pa.array(ll)).append_column("_n", pa.array(n.astype(np.int64)))
+    yield from out.combine_chunks().to_batches(max_chunksize=500)
+
+
+@lean
+def _score_batches(batches: Iterator[pa.RecordBatch], buckets: int, columns: list[str]) -> Iterator[pa.RecordBatch]:
+    """Rows come by (chunk, kind, bucket): texts, then answers; chunks of equal content ask alike, one answer serves all."""
+    current, bodies, answers, seen = None, [], [], None
+    for batch in batches:
+        for i, chunk in enumerate(batch.column("chunk").to_pylist()):
+            if chunk != current:
+                for lang, body in bodies:
+                    yield from _score_chunk(body, lang, answers, buckets, columns)
+                current, bodies, answers, seen = chunk, [], [], None
+            kind, bucket, blob = (batch.column(c)[i].as_py() for c in ("kind", "bucket", "blob"))
+            if kind == TEXT:
+                bodies.append((batch.column("lang")[i].as_py(), blob))
+            elif bucket != seen:
+                answers.append(blob)
+                seen = bucket
+    for lang, body in bodies:
+        yield from _score_chunk(body, lang, answers, buckets, columns)
+
+
+def score(docs: DataFrame, table: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """Adds _ll and _n, log-likelihood and scored units (0 without a model), to ``docs(_lang, _m, text, ...)``; _m: the model that judges the row."""
+    buckets = max(8, shuffle_partitions(docs.sparkSession))
+    schema: StructType = widened(docs.schema, _ll="double", _n="long")
+    asks = docs.select("_lang", "_m", *[c for c in docs.columns if c not in ("_lang", "_m")])
+    texts = asks.mapInArrow(lambda b: _text_batches(b, chunk_bytes), _ROW)
+    asked = asks.mapInArrow(lambda b: _ask_batches(b, buckets, chunk_bytes), _ROW)
+    met = asked.unionAll(_model_rows(table, buckets)).repartition(buckets, "bucket").sortWithinPartitions("bucket", "lang", "kind")
+    # the sort puts the model's kinds (below ASK) first
+    answers = met.mapInArrow(_answer_batches, _ROW)
+    columns = schema.fieldNames()
+    return texts.unionAll(answers).repartition("chunk").sortWithinPartitions("chunk", "kind", "bucket").mapInArrow(lambda b: _score_batches(b, buckets, columns), schema)
+
+
+# ---------------------------------------------------------------- the classifier
 
 
 def _trusted(labels: DataFrame) -> DataFrame:
-    """(_id, _fold): trusted documents and their fold."""
+    """(_id, _fold): trusted documents and their fold, from 1."""
     sure = labels.groupBy("doc_id").agg(F.min(F.col("quality").cast("int")).alias("q"), F.max(F.col("toxic").cast("int")).alias("t"))
-    fold = F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)).cast("string")
-    ids = sure.where("q = 1 and coalesce(t, 0) = 0 and doc_id is not null").select(F.col("doc_id").alias("_id"), fold.alias("_fold")).checkpoint()
+    fold = (F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)) + 1).cast("int")
+    ids = written(sure.where("q = 1 and coalesce(t, 0) = 0 and doc_id is not null").select(F.col("doc_id").alias("_id"), fold.alias("_fold")), "trusted")
     return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
 
 
-def _cross_counts(known: DataFrame) -> DataFrame:
-    """:func:`counts` of all of ``known(_lang, _text, _fold)`` and of all but each fold.
-
-    lang is the language with one more character: * for all folds, else the fold left out.
-    """
-    own = counts(known.select(F.concat("_lang", "_fold").alias("_lang"), "_text"))
-    lang = F.expr("left(lang, length(lang) - 1)")
-    others = [F.when(F.right("lang", F.lit(1)) != str(f), F.concat(lang, F.lit(str(f)))) for f in range(FOLDS)]
-    to = own.select(F.explode(F.array(F.concat(lang, F.lit("*")), *others)).alias("lang"), "gram", "n").where("lang is not null")
-    return to.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-
-
-def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """doc_id, lang, text and the rest of ``docs`` (one struct) with perplexity, threshold and kept added."""
-    spark = prepare(docs.sparkSession)
-    text = F.col("text").cast("string")
-    inner = carry(docs, "doc_id", "lang", "text").withColumns({"_lang": F.coalesce(F.col("lang").cast("string"), F.lit("")), "_text": text})
+    prepare(docs.sparkSession)
     trusted = _trusted(labels)
-    known = inner.select("doc_id", "_lang", "_text").join(trusted, F.col("doc_id") == F.col("_id")).select("_lang", "_text", "_fold")
-    table = model(_cross_counts(known))
-    whole = F.col("lang").endswith("*")
-    # a language and its fold, scored by the model without that fold
-    left_out = known.select(F.concat("_lang", "_fold").alias("_lang"), "_text", F.col("_lang").alias("_of"))
-    calibration = score(left_out, shards(spark, table.where(~whole)))
+    lang = F.coalesce(F.concat(F.lit("="), F.col("lang").cast("string")), F.lit("null"))
+    inner = carry(docs, "doc_id", "lang", "text").withColumns({"text": F.col("text").cast("string"), "_lang": lang})
+    inner = inner.join(trusted, F.col("doc_id") == F.col("_id"), "left").withColumn("_m", F.coalesce("_fold", F.lit(0))).drop("_id", "_fold")
+    scored = score(inner, model(counts(inner.where("_m > 0"), chunk_bytes)), chunk_bytes)
     perplexity = F.when(F.col("_n") > 0, F.exp(-F.col("_ll") / F.col("_n")))
-    calibration = calibration.select(F.col("_of").alias("_lang"), perplexity.alias("p"))
-    thresholds = calibration.where("p is not null").groupBy("_lang").agg(F.percentile_approx("p", QUANTILE, 10_000).alias("t"))
-    held = shards(spark, table.where(whole).withColumn("lang", F.expr("left(lang, length(lang) - 1)")))
-    limits = {r[0]: r[1] for r in thresholds.collect()}  # a row a language
-    threshold = F.create_map(*[F.lit(x) for kv in limits.items() for x in kv])[F.col("_lang")] if limits else F.lit(None).cast("double")
-    # the text goes to the workers once: as _text, and back
-    scored = score(inner.drop("text"), held).withColumns({"perplexity": perplexity, "threshold": threshold}).withColumnRenamed("_text", "text")
+    limits = scored.where("_m > 0 and _n > 0").groupBy("_lang").agg(F.percentile_approx(perplexity, QUANTILE, 10_000).alias("threshold"))
+    scored = scored.join(F.broadcast(limits), "_lang", "left").withColumn("perplexity", perplexity)  # a row a language
     empty = F.coalesce(F.length("text"), F.lit(0)) == 0
     return scored.withColumn("kept", ~empty & F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True)))
 
