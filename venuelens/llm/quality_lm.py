@@ -53,7 +53,7 @@ FOLDS = 4
 #: Trusted ids are broadcast up to so many rows (16 MB), else joined by shuffle.
 BROADCAST_ROWS = 1_000_000
 #: Bytes of text that a task holds before its chunks go out.
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 #: Entries of a table of places; a larger one is replaced by sorting.
 PLACES = 1 << 25
 
@@ -75,31 +75,37 @@ def units_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarra
         own = _FOLD[np.frombuffer((t or "").encode("utf-16-le", "surrogatepass"), np.uint16)]
         sizes[i] = len(own)
         parts += [pad, own]
-    rows = np.repeat(np.arange(len(texts)), sizes)
-    return np.concatenate(parts) if parts else pad[:0], np.arange(len(rows)) + (rows + 1) * (ORDER - 1), rows
+    rows = np.repeat(np.arange(len(texts), dtype=np.int32), sizes)
+    at = np.arange(len(rows), dtype=np.int32 if len(rows) + ORDER * len(texts) < 1 << 31 else np.int64)
+    at += (rows + 1) * (ORDER - 1)
+    return np.concatenate(parts) if parts else pad[:0], at, rows
 
 
 def _ranked(key: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """(distinct keys in order, place of each key among them) for keys below ``size``."""
     if size > PLACES:
-        return np.unique(key, return_inverse=True)
+        found, place = np.unique(key, return_inverse=True)
+        return found, place.astype(np.int32)
     there = np.zeros(size, bool)
     there[key] = True
     place = np.cumsum(there, dtype=np.int32)
-    return np.flatnonzero(there), place[key] - 1
+    place -= 1
+    return np.flatnonzero(there), place[key]
 
 
 def grams_of(units: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(distinct n-grams that end at ``at``, in order, and the place of each position's)."""
-    alphabet, code = _ranked(units.astype(np.int64), 1 << BITS)
+    alphabet, code = _ranked(units, 1 << BITS)
     n = max(len(alphabet), 1)
-    values, place = alphabet.astype(np.uint64), code.astype(np.int64)
+    values, place = alphabet.astype(np.uint64), code
     for k in range(2, ORDER + 1):
-        key = np.r_[0, place[:-1]] * n + code if len(place) else place
+        key = np.zeros(len(place), np.int32 if len(values) * n < 1 << 31 else np.int64)
+        key[1:] = place[:-1]
+        key *= n
+        key += code
         if k == ORDER:
             key = key[at]
         found, place = _ranked(key, len(values) * n)
-        place = place.astype(np.int64)
         values = (values[found // n] << np.uint64(BITS)) | alphabet[found % n].astype(np.uint64)
     return values, place
 
@@ -275,7 +281,7 @@ def model(top: DataFrame) -> DataFrame:
     tables = {ORDER: written(top, "grams")}
     for order in range(ORDER - 1, 0, -1):
         below = F.col("gram").bitwiseAND(F.lit((1 << (BITS * order)) - 1))
-        tables[order] = tables[order + 1].groupBy("lang", below.alias("gram")).agg(*[F.count_if(F.col(c) > 0).alias(c) for c in cs])
+        tables[order] = written(tables[order + 1].groupBy("lang", below.alias("gram")).agg(*[F.count_if(F.col(c) > 0).alias(c) for c in cs]), "grams")
     parts, lower = [], None
     for order in range(1, ORDER + 1):
         table = tables[order].join(F.broadcast(_discounts(tables[order])), "lang")  # a row a language
@@ -304,7 +310,7 @@ def model(top: DataFrame) -> DataFrame:
     out = parts[0]
     for part in parts[1:]:
         out = out.unionAll(part)
-    return out
+    return written(out, "model")
 
 
 def _model_rows(table: DataFrame, buckets: int) -> DataFrame:
