@@ -53,7 +53,7 @@ FOLDS = 4
 #: Trusted ids are broadcast up to so many rows (16 MB), else joined by shuffle.
 BROADCAST_ROWS = 1_000_000
 #: Bytes of text that a task holds before its chunks go out.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 12 << 20
 #: Entries of a table of places; a larger one is replaced by sorting.
 PLACES = 1 << 25
 
@@ -144,7 +144,7 @@ def _unpack_keys(x: np.ndarray) -> np.ndarray:
 
 MODELS = FOLDS + 1
 _VALUES = [f"v{m}" for m in range(MODELS)]
-_ROW = "bucket int, chunk long, kind int, lang string, m int, key long, " + ", ".join(f"{v} double" for v in _VALUES) + ", blob binary"
+_ROW = "bucket int, chunk long, kind int, lang string, m int, key long, " + ", ".join(f"{v} float" for v in _VALUES) + ", blob binary"
 _NAMES = [x.split()[0] for x in _ROW.split(", ")]
 #: kinds of rows beside the model's orders (below 10): a chunk's n-grams, its text, log probabilities
 ASK, TEXT, ANSWER = 10, 11, 12
@@ -156,7 +156,7 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
     b, c, k, lang, m, blob = zip(*rows) if rows else [()] * 6
     return pa.RecordBatch.from_arrays(
         [pa.array(b, pa.int32()), pa.array(c, pa.int64()), pa.array(k, pa.int32()), pa.array(lang, pa.string()), pa.array(m, pa.int32()), pa.nulls(n, pa.int64())]
-        + [pa.nulls(n, pa.float64())] * MODELS + [pa.array(blob, pa.binary())], _NAMES)
+        + [pa.nulls(n, pa.float32())] * MODELS + [pa.array(blob, pa.binary())], _NAMES)
 
 
 def _chunks(batches: Iterator[pa.RecordBatch], chunk_bytes: int) -> Iterator[tuple[str, int, pa.Table]]:
@@ -298,15 +298,15 @@ def model(top: DataFrame) -> DataFrame:
         if order == 1:
             joined = table.join(F.broadcast(stats), ["lang", "context"])  # contexts are empty: a row a language
             rest = [F.col(f"weight{m}") / (F.col(f"types{m}") + 1) for m in each]
-            parts.append(stats.select("lang", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("key"), *[F.log(rest[m]).alias(f"v{m}") for m in each]))
+            parts.append(stats.select("lang", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("key"), *[F.log(rest[m]).cast("float").alias(f"v{m}") for m in each]))
         else:
             below = F.col("gram").bitwiseAND(F.lit((1 << (BITS * (order - 1))) - 1))
             joined = table.join(stats, ["lang", "context"]).withColumn("below", below)
             joined = joined.join(lower.select("lang", F.col("gram").alias("below"), *[F.col(f"p{m}").alias(f"q{m}") for m in each]), ["lang", "below"])
             rest = [F.col(f"weight{m}") * F.col(f"q{m}") for m in each]
-            parts.append(stats.select("lang", F.lit(1 - order).alias("kind"), F.col("context").alias("key"), *[F.log(f"weight{m}").alias(f"v{m}") for m in each]))
-        lower = written(joined.select("lang", "gram", *[(share[m] + rest[m]).alias(f"p{m}") for m in each]), "order")
-        parts.append(lower.select("lang", F.lit(order).alias("kind"), F.col("gram").alias("key"), *[F.log(f"p{m}").alias(f"v{m}") for m in each]))
+            parts.append(stats.select("lang", F.lit(1 - order).alias("kind"), F.col("context").alias("key"), *[F.log(f"weight{m}").cast("float").alias(f"v{m}") for m in each]))
+        lower = written(joined.select("lang", "gram", *[(share[m] + rest[m]).cast("float").alias(f"p{m}") for m in each]), "order")
+        parts.append(lower.select("lang", F.lit(order).alias("kind"), F.col("gram").alias("key"), *[F.log(f"p{m}").cast("float").alias(f"v{m}") for m in each]))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionAll(part)
@@ -366,7 +366,7 @@ def _ask_batches(batches: Iterator[pa.RecordBatch], buckets: int, chunk_bytes: i
 def _text_batches(batches: Iterator[pa.RecordBatch], chunk_bytes: int) -> Iterator[pa.RecordBatch]:
     for lang, m, table in _chunks(batches, chunk_bytes):
         name, body = _name_and_body(table)
-        yield _rows([(-1, name, TEXT, lang, m, zstandard.ZstdCompressor(level=3).compress(body))])
+        yield _rows([(-1, name, TEXT, lang, m, zstandard.ZstdCompressor(level=6).compress(body))])
 
 
 @lean
