@@ -52,8 +52,9 @@ QUANTILE = 0.995
 FOLDS = 4
 #: Trusted ids are broadcast up to so many rows (16 MB), else joined by shuffle.
 BROADCAST_ROWS = 1_000_000
-#: Bytes of text that a task holds before its chunks go out.
-CHUNK_BYTES = 12 << 20
+#: Bytes of text of a chunk, and how many times that a task holds over all languages and models.
+CHUNK_BYTES = 8 << 20
+HELD_CHUNKS = 6
 #: Entries of a table of places; a larger one is replaced by sorting.
 PLACES = 1 << 25
 
@@ -160,26 +161,29 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def _chunks(batches: Iterator[pa.RecordBatch], chunk_bytes: int) -> Iterator[tuple[str, int, pa.Table]]:
-    """(language, model, rows) of all rows, CHUNK_BYTES of text at a time."""
-    held, size = [], 0
-
-    def out() -> Iterator[tuple[str, int, pa.Table]]:
-        table = pa.Table.from_batches(held)
-        lang, m = np.array(table.column("_lang").to_pylist(), object), table.column("_m").to_numpy()
-        groups = {}
-        for i, g in enumerate(zip(lang.tolist(), m.tolist())):
-            groups.setdefault(g, []).append(i)
-        for g in sorted(groups):
-            yield *g, table.take(pa.array(groups[g]))
+    """(language, model, rows) of all rows: a chunk has ``chunk_bytes`` of text, or what is left when a task holds HELD_CHUNKS times that."""
+    held: dict[tuple[str, int], list] = {}
+    sizes: dict[tuple[str, int], int] = {}
+
+    def out(g: tuple[str, int]) -> tuple[str, int, pa.Table]:
+        sizes.pop(g)
+        return *g, pa.Table.from_batches(held.pop(g))
 
     for batch in batches:
-        held.append(batch)
-        size += batch.column("text").nbytes
-        if size >= chunk_bytes:
-            yield from out()
-            held, size = [], 0
-    if sum(len(b) for b in held):
-        yield from out()
+        groups: dict[tuple[str, int], list[int]] = {}
+        for i, g in enumerate(zip(batch.column("_lang").to_pylist(), batch.column("_m").to_pylist())):
+            groups.setdefault(g, []).append(i)
+        for g, rows in groups.items():
+            part = batch.take(pa.array(rows))
+            held.setdefault(g, []).append(part)
+            sizes[g] = sizes.get(g, 0) + part.column("text").nbytes
+            if sizes[g] >= chunk_bytes:
+                yield out(g)
+        if sum(sizes.values()) >= HELD_CHUNKS * chunk_bytes:
+            for g in sorted(held):
+                yield out(g)
+    for g in sorted(held):
+        yield out(g)
 
 
 def _name_and_body(table: pa.Table) -> tuple[int, bytes]:
