@@ -116,7 +116,7 @@ MAP = [
     ("J5", "operators.joins.enrich_search_with_detail", ["enrich_search_with_detail"]),
     ("J6", "operators.joins.fetch_backlog", ["fetch_backlog"]),
     ("J7", "operators.joins.dictionary_match", ["dictionary_match", "dictionary_first_match"]),
-    ("J8", "operators.joins.find_competitors", ["find_competitors"]),
+    ("J8", "operators.joins.find_competitors", ["find_competitors", "competitor_totals"]),
     ("J9", "operators.joins.orphan_check", ["orphan_check"]),
     ("J10", "operators.joins.band_join", ["price_band_join"]),
     # 2.6 windows

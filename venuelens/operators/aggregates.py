@@ -205,17 +205,19 @@ def area_price_level(df: DataFrame, tiers=PRICE_TIERS, area: str = "area", price
                      approx: bool = False) -> DataFrame:
     """Per area and price tier: count, mean and median price.
 
-    The exact median keeps a value->count map per group (memory grows with the
-    number of distinct prices, not rows, and merges map-side); ``approx=True``
-    uses a fixed-size quantile sketch for very wide value domains.
+    The exact median comes from histogram refinement (``quantiles``), without a value map a group;
+    ``approx=True`` uses a fixed-size quantile sketch in one pass.
     """
-    med = (F.percentile_approx(F.col(price).cast("double"), 0.5, 10000) if approx
-           else F.median(F.col(price).cast("double")))
-    return (df.where(_nonblank(area) & (F.col(price) > 0))
-            .withColumn("level", tier_of(F.col(price), tiers))
-            .groupBy(F.col(area).alias("area"), "level")
-            .agg(F.count(F.lit(1)).alias("count"), avg_rounded(price, 2).alias("mean_price"),
-                 round_half_up(med, 2).alias("median_price")))
+    priced = df.where(_nonblank(area) & (F.col(price) > 0)).select(
+        F.col(area).alias("area"), tier_of(F.col(price), tiers).alias("level"), F.col(price).alias("price"))
+    figures = [F.count(F.lit(1)).alias("count"), avg_rounded("price", 2).alias("mean_price")]
+    if approx:
+        sketch = F.percentile_approx(F.col("price").cast("double"), 0.5, 10000)
+        return priced.groupBy("area", "level").agg(*figures, round_half_up(sketch, 2).alias("median_price"))
+    from .quantiles import exact_quantiles
+    median = exact_quantiles(priced, ["area", "level"], "price", {"median": 0.5})
+    return priced.groupBy("area", "level").agg(*figures).join(median, ["area", "level"]).select(
+        "area", "level", "count", "mean_price", round_half_up("median", 2).alias("median_price"))
 
 
 # ---- A15 / A16 ---------------------------------------------------------------------

@@ -99,7 +99,7 @@ def price_anomaly(df: DataFrame, method: str = "zscore", k: float = 2.0, by: str
     """Listings whose price is unusual within their group, flagged high or low (others are left out).
 
     zscore: |price - mean| / stddev_samp > k.  iqr: outside [q1 - k*iqr, q3 + k*iqr]
-    (exact quartiles; the percentile buffer grows with distinct prices, not rows).
+    (exact quartiles by histogram refinement, without a value map a group).
     """
     pos = df.where(F.col(price) > 0).select(key, by, F.col(price).cast("double").alias("p"))
     if method == "zscore":
@@ -109,7 +109,8 @@ def price_anomaly(df: DataFrame, method: str = "zscore", k: float = 2.0, by: str
                 .withColumn("flag", F.when(F.col("score") > k, "high").when(F.col("score") < -k, "low"))
                 .where("flag IS NOT NULL"))
     if method == "iqr":
-        st = pos.groupBy(by).agg(F.percentile("p", 0.25).alias("q1"), F.percentile("p", 0.75).alias("q3"))
+        from .quantiles import exact_quantiles
+        st = exact_quantiles(pos, [by], "p", {"q1": 0.25, "q3": 0.75})
         iqr = F.col("q3") - F.col("q1")
         return (pos.join(st, by).select(key, by, F.col("p").alias("price"),
                                         round_half_up(F.col("q1") - iqr * k, 4).alias("low_fence"),
