@@ -59,3 +59,19 @@ def test_clean_labelled_documents_stay(spark):
     got = R.QUERIES["op10_repetition_coverage"](spark, "/root/testdata/sf0.01").join(spark.read.parquet("/root/testdata/sf0.01/labels.parquet"), "doc_id")
     clean = got.where("quality = 1 and not base_failed")
     assert clean.where("kept").count() >= 0.99 * clean.count()
+
+
+def test_repetition_of_a_quarter_or_a_third_goes(spark):
+    def text(share, words=400, passage=20):
+        fresh = [f"word{n}" for n in range(words)]
+        times = round(share * words / passage)
+        again = [f"again{n}" for n in range(passage)]
+        parts = fresh[: words - times * passage]
+        for n in range(times):
+            at = len(parts) * n // times
+            parts[at:at] = [" ".join(again)]
+        return " ".join(parts)
+
+    rows = [(n, text(share)) for n, share in enumerate((0.0, 0.1, 0.15, 0.27, 0.3, 0.35))]
+    got = {r.doc_id: (r.base_failed, r.kept) for r in R.judge(R.measure(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
+    assert got == {0: (False, True), 1: (False, True), 2: (False, True), 3: (False, False), 4: (False, False), 5: (False, False)}

@@ -36,5 +36,5 @@ def test_awkward_rows(spark, tmp_path):
     df, rows = awkward(spark)
     check(H.shard(df).collect(), [(r[0], r[1]) for r in rows])
     assert H.shard(empty(spark)).count() == 0
-    H.write_shards(df.dropDuplicates(["doc_id"]).drop("shard"), str(tmp_path / "out"))
+    H.write_shards(df.dropDuplicates(["doc_id"]).selectExpr("* except (shard)", "1 as shard", "2 as slot", "3 as _id", "4 as s"), str(tmp_path / "out"))
     assert spark.read.parquet(str(tmp_path / "out")).count() == df.dropDuplicates(["doc_id"]).count()

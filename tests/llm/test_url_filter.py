@@ -1,5 +1,8 @@
 """URL rules, aliases and precedence."""
 
+from html import unescape
+from urllib.parse import urldefrag, urljoin
+
 import duckdb
 from llm_util import SF
 
@@ -25,7 +28,7 @@ def oracle(frame):
 
 def test_aliases_and_precedence(spark):
     df = spark.createDataFrame(PAGES, SCHEMA)
-    clash = df.selectExpr("*", "1 as node", "2 as component", "3 as host", "4 as verdict")
+    clash = df.selectExpr("*", "1 as node", "2 as component", "3 as host", "4 as verdict", "5 as _own", "6 as _at", "7 as _node", "8 as _shared", "9 as other")
     got = U.judge(clash).select("page_id", "host", "path", "rule", "verdict").collect()
     verdict = {r.page_id: r.verdict for r in got}
     assert len(got) == len(PAGES)
@@ -57,6 +60,26 @@ def test_every_link_of_a_page_counts(spark):
     assert sorted(tuple(r) for r in got) == oracle(df.toPandas())
 
 
+def test_attributes_comments_and_relative_addresses(spark):
+    """What declares a link, and where it leads, against the library's own resolution."""
+    base = "http://a.com/x/y?z"
+    links = ["?q", "../up", "./here", "../../../far/./b/..", "/r/../s/.", "//q.net/z", "HTTP://Q.net/z#f", "deep/er?u=../x", "a&amp;b&#x2F;c", "#part", "."]
+    rows = [(n, base, f"<link rel='shortlink canonical' title=\"href=no\" data-href=/no href='{link}'>") for n, link in enumerate(links)]
+    got = [r.b for r in U.edges(spark.createDataFrame(rows, SCHEMA)).collect()]
+    want = []
+    for link in links:
+        found = urldefrag(urljoin(base, unescape(link)))[0]
+        host_ = found.split("/")[2]
+        want.append(found.replace(host_, host_.lower()) if link != "#part" else "http://a.com/x/y")
+    assert sorted(got) == sorted(want)
+    none = ["<!-- <link rel=canonical href=/n> -->", "<script>'<link rel=canonical href=/n>'</script>", "<link rel=canonical data-href=/n>", "<linkx rel=canonical href=/n>",
+            "<link rel=canonicals href=/n>", "<meta name=refresh content='0; url=/n'>", "<meta http-equiv=refresh content='5'>", "<textarea><link rel=canonical href=/n>"]
+    assert U.edges(spark.createDataFrame([(n, base, h) for n, h in enumerate(none)], SCHEMA)).count() == 0
+    rows += [(100 + n, f"http://b.com/{n}", h) for n, h in enumerate(none)] + [(200, "http://q.net/z", None), (201, "http://a.com", "<link rel=canonical href=x>")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert sorted(tuple(r) for r in U.judge(df).select("page_id", "host", "path", "rule", "verdict").collect()) == oracle(df.toPandas())
+
+
 def test_query_matches_sql(spark):
     got = sorted(tuple(r) for r in U.QUERIES["op7_url_redirects"](spark, SF).collect())
     assert got == oracle(spark.read.parquet(f"{SF}/pages.parquet").toPandas())

@@ -48,9 +48,13 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = SHARDS) -> None:
-    """Writes the rows of ``docs`` under path/shard=i, joined back by doc_id (which must then be a key)."""
-    found = shard(docs, shards).select(F.col("doc_id").alias("_id"), "shard", "slot")
-    joined = docs.join(found, F.col("doc_id").eqNullSafe(F.col("_id"))).drop("_id")
+    """Writes the rows of ``docs`` under path/shard=i, joined back by doc_id (which must then be a key).
+
+    A column named ``shard`` or ``slot`` (in any case) gives way to the operator's.
+    """
+    found = shard(docs, shards)
+    rows = docs.select([c for c in docs.columns if c.lower() not in ("shard", "slot")]).alias("d")
+    joined = rows.join(found.select("doc_id", "shard", "slot").alias("s"), F.col("d.doc_id").eqNullSafe(F.col("s.doc_id"))).select("d.*", "s.shard", "s.slot")
     joined.write.partitionBy("shard").mode("overwrite").parquet(path)
 
 

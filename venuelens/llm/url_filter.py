@@ -2,7 +2,10 @@
 
 A url's own rule is the longest one that fits its host and path. Pages declare aliases:
 ``<link rel=canonical href>`` and ``<meta http-equiv=refresh content="0; url=...">`` give
-edges between urls (without fragments, scheme and host in lower case). Connected components
+edges between urls (without fragments, scheme and host in lower case). Tags count outside
+comments, scripts, styles, templates and text areas, their attributes by whole names, ``rel`` as
+a list of words; a relative address is resolved against the page's url, dot segments removed.
+Of character references ``&amp;`` and the spellings in ``REFERENCES`` are decoded. Connected components
 over all edges carry decisions: a url without a rule of its own is allowed if some alias
 has an allow rule, else blocked if some alias has a block rule, else allowed. A url's own
 rule always stands.
@@ -11,7 +14,7 @@ Edges are extracted in one scan, components contract in rounds of joins, and onl
 edges take part; all other pages are decided in the scan.
 
 Null or malformed urls (no ``://``): host and path empty, no rule, allow. Null html declares
-nothing. Repeated rows are judged alike; an empty table gives no rows.
+nothing. Repeated rows are judged alike; other columns may have any names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venuelens.llm.common import pages, prepare
+from venuelens.llm.common import carry, pages, prepare, restored
 from venuelens.llm.components import components
 
 #: (verdict, host, path)
@@ -31,8 +34,12 @@ RULES = (
 )
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_CANONICAL = r"(?is)<link\b(?=[^>]*\brel\s*=\s*[\"']?canonical\b)[^>]*?\bhref\s*=\s*[\"']?([^\"'\s>]+)"
-_REFRESH = r"(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b)[^>]*?\bcontent\s*=\s*[\"']?[^\"'>]*?url\s*=\s*[\"']?([^\"'\s>]+)"
+#: Parts of a page whose tags are no tags.
+_HIDDEN = r"(?is)<!--.*?(?:-->|\z)" + "".join(rf"|<{t}\b[^>]*>.*?(?:</{t}\s*>|\z)" for t in ("script", "style", "noscript", "template", "textarea"))
+_TAG = r"""(?is)<(?:link|meta)(?:[\s/](?:[^>"']|"[^"]*"|'[^']*')*)>"""
+_ATTRIBUTE = r"""(?is)[^\s"'<>/=]+\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+)"""
+#: (reference, character), ``&amp;`` last
+REFERENCES = (("&#38;", "&"), ("&#x26;", "&"), ("&#47;", "/"), ("&#x2f;", "/"), ("&#x2F;", "/"), ("&#58;", ":"), ("&#x3a;", ":"), ("&#x3A;", ":"), ("&amp;", "&"))
 
 
 def host(url: Column) -> Column:
@@ -61,27 +68,57 @@ def address(url: Column) -> Column:
     return F.when(front != "", F.concat(F.translate(front, _UPPER, _LOWER), plain.substr(F.length(front) + 1, F.length(plain))))
 
 
+def _without_dots(path_: Column) -> Column:
+    """A path (from its first slash on) without ``.`` and ``..`` segments."""
+    ended = F.when(path_.rlike(r"/\.\.?\z"), F.concat(path_, F.lit("/"))).otherwise(path_)
+    parts = F.slice(F.split(ended, "/"), 2, F.length(ended) + 1)
+    return F.aggregate(
+        parts, F.lit(""),
+        lambda done, x: F.when(x == ".", done).when(x == "..", F.regexp_replace(done, r"/[^/]*\z", "")).otherwise(F.concat(done, F.lit("/"), x)),
+    )
+
+
 def _absolute(link: Column, base: Column) -> Column:
-    """A declared link against its page's url: absolute, host-relative, path-absolute or relative to the folder."""
-    link = F.replace(link, F.lit("&amp;"), F.lit("&"))
+    """A declared link against its page's url: absolute, host-relative, path-absolute, a query, or relative to the folder."""
     front = F.regexp_extract(base, r"(?s)^(.*?://[^/?#]*)", 1)
     scheme = F.regexp_extract(base, r"(?s)^(.*?:)//", 1)
-    folder = F.regexp_extract(base, r"(?s)^(.*?://[^/?#]*(?:/[^?#]*/)?)", 1)
-    slash = F.when(folder.endswith("/"), folder).otherwise(F.concat(folder, F.lit("/")))
-    return (
+    here = F.regexp_extract(base, r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
+    folder = F.concat(F.lit("/"), F.regexp_extract(here, r"(?s)^/?(.*/)?", 1))
+    whole = (
         F.when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), link).when(link.startswith("//"), F.concat(scheme, link))
-        .when(link.startswith("/"), F.concat(front, link)).when(link != "", F.concat(slash, link))
+        .when(link.startswith("/"), F.concat(front, link)).when(link.startswith("?"), F.concat(front, here, link))
+        .when(link.startswith("#"), F.concat(front, here)).when(link != "", F.concat(front, folder, link))
     )
+    rest = F.regexp_extract(whole, r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
+    start = F.regexp_extract(whole, r"(?s)^(.*?://[^/?#]*)", 1)
+    tail = F.regexp_extract(whole, r"(?s)^.*?://[^/?#]*[^?#]*(.*)\z", 1)
+    return F.when(rest.rlike(r"/\.\.?(?:/|\z)"), F.concat(start, _without_dots(rest), tail)).otherwise(whole)
+
+
+def _value(attributes: Column, name: str) -> Column:
+    """The first attribute of that name, without quotes, references decoded; null if there is none."""
+    found = F.get(F.filter(attributes, lambda a: a.rlike(rf"(?is)^{name}\s*=")), 0)
+    plain = F.regexp_extract(found, r"(?s)=\s*[\"']?(.*?)[\"']?\z", 1)
+    for reference, character in REFERENCES:
+        plain = F.replace(plain, F.lit(reference), F.lit(character))
+    return F.trim(plain)
 
 
 def edges(pages_: DataFrame) -> DataFrame:
     """(a, b): all declared redirects and canonical links of pages(url, html), however many a page has."""
-    html, none = F.col("html"), F.array().cast("array<string>")
-    links = F.concat(
-        F.when(html.rlike("(?i)canonical"), F.regexp_extract_all(html, F.lit(_CANONICAL), F.lit(1))).otherwise(none),
-        F.when(html.rlike("(?i)http-equiv"), F.regexp_extract_all(html, F.lit(_REFRESH), F.lit(1))).otherwise(none),
+    html = F.col("html").cast("string")
+    tags = pages_.where(html.rlike("(?i)canonical|http-equiv") & F.col("url").isNotNull()).select(
+        F.col("url").cast("string").alias("url"), F.explode(F.regexp_extract_all(F.regexp_replace(html, _HIDDEN, " "), F.lit(_TAG), F.lit(0))).alias("tag")
     )
-    found = pages_.select("url", F.explode(links).alias("link")).where("link is not null and link <> '' and url is not null")
+    read = tags.select("url", F.col("tag").rlike("(?i)^<link").alias("is_link"), F.regexp_extract_all("tag", F.lit(_ATTRIBUTE), F.lit(0)).alias("attributes"))
+    attributes = F.col("attributes")
+    link = F.when(
+        F.col("is_link"), F.when(_value(attributes, "rel").rlike(r"(?i)(?:^|\s)canonical(?:\s|\z)"), _value(attributes, "href"))
+    ).when(
+        F.lower(_value(attributes, "http-equiv")) == "refresh",
+        F.regexp_extract(_value(attributes, "content"), r"(?is)^[^;,]*[;,]\s*url\s*=\s*[\"']?([^\"'\s>]+)", 1),
+    )
+    found = read.select("url", link.alias("link")).where("link is not null and link <> ''")
     return found.select(address(F.col("url")).alias("a"), address(_absolute(F.col("link"), F.col("url"))).alias("b")).where("a is not null and b is not null")
 
 
@@ -95,12 +132,15 @@ def judge(pages_: DataFrame, rules=RULES) -> DataFrame:
         F.when(F.max(F.col("_own") == "allow"), "allow").when(F.max(F.col("_own") == "block"), "block").alias("_shared")
     ).where("_shared is not null")
     shared = decided.join(of_group, "component").select(F.col("node").alias("_node"), "_shared")
+    rows = carry(pages_, "url")
     name, own = rule(host(F.col("url")), path(F.col("url")), rules)
-    known = pages_.withColumns({"host": host(F.col("url")), "path": path(F.col("url")), "rule": name, "_own": own, "_at": address(F.col("url"))})
+    known = rows.withColumns({"_host": host(F.col("url")), "_path": path(F.col("url")), "_rule": name, "_own": own, "_at": address(F.col("url"))})
     # many pages may share one url: the pages' side may be split by AQE, the other has one row a url
-    return known.join(shared, F.col("_at") == F.col("_node"), "left").withColumn(
-        "verdict", F.coalesce("_own", "_shared", F.lit("allow"))
-    ).drop("_own", "_at", "_node", "_shared")
+    joined = known.join(shared, F.col("_at") == F.col("_node"), "left")
+    kept = [c for n, c in zip(pages_.columns, restored(pages_, ("url",))) if n not in ("host", "path", "rule", "verdict")]
+    return joined.select(
+        *kept, F.col("_host").alias("host"), F.col("_path").alias("path"), F.col("_rule").alias("rule"), F.coalesce("_own", "_shared", F.lit("allow")).alias("verdict")
+    )
 
 
 def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,22 +160,41 @@ _SQL_RULE = """CASE WHEN (h = 'example.net' OR h LIKE '%.example.net') AND p LIK
  WHEN (h = 'net' OR h LIKE '%.net') AND p LIKE '/%' THEN 'net/' END"""
 _SQL_HOST = "translate(regexp_extract({u}, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _SQL_PATH = "regexp_extract({u}, '(?s)^.*?://[^/?#]*([^?#]*)', 1)"
-_SQL_LINK = """CASE WHEN regexp_matches(l, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN l WHEN l LIKE '//%' THEN regexp_extract(url, '(?s)^(.*?:)//', 1) || l
+_SQL_HERE = "regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1)"
+_SQL_LINK = f"""CASE WHEN regexp_matches(l, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN l WHEN l LIKE '//%' THEN regexp_extract(url, '(?s)^(.*?:)//', 1) || l
  WHEN l LIKE '/%' THEN regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) || l
- WHEN l <> '' THEN rtrim(regexp_extract(url, '(?s)^(.*?://[^/?#]*(/[^?#]*/)?)', 1), '/') || '/' || l END"""
+ WHEN l LIKE '?%' THEN regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) || {_SQL_HERE} || l
+ WHEN l LIKE '#%' THEN regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) || {_SQL_HERE}
+ WHEN l <> '' THEN regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) || '/' || regexp_extract({_SQL_HERE}, '(?s)^/?(.*/)?', 1) || l END"""
+_SQL_REST = "regexp_extract(t, '(?s)^.*?://[^/?#]*([^?#]*)', 1)"
+_SQL_DOTS = f"""CASE WHEN regexp_matches({_SQL_REST}, '/\\.\\.?(/|$)') THEN regexp_extract(t, '(?s)^(.*?://[^/?#]*)', 1)
+ || list_reduce(string_split(CASE WHEN regexp_matches({_SQL_REST}, '/\\.\\.?$') THEN {_SQL_REST} || '/' ELSE {_SQL_REST} END, '/')[2:],
+  lambda done, x: CASE WHEN x = '.' THEN done WHEN x = '..' THEN regexp_replace(done, '/[^/]*$', '') ELSE done || '/' || x END, '')
+ || regexp_extract(t, '(?s)^.*?://[^/?#]*[^?#]*(.*)$', 1) ELSE t END"""
+
+
+def _sql_value(name: str) -> str:
+    out = f"regexp_extract(list_filter(attributes, lambda x: regexp_matches(x, '(?is)^{name}\\s*='))[1], '(?s)=\\s*[\"'']?(.*?)[\"'']?$', 1)"
+    for reference, character in REFERENCES:
+        out = f"replace({out}, '{reference}', '{character}')"
+    return f"trim({out})"
+
 
 ORACLE_SQL = {
     "op7_url_redirects": f"""
 WITH RECURSIVE tags AS (
-  SELECT url, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\\b[^>]*>')) AS tag FROM pages WHERE url IS NOT NULL
+  SELECT url, unnest(regexp_extract_all(regexp_replace(html, '{_HIDDEN}', ' ', 'g'), '{_TAG.replace("'", "''")}')) AS tag FROM pages
+  WHERE url IS NOT NULL AND regexp_matches(html, '(?i)canonical|http-equiv')
+), parts AS (
+  SELECT url, tag, regexp_extract_all(tag, '{_ATTRIBUTE.replace("'", "''")}') AS attributes FROM tags
 ), links AS (
-  SELECT url, replace(regexp_extract(tag, '(?is)\\bhref\\s*=\\s*["'']?([^"''\\s>]+)', 1), '&amp;', '&') AS l FROM tags
-  WHERE regexp_matches(tag, '(?is)^<link\\b') AND regexp_matches(tag, '(?is)\\brel\\s*=\\s*["'']?canonical\\b')
+  SELECT url, {_sql_value("href")} AS l FROM parts
+  WHERE regexp_matches(tag, '(?i)^<link') AND regexp_matches({_sql_value("rel")}, '(?i)(^|\\s)canonical(\\s|$)')
   UNION ALL
-  SELECT url, replace(regexp_extract(tag, '(?is)\\bcontent\\s*=\\s*["'']?[^"''>]*?url\\s*=\\s*["'']?([^"''\\s>]+)', 1), '&amp;', '&') FROM tags
-  WHERE regexp_matches(tag, '(?is)^<meta\\b') AND regexp_matches(tag, '(?is)\\bhttp-equiv\\s*=\\s*["'']?refresh\\b')
+  SELECT url, regexp_extract({_sql_value("content")}, '(?is)^[^;,]*[;,]\\s*url\\s*=\\s*["'']?([^"''\\s>]+)', 1) FROM parts
+  WHERE NOT regexp_matches(tag, '(?i)^<link') AND lower({_sql_value("http-equiv")}) = 'refresh'
 ), e AS (
-  SELECT {_SQL_NODE.format(u="url")} AS a, {_SQL_NODE.format(u="t")} AS b FROM (SELECT url, {_SQL_LINK} AS t FROM links)
+  SELECT {_SQL_NODE.format(u="url")} AS a, {_SQL_NODE.format(u="t")} AS b FROM (SELECT url, {_SQL_DOTS} AS t FROM (SELECT url, {_SQL_LINK} AS t FROM links))
 ), sym AS (
   SELECT a, b FROM e WHERE a IS NOT NULL AND b IS NOT NULL UNION SELECT b, a FROM e WHERE a IS NOT NULL AND b IS NOT NULL
 ), reach(a, b) AS (
