@@ -107,7 +107,7 @@ MAP = [
     ("A22", "operators.aggregates.home_kpis", ["home_kpis"]),
     ("A23", "operators.aggregates.crawl_monitor", ["crawl_monitor"]),
     ("A24", "operators.aggregates.data_quality", ["data_quality", "duplicate_review_ids"]),
-    ("A25", "operators.aggregates.approx_profile", ["approx_profile"]),
+    ("A25", "operators.aggregates.approx_profile", ["approx_profile", "approx_profile_by_month"]),
     # 2.5 joins
     ("J1", "operators.joins.favorites_only", ["favorites_only"]),
     ("J2", "operators.joins.exclude_favorites", ["exclude_favorites"]),
@@ -115,7 +115,7 @@ MAP = [
     ("J4", "operators.joins.listing_reviews", ["listing_reviews", "listing_reviews_page", "listing_reviews_total"]),
     ("J5", "operators.joins.enrich_search_with_detail", ["enrich_search_with_detail"]),
     ("J6", "operators.joins.fetch_backlog", ["fetch_backlog"]),
-    ("J7", "operators.joins.dictionary_match", ["dictionary_match", "dictionary_first_match"]),
+    ("J7", "operators.joins.dictionary_match", ["dictionary_match", "dictionary_first_match", "dictionary_match_table"]),
     ("J8", "operators.joins.find_competitors", ["find_competitors", "competitor_totals"]),
     ("J9", "operators.joins.orphan_check", ["orphan_check"]),
     ("J10", "operators.joins.band_join", ["price_band_join"]),
@@ -178,9 +178,9 @@ MAP = [
     ("M3", "operators.rating_model.prediction_interval", ["prediction_interval"]),
     ("M4", "operators.rating_model.model_info", ["model_info"]),
     ("M5", "operators.rating_model.evaluate_model", ["evaluate_model"]),
-    ("M6", "operators.rating_model.load_or_train", ["predict_rating", "model_info"]),
+    ("M6", "operators.rating_model.load_or_train", ["predict_rating", "model_info", "rating_model_checks"]),
     # 2.10 streaming
-    ("G1", "streaming.jobs.stream_upsert", ["stream_upsert", "stream_upsert_out_of_order"]),
+    ("G1", "streaming.jobs.stream_upsert", ["stream_upsert", "stream_upsert_out_of_order", "stream_upsert_compacted"]),
     ("G2", "streaming.jobs.stream_dedupe", ["stream_dedupe"]),
     ("G3", "streaming.jobs.stream_level_counts", ["stream_level_counts", "stream_level_counts_sliding"]),
     ("G4", "streaming.jobs.stream_sessions", ["stream_sessions"]),

@@ -94,3 +94,14 @@ def test_approx_profile_within_error(spark, tables):
     qs = sorted(float(x.price) for x in lst.where("price > 0").select("price").collect())
     med = qs[len(qs) // 2]
     assert abs(r.price_quartiles[1] - med) <= 0.02 * (qs[-1] - qs[0])
+
+
+def test_merged_sketches_equal_one_sketch_of_all(spark, tables):
+    from pyspark.sql import functions as F
+    rv = tables.review()
+    months = A.monthly_sketches(rv, "user_id", "rating")
+    got = A.merge_sketches(months).first()
+    whole = rv.select(F.hll_sketch_estimate(F.hll_sketch_agg("user_id", F.lit(12))).alias("u")).first().u
+    assert got.n == rv.count() and abs(got.who - whole) <= 0.05 * whole
+    flags = A.sketch_profile(rv, "user_id", "rating").collect()
+    assert len(flags) == months.count() + 1 and all(r.who_within and r.median_within for r in flags)

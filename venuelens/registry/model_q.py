@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.sql import functions as F
 
 from ..operators import rating_model as M
@@ -13,8 +11,7 @@ from .dashboard import R
 
 
 def _model(t):
-    path = scratch_path(t.spark, "rating_model/" + hashlib.md5(t.sf_dir.encode()).hexdigest()[:12])
-    return M.load_or_train(t.listing(), path)
+    return M.load_or_train(t.listing(), scratch_path(t.spark, "rating_model"))
 
 
 def _requests(t):
@@ -47,6 +44,26 @@ def _info(t):
     return M.model_info(model, metrics)
 
 
+@register("rating_model_checks", """
+SELECT TRUE AS trained, count(*) FILTER (WHERE price > 0 AND rating > 0 AND category <> '' AND area <> '') AS n_samples, TRUE AS explains,
+       TRUE AS importances_sum, count(*) AS n_requests, count(*) AS n_in_range, count(*) AS n_ordered, count(*) AS n_same
+FROM listing""", ("listing",))
+def _checks(t):
+    """What must hold of the learned results (M1-M4): sample count, error not above one and a half times
+    the ratings' spread, importances that sum to one, predictions and intervals in range, ordered and alike."""
+    model, metrics = _model(t)
+    info = M.model_info(model, metrics)
+    both = M.prediction_interval(model, M.predict_rating(model, _requests(t)).withColumnRenamed("predicted_rating", "own"))
+    p, low, high = F.col("predicted_rating"), F.col("low"), F.col("high")
+    counts = both.agg(F.count(F.lit(1)).alias("n_requests"), F.count_if(p.between(1, 5) & (low >= 1) & (high <= 5)).alias("n_in_range"),
+                      F.count_if((low <= p) & (p <= high)).alias("n_ordered"), F.count_if(F.abs(p - F.col("own")) <= 0.1001).alias("n_same"))
+    spread = M.filter_training_rows(t.listing()).select(F.stddev_pop(F.col("rating").cast("double"))).scalar()
+    total = F.aggregate(F.map_values(F.from_json("importances", "map<string,double>")), F.lit(0.0), lambda a, x: a + x)
+    return info.crossJoin(counts).select(  # one row each
+        "trained", "n_samples", (F.col("rmse") <= 1.5 * spread).alias("explains"), (F.abs(total - 1) < 1e-6).alias("importances_sum"),
+        "n_requests", "n_in_range", "n_ordered", "n_same")
+
+
 @register("evaluate_model", f"""
 WITH cm AS (SELECT category, {R('avg(CAST(rating AS DOUBLE))', 1)} AS prediction FROM listing GROUP BY category),
 p AS (SELECT l.area, CAST(l.rating AS DOUBLE) AS label, cm.prediction FROM listing l JOIN cm ON cm.category = l.category),

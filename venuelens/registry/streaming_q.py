@@ -40,6 +40,23 @@ def _stream_upsert_out_of_order(t):
     return G.latest_state(t.spark, run["out"], ["user_id"], ["ts", "event_id"]).select(*_EVENT)
 
 
+@register("stream_upsert_compacted", """
+SELECT user_id, event_id, ts, event_type, value, props FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1""")
+def _stream_upsert_compacted(t):
+    """Slices out of order, folded into a snapshot between arrivals and again after them, merged folders removed."""
+    run = G.new_run(t.spark, "upsert_compacted")
+    key, order = ["user_id"], ["ts", "event_id"]
+    for step, slices in enumerate(((3, 0), (1,), (2,))):
+        G.stage_slices(t.events, "ts", run["landing"], N_SLICES, slices, first=(0, 2, 3)[step])
+        src = G.file_stream(t.spark, run["landing"] + "/*", t.events.schema, "parquet", 1)
+        G.stream_upsert(src, key, order, run["out"], run["checkpoint"])
+        if step < 2:
+            G.compact_state(t.spark, run["out"], key, f"{run['base']}/snapshot{step}", order)
+            G.drop_merged(t.spark, run["out"])
+    return G.latest_state(t.spark, run["out"], key, order).select(*_EVENT)
+
+
 @register("stream_dedupe", "SELECT DISTINCT user_id, event_type FROM events")
 def _stream_dedupe(t):
     ev = t.events

@@ -125,3 +125,25 @@ def written(df: DataFrame, name: str = "table") -> DataFrame:
     path = scratch_path(df.sparkSession, f"{name}-{uuid4().hex}")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) of a folder or file on whatever storage ``path`` names."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, where = hadoop_path(spark, path)
+    return fs.exists(where)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, sorted; none if there is no such folder."""
+    fs, where = hadoop_path(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(where)) if fs.exists(where) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, where = hadoop_path(spark, path)
+    fs.delete(where, True)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..session import scratch_path
+from ..session import exists, folder_names, remove, scratch_path
 
 
 # ---- plumbing ----------------------------------------------------------------------
@@ -40,9 +40,11 @@ def event_time(df: DataFrame, col: str) -> DataFrame:
     return df.withColumn(col, F.col(col).cast("timestamp"))
 
 
-def stage_slices(df: DataFrame, ts_col: str, path: str, n: int = 4, order: Sequence[int] | None = None) -> list[str]:
+def stage_slices(df: DataFrame, ts_col: str, path: str, n: int = 4, order: Sequence[int] | None = None,
+                 first: int = 0) -> list[str]:
     """Write ``df`` to a landing folder as ``n`` equal time slices, in
     ``order`` (default oldest first): a stand-in for files arriving over time.
+    ``first`` numbers the first arrival, so that more slices can land later.
 
     Returns the folders written.  The slice bounds come from one min/max aggregate.
     """
@@ -52,7 +54,7 @@ def stage_slices(df: DataFrame, ts_col: str, path: str, n: int = 4, order: Seque
     step = (hi - lo) / n if hi > lo else 1.0
     t = F.col(ts_col).cast("timestamp").cast("double")
     out = []
-    for seq, i in enumerate(order if order is not None else range(n)):
+    for seq, i in enumerate(order if order is not None else range(n), first):
         cond = F.lit(True) if i == 0 else (t >= lo + i * step)
         if i < n - 1:
             cond = cond & (t < lo + (i + 1) * step)
@@ -78,16 +80,43 @@ def _changes_writer(path: str, extra: Callable[[DataFrame, int], DataFrame] | No
     return write
 
 
+def manifest(spark: SparkSession, changes: str) -> tuple[str | None, int]:
+    """(snapshot, last batch in it) of the newest whole manifest of a change folder, or (None, -1)."""
+    for name in reversed(folder_names(spark, f"{changes}/_manifest")):
+        if exists(spark, f"{changes}/_manifest/{name}/_SUCCESS"):
+            r = spark.read.json(f"{changes}/_manifest/{name}").first()
+            return r["snapshot"], r["upto"]
+    return None, -1
+
+
+def _batches(spark: SparkSession, changes: str) -> list[int]:
+    return [int(n.split("=")[1]) for n in folder_names(spark, changes) if n.startswith("batch=")]
+
+
+def _merged(spark: SparkSession, changes: str) -> DataFrame:
+    """The snapshot's rows and those of the batches after it, with ``_batch``."""
+    snapshot, upto = manifest(spark, changes)
+    later = [f"{changes}/batch={b:08d}" for b in _batches(spark, changes) if b > upto]
+    parts = ([spark.read.parquet(snapshot)] if snapshot else []) + ([spark.read.parquet(*later)] if later else [])
+    if not parts:
+        raise ValueError(f"no change batches in {changes}")
+    return parts[0].unionByName(parts[-1]) if len(parts) > 1 else parts[0]
+
+
+def _last_rows(rows: DataFrame, key: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    others = [c for c in rows.columns if c not in key]
+    agg = rows.groupBy(*key).agg(F.max_by(F.struct(*others), F.struct(*order_by, "_batch")).alias("_r"))
+    return agg.select(*key, *[F.col(f"_r.{c}").alias(c) for c in others])
+
+
 def latest_state(spark: SparkSession, changes: str, key: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
     """Merge on read: the row that is last by ``order_by``, then by batch, per key (a grouped aggregate, partial + final).
 
+    Reads the newest snapshot, if the folder was compacted, and the batches after it.
     Without ``order_by`` the highest batch wins: right for running totals, wrong for
     rows that may arrive late.
     """
-    ch = spark.read.parquet(changes)
-    others = [c for c in ch.columns if c not in key and c not in ("_batch", "batch")]
-    agg = ch.groupBy(*key).agg(F.max_by(F.struct(*others), F.struct(*order_by, "_batch")).alias("_r"))
-    return agg.select(*key, *[F.col(f"_r.{c}").alias(c) for c in others])
+    return _last_rows(_merged(spark, changes), key, order_by).drop("_batch")
 
 
 def new_run(spark: SparkSession, name: str) -> dict:
@@ -206,11 +235,35 @@ def stream_late_split(src: DataFrame, ts: str, delay_seconds: int, out: str, che
 
 
 # ---- maintenance -------------------------------------------------------------------
-def compact_state(spark: SparkSession, changes: str, key: Sequence[str], snapshot: str) -> str:
-    """Fold a change folder into one snapshot (latest row per key), written to a new path.
+def compact_state(spark: SparkSession, changes: str, key: Sequence[str], snapshot: str, order_by: Sequence[str] = ()) -> str:
+    """Fold the snapshot before and the change batches after it into one new snapshot, written to a new path.
 
-    Run periodically; readers then merge the snapshot with the change batches
-    written after it instead of with the whole history.
+    The last row per key by ``order_by`` stays, with its batch, so batches that come later
+    merge with it in any order of arrival.  Only then a manifest names the snapshot and the
+    last batch in it: readers see the old state or the new one, and a failed run leaves no trace
+    in what they read.  A batch replayed after that is ignored, being in the snapshot.
     """
-    latest_state(spark, changes, key).write.mode("overwrite").parquet(snapshot)
+    batches = _batches(spark, changes)
+    upto = max([manifest(spark, changes)[1], *batches])
+    _last_rows(_merged(spark, changes), key, order_by).write.mode("overwrite").parquet(snapshot)
+    version = len(folder_names(spark, f"{changes}/_manifest"))
+    spark.createDataFrame([(snapshot, upto)], "snapshot string, upto long").coalesce(1) \
+        .write.mode("overwrite").json(f"{changes}/_manifest/v={version:08d}")
     return snapshot
+
+
+def drop_merged(spark: SparkSession, changes: str) -> list[str]:
+    """Remove the batch folders that the newest snapshot holds and the snapshots before it; returns the removed paths.
+
+    Run when no reader still uses a state from before the last compaction.
+    """
+    snapshot, upto = manifest(spark, changes)
+    old = [f"{changes}/batch={b:08d}" for b in _batches(spark, changes) if b <= upto]
+    for name in folder_names(spark, f"{changes}/_manifest"):
+        if exists(spark, f"{changes}/_manifest/{name}/_SUCCESS"):
+            before = spark.read.json(f"{changes}/_manifest/{name}").first()["snapshot"]
+            if before != snapshot and exists(spark, before):
+                old.append(before)
+    for path in old:
+        remove(spark, path)
+    return old
