@@ -84,11 +84,15 @@ def _absolute(link: Column, base: Column) -> Column:
     scheme = F.regexp_extract(base, r"(?s)^(.*?:)//", 1)
     here = F.regexp_extract(base, r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
     folder = F.concat(F.lit("/"), F.regexp_extract(here, r"(?s)^/?(.*/)?", 1))
-    whole = (
+    return (
         F.when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), link).when(link.startswith("//"), F.concat(scheme, link))
         .when(link.startswith("/"), F.concat(front, link)).when(link.startswith("?"), F.concat(front, here, link))
         .when(link.startswith("#"), F.concat(front, here)).when(link != "", F.concat(front, folder, link))
     )
+
+
+def _resolved(whole: Column) -> Column:
+    """An absolute link without dot segments in its path."""
     rest = F.regexp_extract(whole, r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
     start = F.regexp_extract(whole, r"(?s)^(.*?://[^/?#]*)", 1)
     tail = F.regexp_extract(whole, r"(?s)^.*?://[^/?#]*[^?#]*(.*)\z", 1)
@@ -119,7 +123,10 @@ def edges(pages_: DataFrame) -> DataFrame:
         F.regexp_extract(_value(attributes, "content"), r"(?is)^[^;,]*[;,]\s*url\s*=\s*[\"']?([^\"'\s>]+)", 1),
     )
     found = read.select("url", link.alias("link")).where("link is not null and link <> ''")
-    return found.select(address(F.col("url")).alias("a"), address(_absolute(F.col("link"), F.col("url"))).alias("b")).where("a is not null and b is not null")
+    # an aggregate between the steps keeps each long expression in the plan once; equal links are one edge
+    whole = found.select(F.col("url"), _absolute(F.col("link"), F.col("url")).alias("to")).distinct()
+    resolved = whole.select("url", _resolved(F.col("to")).alias("to")).distinct()
+    return resolved.select(address(F.col("url")).alias("a"), address(F.col("to")).alias("b")).where("a is not null and b is not null")
 
 
 def judge(pages_: DataFrame, rules=RULES) -> DataFrame:
