@@ -144,6 +144,7 @@ MAP = [
     ("T6", "operators.text.textrank_keywords", ["textrank_keywords"]),
     ("T7", "operators.text.lexicon_sentiment", ["lexicon_sentiment"]),
     ("T8", "operators.text.train_sentiment", ["sentiment_model_scores"]),
+    ("T8", "operators.sentiment.holdout_sentiment", ["sentiment_holdout", "sentiment_cross_validation"]),
     ("T9", "functions.classify_sentiment", ["classify_sentiment", "sentiment_summary"]),
     ("T10", "operators.text.aspect_sentiment", ["aspect_sentiment"]),
     ("T11", "operators.text.service_quality", ["service_quality"]),

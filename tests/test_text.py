@@ -92,3 +92,71 @@ def test_tfidf_is_the_same_whatever_is_hot(spark, tables, monkeypatch):
         monkeypatch.setattr(T, "HOT_WORD", hot)
         found.append(sorted(T.tfidf_keywords(texts, "review_id", "text", 5).collect()))
     assert found[0] == found[1] == found[2] and found[0]
+
+
+def test_textrank_to_a_proven_bound(spark):
+    """Two word groups that one pair joins mix slowly; with a tolerance the scores are those of the linear system."""
+    docs = [(1, "a b c a b c b"), (2, "x y z x z y x"), (3, "c x"), (4, ""), (5, None)]
+    df = spark.createDataFrame(docs, "id long, text string")
+    toks = T.tokenize(df, "id", "text", "[a-z]+", with_position=True)
+    got = {r.word: r.score for r in T.textrank_keywords(toks, "id", window=2, n=10, tolerance=1e-7).collect()}
+    words = sorted({w for _, t in docs[:3] for w in t.split()})
+    weight = np.zeros((len(words), len(words)))
+    for _, t in docs[:3]:
+        s = [words.index(w) for w in t.split()]
+        for i, j in zip(s, s[1:]):
+            weight[i, j] += 1
+            weight[j, i] += 1
+    p = weight / weight.sum(axis=1, keepdims=True)
+    limit = np.linalg.solve(np.eye(len(words)) - 0.85 * p.T, np.full(len(words), 0.15))
+    assert got.keys() == set(words)
+    assert all(abs(got[w] - x) < 2e-6 for w, x in zip(words, limit))
+    none = T.tokenize(df.where("id > 3"), "id", "text", "[a-z]+", with_position=True)
+    assert T.textrank_keywords(none, "id", tolerance=1e-7).collect() == []
+
+
+def _plain_holdout(rows, folds, stop):
+    """Naive Bayes by dictionaries: a model of the other folds for each text."""
+    import hashlib
+    import math
+    import re
+    from collections import Counter
+    rows = [(k, [w for w in re.findall("[a-z]+", (t or "").lower()) if w not in stop], y) for k, t, y in rows if y is not None]
+    fold = {k: int(hashlib.md5(str(k).encode()).hexdigest()[:8], 16) % folds for k, _, _ in rows}
+    out = {}
+    for k, words, y in rows:
+        seen = [(w, c) for j, w, c in rows if fold[j] != fold[k]]
+        n = [Counter(x for w, c in seen if c == label for x in w) for label in (0, 1)]
+        vocabulary = set(n[0]) | set(n[1])
+        size = [sum(c.values()) + max(len(vocabulary), 1) for c in n]
+        docs = [sum(c == label for _, c in seen) for label in (0, 1)]
+        odds = math.log((docs[1] + 1) / (docs[0] + 1))
+        odds += sum(math.log((n[1][w] + 1) / size[1]) - math.log((n[0][w] + 1) / size[0]) for w in words if w in vocabulary)
+        out[k] = (fold[k], y, odds)
+    return out
+
+
+def test_holdout_sentiment_matches_plain_models(spark):
+    from venuelens.operators import sentiment as SE
+    rows = [(i, " ".join(["good" if i % 3 else "bad", f"w{chr(97 + i % 7)}", "the"] + ["fine"] * (i % 4)), int(i % 3 > 0))
+            for i in range(40)]
+    rows += [(100, None, 1), (101, "", 0), (102, "the the", 1), (103, "never seen", None), (104, "only here once", 0)]
+    df = spark.createDataFrame(rows, "id long, text string, label int").withColumn("fold", F.lit("clash"))
+    got = SE.holdout_sentiment(df, "id", "text", "label", 3, pattern="[a-z]+", stop=["the"])
+    want = _plain_holdout(rows, 3, ["the"])
+    found = {r.id: r for r in got.collect()}
+    assert found.keys() == want.keys()
+    for k, (fold, label, odds) in want.items():
+        assert (found[k].fold, found[k].label) == (fold, label) and abs(found[k].log_odds - odds) < 2e-6
+    report = {r.fold: r for r in SE.holdout_accuracy(got).collect()}
+    right = sum((o >= 0) == (y == 1) for _, y, o in want.values())
+    assert report[None].n == len(want) and report[None].accuracy == round(right / len(want) + 1e-12, 4)
+    assert sum(r.n for f, r in report.items() if f is not None) == len(want)
+    assert SE.holdout_sentiment(df.where("id > 200"), "id", "text", "label", 3).collect() == []
+
+
+def test_holdout_sentiment_of_one_class(spark):
+    from venuelens.operators import sentiment as SE
+    df = spark.createDataFrame([(i, "same words", 1) for i in range(6)], "id long, text string, label int")
+    got = SE.holdout_sentiment(df, "id", "text", "label", 2)
+    assert got.count() == 6 and {r.predicted for r in got.collect()} == {1}

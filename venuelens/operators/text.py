@@ -11,6 +11,7 @@ limits per partition before the shuffle.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Sequence
 
@@ -161,8 +162,14 @@ def cooccurrence_edges(tokens_pos: DataFrame, key: str, window: int = 3) -> Data
 
 
 def textrank_keywords(tokens_pos: DataFrame, key: str, window: int = 3, iterations: int = 10, n: int = 20,
-                      damping: float = 0.85, checkpoint_every: int = 3) -> DataFrame:
-    """Weighted PageRank over the co-occurrence graph, fixed number of iterations.
+                      damping: float = 0.85, checkpoint_every: int = 3, tolerance: float | None = None) -> DataFrame:
+    """Weighted PageRank over the co-occurrence graph, ``iterations`` times or to a proven bound.
+
+    An iteration shrinks the summed change of all scores by ``damping`` at least, so after a summed
+    change of c no score is further than c * damping / (1 - damping) from its limit.  With ``tolerance`` the
+    loop ends once that is at most ``tolerance``, at the latest after the iterations that the first change
+    proves enough (rounding may keep a sum from falling further).  Ranks go by the score rounded
+    to 6 digits, ties by word.
 
     Lineage is cut with a reliable ``checkpoint()`` to the session's checkpoint
     folder every few iterations, so a lost executor never replays the chain.
@@ -173,16 +180,28 @@ def textrank_keywords(tokens_pos: DataFrame, key: str, window: int = 3, iteratio
     out_w = edges.groupBy("u").agg(F.sum("w").alias("wsum"))
     norm = edges.join(out_w, "u").select("u", "v", (F.col("w") / F.col("wsum")).alias("p")).checkpoint()
     rank = norm.select(F.col("u").alias("word")).distinct().withColumn("score", F.lit(1.0))
-    for i in range(iterations):
+    done, enough = 0, None
+    while tolerance is not None or done < iterations:
         contrib = (norm.join(rank.withColumnRenamed("word", "u"), "u")
                    .groupBy(F.col("v").alias("word")).agg(F.sum(F.col("p") * F.col("score")).alias("s")))
+        before = rank
         rank = contrib.select("word", ((1 - damping) + damping * F.col("s")).alias("score"))
-        if (i + 1) % checkpoint_every == 0:
+        done += 1
+        if done % checkpoint_every:
+            continue
+        if tolerance is None:
             rank = rank.checkpoint()
+            continue
+        moved = rank.join(before.withColumnRenamed("score", "_old"), "word").checkpoint()
+        error = (moved.agg(F.sum(F.abs(F.col("score") - F.col("_old")))).first()[0] or 0.0) * damping / (1 - damping)
+        rank = moved.drop("_old")
+        if enough is None and error > tolerance:
+            enough = done + math.ceil(math.log(tolerance / error) / math.log(damping))
+        if error <= tolerance or done >= enough:
+            break
     order = [F.desc("score"), F.asc("word")]
-    top = rank.orderBy(*order).limit(n)
-    return top.select("word", round_half_up("score", 6).alias("score"),
-                      F.row_number().over(Window.orderBy(*order)).cast("long").alias("rank"))
+    top = rank.select("word", round_half_up("score", 6).alias("score")).orderBy(*order).limit(n)
+    return top.select("word", "score", F.row_number().over(Window.orderBy(*order)).cast("long").alias("rank"))
 
 
 # ---- T7 ----------------------------------------------------------------------------

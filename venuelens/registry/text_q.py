@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import dims
 from ..functions import classify_sentiment
+from ..operators import sentiment as SE
 from ..operators import text as T
 from . import register
 from .dashboard import R
@@ -91,11 +92,32 @@ def _tfidf(t):
 
 
 # ---- T6 ----------------------------------------------------------------------------
-@register("textrank_keywords")
+_RANK_STEPS = 10
+
+
+@register("textrank_keywords", f"""
+WITH RECURSIVE seq AS (SELECT review_id, {TOKS('text')} AS toks FROM review_text),
+tok AS MATERIALIZED (SELECT * FROM (SELECT review_id, unnest(toks) AS token, unnest(range(len(toks))) AS pos FROM seq)
+                     WHERE trim(token) <> '' AND trim(token) NOT IN ({_q(STOP)})),
+pair AS (SELECT a.token AS u, b.token AS v FROM tok a JOIN tok b ON b.review_id = a.review_id AND b.pos = a.pos + 1
+         UNION ALL
+         SELECT a.token, b.token FROM tok a JOIN tok b ON b.review_id = a.review_id AND b.pos = a.pos + 2),
+edge AS (SELECT u, v, count(*) AS w FROM (SELECT u, v FROM pair WHERE u <> v UNION ALL SELECT v, u FROM pair WHERE u <> v)
+         GROUP BY u, v),
+norm AS MATERIALIZED (SELECT u, v, w / sum(w) OVER (PARTITION BY u) AS p FROM edge),
+step(i, word, score) AS (
+  SELECT 0, u, CAST(1 AS DOUBLE) FROM (SELECT DISTINCT u FROM norm)
+  UNION ALL
+  SELECT s.i + 1, n.v, 0.15 + 0.85 * sum(n.p * s.score) FROM step s JOIN norm n ON n.u = s.word
+  WHERE s.i < {_RANK_STEPS} GROUP BY s.i, n.v)
+SELECT word, score, rank FROM (
+  SELECT word, score, row_number() OVER (ORDER BY score DESC, word) AS rank
+  FROM (SELECT word, {R('score', 6)} AS score FROM step WHERE i = {_RANK_STEPS}))
+WHERE rank <= 20""", ("review_text",))
 def _textrank(t):
-    """Iterative (checkpointed) PageRank: rows-only check; tested against a NumPy power iteration."""
-    toks = T.tokenize(t.review_text(), "review_id", "text", PAT, with_position=True)
-    return T.textrank_keywords(toks, "review_id", 3, 10, 20)
+    """Ten iterations, written out in SQL too; stop words removed, distances counted in the whole text."""
+    toks = T.remove_stopwords(T.tokenize(t.review_text(), "review_id", "text", PAT, with_position=True), STOP)
+    return T.textrank_keywords(toks, "review_id", 3, _RANK_STEPS, 20)
 
 
 # ---- T7 / T9 -----------------------------------------------------------------------
@@ -129,6 +151,53 @@ def _sentiment_model(t):
     return T.score_sentiment(model, rt)
 
 
+_FOLDS = 5
+_HOLDOUT = f"""
+doc AS MATERIALIZED (
+  SELECT review_id, CAST(sentiment > 0 AS INT) AS label, {TOKS('text')} AS toks,
+         CAST(CAST('0x' || md5(CAST(review_id AS VARCHAR))[1:8] AS BIGINT) % {_FOLDS} AS INT) AS fold
+  FROM review_text WHERE sentiment IS NOT NULL),
+word AS MATERIALIZED (SELECT * FROM (SELECT review_id, label, fold, unnest(toks) AS word FROM doc)
+                      WHERE word NOT IN ({_q(STOP)})),
+held AS (SELECT unnest(range({_FOLDS})) AS out),
+cnt AS MATERIALIZED (SELECT out, word, count(*) FILTER (WHERE label = 1) AS p, count(*) FILTER (WHERE label = 0) AS n
+                     FROM held JOIN word ON fold <> out GROUP BY out, word),
+tot AS (SELECT out, sum(p) AS tp, sum(n) AS tn, count(*) AS v FROM cnt GROUP BY out),
+prior AS (SELECT out, count(*) FILTER (WHERE label = 1) AS dp, count(*) FILTER (WHERE label = 0) AS dn
+          FROM held JOIN doc ON fold <> out GROUP BY out),
+said AS (SELECT w.review_id, sum(ln((c.p + 1) / (t.tp + t.v)) - ln((c.n + 1) / (t.tn + t.v))) AS s
+         FROM word w JOIN cnt c ON c.out = w.fold AND c.word = w.word JOIN tot t ON t.out = w.fold GROUP BY w.review_id),
+scored AS (SELECT d.review_id, d.fold, d.label,
+                  {R('ln((p.dp + 1) / (p.dn + 1)) + coalesce(s.s, 0)', 6)} AS log_odds
+           FROM doc d JOIN prior p ON p.out = d.fold LEFT JOIN said s ON s.review_id = d.review_id)"""
+
+
+def _holdout(t):
+    rt = t.review_text().withColumn("label", (F.col("sentiment") > 0).cast("int"))
+    return SE.holdout_sentiment(rt, "review_id", "text", "label", _FOLDS, 1.0, PAT, STOP)
+
+
+@register("sentiment_holdout", f"""
+WITH {_HOLDOUT}
+SELECT review_id, fold, label, log_odds, CAST(log_odds >= 0 AS INT) AS predicted FROM scored""", ("review_text",))
+def _sentiment_holdout(t):
+    """Every labelled review scored by a model of the folds that do not hold it."""
+    return _holdout(t)
+
+
+@register("sentiment_cross_validation", f"""
+WITH {_HOLDOUT}
+SELECT fold, count(*) AS n, count(*) FILTER (WHERE label = 1 AND log_odds >= 0) AS true_positive,
+       count(*) FILTER (WHERE label = 0 AND log_odds < 0) AS true_negative,
+       count(*) FILTER (WHERE label = 0 AND log_odds >= 0) AS false_positive,
+       count(*) FILTER (WHERE label = 1 AND log_odds < 0) AS false_negative,
+       {R('count(*) FILTER (WHERE (label = 1) = (log_odds >= 0)) / count(*)', 4)} AS accuracy,
+       count(*) FILTER (WHERE (label = 1) = (log_odds >= 0)) / count(*) >= {SE.TARGET_ACCURACY} AS meets_target
+FROM scored GROUP BY ROLLUP (fold)""", ("review_text",))
+def _sentiment_cross_validation(t):
+    return SE.holdout_accuracy(_holdout(t))
+
+
 # ---- T10 / T11 ---------------------------------------------------------------------
 def _aspect_sql() -> str:
     aspects = list(dict.fromkeys([a for p in (POS, NEG) for a in LEX[p]]))

@@ -233,6 +233,8 @@ def with_views(sql: str, *names: str) -> str:
         return sql
     ctes = ",\n".join(f"{n} AS ({VIEW_SQL[n]}\n)" for n in names)
     body = sql.strip()
+    if body.upper().startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {ctes},\n{body[15:]}"
     if body.upper().startswith("WITH "):
         return f"WITH {ctes},\n{body[5:]}"
     return f"WITH {ctes}\n{body}"
