@@ -26,6 +26,8 @@ MAP = [
     ("S9", "sources.pages.parse_listing_pages", ["parse_listing_pages"]),
     ("S10", "sources.pages.parse_detail_pages", ["parse_detail_pages"]),
     ("S11", "sources.pages.parse_review_pages", ["parse_review_pages", "review_page_summary"]),
+    ("S9", "sources.records.parse_listing_records", ["parse_listing_records"]),
+    ("S11", "sources.records.parse_review_records", ["parse_review_records", "review_page_counts"]),
     ("S12", "sources.payloads.flatten_api_payload", ["flatten_api_payload", "flatten_api_summary", "flatten_api_score",
                                                      "flatten_api_shop"]),
     ("S13", "sources.dimensions.load_dimension", ["dictionary_match", "dictionary_first_match"]),

@@ -13,6 +13,7 @@ from ..operators import sinks as K
 from ..sources import files as S
 from ..sources import pages as PG
 from ..sources import payloads as PL
+from ..sources import records as RC
 from ..sources import workbooks as WB
 from ..session import scratch_path
 from . import register
@@ -247,3 +248,99 @@ def _review_pages(t):
 SELECT page_id, count(*) AS n_reviews, CAST(sum(length(text)) AS BIGINT) AS n_chars FROM ({_PARAS}) GROUP BY page_id""")
 def _review_page_summary(t):
     return PG.review_page_summary(t.pages)
+
+
+# ---- S9 / S11: records of list and review pages ------------------------------------
+def _escaped(x: str) -> str:
+    for k, v in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        x = f"replace({x}, '{k}', '{v}')"
+    return x
+
+
+def _paged(df, page: str, order: str, block, head: str, tail: str, extra=()):
+    """One stored page per value of ``page``: its blocks in order of ``order`` between ``head`` and ``tail``."""
+    pages = df.select(F.expr(page).alias("page_id"), F.expr(order).alias("o"), block.alias("b"), *extra)
+    names = [c for c in pages.columns if c not in ("page_id", "o", "b")]
+    pages = pages.groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct("o", "b"))).alias("bs"), *[F.sum(c).alias(c) for c in names])
+    body = F.concat_ws("\n", F.transform("bs", lambda x: x["b"]))
+    return pages.select("page_id", F.concat(F.expr(head), body, F.lit(tail)).alias("html"))
+
+
+_LISTING_HTML = f"""concat(
+  '<li class="item"><div class="pic"><a href="/shop/', listing_id, '"><img title="x" src="/img/', listing_id, '.jpg"></a></div>',
+  '<div class="txt"><div class="tit"><a title="t" href="/shop/', listing_id, '" data-shopid="', listing_id, '"><h4>', {_escaped('name')},
+  '</h4></a></div><div class="comment"><div class="star_icon"><span class="star star_', CAST(floor(rating * 2) * 5 AS INT), ' sml"></span></div>',
+  if(listing_id % 2 = 0, concat('<div class="star_score">', rating, '</div>'), ''),
+  if(review_count > 0, concat('<a class="review-num"><b>', review_count, '</b> reviews</a>'), ''),
+  if(price > 0, concat('<a class="mean-price">avg <b>', price, '</b></a>'), ''), '</div><div class="tag-addr">',
+  '<a><span class="tag">', category, '</span></a>', if(listing_id % 3 = 0, '', concat('<a><span class="tag">', area, '</span></a>')),
+  '<span class="addr"> ', business_area, '\n</span></div></div>',
+  '<span class="comment-list"><span>taste<b>', rating, '</b></span> <span>sales<b>', CAST(sales AS BIGINT), '</b></span></span></li>')"""
+
+
+@register("parse_listing_records", r"""
+SELECT listing_id // 20 AS page_id, row_number() OVER (PARTITION BY listing_id // 20 ORDER BY listing_id) AS position,
+       CAST(listing_id AS VARCHAR) AS listing_id, trim(regexp_replace(name, '\s+', ' ', 'g')) AS name,
+       concat('/shop/', listing_id) AS link, concat('/img/', listing_id, '.jpg') AS picture,
+       CAST(CASE WHEN listing_id % 2 = 0 THEN CAST(rating AS DOUBLE) ELSE floor(rating * 2) / 2 END AS VARCHAR) AS score,
+       CASE WHEN review_count > 0 THEN concat(review_count, ' reviews') ELSE '-' END AS review_count,
+       CASE WHEN price > 0 THEN CAST(price AS VARCHAR) ELSE '￥0' END AS avg_price,
+       CASE WHEN listing_id % 3 = 0 THEN '-' ELSE category END AS tag1, CASE WHEN listing_id % 3 = 0 THEN '-' ELSE area END AS tag2,
+       business_area AS address, '-' AS recommended,
+       concat('taste', rating, ' sales', CAST(sales AS BIGINT)) AS score_text
+FROM listing""", ("listing",))
+def _listing_records(t):
+    """Result pages of 20 listings, written from the listings and read back field by field."""
+    pages = _paged(t.listing(), "listing_id div 20", "listing_id", F.expr(_LISTING_HTML),
+                   "'<html><body><ul class=\"nav\"><li><a href=\"/\">home</a></li></ul><div class=\"shop-list\" id=\"all\"><ul>'",
+                   '</ul></div><span class="addr">site</span></body></html>')
+    return RC.parse_listing_records(pages)
+
+
+_REVIEW_HTML = f"""concat(
+  '<li><div class="main-review"><div class="dper-info"><a class="name" href="/member/', listing_id, '" target="_blank">user ', listing_id, '</a></div>',
+  '<div class="review-rank"><span class="sml-rank-stars sml-str', lpad(CAST(CAST(rating * 10 AS INT) AS STRING), 2, '0'), ' star"></span>',
+  '<span class="score">\n<span class="item">口味：', rating, '</span>\n<span class="item">环境：', lang, '</span>\n',
+  if(listing_id % 3 = 0, '', concat('<span class="item">人均：', listing_id, '元</span>\n')), '</span></div>',
+  if(text IS NULL, '', concat('<div class="review-words">', {_escaped('text')}, '</div>')),
+  if(listing_id % 4 = 0, '', concat('<div class="review-recommend">喜欢的菜：\n<a>dish', listing_id, '</a>\n<a>', lang, '</a>\n</div>')),
+  if(sentiment IS NULL, '', concat('<div class="review-pictures"><ul><li><a href="/photo/', review_id, '"><img></a></li><li><a href="/photo/x"></a></li></ul></div>')),
+  '<div class="misc-info"><span class="time"> day ', rating, '\n</span><span class="actions"><a class="praise" data-id="', review_id, '">+1</a></span></div>',
+  if(sentiment = 1, '<p class="shop-reply-content">thank you</p>', ''), '</div></li>')"""
+_REVIEW_HEAD = """concat('<html><body><div class="filters"><label class="filter-pic">pics <span class="count">(', pics,
+  ')</span></label><label class="filter-good">good <span class="count">(', good, ')</span></label><label class="filter-bad">bad <span class="count">(',
+  bad, ')</span></label></div><div class="reviews-items"><ul>')"""
+
+
+def _review_pages_of(t):
+    extra = [F.col("sentiment").isNotNull().cast("long").alias("pics"), F.expr("CAST(coalesce(sentiment = 1, false) AS LONG) AS good"),
+             F.expr("CAST(coalesce(sentiment = -1, false) AS LONG) AS bad")]
+    return _paged(t.review_text(), "review_id div 10", "review_id", F.expr(_REVIEW_HTML), _REVIEW_HEAD,
+                  '</ul></div><div class="reviews-pages"><a class="name" href="/p/2">2</a><span class="time">next</span></div></body></html>', extra)
+
+
+@register("parse_review_records", r"""
+SELECT review_id // 10 AS page_id, row_number() OVER (PARTITION BY review_id // 10 ORDER BY review_id) AS position,
+       CAST(review_id AS VARCHAR) AS review_id, CAST(listing_id AS VARCHAR) AS user_id, concat('user ', listing_id) AS user_name,
+       CAST(CAST(rating AS DOUBLE) AS VARCHAR) AS total_score, concat('口味=', rating, ';环境=', lang) AS scores,
+       CASE WHEN listing_id % 3 = 0 THEN '' ELSE CAST(listing_id AS VARCHAR) END AS avg_price,
+       coalesce(trim(regexp_replace(text, '\s+', ' ', 'g')), '-') AS text,
+       CASE WHEN listing_id % 4 = 0 THEN '' ELSE concat('dish', listing_id, ',', lang) END AS dishes,
+       concat('day ', rating) AS time, CASE WHEN sentiment = 1 THEN 'thank you' ELSE '' END AS reply,
+       CASE WHEN sentiment IS NULL THEN '' ELSE concat('host/photo/', review_id, ',host/photo/x') END AS pictures
+FROM review_text""", ("review_text",))
+def _review_records(t):
+    """Review pages of ten reviews with their whole texts, written from the reviews and read back field by field."""
+    r = RC.parse_review_records(_review_pages_of(t), drop_spaces=False, picture_host="host")
+    scores = F.transform(F.map_entries("scores"), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return (r.withColumn("scores", F.concat_ws(";", scores)).withColumn("dishes", F.concat_ws(",", "dishes"))
+            .withColumn("pictures", F.concat_ws(",", "pictures")))
+
+
+@register("review_page_counts", """
+SELECT review_id // 10 AS page_id, count(*) FILTER (WHERE sentiment IS NOT NULL) AS n_pictures,
+       count(*) FILTER (WHERE sentiment = 1) AS n_good, CAST(0 AS BIGINT) AS n_middle,
+       count(*) FILTER (WHERE sentiment = -1) AS n_bad, count(*) FILTER (WHERE sentiment IN (1, -1)) AS n_reviews
+FROM review_text GROUP BY 1""", ("review_text",))
+def _review_page_counts(t):
+    return RC.review_page_counts(_review_pages_of(t))
