@@ -23,6 +23,17 @@ def test_competitors_equal_brute_force_with_hot_group(spark):
     assert got == want
 
 
+def test_competitors_are_never_broadcast(spark):
+    df = spark.range(100).selectExpr("id AS listing_id", "'b' AS business_area", "'c' AS category", "CAST(id AS DOUBLE) AS price")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")   # Spark's default, set against the size of the files
+    try:
+        plan = J.find_competitors(df)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_semi_plus_anti_is_all(spark, tables):
     lst, fav = tables.listing(), tables.favorite().where("user_id % 7 = 0")
     assert J.favorites_only(lst, fav).count() + J.exclude_favorites(lst, fav).count() == lst.count()
