@@ -24,6 +24,34 @@ def test_forest_and_interval(spark, tables):
         M.predict_rating(model, seen).first().predicted_rating     # Q20
 
 
+def test_trees_stay_tables_and_cells_agree_with_their_nodes(spark, tables):
+    lst = tables.listing()
+    model, metrics = M.train_rating_model(lst, trees=5, max_depth=6)
+    nodes = {(r.tree, r.node): r for r in model.nodes.collect()}      # rows written by tasks: the driver grows no tree
+    assert {t for t, _ in nodes} == set(range(5)) and max(r.depth for r in nodes.values()) <= 6
+    assert abs(sum(metrics.first().importances.values()) - 1) < 1e-9
+    for cell in model.cells.limit(200).collect():
+        said = []
+        for tree in range(5):
+            at = nodes[tree, 0]
+            while at.feature >= 0:
+                at = nodes[tree, at.left if cell[at.feature] <= at.bin else at.right]
+            said.append(at.value)
+        mean = sum(said) / 5
+        assert abs(cell.mean - mean) < 1e-9 and abs(cell.std ** 2 - sum((x - mean) ** 2 for x in said) / 5) < 1e-9
+
+
+def test_a_tree_splits_where_the_error_falls_most():
+    import numpy as np
+    from venuelens.operators.forest import grow
+    bins = np.array([[0, 1, 2, 3], [0, 0, 0, 0], [0, 1, 0, 1]])
+    w, y = np.array([1.0, 2.0, 1.0, 1.0]), np.array([1.0, 1.0, 4.0, 5.0])
+    tree = {n[0]: n for n in grow(bins, w, w * y, [4, 1, 2], 30)}
+    assert tree[0][2:4] == (0, 1)                                     # bins 0 and 1 of the first feature go left
+    leaves = {tuple(n[8]): n[6] for n in tree.values() if n[2] < 0}
+    assert leaves == {(0, 2, 0, 1, 0, 2): 1.0, (2, 3, 0, 1, 0, 2): 4.0, (3, 4, 0, 1, 0, 2): 5.0}
+
+
 def test_changed_rows_or_arguments_train_anew(spark, tables, monkeypatch):
     from venuelens.session import scratch_path
     import pytest
