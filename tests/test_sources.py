@@ -29,6 +29,28 @@ def test_workbook_round_trip(spark):
     assert rows == [("三店", "5"), ("新店", None), ("老店", "88")]
 
 
+def test_written_documents_hold_a_bounded_number_of_rows(spark, monkeypatch):
+    from venuelens.registry import sources_q as Q
+    monkeypatch.setattr(Q, "FILE_ROWS", 40)
+    df = spark.range(0, 100, 1, 1).selectExpr("CAST(id AS STRING) AS id", "IF(id % 3 = 0, NULL, 'x') AS title")
+    want = sorted((str(i), None if i % 3 == 0 else "x") for i in range(100))
+
+    def same(rows):
+        assert sorted((r.id, r.title) for r in rows) == want
+    for key in (None, "restaurants"):
+        d = _tmp() + "/docs.json"
+        Q._json_array_files(df, d, key)
+        docs = [json.loads(r.value) for r in spark.read.option("wholetext", True).text(d).collect()]
+        assert sorted(len(x[key] if key else x) for x in docs) == [20, 40, 40]     # one document a file
+        same((S.read_json_wrapped(spark, d, ["id", "title"]) if key else S.read_by_extension(spark, d)).collect())
+    books = WB.workbooks_from_frame(df, rows=40)
+    assert sorted(len(WB.parse_xlsx(bytes(r.content))) for r in books.collect()) == [21, 41, 41]
+    monkeypatch.setattr(WB, "PARSED_ROWS", 7)
+    got = WB.parse_workbook_frame(books, ["id", "title"]).collect()
+    same(got)
+    assert sorted({r._row for r in got}) == list(range(1, 41))                     # row numbers go on over frames
+
+
 def test_json_wrapped_and_bare(spark):
     d = _tmp()
     with open(os.path.join(d, "w.json"), "w") as f:

@@ -26,19 +26,20 @@ def _scratch(t, name):
     return scratch_path(t.spark, f"sources/{name}/{uuid.uuid4().hex}")
 
 
-def _json_array_files(df, wrap_key: str | None = None):
-    """One JSON document per partition: an array of records, optionally wrapped in an object."""
+#: Rows of one written document or workbook.
+FILE_ROWS = 10_000
+
+
+def _json_array_files(df, path: str, wrap_key: str | None = None) -> None:
+    """JSON documents of at most FILE_ROWS records under ``path``, one a file: an array of records, optionally wrapped in an object."""
     cols = df.columns
 
     def build(batches):
-        frames = list(batches)
-        if not frames:
-            return
-        pdf = pd.concat(frames)
-        recs = [dict(zip(cols, r)) for r in pdf.astype(object).where(pdf.notna(), None).values.tolist()]
-        doc = {wrap_key: recs, "meta": {"n": len(recs)}} if wrap_key else recs
-        yield pd.DataFrame({"value": [json.dumps(doc, ensure_ascii=False)]})
-    return df.mapInPandas(build, "value string")
+        for pdf in WB.row_groups(batches, FILE_ROWS):
+            recs = [dict(zip(cols, r)) for r in pdf.astype(object).where(pdf.notna(), None).values.tolist()]
+            doc = {wrap_key: recs, "meta": {"n": len(recs)}} if wrap_key else recs
+            yield pd.DataFrame({"value": [json.dumps(doc, ensure_ascii=False)]})
+    df.mapInPandas(build, "value string").write.option("maxRecordsPerFile", 1).text(path)
 
 
 # ---- S1 / S5 -----------------------------------------------------------------------
@@ -54,7 +55,7 @@ def _read_csv(t):
 @register("read_by_extension", _RAW, ("raw_listing",))
 def _read_by_ext(t):
     path = _scratch(t, "ext") + "/listing.json"
-    _json_array_files(t.raw_listing().select(*RAW_COLS)).write.text(path)
+    _json_array_files(t.raw_listing().select(*RAW_COLS), path)
     return S.read_by_extension(t.spark, path).select(*RAW_COLS)
 
 
@@ -62,21 +63,22 @@ def _read_by_ext(t):
 @register("read_json_records", _RAW, ("raw_listing",))
 def _read_json(t):
     path = _scratch(t, "json")
-    _json_array_files(t.raw_listing().select(*RAW_COLS)).write.text(path)
+    _json_array_files(t.raw_listing().select(*RAW_COLS), path)
     return S.read_json_records(t.spark, path).select(*RAW_COLS)
 
 
 @register("read_json_wrapped", _RAW, ("raw_listing",))
 def _read_json_wrapped(t):
     path = _scratch(t, "jsonw")
-    _json_array_files(t.raw_listing().select(*RAW_COLS), "restaurants").write.text(path)
+    _json_array_files(t.raw_listing().select(*RAW_COLS), path, "restaurants")
     return S.read_json_wrapped(t.spark, path, RAW_COLS)
 
 
 # ---- S4 ----------------------------------------------------------------------------
 @register("read_workbooks", _RAW, ("raw_listing",))
 def _read_workbooks(t):
-    files = WB.workbooks_from_frame(t.raw_listing().select(*RAW_COLS).repartition(4))
+    rows = t.raw_listing().select(*RAW_COLS).repartition(int(t.spark.conf.get("spark.sql.shuffle.partitions")))
+    files = WB.workbooks_from_frame(rows, rows=FILE_ROWS)
     return WB.parse_workbook_frame(files, RAW_COLS).select(*RAW_COLS)
 
 
