@@ -36,6 +36,21 @@ def test_lexicon_sentiment_score(spark):
     assert got == {1: round(1 / 3, 4), 2: 0.0, 3: -1.0}
 
 
+def test_edges_exchange_tokens_once_and_count_repeated_documents(spark):
+    rows = [(1, 0, "a"), (1, 1, "b"), (1, 3, "c"), (1, 0, "a"), (1, 1, "b"), (None, 0, "a"), (None, 1, "z")]
+    toks = spark.createDataFrame(rows, "id long, pos int, token string")
+    got = {(r.u, r.v): r.w for r in T.cooccurrence_edges(toks, "id", 3).collect()}
+    want = {}
+    for i, p, u in rows:
+        for j, q, v in rows:
+            if i is not None and i == j and 0 < q - p < 3 and u != v:
+                want[u, v] = want.get((u, v), 0) + 1
+                want[v, u] = want.get((v, u), 0) + 1
+    assert got == want
+    plan = T.cooccurrence_edges(toks, "id", 3)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Union" not in plan
+
+
 def test_textrank_matches_power_iteration(spark):
     docs = [(1, "a b c a b"), (2, "b c d"), (3, "d a c")]
     df = spark.createDataFrame(docs, "id long, text string")

@@ -15,12 +15,13 @@ import math
 import re
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import dims
 from ..functions import round_half_up
-from ..session import written
+from ..session import checkpoint_dir, written
 from .filters import filter_polarity
 from .sets import word_cloud
 
@@ -149,16 +150,15 @@ def tfidf_keywords(df: DataFrame, key: str, col: str, n: int = 5, pattern: str =
 def cooccurrence_edges(tokens_pos: DataFrame, key: str, window: int = 3) -> DataFrame:
     """Undirected word edges for tokens at most ``window - 1`` positions apart, weighted by count.
 
-    Each token is paired with the next ``window - 1`` positions by an
-    equi-join on (document, position): work grows with tokens x window.
+    Each token meets those of the next ``window - 1`` positions in one window over its
+    document: tokens are exchanged once, and work grows with tokens x window.
     """
-    a = tokens_pos.select(key, "pos", F.col("token").alias("u"))
-    b = tokens_pos.select(key, F.col("pos").alias("pos2"), F.col("token").alias("v"))
-    a = a.withColumn("pos2", F.explode(F.sequence(F.col("pos") + 1, F.col("pos") + (window - 1))))
-    e = a.join(b, [key, "pos2"]).where(F.col("u") != F.col("v"))
+    near = Window.partitionBy(key).orderBy("pos").rangeBetween(1, window - 1)
+    e = tokens_pos.where(F.col(key).isNotNull()).select(F.col("token").alias("u"), F.collect_list("token").over(near).alias("vs"))
+    e = e.select("u", F.explode("vs").alias("v")).where(F.col("u") != F.col("v"))
     e = e.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
     und = e.groupBy("u", "v").agg(F.count(F.lit(1)).alias("w"))
-    return und.unionByName(und.select(F.col("v").alias("u"), F.col("u").alias("v"), "w"))
+    return und.select("w", F.inline(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v"))))).select("u", "v", "w")
 
 
 def textrank_keywords(tokens_pos: DataFrame, key: str, window: int = 3, iterations: int = 10, n: int = 20,
@@ -171,14 +171,16 @@ def textrank_keywords(tokens_pos: DataFrame, key: str, window: int = 3, iteratio
     proves enough (rounding may keep a sum from falling further).  Ranks go by the score rounded
     to 6 digits, ties by word.
 
-    Lineage is cut with a reliable ``checkpoint()`` to the session's checkpoint
-    folder every few iterations, so a lost executor never replays the chain.
+    Edges are kept on disk once, partitioned by their first word, so an iteration exchanges
+    scores but no edge.  The scores' lineage is cut with a reliable ``checkpoint()`` to the session's
+    checkpoint folder every few iterations, so a lost executor never replays the chain.
     """
-    from ..session import checkpoint_dir
-    checkpoint_dir(tokens_pos.sparkSession)
-    edges = cooccurrence_edges(tokens_pos, key, window)
-    out_w = edges.groupBy("u").agg(F.sum("w").alias("wsum"))
-    norm = edges.join(out_w, "u").select("u", "v", (F.col("w") / F.col("wsum")).alias("p")).checkpoint()
+    spark = tokens_pos.sparkSession
+    checkpoint_dir(spark)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    edges = cooccurrence_edges(tokens_pos, key, window).repartition(parts, "u")
+    share = F.col("w") / F.sum("w").over(Window.partitionBy("u"))
+    norm = edges.select("u", "v", share.alias("p")).persist(StorageLevel.DISK_ONLY)
     rank = norm.select(F.col("u").alias("word")).distinct().withColumn("score", F.lit(1.0))
     done, enough = 0, None
     while tolerance is not None or done < iterations:
@@ -201,6 +203,8 @@ def textrank_keywords(tokens_pos: DataFrame, key: str, window: int = 3, iteratio
             break
     order = [F.desc("score"), F.asc("word")]
     top = rank.select("word", round_half_up("score", 6).alias("score")).orderBy(*order).limit(n)
+    top = written(top, "textrank")              # n rows; the edges are free after them
+    norm.unpersist()
     return top.select("word", "score", F.row_number().over(Window.orderBy(*order)).cast("long").alias("rank"))
 
 
