@@ -128,6 +128,13 @@ def test_migrate_drops_null_tags(spark):
         (None, None, 88.0, 4.5, 12, "火锅", "浦东新区")
 
 
+def test_score_text_is_split_once_a_row(spark):
+    df = spark.createDataFrame([("a：1 b：2 a：3 人均：88元",), ("",), ("x",), (None,)], "s string")
+    out = df.select(split_score_text("s").alias("m"))
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") == 1
+    assert [r.m for r in out.collect()] == [{"a": "3", "b": "2"}, {"": None}, {"x": None}, None]
+
+
 def test_score_helpers(spark):
     df = spark.createDataFrame([("口味：4.5 环境：4.0 人均：88元", "4", "x", "1")], "s string, g string, m string, b string")
     r = df.select(split_score_text("s").alias("m"), sum_sentiment_counts("g", "b", "b").alias("t"),

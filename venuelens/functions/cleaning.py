@@ -126,12 +126,17 @@ def prefix_key(x: ColumnOrName, prefix: str) -> Column:
     return F.concat(F.lit(prefix), _c(x).cast("string"))
 
 
+def _bound(x: Column, use) -> Column:
+    """``use(x)`` with ``x`` computed once a row: as a lambda's variable it is not repeated in the expression."""
+    return F.get(F.transform(F.array(x), use), F.lit(0))
+
+
 def _last_wins(keys: Column, values: Column) -> Column:
     """Parallel arrays -> map; of a repeated key the last value stays, in the key's first place."""
-    names = F.array_distinct(keys)
-    back, backward = F.reverse(keys), F.reverse(values)
-    found = F.transform(names, lambda k: F.get(backward, (F.array_position(back, k) - 1).cast("int")))
-    return F.map_from_arrays(names, found)
+    def build(kv: Column) -> Column:
+        found = F.transform(kv["names"], lambda k: F.get(kv["backward"], (F.array_position(kv["back"], k) - 1).cast("int")))
+        return F.map_from_arrays(kv["names"], found)
+    return _bound(F.struct(F.array_distinct(keys).alias("names"), F.reverse(keys).alias("back"), F.reverse(values).alias("backward")), build)
 
 
 # ---- C23 ---------------------------------------------------------------------------
@@ -140,7 +145,7 @@ def split_score_text(x: ColumnOrName, pair_sep: str = " ", kv_sep: str = "：",
     """``"口味：4.5 环境：4.0 人均：88元"`` -> map of label to value, the price token excluded."""
     s = F.trim(F.regexp_replace(_c(x), r"\s+", " "))
     pairs = F.transform(F.split(s, re.escape(pair_sep)), lambda p: F.split(p, re.escape(kv_sep), 2))
-    m = _last_wins(F.transform(pairs, lambda p: F.get(p, F.lit(0))), F.transform(pairs, lambda p: F.get(p, F.lit(1))))
+    m = _bound(pairs, lambda ps: _last_wins(F.transform(ps, lambda p: F.get(p, F.lit(0))), F.transform(ps, lambda p: F.get(p, F.lit(1)))))
     return F.map_filter(m, lambda k, v: ~k.contains(price_label))
 
 
