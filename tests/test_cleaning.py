@@ -135,6 +135,14 @@ def test_score_text_is_split_once_a_row(spark):
     assert [r.m for r in out.collect()] == [{"a": "3", "b": "2"}, {"": None}, {"x": None}, None]
 
 
+def test_labels_are_looked_up_only_if_repeated(spark):
+    df = spark.createDataFrame([("a：1  b：2 人均：1元 a：3 a", 1), ("a：1 c：x：y", 2), ("人均：88元", 3)], "s string, i int")
+    out = df.select("i", split_score_text("s").alias("m"))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "CASE WHEN (size(array_distinct" in plan and "map_filter" not in plan
+    assert {r.i: r.m for r in out.collect()} == {1: {"a": None, "b": "2"}, 2: {"a": "1", "c": "x：y"}, 3: {}}
+
+
 def test_score_helpers(spark):
     df = spark.createDataFrame([("口味：4.5 环境：4.0 人均：88元", "4", "x", "1")], "s string, g string, m string, b string")
     r = df.select(split_score_text("s").alias("m"), sum_sentiment_counts("g", "b", "b").alias("t"),

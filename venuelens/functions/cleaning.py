@@ -133,10 +133,16 @@ def _bound(x: Column, use) -> Column:
 
 def _last_wins(keys: Column, values: Column) -> Column:
     """Parallel arrays -> map; of a repeated key the last value stays, in the key's first place."""
-    def build(kv: Column) -> Column:
+    def looked_up(kv: Column) -> Column:
         found = F.transform(kv["names"], lambda k: F.get(kv["backward"], (F.array_position(kv["back"], k) - 1).cast("int")))
         return F.map_from_arrays(kv["names"], found)
-    return _bound(F.struct(F.array_distinct(keys).alias("names"), F.reverse(keys).alias("back"), F.reverse(values).alias("backward")), build)
+
+    def build(kv: Column) -> Column:
+        names = F.array_distinct(kv["keys"])
+        repeated = _bound(F.struct(names.alias("names"), F.reverse(kv["keys"]).alias("back"), F.reverse(kv["values"]).alias("backward")), looked_up)
+        # labels are looked up only where one comes twice
+        return F.when(F.size(names) == F.size(kv["keys"]), F.map_from_arrays(kv["keys"], kv["values"])).otherwise(repeated)
+    return _bound(F.struct(keys.alias("keys"), values.alias("values")), build)
 
 
 # ---- C23 ---------------------------------------------------------------------------
@@ -144,9 +150,9 @@ def split_score_text(x: ColumnOrName, pair_sep: str = " ", kv_sep: str = "：",
                      price_label: str = "人均") -> Column:
     """``"口味：4.5 环境：4.0 人均：88元"`` -> map of label to value, the price token excluded."""
     s = F.trim(F.regexp_replace(_c(x), r"\s+", " "))
-    pairs = F.transform(F.split(s, re.escape(pair_sep)), lambda p: F.split(p, re.escape(kv_sep), 2))
-    m = _bound(pairs, lambda ps: _last_wins(F.transform(ps, lambda p: F.get(p, F.lit(0))), F.transform(ps, lambda p: F.get(p, F.lit(1)))))
-    return F.map_filter(m, lambda k, v: ~k.contains(price_label))
+    pairs = F.filter(F.transform(F.split(s, re.escape(pair_sep)), lambda p: F.split(p, re.escape(kv_sep), 2)),
+                     lambda p: ~F.get(p, F.lit(0)).contains(price_label))
+    return _bound(pairs, lambda ps: _last_wins(F.transform(ps, lambda p: F.get(p, F.lit(0))), F.transform(ps, lambda p: F.get(p, F.lit(1)))))
 
 
 def score_text_price(x: ColumnOrName, price_label: str = "人均", kv_sep: str = "：", unit: str = "元") -> Column:
