@@ -66,6 +66,21 @@ def test_q18_address_and_phone_join_non_null_parts(spark):
     assert [(r.id, r.address, r.phone) for r in rows] == [(1, "x路", "1")]   # code 500 dropped
 
 
+def test_payloads_are_parsed_once(spark):
+    body = '{"reviewDataVO": {"reviewData": {"reviewId": 7, "star": 4, "reviewBody": "<p>x</p>"}}, "picList": [{"bigPicture": "y"}]}'
+    rows = [(1, f'{{"code": 200, "reviewCountAll": "z", "dishTagStrList": ["d"], "reviewAllDOList": [{body}, {body}]}}'),
+            (2, f'{{"code": 500, "reviewAllDOList": [{body}]}}'), (3, "no json"), (4, None), (5, '{"code": 200}')]
+    df = spark.createDataFrame(rows, "id long, p string").select("id", F.concat(F.lit(" "), "p").alias("p"))
+    for kind, want in (("reviews", 2), ("summary", 2), ("score", 2), ("shop", 2)):
+        out = PL.flatten_api_payload(df, "id", "p", kind)
+        assert out._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1, kind
+        assert out.count() == want
+    got = PL.flatten_api_payload(df, "id", "p", "reviews").collect()
+    assert [(r.id, r.review_id, r.star, r.body, r.liked_dishes, r.pictures) for r in got] == [(1, 7, 4, "x", [], ["y"])] * 2
+    got = PL.flatten_api_payload(df, "id", "p", "summary").collect()
+    assert sorted((r.id, r.all_count, r.dish_tags) for r in got) == [(1, None, ["d"]), (5, None, None)]
+
+
 def test_q19_backlog_is_anti_join(spark):
     df = _lst(spark, [(1, "a", "x", "c", 1, 1), (2, "b", "x", "c", 1, 1)])
     done = spark.createDataFrame([(2,)], "listing_id long")

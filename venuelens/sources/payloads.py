@@ -33,8 +33,6 @@ def parse_json_struct(df: DataFrame, col: str, schema: str) -> DataFrame:
 
 # ---- S12 ---------------------------------------------------------------------------
 REVIEW_PAYLOAD_SCHEMA = """struct<code: int,
-  reviewCountAll: long, reviewCountPic: long, reviewCountGood: long, reviewCountCommon: long, reviewCountBad: long,
-  dishTagStrList: array<string>,
   reviewAllDOList: array<struct<
     reviewDataVO: struct<reviewData: struct<reviewId: long, star: int, reviewBody: string, voteCount: int,
                                             replyCount: int, viewCount: int, avgPrice: double,
@@ -42,6 +40,9 @@ REVIEW_PAYLOAD_SCHEMA = """struct<code: int,
                          addTimeVO: string, followNoteString: string>,
     picList: array<struct<bigPicture: string>>,
     user: struct<userNickName: string, userId: long>>>>"""
+SUMMARY_PAYLOAD_SCHEMA = """struct<code: int,
+  reviewCountAll: long, reviewCountPic: long, reviewCountGood: long, reviewCountCommon: long, reviewCountBad: long,
+  dishTagStrList: array<string>>"""
 SCORE_PAYLOAD_SCHEMA = ("struct<code: int, fiveScore: string, avgPrice: string, defaultReviewCount: string, "
                         "shopScoreTitleList: array<string>, shopRefinedScoreValueList: array<string>>")
 SHOP_PAYLOAD_SCHEMA = ("struct<code: int, msg: struct<shopInfo: struct<shopName: string, address: string, "
@@ -59,9 +60,10 @@ def flatten_api_payload(df: DataFrame, key: str, col: str, kind: str = "reviews"
     ``score`` (scores zipped into a map), ``shop`` (name, address, phones joined
     from their non-null parts, Q18).
     """
-    schema = {"reviews": REVIEW_PAYLOAD_SCHEMA, "summary": REVIEW_PAYLOAD_SCHEMA, "score": SCORE_PAYLOAD_SCHEMA,
+    schema = {"reviews": REVIEW_PAYLOAD_SCHEMA, "summary": SUMMARY_PAYLOAD_SCHEMA, "score": SCORE_PAYLOAD_SCHEMA,
               "shop": SHOP_PAYLOAD_SCHEMA}[kind]
-    p = df.select(key, F.from_json(F.col(col), schema).alias("p")).where(F.col("p.code") == 200)
+    # each payload is parsed once: no filter or field is pushed below a generator, as a copy of the parsing
+    p = df.select(key, F.explode(F.array(F.from_json(F.col(col), schema))).alias("p")).where(F.col("p.code") == 200)
     if kind == "reviews":
         r = p.select(key, F.explode("p.reviewAllDOList").alias("r"))
         d = "r.reviewDataVO.reviewData"
