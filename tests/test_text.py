@@ -1,5 +1,7 @@
 """Text mining: lexicon longest match on Chinese, keyword priority, TextRank vs NumPy."""
 
+import math
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -175,3 +177,14 @@ def test_holdout_sentiment_of_one_class(spark):
     df = spark.createDataFrame([(i, "same words", 1) for i in range(6)], "id long, text string, label int")
     got = SE.holdout_sentiment(df, "id", "text", "label", 2)
     assert got.count() == 6 and {r.predicted for r in got.collect()} == {1}
+
+
+def test_tfidf_picks_words_before_the_exchange(spark):
+    df = spark.createDataFrame([(1, "aa aa bb"), (1, "cc bb"), (2, "aa dd"), (None, "ee aa"), (None, "ee"), (3, None)], "id int, t string")
+    out = T.tfidf_keywords(df, "id", "t", 2)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2 and "sum(c" not in plan     # the length comes with the counts
+    got = {(r.id, r.word): (r.score, r["rank"]) for r in out.collect()}
+    one = round(math.log(2), 6)
+    assert got[(2, "dd")] == (round(one / 2, 6), 1) and got[(1, "bb")] == (round(math.log(2) * 2 / 5, 6), 1)
+    assert got[(1, "cc")] == (round(math.log(2) / 5, 6), 2) and got[(None, "ee")] == (round(math.log(2) * 2 / 3, 6), 1)

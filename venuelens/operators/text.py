@@ -112,7 +112,7 @@ def review_keywords(rv: DataFrame, lexicon: dict, stop: Sequence[str] = dims.STO
 
 # ---- T5 ----------------------------------------------------------------------------
 #: A word is hot with one in so many (document, word) rows.
-HOT_WORD = 1000
+HOT_WORD = 100_000
 
 
 def tfidf_keywords(df: DataFrame, key: str, col: str, n: int = 5, pattern: str = dims.LATIN_WORD_PATTERN,
@@ -120,27 +120,24 @@ def tfidf_keywords(df: DataFrame, key: str, col: str, n: int = 5, pattern: str =
     """Per document top ``n`` terms by tf * idf, tf = count / document length (tokens after
     stop-word removal), idf = ln(N / document frequency).
 
-    Documents are tokenised once; the (document, word) counts are written.  Words with at
+    Texts are exchanged by document, so the counts of a document and its length are found where it
+    is tokenised; the (document, word, count, length) rows are written. Words with at
     least one in ``HOT_WORD`` of those rows are at most ``HOT_WORD`` many: their document
-    frequencies are broadcast.  The others meet theirs in a shuffle join, where
+    frequencies are broadcast, and a document's best rows are picked in the task that reads it, before
+    they are exchanged. The others meet their frequencies in a shuffle join, where
     no word has more than that share, so no word lands in one task.
-    The document length and the per-document ranking share one window
-    partitioning (by document), whose partitions are bounded by a document's
-    vocabulary.
     """
-    words = df.select(key, F.explode(F.regexp_extract_all(F.lower(F.col(col)), F.lit(pattern), 0)).alias("word"))
+    words = df.select(key, col).repartition(key).select(key, F.explode(F.regexp_extract_all(F.lower(F.col(col)), F.lit(pattern), 0)).alias("word"))
     if stop:
         words = words.where(~F.col("word").isin(list(stop)))
-    tf = written(words.groupBy(key, "word").agg(F.count(F.lit(1)).alias("c")), "tfidf")
+    counts = words.groupBy(key, "word").agg(F.count(F.lit(1)).alias("c"))
+    tf = written(counts.withColumn("len", F.sum("c").over(Window.partitionBy(key))), "tfidf")
     dfreq = tf.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
     share = F.col("df") * HOT_WORD >= tf.select(F.count(F.lit(1))).scalar()
     routed = tf.join(F.broadcast(dfreq.where(share)), "word", "left")
     counted = routed.where("df is not null").unionByName(routed.where("df is null").drop("df").join(dfreq.where(~share), "word"))
     n_docs = tf.select(F.count_distinct(key)).scalar()
-    doc = Window.partitionBy(key)
-    s = (counted.withColumn("len", F.sum("c").over(doc))
-         .select(key, "word", round_half_up((F.col("c") / F.col("len")) * F.log(n_docs / F.col("df")), 6)
-                 .alias("score")))
+    s = counted.select(key, "word", round_half_up((F.col("c") / F.col("len")) * F.log(n_docs / F.col("df")), 6).alias("score"))
     w = Window.partitionBy(key).orderBy(F.desc("score"), F.asc("word"))
     return s.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n) \
             .withColumn("rank", F.col("rank").cast("long"))
