@@ -83,6 +83,16 @@ def test_replace_and_cascade(spark):
     assert kept.count() == 1 and deleted.first().deleted == 2
 
 
+def test_only_hits_of_the_filter_become_rows(spark, monkeypatch):
+    monkeypatch.setattr(J, "HASHED_BYTES", 50)
+    rows = [(i, "lorem ipsum dolor sit amet " * (i % 7) + ("Incomprehensibly so" if i % 10 == 0 else "ä")) for i in range(200)] + [(None, "the incomprehensible")]
+    df = spark.createDataFrame(rows, "id int, text string")
+    dim = spark.createDataFrame([("g", "incomprehensible", 0), ("g", "incomprehensibly", 1), ("h", "Ä", 2), ("h", "ä", 2)], "grp string, term string, priority int")
+    out = J.substring_join(df, "id", "text", dim, True)
+    assert "explode" not in out._jdf.queryExecution().toString()
+    assert sorted(out.collect(), key=str) == sorted(J.dictionary_match(df, "id", "text", dim, True).collect(), key=str) and out.count() == 180 * 2 + 20 + 1
+
+
 def test_substring_join_equals_contains(spark, monkeypatch):
     rows = [(1, "Red soup, red SOUP"), (2, ""), (3, None), (4, "a\U0001f600b soup\nred"), (5, "?b"), (5, "so"), (6, "x" * 3000 + "red"), (6, "red")]
     df = spark.createDataFrame(rows, "id long, text string").selectExpr("*", "1 as _n", "2 as _text", "3 as grp")

@@ -185,6 +185,5 @@ def test_tfidf_picks_words_before_the_exchange(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2 and "sum(c" not in plan     # the length comes with the counts
     got = {(r.id, r.word): (r.score, r["rank"]) for r in out.collect()}
-    one = round(math.log(2), 6)
-    assert got[(2, "dd")] == (round(one / 2, 6), 1) and got[(1, "bb")] == (round(math.log(2) * 2 / 5, 6), 1)
+    assert got[(2, "dd")] == (round(math.log(2) / 2, 6), 1) and got[(1, "bb")] == (round(math.log(2) * 2 / 5, 6), 1)
     assert got[(1, "cc")] == (round(math.log(2) / 5, 6), 2) and got[(None, "ee")] == (round(math.log(2) * 2 / 3, 6), 1)
