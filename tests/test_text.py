@@ -1,6 +1,8 @@
 """Text mining: lexicon longest match on Chinese, keyword priority, TextRank vs NumPy."""
 
 import math
+import os
+import time
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -76,6 +78,50 @@ def test_textrank_matches_power_iteration(spark):
         assert abs(got[w] - r[ix[w]]) < 1e-5
 
 
+def test_pairs_across_chunks_count_once(monkeypatch):
+    """Chunks of few tokens and portions of few pairs, cut inside documents and inside repeated positions."""
+    import pyarrow as pa
+    from venuelens.operators import wordgraph as G
+    rng = np.random.default_rng(11)
+    docs = [sorted((int(p), f"w{int(t)}") for p, t in zip(rng.integers(0, 30, n), rng.integers(0, 9, n), strict=True)) for n in (0, 1, 40, 3, 25, 60)]
+    for window in (2, 3, 5):
+        rows = [(t, window if i == 0 else min(window, p - d[i - 1][0])) for d in docs for i, (p, t) in enumerate(d)]
+        want = {}
+        for d in docs:
+            for i, (p, t) in enumerate(d):
+                for q, v in d[i + 1:]:
+                    if 0 < q - p < window and t != v:
+                        want[frozenset((t, v))] = want.get(frozenset((t, v)), 0) + 1
+        table = pa.table({"token": [t for t, _ in rows], "gap": pa.array([g for _, g in rows], pa.int32())})
+        for chunk, portion, batch in ((10 ** 6, 10 ** 6, 1000), (10, 1, 4), (7, 5, 1), (1, 3, 2)):
+            monkeypatch.setattr(G, "CHUNK_TOKENS", chunk)
+            monkeypatch.setattr(G, "PORTION", portion)
+            got = {}
+            for words, u, v, w in G._chunks(iter(table.to_batches(max_chunksize=batch)), window):
+                for a, b, c in zip(words.take(pa.array(u)).to_pylist(), words.take(pa.array(v)).to_pylist(), w.tolist(), strict=True):
+                    got[frozenset((a, b))] = got.get(frozenset((a, b)), 0) + c
+            assert got == want, (window, chunk)
+
+
+def _files(folders):
+    return {os.path.join(d, f): os.path.getsize(os.path.join(d, f)) for top in folders for d, _, names in os.walk(top) for f in names if os.path.exists(os.path.join(d, f))}
+
+
+def test_textrank_leaves_nothing_on_disk_but_its_words(spark):
+    """Shuffle files go with the job that needed them, the graph goes with the ranks."""
+    from venuelens.session import checkpoint_dir
+    docs = spark.range(2000).select(F.col("id"), F.expr("concat_ws(' ', transform(sequence(1, 60), i -> concat('w', conv(pmod(hash(id, i), 997), 10, 26))))").alias("text"))
+    toks = T.tokenize(docs.repartition("id"), "id", "text", "[a-z]+", with_position=True)
+    dirs = [str(d) for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()]
+    folder = checkpoint_dir(spark).removeprefix("file:")
+    before = _files([*dirs, folder])
+    assert len(T.textrank_keywords(toks, "id", iterations=3, n=10).collect()) == 10
+    time.sleep(1)
+    left = {f: n for f, n in _files([*dirs, folder]).items() if f not in before}
+    assert sum(n for f, n in left.items() if "shuffle_" in f) < 20_000, left      # the ten rows' own
+    assert sum(n for f, n in left.items() if f.startswith(folder)) < 20_000, left
+
+
 def test_tag_services_bounded_by_dictionary(spark):
     df = spark.createDataFrame([(1, "适合约会，也适合朋友聚会，可以停车"), (2, "无")], "id long, text string")
     tags = {r.id: r.tags for r in T.tag_services(df, "id", "text", dims.SCENE_DICT, mode="longest").collect()}

@@ -15,15 +15,15 @@ import math
 import re
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import dims
 from ..functions import round_half_up
-from ..session import checkpoint_dir, written
+from ..session import checkpoint_dir, freed, written
 from .filters import filter_polarity
 from .sets import word_cloud
+from .wordgraph import WordGraph, pair_rows
 
 
 def lexicon_pattern(terms: Sequence[str], word_boundary: bool = False) -> str:
@@ -147,14 +147,12 @@ def tfidf_keywords(df: DataFrame, key: str, col: str, n: int = 5, pattern: str =
 def cooccurrence_edges(tokens_pos: DataFrame, key: str, window: int = 3) -> DataFrame:
     """Undirected word edges for tokens at most ``window - 1`` positions apart, weighted by count.
 
-    Each token meets those of the next ``window - 1`` positions in one window over its
-    document: tokens are exchanged once, and work grows with tokens x window.
+    Each token meets those of the next ``window - 1`` positions (``wordgraph``): tokens are exchanged
+    by document at most, and work grows with tokens x window.
     """
-    near = Window.partitionBy(key).orderBy("pos").rangeBetween(1, window - 1)
-    e = tokens_pos.where(F.col(key).isNotNull()).select(F.col("token").alias("u"), F.collect_list("token").over(near).alias("vs"))
-    e = e.select("u", F.explode("vs").alias("v")).where(F.col("u") != F.col("v"))
-    e = e.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-    und = e.groupBy("u", "v").agg(F.count(F.lit(1)).alias("w"))
+    e = pair_rows(tokens_pos, key, window)
+    e = e.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"), "w")
+    und = e.groupBy("u", "v").agg(F.sum("w").alias("w"))
     return und.select("w", F.inline(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v"))))).select("u", "v", "w")
 
 
@@ -168,40 +166,31 @@ def textrank_keywords(tokens_pos: DataFrame, key: str, window: int = 3, iteratio
     proves enough (rounding may keep a sum from falling further).  Ranks go by the score rounded
     to 6 digits, ties by word.
 
-    Edges are kept on disk once, partitioned by their first word, so an iteration exchanges
-    scores but no edge.  The scores' lineage is cut with a reliable ``checkpoint()`` to the session's
-    checkpoint folder every few iterations, so a lost executor never replays the chain.
+    The edges are those of ``cooccurrence_edges``, kept packed by cells of two blocks of words (``wordgraph``), so
+    an iteration exchanges cells and scores, a few bytes an edge.  Scores are written to the session's
+    checkpoint folder after every iteration; every few (``checkpoint_every``) the bound is looked at.
     """
     spark = tokens_pos.sparkSession
     checkpoint_dir(spark)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    edges = cooccurrence_edges(tokens_pos, key, window).repartition(parts, "u")
-    share = F.col("w") / F.sum("w").over(Window.partitionBy("u"))
-    norm = edges.select("u", "v", share.alias("p")).persist(StorageLevel.DISK_ONLY)
-    rank = norm.select(F.col("u").alias("word")).distinct().withColumn("score", F.lit(1.0))
+    graph = WordGraph(tokens_pos, key, window, damping)
     done, enough = 0, None
     while tolerance is not None or done < iterations:
-        contrib = (norm.join(rank.withColumnRenamed("word", "u"), "u")
-                   .groupBy(F.col("v").alias("word")).agg(F.sum(F.col("p") * F.col("score")).alias("s")))
-        before = rank
-        rank = contrib.select("word", ((1 - damping) + damping * F.col("s")).alias("score"))
+        graph.step()
         done += 1
-        if done % checkpoint_every:
+        if tolerance is None or done % checkpoint_every:
             continue
-        if tolerance is None:
-            rank = rank.checkpoint()
-            continue
-        moved = rank.join(before.withColumnRenamed("score", "_old"), "word").checkpoint()
-        error = (moved.agg(F.sum(F.abs(F.col("score") - F.col("_old")))).first()[0] or 0.0) * damping / (1 - damping)
-        rank = moved.drop("_old")
+        error = graph.moved() * damping / (1 - damping)
         if enough is None and error > tolerance:
             enough = done + math.ceil(math.log(tolerance / error) / math.log(damping))
         if error <= tolerance or done >= enough:
             break
+    rounded = graph.scores().withColumn("score", round_half_up("score", 6))
     order = [F.desc("score"), F.asc("word")]
-    top = rank.select("word", round_half_up("score", 6).alias("score")).orderBy(*order).limit(n)
-    top = written(top, "textrank")              # n rows; the edges are free after them
-    norm.unpersist()
+    with freed(spark):
+        least = rounded.orderBy(F.desc("score")).limit(n).agg(F.min("score")).first()[0]     # names are looked up from the n-th score on
+        named = rounded.where(F.col("score") >= F.lit(least)).join(graph.words.select("block", "place", "word").distinct(), ["block", "place"])
+        top = written(named.select("word", "score").orderBy(*order).limit(n), "textrank")    # n rows; the graph is free after them
+    graph.drop()
     return top.select("word", "score", F.row_number().over(Window.orderBy(*order)).cast("long").alias("rank"))
 
 

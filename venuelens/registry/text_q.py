@@ -116,7 +116,8 @@ SELECT word, score, rank FROM (
 WHERE rank <= 20""", ("review_text",))
 def _textrank(t):
     """Ten iterations, written out in SQL too; stop words removed, distances counted in the whole text."""
-    toks = T.remove_stopwords(T.tokenize(t.review_text(), "review_id", "text", PAT, with_position=True), STOP)
+    texts = t.review_text().select("review_id", "text").repartition("review_id")   # documents travel, not their tokens
+    toks = T.remove_stopwords(T.tokenize(texts, "review_id", "text", PAT, with_position=True), STOP)
     return T.textrank_keywords(toks, "review_id", 3, _RANK_STEPS, 20)
 
 
